@@ -19,7 +19,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from listingkit import constants as K
 from listingkit.functions.fields import PY_SPACE, py_strip
@@ -51,26 +50,34 @@ def _unescape_basic(c):
 ANCHOR_TAG_RE = "(?is)<a(?:\\s[^>]*)?>"
 
 
+# comments and script/style bodies hold no elements (the tree builder skips them too)
+NON_CONTENT_RE = ("(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>"
+                  "|<style\\b[^>]*>.*?</style\\s*>")
+
+
 def page_anchors(pages: DataFrame, css_class: str | None = None,
-                 require_attr: str | None = None, id_col: str = "page_id") -> DataFrame:
+                 require_attr: str | None = None, id_col: str = "page_id",
+                 extra_cols: list[str] | None = None) -> DataFrame:
     """Every ``<a ...>`` start tag in document order -> (id, pos, href, label).
 
     ``css_class`` / ``require_attr`` narrow the selection like
     ``a.<class>[<attr>]``; positions count the selected anchors only.
     """
-    tags = F.regexp_extract_all(F.col("html"), F.lit(ANCHOR_TAG_RE), F.lit(0))
-    df = pages.select(id_col, F.posexplode(tags).alias("_i", "_start"))
+    extra = list(extra_cols or [])
+    body = F.regexp_replace(F.col("html"), NON_CONTENT_RE, "")
+    tags = F.regexp_extract_all(body, F.lit(ANCHOR_TAG_RE), F.lit(0))
+    # narrow inside the array, so positions count selected anchors only and no
+    # window (no shuffle) is needed to renumber them
     if css_class:
-        df = df.where(F.lower(_attr(F.col("_start"), "class")).rlike(
-            f"(^|\\s){re.escape(css_class.lower())}(\\s|$)"))
+        cls_re = f"(^|\\s){re.escape(css_class.lower())}(\\s|$)"
+        tags = F.filter(tags, lambda t: F.coalesce(F.lower(_attr(t, "class")).rlike(cls_re),
+                                                   F.lit(False)))
     if require_attr:
-        df = df.where(F.col("_start").rlike(f"(?i)\\s{re.escape(require_attr)}\\s*="))
-    if css_class or require_attr:
-        pos = F.row_number().over(Window.partitionBy(id_col).orderBy("_i")) - 1
-    else:
-        pos = F.col("_i")
+        attr_re = f"(?i)\\s{re.escape(require_attr)}\\s*="
+        tags = F.filter(tags, lambda t: t.rlike(attr_re))
+    df = pages.select(id_col, *extra, F.posexplode(tags).alias("pos", "_start"))
     return df.select(
-        id_col, pos.cast("bigint").alias("pos"),
+        id_col, *extra, F.col("pos").cast("bigint").alias("pos"),
         _unescape_basic(_attr(F.col("_start"), "href")).alias("href"),
         _unescape_basic(_attr(F.col("_start"), "aria-label")).alias("label"))
 
@@ -98,6 +105,20 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 _RAW = {"script", "style", "textarea", "title"}
 
 
+_CLOSERS: dict[str, re.Pattern] = {}
+
+
+def _closer(tag: str) -> re.Pattern:
+    pat = _CLOSERS.get(tag)
+    if pat is None:
+        pat = _CLOSERS[tag] = re.compile(rf"</\s*{tag}\s*>", re.I)
+    return pat
+
+
+def _unescape(text: str) -> str:
+    return htmllib.unescape(text) if "&" in text else text
+
+
 class Node:
     __slots__ = ("tag", "attrs", "classes", "children", "parent")
 
@@ -175,10 +196,10 @@ def parse_html(doc: str) -> Node:
     while pos < n:
         m = _TOKEN.search(doc, pos)
         if m is None:
-            cur.children.append(htmllib.unescape(doc[pos:]))
+            cur.children.append(_unescape(doc[pos:]))
             break
         if m.start() > pos:
-            cur.children.append(htmllib.unescape(doc[pos:m.start()]))
+            cur.children.append(_unescape(doc[pos:m.start()]))
         pos = m.end()
         end_tag, start_tag = m.group(1), m.group(2)
         if start_tag:
@@ -187,11 +208,11 @@ def parse_html(doc: str) -> Node:
             for am in _ATTR.finditer(m.group(3) or ""):
                 val = am.group(2) if am.group(2) is not None else (
                     am.group(3) if am.group(3) is not None else am.group(4))
-                attrs.setdefault(am.group(1).lower(), htmllib.unescape(val or ""))
+                attrs.setdefault(am.group(1).lower(), _unescape(val or ""))
             node = Node(tag, attrs, cur)
             cur.children.append(node)
             if tag in _RAW and not m.group(4):
-                close = re.compile(rf"</\s*{tag}\s*>", re.I).search(doc, pos)
+                close = _closer(tag).search(doc, pos)
                 stop = close.start() if close else n
                 if stop > pos:
                     body = doc[pos:stop]
@@ -273,20 +294,23 @@ def extract_card(card: Node) -> dict:
 
 
 def page_rows(page_id: int, job_idx: int, doc: str | None,
-              anchor_class: str = K.ANCHOR_CLASS) -> list[dict]:
-    """One dict per result anchor (``a.<anchor_class>[aria-label]``) of a page."""
+              keep: set[int] | None = None, anchor_class: str = K.ANCHOR_CLASS) -> list[dict]:
+    """One dict per result anchor (``a.<anchor_class>[aria-label]``) of a page,
+    restricted to the anchor ordinals in ``keep`` when given."""
     if not doc:
         return []
     root = parse_html(doc)
     rows = []
-    pos = 0
+    pos = -1
     for a in root.iter():
         if a.tag != "a" or anchor_class not in a.classes or "aria-label" not in a.attrs:
             continue
+        pos += 1
+        if keep is not None and pos not in keep:
+            continue
         card = _card_of(a)
         row = dict(page_id=page_id, job_idx=job_idx, pos=pos,
                    href=a.attrs.get("href", ""), has_card=card is not None)
-        pos += 1
         if card is not None:
             try:
                 row.update(extract_card(card))
@@ -300,14 +324,33 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cols = [f.name for f in CARD_FIELDS.fields]
     for pdf in batches:
         out = []
-        for pid, jid, doc in zip(pdf["page_id"], pdf["job_idx"], pdf["html"]):
-            out.extend(page_rows(int(pid), int(jid), doc))
+        keeps = pdf["keep"] if "keep" in pdf.columns else [None] * len(pdf)
+        for pid, jid, doc, keep in zip(pdf["page_id"], pdf["job_idx"], pdf["html"], keeps):
+            out.extend(page_rows(int(pid), int(jid), doc,
+                                 None if keep is None else set(int(k) for k in keep)))
         res = pd.DataFrame(out, columns=cols)
-        for c in ("has_rating",):
-            res[c] = res[c].fillna(False).astype(bool)
+        res["has_rating"] = res["has_rating"].fillna(False).astype(bool)
         yield res
 
 
-def parse_result_pages(pages: DataFrame) -> DataFrame:
-    """Pages ``(page_id, job_idx, html)`` -> one raw row per result anchor."""
-    return pages.select("page_id", "job_idx", "html").mapInPandas(_parse_batches, CARD_FIELDS)
+def parse_result_pages(pages: DataFrame, kept: DataFrame | None = None) -> DataFrame:
+    """Pages ``(page_id, job_idx, html)`` -> one raw row per result anchor.
+
+    With ``kept`` (``page_id, pos`` of anchors that passed the radius test) only
+    pages holding a kept anchor are parsed, and only kept anchors' cards are
+    extracted.  The per-page position list is bounded by the page's anchors.
+    """
+    if kept is None:
+        return pages.select("page_id", "job_idx", "html").mapInPandas(_parse_batches,
+                                                                      CARD_FIELDS)
+    keep = kept.groupBy("page_id").agg(F.collect_list("pos").alias("keep"))
+    todo = pages.select("page_id", "job_idx", "html").join(keep, "page_id")
+    return todo.mapInPandas(_parse_batches, CARD_FIELDS)
+
+
+def result_anchors(pages: DataFrame, anchor_class: str = K.ANCHOR_CLASS) -> DataFrame:
+    """Result anchors ``a.<class>[aria-label]`` of captured pages, on the Catalyst
+    path: (page_id, job_idx, pos, href)."""
+    a = page_anchors(pages.select("page_id", "job_idx", "html"), anchor_class, "aria-label",
+                     extra_cols=["job_idx"])
+    return a.select("page_id", "job_idx", "pos", F.coalesce("href", F.lit("")).alias("href"))

@@ -19,7 +19,7 @@ from listingkit import schemas
 from listingkit.functions import fields
 from listingkit.operators import jobs as J
 from listingkit.operators import ordering as O
-from listingkit.operators.pages import parse_result_pages
+from listingkit.operators.pages import parse_result_pages, result_anchors
 
 CAPTURE_ORDER = ["job_idx", "page_id", "pos"]
 RAW_COLUMNS = [f.name for f in schemas.RAW_LISTINGS.fields]
@@ -48,21 +48,29 @@ def extract_listings(pages: DataFrame, jobs: DataFrame, radius_m: float = 1000,
                      missing_rating: str = "drop", persist: bool = True) -> Extraction:
     """Captured result pages -> listing rows within each job's radius + failed jobs.
 
-    One Arrow hop parses every page once; its per-anchor output (far smaller
-    than the HTML) is persisted because listings, failures and the summary
-    all read it.  ``missing_rating='drop'`` keeps the original behaviour of
-    losing a card that has no rating block; ``'null'`` keeps it.
+    Anchor first: result anchors come from a Catalyst scan of the HTML, get
+    their link coordinates, meet their job (equi-join) and pass the radius
+    test - all JVM-side.  Only pages holding a kept anchor cross into Python,
+    where the cards of kept anchors are parsed.  Failures and the per-job
+    summary need no Python at all.  The anchor table is persisted because
+    listings, failures and the summary all read it.
+
+    ``missing_rating='drop'`` keeps the original behaviour of losing a card
+    without a rating block; ``'null'`` keeps such rows.
     """
     if missing_rating not in ("drop", "null"):
         raise ValueError("missing_rating must be 'drop' or 'null'")
-    parsed = parse_result_pages(pages)
-    with_dist = J.anchors_with_distance(parsed, jobs)
+    anchors = result_anchors(pages)
+    with_dist = J.anchors_with_distance(anchors, jobs)
     if persist:
         with_dist = with_dist.persist(StorageLevel.MEMORY_AND_DISK)
-    kept = J.radius_filter(with_dist, radius_m).where(F.col("has_card"))
+    kept = J.radius_filter(with_dist, radius_m)
+    parsed = parse_result_pages(pages, kept.select("page_id", "pos")).drop("job_idx")
+    cards = (kept.join(parsed.withColumnRenamed("href", "_href"), ["page_id", "pos"])
+             .where((F.col("_href") == F.col("href")) & F.col("has_card")))
     if missing_rating == "drop":
-        kept = kept.where(F.col("has_rating"))
-    listings = kept.select(
+        cards = cards.where(F.col("has_rating"))
+    listings = cards.select(
         "job_idx", "page_id", "pos", "latitude", "longitude", "keyword", "name",
         F.col("href").alias("link"),
         F.when(F.col("has_rating"), F.col("rating")).alias("rating"),
@@ -70,7 +78,7 @@ def extract_listings(pages: DataFrame, jobs: DataFrame, radius_m: float = 1000,
         fields.category_clean("category_raw").alias("category"),
         fields.address_clean("address_spans").alias("address"),
         "amenities")
-    failed = J.failed_jobs(jobs, parsed)
+    failed = J.failed_jobs(jobs, with_dist)
     return Extraction(listings, failed, with_dist)
 
 
