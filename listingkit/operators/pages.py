@@ -26,14 +26,13 @@ from listingkit.functions.text import clean_text_py
 
 # ---------------------------------------------------------------- Catalyst J3/J7
 
-_ATTR_TMPL = "(?is)\\b{name}\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s>]+))"
-
-
 def _attr(tag_text, name: str):
-    pat = _ATTR_TMPL.format(name=re.escape(name))
-    return F.coalesce(F.nullif(F.regexp_extract(tag_text, pat, 1), F.lit("")),
-                      F.nullif(F.regexp_extract(tag_text, pat, 2), F.lit("")),
-                      F.nullif(F.regexp_extract(tag_text, pat, 3), F.lit("")))
+    """Value of attribute ``name`` in a start tag (any quoting), null if absent."""
+    pat = f"(?is)(?<![\\w-]){re.escape(name)}\\s*=\\s*(\"[^\"]*\"|'[^']*'|[^\\s>]+)"
+    raw = F.regexp_extract(tag_text, pat, 1)
+    quoted = raw.startswith('"') | raw.startswith("'")
+    return F.when(raw == "", F.lit(None)).when(
+        quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
 
 
 # --- fixed values: named entities decoded on the Catalyst path (``&amp;`` last)
@@ -50,32 +49,51 @@ def _unescape_basic(c):
 ANCHOR_TAG_RE = "(?is)<a(?:\\s[^>]*)?>"
 
 
-# comments and script/style bodies hold no elements (the tree builder skips them too)
-NON_CONTENT_RE = ("(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>"
-                  "|<style\\b[^>]*>.*?</style\\s*>")
+def _class_test(tag, css_class: str):
+    """``tag`` (a start tag's text) has ``css_class`` among its class tokens."""
+    tok = re.escape(css_class)
+    pat = (f"(?is)(?<![\\w-])class\\s*=\\s*(?:\"[^\"]*(?<![^\\s\"]){tok}(?![^\\s\"])"
+           f"|'[^']*(?<![^\\s']){tok}(?![^\\s'])|{tok}(?=[\\s>/]))")
+    return F.lower(tag).contains(css_class.lower()) & tag.rlike(pat)
+
+
+def _attr_test(tag, name: str):
+    return tag.rlike(f"(?i)(?<![\\w-]){re.escape(name)}(?:\\s*=|[\\s/>])")
+
+
+# comments and script/style bodies hold no elements (the tree builder skips them
+# too); each strip runs only on pages that contain its opener, and each pattern
+# starts with a literal so the regex engine can skip ahead quickly
+NON_CONTENT = [("<!--", "(?s)<!--.*?-->"),
+               ("<script", "(?s)<script\\b[^>]*>.*?</script\\s*>"),
+               ("<style", "(?s)<style\\b[^>]*>.*?</style\\s*>"),
+               ("<SCRIPT", "(?is)<script\\b[^>]*>.*?</script\\s*>"),
+               ("<STYLE", "(?is)<style\\b[^>]*>.*?</style\\s*>")]
+
+
+def strip_non_content(html):
+    for opener, pat in NON_CONTENT:
+        html = F.when(html.contains(opener), F.regexp_replace(html, pat, "")).otherwise(html)
+    return html
 
 
 def page_anchors(pages: DataFrame, css_class: str | None = None,
                  require_attr: str | None = None, id_col: str = "page_id",
                  extra_cols: list[str] | None = None) -> DataFrame:
-    """Every ``<a ...>`` start tag in document order -> (id, pos, href, label).
+    """``<a ...>`` start tags in document order -> (id, pos, href, label).
 
-    ``css_class`` / ``require_attr`` narrow the selection like
-    ``a.<class>[<attr>]``; positions count the selected anchors only.
+    ``pos`` is the tag's ordinal among *all* anchors of the page (the element
+    tree numbers them the same way), so narrowing to ``a.<css_class>[<attr>]``
+    is a plain row filter: no array lambdas, no window to renumber.
     """
     extra = list(extra_cols or [])
-    body = F.regexp_replace(F.col("html"), NON_CONTENT_RE, "")
+    body = strip_non_content(F.col("html"))
     tags = F.regexp_extract_all(body, F.lit(ANCHOR_TAG_RE), F.lit(0))
-    # narrow inside the array, so positions count selected anchors only and no
-    # window (no shuffle) is needed to renumber them
+    df = pages.select(id_col, *extra, F.posexplode(tags).alias("pos", "_start"))
     if css_class:
-        cls_re = f"(^|\\s){re.escape(css_class.lower())}(\\s|$)"
-        tags = F.filter(tags, lambda t: F.coalesce(F.lower(_attr(t, "class")).rlike(cls_re),
-                                                   F.lit(False)))
+        df = df.where(_class_test(F.col("_start"), css_class))
     if require_attr:
-        attr_re = f"(?i)\\s{re.escape(require_attr)}\\s*="
-        tags = F.filter(tags, lambda t: t.rlike(attr_re))
-    df = pages.select(id_col, *extra, F.posexplode(tags).alias("pos", "_start"))
+        df = df.where(_attr_test(F.col("_start"), require_attr))
     return df.select(
         id_col, *extra, F.col("pos").cast("bigint").alias("pos"),
         _unescape_basic(_attr(F.col("_start"), "href")).alias("href"),
@@ -94,63 +112,47 @@ def page_titles(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
 
 # ---------------------------------------------------------------- element tree
 
-_TOKEN = re.compile(
-    r"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<![^>]*>|<\?[^>]*>"
-    r"|</\s*([a-zA-Z][\w:-]*)\s*>"
-    r"|<([a-zA-Z][\w:-]*)((?:\s+[^\s\"'>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?)*)\s*(/?)>",
-    re.S)
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
          "source", "track", "wbr"}
-_RAW = {"script", "style", "textarea", "title"}
-
-
-_CLOSERS: dict[str, re.Pattern] = {}
-
-
-def _closer(tag: str) -> re.Pattern:
-    pat = _CLOSERS.get(tag)
-    if pat is None:
-        pat = _CLOSERS[tag] = re.compile(rf"</\s*{tag}\s*>", re.I)
-    return pat
-
-
 def _unescape(text: str) -> str:
     return htmllib.unescape(text) if "&" in text else text
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "classes", "children", "parent")
+    """Element of a parsed page.  All elements of a page live in one pre-order
+    list; ``idx``/``end`` delimit a node's descendants in it, so descendant
+    queries are list slices rather than tree walks."""
+
+    __slots__ = ("tag", "attrs", "classes", "children", "parent", "idx", "end", "doc")
 
-    def __init__(self, tag: str, attrs: dict, parent: Node | None):
+    def __init__(self, tag: str, attrs: dict, parent: Node | None, idx: int, doc: list):
         self.tag = tag
         self.attrs = attrs
-        self.classes = set(attrs.get("class", "").split()) if "class" in attrs else set()
+        cls = attrs.get("class")
+        self.classes = frozenset(cls.split()) if cls else frozenset()
         self.children: list = []          # Node or str
         self.parent = parent
+        self.idx = idx
+        self.end = idx + 1
+        self.doc = doc
 
     # -- traversal
-    def iter(self):
+    def iter(self) -> list[Node]:
         """Descendants in document order (excluding self)."""
-        stack = list(reversed(self.children))
-        while stack:
-            n = stack.pop()
-            if isinstance(n, Node):
-                yield n
-                stack.extend(reversed(n.children))
+        return self.doc[self.idx + 1:self.end]
 
     def find_all(self, tag: str, cls: str | None = None, **attrs) -> list[Node]:
-        return [n for n in self.iter() if n.tag == tag and (cls is None or cls in n.classes)
-                and all((n.attrs.get(k) is not None) if v is True else n.attrs.get(k) == v
-                        for k, v in attrs.items())]
+        out = [n for n in self.doc[self.idx + 1:self.end]
+               if n.tag == tag and (cls is None or cls in n.classes)]
+        if attrs:
+            out = [n for n in out if all(
+                (k in n.attrs) if v is True else n.attrs.get(k) == v for k, v in attrs.items())]
+        return out
 
     def find(self, tag: str, cls: str | None = None, **attrs) -> Node | None:
-        for n in self.iter():
-            if n.tag == tag and (cls is None or cls in n.classes) and all(
-                    (n.attrs.get(k) is not None) if v is True else n.attrs.get(k) == v
-                    for k, v in attrs.items()):
-                return n
-        return None
+        found = self.find_all(tag, cls, **attrs)
+        return found[0] if found else None
 
     def child_tags(self, tag: str) -> list[Node]:
         return [n for n in self.children if isinstance(n, Node) and n.tag == tag]
@@ -187,47 +189,74 @@ class Node:
         return "".join(out)
 
 
+_ALL_TOKENS = re.compile(
+    r"([^<]+)|<!--.*?-->|<![^>]*>|<\?[^>]*>"
+    r"|</\s*([a-zA-Z][\w:-]*)\s*>"
+    r"|<([a-zA-Z][\w:-]*)((?:\s+[^\s\"'>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?)*)\s*(/?)>"
+    r"|(<)", re.S)
+_RAW_BODY = re.compile(r"(?is)(<(script|style|textarea|title)\b[^>]*>)(.*?)(</\2\s*>)")
+
+
+def _raw_body(m: re.Match) -> str:
+    tag = m.group(2).lower()
+    if tag in ("script", "style"):
+        return m.group(1) + m.group(4)            # bodies hold no elements and no text
+    return m.group(1) + m.group(3).replace("<", "&lt;") + m.group(4)
+
+
 def parse_html(doc: str) -> Node:
-    """Tolerant tree builder: unmatched end tags are ignored, open ones closed at EOF."""
-    root = Node("#root", {}, None)
+    """Tolerant tree builder: unmatched end tags are ignored, open ones closed at EOF.
+
+    One C-level ``findall`` tokenizes the page (script/style bodies removed
+    first); whitespace-only text is dropped, as ``get_text(strip=True)``
+    never uses it.
+    """
+    if "<script" in doc or "<style" in doc or "<title" in doc or "<textarea" in doc \
+            or "<SCRIPT" in doc or "<STYLE" in doc:
+        doc = _RAW_BODY.sub(_raw_body, doc)
+    nodes: list[Node] = []
+    root = Node("#root", {}, None, -1, nodes)
     cur = root
-    pos = 0
-    n = len(doc)
-    while pos < n:
-        m = _TOKEN.search(doc, pos)
-        if m is None:
-            cur.children.append(_unescape(doc[pos:]))
-            break
-        if m.start() > pos:
-            cur.children.append(_unescape(doc[pos:m.start()]))
-        pos = m.end()
-        end_tag, start_tag = m.group(1), m.group(2)
-        if start_tag:
+    kids = root.children
+    attr_iter = _ATTR.finditer
+    for text, end_tag, start_tag, raw_attrs, selfclose, stray in _ALL_TOKENS.findall(doc):
+        if text:
+            if not text.isspace():
+                kids.append(_unescape(text) if "&" in text else text)
+        elif start_tag:
             tag = start_tag.lower()
             attrs = {}
-            for am in _ATTR.finditer(m.group(3) or ""):
-                val = am.group(2) if am.group(2) is not None else (
-                    am.group(3) if am.group(3) is not None else am.group(4))
-                attrs.setdefault(am.group(1).lower(), _unescape(val or ""))
-            node = Node(tag, attrs, cur)
-            cur.children.append(node)
-            if tag in _RAW and not m.group(4):
-                close = _closer(tag).search(doc, pos)
-                stop = close.start() if close else n
-                if stop > pos:
-                    body = doc[pos:stop]
-                    node.children.append(htmllib.unescape(body) if tag in ("title", "textarea")
-                                         else body)
-                pos = close.end() if close else n
-            elif tag not in _VOID and not m.group(4):
+            if raw_attrs:
+                for name, g2, g3, g4 in (am.groups() for am in attr_iter(raw_attrs)):
+                    name = name.lower()
+                    if name not in attrs:
+                        val = g2 if g2 is not None else (g3 if g3 is not None else g4)
+                        attrs[name] = (_unescape(val) if "&" in val else val) if val else ""
+            node = Node(tag, attrs, cur, len(nodes), nodes)
+            nodes.append(node)
+            kids.append(node)
+            if tag not in _VOID and not selfclose:
                 cur = node
+                kids = node.children
         elif end_tag:
             tag = end_tag.lower()
             p = cur
             while p is not None and p.tag != tag:
                 p = p.parent
             if p is not None and p is not root:
+                q = cur                     # close p and everything still open inside it
+                while q is not p:
+                    q.end = len(nodes)
+                    q = q.parent
+                p.end = len(nodes)
                 cur = p.parent
+                kids = cur.children
+        elif stray:
+            kids.append("<")
+    while cur is not None and cur is not root:
+        cur.end = len(nodes)
+        cur = cur.parent
+    root.end = len(nodes)
     return root
 
 
@@ -296,16 +325,19 @@ def extract_card(card: Node) -> dict:
 def page_rows(page_id: int, job_idx: int, doc: str | None,
               keep: set[int] | None = None, anchor_class: str = K.ANCHOR_CLASS) -> list[dict]:
     """One dict per result anchor (``a.<anchor_class>[aria-label]``) of a page,
-    restricted to the anchor ordinals in ``keep`` when given."""
+    restricted to the anchor ordinals in ``keep`` when given.  ``pos`` is the
+    anchor's ordinal among all ``<a>`` elements of the page."""
     if not doc:
         return []
     root = parse_html(doc)
     rows = []
     pos = -1
     for a in root.iter():
-        if a.tag != "a" or anchor_class not in a.classes or "aria-label" not in a.attrs:
+        if a.tag != "a":
+            continue
+        pos += 1                     # ordinal among all anchors, as the Catalyst scan
+        if anchor_class not in a.classes or "aria-label" not in a.attrs:
             continue
-        pos += 1
         if keep is not None and pos not in keep:
             continue
         card = _card_of(a)

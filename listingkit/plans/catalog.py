@@ -44,9 +44,8 @@ def _cards(spark, d, which="pass1"):
     return td.card_fields(spark, d, which)
 
 
-def _extraction(spark, d, persist=False):
-    return P.extract_listings(td.result_pages(spark, d), _jobs(spark, d), RADIUS_M,
-                              persist=persist)
+def _extraction(spark, d):
+    return P.extract_listings(td.landed_pages(spark, d), _jobs(spark, d), RADIUS_M)
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -61,9 +60,9 @@ def _pass1(spark, d):
 def _retry_listings(spark, d):
     ext = _extraction(spark, d)
     todo = J.retry_jobs(ext.failed).select("job_idx", "latitude", "longitude", "keyword")
-    pages = td.result_pages(spark, d, "retry").join(todo.select("job_idx"), "job_idx",
+    pages = td.landed_pages(spark, d, "retry").join(todo.select("job_idx"), "job_idx",
                                                       "left_semi")
-    return P.extract_listings(pages, todo, RADIUS_M, persist=False).listings
+    return P.extract_listings(pages, todo, RADIUS_M).listings
 
 
 # ------------------------------------------------------------------ B: projections

@@ -236,6 +236,34 @@ def result_pages(spark: SparkSession, sf_dir: str, which: str = "pass1") -> Data
     return full.unionByName(empty)
 
 
+DERIVED_VERSION = 3
+
+
+def _derived_path(spark: SparkSession, sf_dir: str, name: str, text: str) -> str:
+    """Location of a derived input table inside the shared checkpoint folder."""
+    from listingkit.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    tag = hashlib.sha1(f"{DERIVED_VERSION}|{sf_dir.rstrip('/')}|{text}".encode()).hexdigest()[:16]
+    return f"{base}/listingkit-derived/{name}-{tag}"
+
+
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(jpath))
+
+
+def landed_pages(spark: SparkSession, sf_dir: str, which: str = "pass1") -> DataFrame:
+    """Derived result pages landed once as a Parquet table (like captured pages
+    arriving as an input table) and read back; later queries scan it."""
+    spec = PASS1_SPEC_SQL if which == "pass1" else RETRY_SPEC_SQL
+    path = _derived_path(spark, sf_dir, f"pages-{which}", CARD_FIELDS_SQL + spec)
+    if not _path_exists(spark, path):
+        result_pages(spark, sf_dir, which).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def amenity_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV-form amenity lists (``['a', 'b', ' ']``) from ``part``."""
     return portable_sql(spark, sf_dir, AMENITY_LITERALS_SQL)

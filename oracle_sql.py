@@ -90,9 +90,13 @@ def unescape(c: str) -> str:
 
 
 def attr(tag: str, name: str) -> str:
-    pat = "(?is)\\b" + name + "\\s*=\\s*(?:\"([^\"]*)\"|''([^'']*)''|([^\\s>]+))"
-    parts = [f"nullif(regexp_extract({tag}, '{pat}', {i}), '')" for i in (1, 2, 3)]
-    return f"coalesce({', '.join(parts)})"
+    """Attribute value in any quoting ('' for an empty quoted value, null if absent)."""
+    pat = "(?is)(?:^|[^\\w-])" + name + "\\s*=\\s*(\"[^\"]*\"|''[^'']*''|[^\\s>]+)"
+    raw = f"regexp_extract({tag}, '{pat}', 1)"
+    dq, sq = "'\"'", "''''"
+    return (f"(case when {raw} = '' then null "
+            f"when starts_with({raw}, {dq}) or starts_with({raw}, {sq}) "
+            f"then substr({raw}, 2, length({raw}) - 2) else {raw} end)")
 
 
 # ------------------------------------------------------------------ shared CTEs
