@@ -46,7 +46,8 @@ def link_coords(link: ColumnOrName) -> tuple[Column, Column]:
     link = _c(link)
     lat = F.regexp_extract(link, LINK_COORDS_RE, 1).try_cast("double")
     lon = F.regexp_extract(link, LINK_COORDS_RE, 2).try_cast("double")
-    return lat, lon
+    both = lat.isNotNull() & lon.isNotNull()
+    return F.when(both, lat), F.when(both, lon)
 
 
 def place_id(link: ColumnOrName) -> Column:

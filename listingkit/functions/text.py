@@ -51,7 +51,7 @@ def _clean_text_udf(s: pd.Series) -> pd.Series:
 
 def normalize_key(c: Column | str) -> Column:
     """Accent- and case-folded comparison key of a text column."""
-    return _normalize_key_udf(F.col(c) if isinstance(c, str) else c)
+    return _normalize_key_udf((F.col(c) if isinstance(c, str) else c).cast("string"))
 
 
 def clean_text(c: Column | str) -> Column:

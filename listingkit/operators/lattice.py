@@ -57,13 +57,19 @@ def project_rings(areas: DataFrame, group_cols: list[str]) -> DataFrame:
 
 def group_bounds(rings: DataFrame, group_cols: list[str], spacing: float) -> DataFrame:
     """Bounds of each group's vertices and its lattice parameters (one row per group)."""
-    s = F.lit(float(spacing))
     b = rings.groupBy(*group_cols).agg(
         F.min(F.array_min(F.transform("ring", lambda v: v["x"]))).alias("minx"),
         F.max(F.array_max(F.transform("ring", lambda v: v["x"]))).alias("maxx"),
         F.min(F.array_min(F.transform("ring", lambda v: v["y"]))).alias("miny"),
         F.max(F.array_max(F.transform("ring", lambda v: v["y"]))).alias("maxy"))
-    return b.select(
+    return lattice_params(b, group_cols, spacing)
+
+
+def lattice_params(bounds: DataFrame, group_cols: list[str], spacing: float) -> DataFrame:
+    """Add the arange-style lattice parameters to (minx, maxx, miny, maxy) bounds:
+    ``n = ceil((max + s - min) / s)`` points per axis, step ``(min + s) - min``."""
+    s = F.lit(float(spacing))
+    return bounds.select(
         *group_cols, "minx", "maxx", "miny", "maxy",
         ((F.col("minx") + s) - F.col("minx")).alias("dx"),
         ((F.col("miny") + s) - F.col("miny")).alias("dy"),

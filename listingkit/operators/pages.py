@@ -356,28 +356,56 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cols = [f.name for f in CARD_FIELDS.fields]
     for pdf in batches:
         out = []
-        keeps = pdf["keep"] if "keep" in pdf.columns else [None] * len(pdf)
-        for pid, jid, doc, keep in zip(pdf["page_id"], pdf["job_idx"], pdf["html"], keeps):
-            out.extend(page_rows(int(pid), int(jid), doc,
-                                 None if keep is None else set(int(k) for k in keep)))
+        for pid, jid, doc in zip(pdf["page_id"], pdf["job_idx"], pdf["html"]):
+            out.extend(page_rows(int(pid), int(jid), doc))
         res = pd.DataFrame(out, columns=cols)
         res["has_rating"] = res["has_rating"].fillna(False).astype(bool)
         yield res
 
 
-def parse_result_pages(pages: DataFrame, kept: DataFrame | None = None) -> DataFrame:
-    """Pages ``(page_id, job_idx, html)`` -> one raw row per result anchor.
-
-    With ``kept`` (``page_id, pos`` of anchors that passed the radius test) only
-    pages holding a kept anchor are parsed, and only kept anchors' cards are
-    extracted.  The per-page position list is bounded by the page's anchors.
+def parse_result_pages(pages: DataFrame) -> DataFrame:
+    """Pages ``(page_id, job_idx, html)`` -> one raw row per result anchor."""
+    return pages.select("page_id", "job_idx", "html").mapInPandas(_parse_batches, CARD_FIELDS)
+
+
+def _kept_batches(carry: list[str]):
+    base = [f.name for f in CARD_FIELDS.fields]
+    cols = base + [c for c in carry if c not in base]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for pid, doc, keep in zip(pdf["page_id"], pdf["html"], pdf["keep"]):
+                wanted = {int(k["pos"]): k for k in keep}
+                for row in page_rows(int(pid), -1, doc, set(wanted)):
+                    k = wanted[row["pos"]]
+                    if row["href"] != k["href"]:       # scan and tree must name the same anchor
+                        continue
+                    row.update({c: k[c] for c in carry})
+                    out.append(row)
+            res = pd.DataFrame(out, columns=cols)
+            res["has_rating"] = res["has_rating"].fillna(False).astype(bool)
+            res["has_card"] = res["has_card"].fillna(False).astype(bool)
+            yield res
+    return run
+
+
+def parse_kept_cards(pages: DataFrame, kept: DataFrame, carry: list[str]) -> DataFrame:
+    """Parse only the cards of ``kept`` anchors (``page_id, pos, href`` + ``carry``).
+
+    Kept anchors travel to their page as one bounded list per page (at most
+    the page's anchors), so each page is parsed once, only pages with a kept
+    anchor are parsed, and the anchor-side columns (``carry``, e.g. the job)
+    come back with the card fields - no second pass over the anchors.
     """
-    if kept is None:
-        return pages.select("page_id", "job_idx", "html").mapInPandas(_parse_batches,
-                                                                      CARD_FIELDS)
-    keep = kept.groupBy("page_id").agg(F.collect_list("pos").alias("keep"))
-    todo = pages.select("page_id", "job_idx", "html").join(keep, "page_id")
-    return todo.mapInPandas(_parse_batches, CARD_FIELDS)
+    keep = kept.groupBy("page_id").agg(
+        F.collect_list(F.struct("pos", "href", *carry)).alias("keep"))
+    todo = pages.select("page_id", "html").join(keep, "page_id")
+    base = {f.name for f in CARD_FIELDS.fields}
+    fields_ = [f if f.name not in carry else T.StructField(f.name, kept.schema[f.name].dataType)
+               for f in CARD_FIELDS.fields]
+    fields_ += [T.StructField(c, kept.schema[c].dataType) for c in carry if c not in base]
+    return todo.mapInPandas(_kept_batches(carry), T.StructType(fields_))
 
 
 def result_anchors(pages: DataFrame, anchor_class: str = K.ANCHOR_CLASS) -> DataFrame:

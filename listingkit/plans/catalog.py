@@ -45,7 +45,9 @@ def _cards(spark, d, which="pass1"):
 
 
 def _extraction(spark, d):
-    return P.extract_listings(td.landed_pages(spark, d), _jobs(spark, d), RADIUS_M)
+    # each registered query consumes one output: no cache to leak across queries
+    return P.extract_listings(td.landed_pages(spark, d), _jobs(spark, d), RADIUS_M,
+                              persist=False)
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -54,7 +56,10 @@ def _flat(df: DataFrame) -> DataFrame:
 
 
 def _pass1(spark, d):
-    return _extraction(spark, d).listings
+    """Pass-1 listings as a landed table: extraction runs once per scale factor
+    and later stages read its output, as a staged pipeline does."""
+    path = td.derived_path(spark, d, "listings-pass1")
+    return td.land(lambda: _extraction(spark, d).listings, spark, path)
 
 
 def _retry_listings(spark, d):
@@ -62,7 +67,7 @@ def _retry_listings(spark, d):
     todo = J.retry_jobs(ext.failed).select("job_idx", "latitude", "longitude", "keyword")
     pages = td.landed_pages(spark, d, "retry").join(todo.select("job_idx"), "job_idx",
                                                       "left_semi")
-    return P.extract_listings(pages, todo, RADIUS_M).listings
+    return P.extract_listings(pages, todo, RADIUS_M, persist=False).listings
 
 
 # ------------------------------------------------------------------ B: projections
@@ -181,7 +186,7 @@ def q_page_titles(spark, d):
 
 
 def q_extract_listings(spark, d):
-    return _flat(_pass1(spark, d))
+    return _flat(_extraction(spark, d).listings)
 
 
 # ------------------------------------------------------------------ merge, ids, post-process

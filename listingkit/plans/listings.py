@@ -19,7 +19,7 @@ from listingkit import schemas
 from listingkit.functions import fields
 from listingkit.operators import jobs as J
 from listingkit.operators import ordering as O
-from listingkit.operators.pages import parse_result_pages, result_anchors
+from listingkit.operators.pages import parse_kept_cards, result_anchors
 
 CAPTURE_ORDER = ["job_idx", "page_id", "pos"]
 RAW_COLUMNS = [f.name for f in schemas.RAW_LISTINGS.fields]
@@ -51,9 +51,10 @@ def extract_listings(pages: DataFrame, jobs: DataFrame, radius_m: float = 1000,
     Anchor first: result anchors come from a Catalyst scan of the HTML, get
     their link coordinates, meet their job (equi-join) and pass the radius
     test - all JVM-side.  Only pages holding a kept anchor cross into Python,
-    where the cards of kept anchors are parsed.  Failures and the per-job
-    summary need no Python at all.  The anchor table is persisted because
-    listings, failures and the summary all read it.
+    where the cards of kept anchors are parsed; the anchors' job columns ride
+    along with them.  Failures and the per-job summary need no Python at all.
+    ``persist`` caches the anchor table for callers that use listings,
+    failures and the summary together.
 
     ``missing_rating='drop'`` keeps the original behaviour of losing a card
     without a rating block; ``'null'`` keeps such rows.
@@ -65,9 +66,8 @@ def extract_listings(pages: DataFrame, jobs: DataFrame, radius_m: float = 1000,
     if persist:
         with_dist = with_dist.persist(StorageLevel.MEMORY_AND_DISK)
     kept = J.radius_filter(with_dist, radius_m)
-    parsed = parse_result_pages(pages, kept.select("page_id", "pos")).drop("job_idx")
-    cards = (kept.join(parsed.withColumnRenamed("href", "_href"), ["page_id", "pos"])
-             .where((F.col("_href") == F.col("href")) & F.col("has_card")))
+    cards = parse_kept_cards(pages, kept, ["job_idx", "latitude", "longitude", "keyword"]) \
+        .where(F.col("has_card"))
     if missing_rating == "drop":
         cards = cards.where(F.col("has_rating"))
     listings = cards.select(

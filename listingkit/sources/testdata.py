@@ -236,17 +236,35 @@ def result_pages(spark: SparkSession, sf_dir: str, which: str = "pass1") -> Data
     return full.unionByName(empty)
 
 
-DERIVED_VERSION = 3
+def _code_fingerprint() -> str:
+    """Hash of the library sources, so landed tables never outlive the code
+    that produced them."""
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parents[1]
+    h = hashlib.sha1()
+    for f in sorted(root.rglob("*.py")):
+        h.update(f.read_bytes())
+    return h.hexdigest()[:12]
 
 
-def _derived_path(spark: SparkSession, sf_dir: str, name: str, text: str) -> str:
-    """Location of a derived input table inside the shared checkpoint folder."""
+_FINGERPRINT = _code_fingerprint()
+
+
+def derived_path(spark: SparkSession, sf_dir: str, name: str, text: str = "") -> str:
+    """Location of a derived table inside the shared checkpoint folder."""
     from listingkit.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    tag = hashlib.sha1(f"{DERIVED_VERSION}|{sf_dir.rstrip('/')}|{text}".encode()).hexdigest()[:16]
+    tag = hashlib.sha1(f"{_FINGERPRINT}|{sf_dir.rstrip('/')}|{text}".encode()).hexdigest()[:16]
     return f"{base}/listingkit-derived/{name}-{tag}"
 
 
+def land(df_fn, spark: SparkSession, path: str) -> DataFrame:
+    """Write ``df_fn()`` to ``path`` once (atomic via _SUCCESS) and read it back."""
+    if not _path_exists(spark, path):
+        df_fn().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
@@ -258,10 +276,8 @@ def landed_pages(spark: SparkSession, sf_dir: str, which: str = "pass1") -> Data
     """Derived result pages landed once as a Parquet table (like captured pages
     arriving as an input table) and read back; later queries scan it."""
     spec = PASS1_SPEC_SQL if which == "pass1" else RETRY_SPEC_SQL
-    path = _derived_path(spark, sf_dir, f"pages-{which}", CARD_FIELDS_SQL + spec)
-    if not _path_exists(spark, path):
-        result_pages(spark, sf_dir, which).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = derived_path(spark, sf_dir, f"pages-{which}", CARD_FIELDS_SQL + spec)
+    return land(lambda: result_pages(spark, sf_dir, which), spark, path)
 
 
 def amenity_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
