@@ -4,15 +4,16 @@ EPSG:5880 is the American polyconic projection on GRS80 (latitude of origin
 0, central meridian -54, false easting 5 000 000, false northing 10 000 000).
 Forward and inverse follow the ellipsoidal formulas in Snyder, "Map
 Projections - A Working Manual" (USGS PP 1395), chapter 18; the inverse is
-Newton's method on latitude, expressed with ``F.aggregate`` over a fixed
-number of steps so the expression tree stays small.
+Newton's method on latitude: ``project_inverse`` is a column expression
+(``F.aggregate`` over a fixed number of steps, evaluated interpreted);
+``with_inverse`` is the DataFrame form that keeps every step in generated code.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listingkit import constants as K
@@ -99,3 +100,37 @@ def project_inverse(x: ColumnOrName, y: ColumnOrName) -> tuple[Column, Column]:
         F.asin(xx * c_fin / F.lit(A)) / F.sin(phi)) + F.lit(LON0)
     lat = F.when(on_equator, F.lit(0.0)).otherwise(F.degrees(phi))
     return F.degrees(lam), lat
+
+
+def with_inverse(df: DataFrame, x: str, y: str, lon_out: str = "longitude",
+                 lat_out: str = "latitude") -> DataFrame:
+    """``project_inverse`` as a chain of projections: the Newton terms and each
+    step become columns, so the whole computation is code-generated (the
+    ``aggregate`` form evaluates its lambda interpreted).  Same arithmetic,
+    same results.  Helper columns are dropped."""
+    xx, yy = F.col(x) - F.lit(X0), F.col(y) - F.lit(Y0)
+    out = df.withColumns({"_inv_xx": xx, "_inv_yy": yy})
+    out = out.withColumns({"_inv_a": F.col("_inv_yy") / F.lit(A)})
+    out = out.withColumns({
+        "_inv_b": (F.col("_inv_xx") * F.col("_inv_xx")) / F.lit(A * A)
+        + F.col("_inv_a") * F.col("_inv_a"),
+        "_inv_phi": F.col("_inv_a")})
+    a_, b_ = F.col("_inv_a"), F.col("_inv_b")
+    for _ in range(NEWTON_STEPS):
+        phi = F.col("_inv_phi")
+        sin_phi = F.sin(phi)
+        c = F.sqrt(1 - F.lit(E2) * sin_phi * sin_phi) * F.tan(phi)
+        mn = _meridian(phi)
+        mp = _meridian_prime(phi)
+        num = a_ * (c * mn + 1) - mn - (mn * mn + b_) * c / 2
+        den = (F.lit(E2) * F.sin(2 * phi) * (mn * mn + b_ - 2 * a_ * mn) / (4 * c)
+               + (a_ - mn) * (c * mp - 2 / F.sin(2 * phi)) - mp)
+        out = out.withColumn("_inv_phi", phi - num / den)
+    phi = F.col("_inv_phi")
+    on_equator = F.col("_inv_yy") == 0
+    c_fin = F.sqrt(1 - F.lit(E2) * F.sin(phi) * F.sin(phi)) * F.tan(phi)
+    lam = F.when(on_equator, F.col("_inv_xx") / F.lit(A)).otherwise(
+        F.asin(F.col("_inv_xx") * c_fin / F.lit(A)) / F.sin(phi)) + F.lit(LON0)
+    lat = F.when(on_equator, F.lit(0.0)).otherwise(F.degrees(phi))
+    out = out.withColumns({lon_out: F.degrees(lam), lat_out: lat})
+    return out.drop("_inv_xx", "_inv_yy", "_inv_a", "_inv_b", "_inv_phi")

@@ -156,12 +156,11 @@ def lattice_in_areas(areas: DataFrame, spacing: float, group_cols: list[str],
     y = F.col("miny") + F.col("j") * F.col("dy")
     pts = cells.select(*group_cols, (F.col("i") * F.col("ny") + F.col("j")).alias("point_idx"),
                        x.alias("x"), y.alias("y"))
-    lon, lat = geo.project_inverse("x", "y")
-    out = pts.select(*group_cols, "point_idx",
-                     F.round(lat, COORD_DECIMALS).alias("latitude"),
-                     F.round(lon, COORD_DECIMALS).alias("longitude"),
-                     *(["x", "y"] if with_xy else []))
-    return out
+    pts = geo.with_inverse(pts, "x", "y", "_lon", "_lat")
+    return pts.select(*group_cols, "point_idx",
+                      F.round("_lat", COORD_DECIMALS).alias("latitude"),
+                      F.round("_lon", COORD_DECIMALS).alias("longitude"),
+                      *(["x", "y"] if with_xy else []))
 
 
 def bare_lattice(bounds: DataFrame, group_cols: list[str]) -> DataFrame:

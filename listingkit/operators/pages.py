@@ -322,11 +322,24 @@ def extract_card(card: Node) -> dict:
                 amenities=amenities)
 
 
+# layout name -> card field extractor (field rules of one result-panel layout)
+LAYOUTS = {"loc1": extract_card}
+
+
+def layout_extractor(layout: str):
+    try:
+        return LAYOUTS[layout]
+    except KeyError:
+        raise ValueError(f"unknown page layout {layout!r}; known: {sorted(LAYOUTS)}") from None
+
+
 def page_rows(page_id: int, job_idx: int, doc: str | None,
-              keep: set[int] | None = None, anchor_class: str = K.ANCHOR_CLASS) -> list[dict]:
+              keep: set[int] | None = None, anchor_class: str = K.ANCHOR_CLASS,
+              layout: str = "loc1") -> list[dict]:
     """One dict per result anchor (``a.<anchor_class>[aria-label]``) of a page,
     restricted to the anchor ordinals in ``keep`` when given.  ``pos`` is the
     anchor's ordinal among all ``<a>`` elements of the page."""
+    extract = layout_extractor(layout)
     if not doc:
         return []
     root = parse_html(doc)
@@ -345,7 +358,7 @@ def page_rows(page_id: int, job_idx: int, doc: str | None,
                    href=a.attrs.get("href", ""), has_card=card is not None)
         if card is not None:
             try:
-                row.update(extract_card(card))
+                row.update(extract(card))
             except Exception:                      # a bad card drops that row only
                 row["has_card"] = False
         rows.append(row)
@@ -368,7 +381,7 @@ def parse_result_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "job_idx", "html").mapInPandas(_parse_batches, CARD_FIELDS)
 
 
-def _kept_batches(carry: list[str]):
+def _kept_batches(carry: list[str], layout: str = "loc1"):
     base = [f.name for f in CARD_FIELDS.fields]
     cols = base + [c for c in carry if c not in base]
 
@@ -377,7 +390,7 @@ def _kept_batches(carry: list[str]):
             out = []
             for pid, doc, keep in zip(pdf["page_id"], pdf["html"], pdf["keep"]):
                 wanted = {int(k["pos"]): k for k in keep}
-                for row in page_rows(int(pid), -1, doc, set(wanted)):
+                for row in page_rows(int(pid), -1, doc, set(wanted), layout=layout):
                     k = wanted[row["pos"]]
                     if row["href"] != k["href"]:       # scan and tree must name the same anchor
                         continue
@@ -390,7 +403,8 @@ def _kept_batches(carry: list[str]):
     return run
 
 
-def parse_kept_cards(pages: DataFrame, kept: DataFrame, carry: list[str]) -> DataFrame:
+def parse_kept_cards(pages: DataFrame, kept: DataFrame, carry: list[str],
+                     layout: str = "loc1") -> DataFrame:
     """Parse only the cards of ``kept`` anchors (``page_id, pos, href`` + ``carry``).
 
     Kept anchors travel to their page as one bounded list per page (at most
@@ -405,7 +419,8 @@ def parse_kept_cards(pages: DataFrame, kept: DataFrame, carry: list[str]) -> Dat
     fields_ = [f if f.name not in carry else T.StructField(f.name, kept.schema[f.name].dataType)
                for f in CARD_FIELDS.fields]
     fields_ += [T.StructField(c, kept.schema[c].dataType) for c in carry if c not in base]
-    return todo.mapInPandas(_kept_batches(carry), T.StructType(fields_))
+    layout_extractor(layout)                       # fail fast on the driver
+    return todo.mapInPandas(_kept_batches(carry, layout), T.StructType(fields_))
 
 
 def result_anchors(pages: DataFrame, anchor_class: str = K.ANCHOR_CLASS) -> DataFrame:

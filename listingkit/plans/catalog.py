@@ -23,6 +23,7 @@ from listingkit.operators import ordering as O
 from listingkit.operators.pages import page_anchors as _page_anchors
 from listingkit.operators.pages import page_titles as _page_titles
 from listingkit.plans import grid as G
+from listingkit.session import spread
 from listingkit.plans import listings as P
 from listingkit.sources import testdata as td
 
@@ -62,9 +63,15 @@ def _pass1(spark, d):
     return td.land(lambda: _extraction(spark, d).listings, spark, path)
 
 
+def _failed(spark, d):
+    """Pass-1 failure table, landed once (the retry pass reads it, as it would
+    read the failure file)."""
+    path = td.derived_path(spark, d, "failed-pass1")
+    return td.land(lambda: _extraction(spark, d).failed, spark, path)
+
+
 def _retry_listings(spark, d):
-    ext = _extraction(spark, d)
-    todo = J.retry_jobs(ext.failed).select("job_idx", "latitude", "longitude", "keyword")
+    todo = J.retry_jobs(_failed(spark, d)).select("job_idx", "latitude", "longitude", "keyword")
     pages = td.landed_pages(spark, d, "retry").join(todo.select("job_idx"), "job_idx",
                                                       "left_semi")
     return P.extract_listings(pages, todo, RADIUS_M, persist=False).listings
@@ -136,11 +143,13 @@ def q_request_url(spark, d):
 
 
 def q_normalize_key(spark, d):
-    return td.table(spark, d, "documents").select("doc_id", normalize_key("text").alias("key"))
+    docs = spread(td.table(spark, d, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", normalize_key("text").alias("key"))
 
 
 def q_clean_text(spark, d):
-    return td.table(spark, d, "documents").select("doc_id", clean_text("text").alias("cleaned"))
+    docs = spread(td.table(spark, d, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", clean_text("text").alias("cleaned"))
 
 
 # ------------------------------------------------------------------ jobs, filters, joins
@@ -177,11 +186,12 @@ def q_job_summary(spark, d):
 # ------------------------------------------------------------------ pages
 
 def q_page_anchors(spark, d):
-    return _page_anchors(td.table(spark, d, "pages")).select("page_id", "pos", "href", "label")
+    pages = spread(td.table(spark, d, "pages").select("page_id", "html"))
+    return _page_anchors(pages).select("page_id", "pos", "href", "label")
 
 
 def q_page_titles(spark, d):
-    t = _page_titles(td.table(spark, d, "pages"))
+    t = _page_titles(spread(td.table(spark, d, "pages").select("page_id", "html")))
     return t.select("page_id", clean_text("title").alias("title"), clean_text("h1").alias("h1"))
 
 
@@ -250,7 +260,7 @@ def q_retry_merge(spark, d):
 # ------------------------------------------------------------------ areas and grid
 
 def _areas(spark, d):
-    return td.areas(spark, d)
+    return td.landed_areas(spark, d)
 
 
 def q_canonical_names(spark, d):
@@ -281,8 +291,8 @@ def q_project_inverse(spark, d):
     g = td.grid_points(spark, d)
     x, y = geo.project_forward("longitude", "latitude")
     g = g.select("point_idx", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
-    lon, lat = geo.project_inverse("x", "y")
-    return g.select("point_idx", F.round(lat, 7).alias("lat"), F.round(lon, 7).alias("lon"))
+    g = geo.with_inverse(g, "x", "y", "_lon", "_lat")
+    return g.select("point_idx", F.round("_lat", 7).alias("lat"), F.round("_lon", 7).alias("lon"))
 
 
 def q_area_bounds(spark, d):

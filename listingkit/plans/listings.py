@@ -45,7 +45,8 @@ class Extraction:
 
 
 def extract_listings(pages: DataFrame, jobs: DataFrame, radius_m: float = 1000,
-                     missing_rating: str = "drop", persist: bool = True) -> Extraction:
+                     missing_rating: str = "drop", persist: bool = True,
+                     layout: str = "loc1") -> Extraction:
     """Captured result pages -> listing rows within each job's radius + failed jobs.
 
     Anchor first: result anchors come from a Catalyst scan of the HTML, get
@@ -66,8 +67,8 @@ def extract_listings(pages: DataFrame, jobs: DataFrame, radius_m: float = 1000,
     if persist:
         with_dist = with_dist.persist(StorageLevel.MEMORY_AND_DISK)
     kept = J.radius_filter(with_dist, radius_m)
-    cards = parse_kept_cards(pages, kept, ["job_idx", "latitude", "longitude", "keyword"]) \
-        .where(F.col("has_card"))
+    cards = parse_kept_cards(pages, kept, ["job_idx", "latitude", "longitude", "keyword"],
+                             layout).where(F.col("has_card"))
     if missing_rating == "drop":
         cards = cards.where(F.col("has_rating"))
     listings = cards.select(

@@ -59,3 +59,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "folder for lineage cuts")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="listingkit-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def spread(df):
+    """Give CPU-heavy per-row work (Python UDFs, page parsing) at least one
+    partition per core.  Decided at plan time from the input's split count: a
+    large input already has more splits than cores and is left alone (no extra
+    shuffle); a small-but-heavy input (one file, one split) is spread."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df

@@ -361,3 +361,10 @@ def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.array_sort(F.collect_list(F.struct("poly_idx", "poly"))).alias("ps"))
             .select(F.col("area_ord").cast("int").alias("area_ord"), "area_code", "area_name",
                     F.transform("ps", lambda x: x["poly"]).alias("polygons")))
+
+
+def landed_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived boundary table landed once as Parquet (boundaries are an
+    input file of the pipeline) and read back."""
+    path = derived_path(spark, sf_dir, "areas", AREA_VERTICES_SQL)
+    return land(lambda: areas(spark, sf_dir), spark, path)

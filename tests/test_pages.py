@@ -116,3 +116,9 @@ def test_extract_listings_end_to_end(spark):
     assert sorted(r.name for r in kept.collect()) == ["E", "Near"]
     assert kept.where(F.col("name") == "E").first().rating is None
     ext.unpersist()
+
+
+def test_unknown_layout_raises(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        PG.page_rows(1, 1, panel(card()), layout="loc9")
