@@ -258,20 +258,34 @@ def derived_path(spark: SparkSession, sf_dir: str, name: str, text: str = "") ->
     return f"{base}/listingkit-derived/{name}-{tag}"
 
 
-def land(df_fn, spark: SparkSession, path: str) -> DataFrame:
-    """Write ``df_fn()`` to ``path`` once (atomic via _SUCCESS) and read it back."""
-    if not _path_exists(spark, path):
-        df_fn().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def _path_exists(spark: SparkSession, path: str) -> bool:
+    """A landed table is complete once its ``_SUCCESS`` marker exists."""
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(jpath))
 
 
+def land(df_fn, spark: SparkSession, path: str) -> DataFrame:
+    """Write ``df_fn()`` to ``path`` once and read it back.
+
+    The table is written to a unique sibling folder and renamed into place, so
+    a failed or concurrent writer never leaves a partial table at ``path``.
+    """
+    if not _path_exists(spark, path):
+        import uuid
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+        # at least one file per core, so later scans split the work evenly
+        par = spark.sparkContext.defaultParallelism
+        df_fn().repartition(par).write.mode("errorifexists").parquet(tmp)
+        jvm = spark.sparkContext._jvm
+        src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
+        fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.rename(src, dst) and not _path_exists(spark, path):
+            raise RuntimeError(f"could not land table at {path}")
+    return spark.read.parquet(path)
+
+
 def landed_pages(spark: SparkSession, sf_dir: str, which: str = "pass1") -> DataFrame:
     """Derived result pages landed once as a Parquet table (like captured pages
     arriving as an input table) and read back; later queries scan it."""
