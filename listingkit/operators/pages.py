@@ -381,25 +381,28 @@ def parse_result_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "job_idx", "html").mapInPandas(_parse_batches, CARD_FIELDS)
 
 
-def _kept_batches(carry: list[str], layout: str = "loc1"):
-    base = [f.name for f in CARD_FIELDS.fields]
-    cols = base + [c for c in carry if c not in base]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+def _kept_batches(carry: list[str], schema: T.StructType, layout: str = "loc1"):
+    """Arrow batches of (page_id, html, keep) -> Arrow batches of card rows."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    arrow_schema = to_arrow_schema(schema)
+
+    def run(batches):
+        for rb in batches:
             out = []
-            for pid, doc, keep in zip(pdf["page_id"], pdf["html"], pdf["keep"]):
-                wanted = {int(k["pos"]): k for k in keep}
-                for row in page_rows(int(pid), -1, doc, set(wanted), layout=layout):
+            pids = rb.column("page_id").to_pylist()
+            docs = rb.column("html").to_pylist()
+            keeps = rb.column("keep").to_pylist()
+            for pid, doc, keep in zip(pids, docs, keeps):
+                wanted = {k["pos"]: k for k in keep}
+                for row in page_rows(pid, -1, doc, set(wanted), layout=layout):
                     k = wanted[row["pos"]]
                     if row["href"] != k["href"]:       # scan and tree must name the same anchor
                         continue
                     row.update({c: k[c] for c in carry})
+                    row.setdefault("has_rating", False)
                     out.append(row)
-            res = pd.DataFrame(out, columns=cols)
-            res["has_rating"] = res["has_rating"].fillna(False).astype(bool)
-            res["has_card"] = res["has_card"].fillna(False).astype(bool)
-            yield res
+            yield pa.RecordBatch.from_pylist(out, schema=arrow_schema)
     return run
 
 
@@ -410,7 +413,8 @@ def parse_kept_cards(pages: DataFrame, kept: DataFrame, carry: list[str],
     Kept anchors travel to their page as one bounded list per page (at most
     the page's anchors), so each page is parsed once, only pages with a kept
     anchor are parsed, and the anchor-side columns (``carry``, e.g. the job)
-    come back with the card fields - no second pass over the anchors.
+    come back with the card fields - no second pass over the anchors.  The
+    hop is ``mapInArrow``: record batches in and out, no pandas conversion.
     """
     keep = kept.groupBy("page_id").agg(
         F.collect_list(F.struct("pos", "href", *carry)).alias("keep"))
@@ -419,8 +423,9 @@ def parse_kept_cards(pages: DataFrame, kept: DataFrame, carry: list[str],
     fields_ = [f if f.name not in carry else T.StructField(f.name, kept.schema[f.name].dataType)
                for f in CARD_FIELDS.fields]
     fields_ += [T.StructField(c, kept.schema[c].dataType) for c in carry if c not in base]
+    schema = T.StructType(fields_)
     layout_extractor(layout)                       # fail fast on the driver
-    return todo.mapInPandas(_kept_batches(carry, layout), T.StructType(fields_))
+    return todo.mapInArrow(_kept_batches(carry, schema, layout), schema)
 
 
 def result_anchors(pages: DataFrame, anchor_class: str = K.ANCHOR_CLASS) -> DataFrame:
