@@ -105,3 +105,19 @@ def process_pages(jobs: DataFrame, pages: DataFrame, out_dir: str,
 def job_chunks(jobs: DataFrame, n: int = K.NUM_CHUNKS) -> DataFrame:
     """Jobs tagged with their contiguous chunk (for handing work to n collectors)."""
     return balanced_chunks(jobs, n, [F.col("job_idx")], dense_rank_col=None)
+
+
+def run_totals(jobs: DataFrame, listings: DataFrame, failed: DataFrame,
+               n: int = K.NUM_CHUNKS) -> DataFrame:
+    """Per-chunk totals of a pass: jobs, extracted rows and failed jobs per
+    contiguous job chunk (the counts the original logged per worker chunk).
+    Rows and failures are pre-aggregated per job before meeting the chunk map."""
+    chunks = job_chunks(jobs.select("job_idx"), n)
+    rows = listings.groupBy("job_idx").agg(F.count(F.lit(1)).alias("_rows"))
+    fails = failed.select("job_idx").distinct().withColumn("_failed", F.lit(1))
+    per_job = chunks.join(rows, "job_idx", "left").join(fails, "job_idx", "left")
+    return (per_job.groupBy("chunk")
+            .agg(F.count(F.lit(1)).alias("jobs"),
+                 F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("rows"),
+                 F.coalesce(F.sum("_failed"), F.lit(0)).cast("bigint").alias("failed"))
+            .orderBy("chunk"))

@@ -37,3 +37,17 @@ def test_process_pages_no_retry(spark, tmp_path):
     res = process_pages(jobs, td.result_pages(spark, SMOKE), str(tmp_path))
     want = C.q_postprocess(spark, SMOKE)
     assert sorted(map(tuple, res.listings.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_run_totals(spark):
+    from listingkit.plans import listings as P
+    from listingkit.plans.workflow import run_totals
+    jobs = C._jobs(spark, SMOKE)
+    ext = P.extract_listings(td.result_pages(spark, SMOKE), jobs, 1000.0)
+    tot = run_totals(jobs, ext.listings, ext.failed, 3).collect()
+    assert [t.chunk for t in tot] == [0, 1, 2]
+    assert sum(t.jobs for t in tot) == jobs.count()
+    assert sum(t.rows for t in tot) == ext.listings.count()
+    assert sum(t.failed for t in tot) == ext.failed.count()
+    assert max(t.jobs for t in tot) - min(t.jobs for t in tot) <= 1
+    ext.unpersist()
