@@ -283,8 +283,8 @@ def q_distinct_names(spark, d):
 def q_project_forward(spark, d):
     v = td.area_vertices(spark, d)
     x, y = geo.project_forward("lon", "lat")
-    return v.select("area_ord", "poly_idx", "ring_idx", "v_idx",
-                    F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
+    return v.select(F.col("area_ord").cast("int").alias("area_ord"), "poly_idx", "ring_idx",
+                    "v_idx", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
 
 
 def q_project_inverse(spark, d):
