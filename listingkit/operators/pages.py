@@ -46,9 +46,6 @@ def _unescape_basic(c):
     return c
 
 
-ANCHOR_TAG_RE = "(?is)<a(?:\\s[^>]*)?>"
-
-
 def _class_test(tag, css_class: str):
     """``tag`` (a start tag's text) has ``css_class`` among its class tokens."""
     tok = re.escape(css_class)
@@ -61,20 +58,18 @@ def _attr_test(tag, name: str):
     return tag.rlike(f"(?i)(?<![\\w-]){re.escape(name)}(?:\\s*=|[\\s/>])")
 
 
-# comments and script/style bodies hold no elements (the tree builder skips them
-# too); each strip runs only on pages that contain its opener, and each pattern
-# starts with a literal so the regex engine can skip ahead quickly
-NON_CONTENT = [("<!--", "(?s)<!--.*?-->"),
-               ("<script", "(?s)<script\\b[^>]*>.*?</script\\s*>"),
-               ("<style", "(?s)<style\\b[^>]*>.*?</style\\s*>"),
-               ("<SCRIPT", "(?is)<script\\b[^>]*>.*?</script\\s*>"),
-               ("<STYLE", "(?is)<style\\b[^>]*>.*?</style\\s*>")]
+# Comments and script/style bodies hold no elements (the tree builder skips
+# them too).  One regex pass matches them *and* the anchor start tags, so an
+# ``<a`` inside a comment or script is consumed by that match; the anchor
+# items are then kept.  One scan of the page instead of strip-then-extract.
+CONTENT_ANCHORS_RE = ("(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>"
+                      "|<style\\b[^>]*>.*?</style\\s*>|<a(?:\\s[^>]*)?>")
 
 
-def strip_non_content(html):
-    for opener, pat in NON_CONTENT:
-        html = F.when(html.contains(opener), F.regexp_replace(html, pat, "")).otherwise(html)
-    return html
+def anchor_tags(html):
+    """Anchor start tags of a page in document order, outside comments/scripts."""
+    items = F.regexp_extract_all(html, F.lit(CONTENT_ANCHORS_RE), F.lit(0))
+    return F.filter(items, lambda t: F.lower(F.substring(t, 1, 2)) == "<a")
 
 
 def page_anchors(pages: DataFrame, css_class: str | None = None,
@@ -87,9 +82,8 @@ def page_anchors(pages: DataFrame, css_class: str | None = None,
     is a plain row filter: no array lambdas, no window to renumber.
     """
     extra = list(extra_cols or [])
-    body = strip_non_content(F.col("html"))
-    tags = F.regexp_extract_all(body, F.lit(ANCHOR_TAG_RE), F.lit(0))
-    df = pages.select(id_col, *extra, F.posexplode(tags).alias("pos", "_start"))
+    df = pages.select(id_col, *extra, F.posexplode(anchor_tags(F.col("html")))
+                      .alias("pos", "_start"))
     if css_class:
         df = df.where(_class_test(F.col("_start"), css_class))
     if require_attr:
