@@ -36,15 +36,19 @@ def get_spark(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint directory, setting it only if unset.
 
     Order: an already-set context dir; the session/cluster setting
     ``spark.checkpoint.dir``; and, for local masters only, a fresh scratch
     directory.  On a cluster without the setting we refuse rather than write
-    lineage cuts to a machine-local folder.
+    lineage cuts to a machine-local folder.  Without a driver-side context
+    (Spark Connect) the server's ``spark.checkpoint.dir`` is used as is.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:                      # Spark Connect: no driver-side context
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -69,7 +73,10 @@ def spread(df):
 
     Use on plain scans/projections only: on a plan with exchanges, asking for
     the partition count would make adaptive execution run upstream stages."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < par:
+            return df.repartition(par)
+    except Exception:                      # no RDD view (Spark Connect): leave as is
+        pass
     return df

@@ -250,10 +250,13 @@ def _code_fingerprint() -> str:
 _FINGERPRINT = _code_fingerprint()
 
 
-def derived_path(spark: SparkSession, sf_dir: str, name: str, text: str = "") -> str:
+def derived_path(spark: SparkSession, sf_dir: str, name: str, text: str = "") -> str | None:
     """Location of a derived table inside the shared checkpoint folder."""
     from listingkit.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    base = ensure_checkpoint_dir(spark)
+    if not base:
+        return None
+    base = base.rstrip("/")
     tag = hashlib.sha1(f"{_FINGERPRINT}|{sf_dir.rstrip('/')}|{text}".encode()).hexdigest()[:16]
     return f"{base}/listingkit-derived/{name}-{tag}"
 
@@ -266,21 +269,29 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-def land(df_fn, spark: SparkSession, path: str) -> DataFrame:
+def land(df_fn, spark: SparkSession, path: str | None) -> DataFrame:
     """Write ``df_fn()`` to ``path`` once and read it back.
 
     The table is written to a unique sibling folder and renamed into place, so
     a failed or concurrent writer never leaves a partial table at ``path``.
+    Without a shared folder or a driver-side Hadoop client (Spark Connect) the
+    plan is returned unlanded.
     """
+    if path is None:
+        return df_fn()
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        par = spark.sparkContext.defaultParallelism
+    except Exception:
+        return df_fn()
     if not _path_exists(spark, path):
         import uuid
         tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
         # at least one file per core, so later scans split the work evenly
-        par = spark.sparkContext.defaultParallelism
         df_fn().repartition(par).write.mode("errorifexists").parquet(tmp)
-        jvm = spark.sparkContext._jvm
         src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
-        fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs = dst.getFileSystem(conf)
         if not fs.rename(src, dst) and not _path_exists(spark, path):
             raise RuntimeError(f"could not land table at {path}")
     return spark.read.parquet(path)
