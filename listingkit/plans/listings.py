@@ -22,7 +22,6 @@ from listingkit.operators import ordering as O
 from listingkit.operators.pages import parse_kept_cards, result_anchors
 
 CAPTURE_ORDER = ["job_idx", "page_id", "pos"]
-RAW_COLUMNS = [f.name for f in schemas.RAW_LISTINGS.fields]
 
 
 def sorted_order() -> list[Column]:
