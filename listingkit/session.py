@@ -33,6 +33,7 @@ def get_spark(cpus: int | str = "*", shuffle_partitions: int = 8,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -80,3 +81,53 @@ def spread(df):
     except Exception:                      # no RDD view (Spark Connect): leave as is
         pass
     return df
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``listingkit`` importable in executor Python workers.
+
+    The package is zipped once per driver process and added with
+    ``addPyFile`` (Spark distributes it to every executor), so Arrow UDFs
+    and ``mapInArrow`` functions that live in the package resolve on any
+    cluster and from any working directory.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:                      # Spark Connect: ship as an artifact
+        _ship_artifact(spark)
+        return
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    sc.addPyFile(_package_zip())
+    _SHIPPED.add(key)
+
+
+_ZIP: list[str] = []
+
+
+def _package_zip() -> str:
+    if _ZIP:
+        return _ZIP[0]
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="listingkit-pkg-"), "listingkit.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    _ZIP.append(path)
+    return path
+
+
+def _ship_artifact(spark: SparkSession) -> None:
+    try:
+        spark.addArtifacts(_package_zip(), pyfile=True)
+    except Exception:
+        pass

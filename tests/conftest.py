@@ -22,6 +22,8 @@ def spark():
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    from listingkit.session import ship_package
+    ship_package(s)                       # executors import the package from any cwd
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lk-test-ckpt-"))
     yield s
