@@ -145,8 +145,13 @@ class Node:
         return out
 
     def find(self, tag: str, cls: str | None = None, **attrs) -> Node | None:
-        found = self.find_all(tag, cls, **attrs)
-        return found[0] if found else None
+        """First match in document order (stops at the first hit)."""
+        for n in self.doc[self.idx + 1:self.end]:
+            if n.tag == tag and (cls is None or cls in n.classes) and all(
+                    (k in n.attrs) if v is True else n.attrs.get(k) == v
+                    for k, v in attrs.items()):
+                return n
+        return None
 
     def child_tags(self, tag: str) -> list[Node]:
         return [n for n in self.children if isinstance(n, Node) and n.tag == tag]
