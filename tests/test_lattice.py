@@ -9,7 +9,7 @@ from listingkit.functions import geo
 from listingkit.operators import lattice as L
 
 # Ten consecutive lattice points of an 800 m grid (degrees, 5 decimals).
-GRID_SAMPLE = [(-25.34371, -57.66687), (-25.3365, -57.66665), (-25.3293, -57.66643),
+GRID_POINTS = [(-25.34371, -57.66687), (-25.3365, -57.66665), (-25.3293, -57.66643),
                (-25.32209, -57.66622), (-25.31488, -57.666), (-25.30768, -57.66578),
                (-25.30047, -57.66556), (-25.29326, -57.66535), (-25.28606, -57.66513),
                (-25.27885, -57.66491)]
@@ -114,7 +114,7 @@ def test_scanline_equals_brute_force(spark, seed):
 
 
 def test_projection_grid_spacing_and_round_trip(spark):
-    df = spark.createDataFrame(GRID_SAMPLE, "latitude double, longitude double")
+    df = spark.createDataFrame(GRID_POINTS, "latitude double, longitude double")
     x, y = geo.project_forward("longitude", "latitude")
     df = df.select("latitude", "longitude", x.alias("x"), y.alias("y"))
     lon, lat = geo.project_inverse("x", "y")

@@ -50,7 +50,7 @@ def test_name_map_last_entry_wins(spark):
 
 def test_column_choice():
     assert A.guess_name_column(["id", "geometry", "NAME_1"]) == "NAME_1"
-    assert A.guess_name_column(["id", "Departamento"]) == "Departamento"
+    assert A.guess_name_column(["id", "Dep_Nombre"]) == "Dep_Nombre"
     assert A.guess_name_column(["a", "b"]) == "a"
     assert A.guess_name_column(["a", "b"], "b") == "b"
     assert A.label_column(["ADM1_ES", "Cleaned_Name"]) == "Cleaned_Name"
