@@ -380,6 +380,9 @@ def parse_result_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "job_idx", "html").mapInPandas(_parse_batches, CARD_FIELDS)
 
 
+OUT_BATCH_ROWS = 2048
+
+
 def _kept_batches(carry: list[str], schema: T.StructType, layout: str = "loc1"):
     """Arrow batches of (page_id, html, keep) -> Arrow batches of card rows."""
     import pyarrow as pa
@@ -401,7 +404,11 @@ def _kept_batches(carry: list[str], schema: T.StructType, layout: str = "loc1"):
                     row.update({c: k[c] for c in carry})
                     row.setdefault("has_rating", False)
                     out.append(row)
-            yield pa.RecordBatch.from_pylist(out, schema=arrow_schema)
+                if len(out) >= OUT_BATCH_ROWS:     # bound worker memory on huge pages
+                    yield pa.RecordBatch.from_pylist(out, schema=arrow_schema)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=arrow_schema)
     return run
 
 
