@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from listingkit.llm.chat import OP3_SQL, op3_chat_format
+from listingkit.llm.quality import OP10_SQL, op10_quality_ledger
 
 QUERIES = {
     "op3_chat_format": op3_chat_format,
+    "op10_quality_ledger": op10_quality_ledger,
 }
 
 ORACLE_SQL = {
     "op3_chat_format": OP3_SQL,
+    "op10_quality_ledger": OP10_SQL,
 }
