@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from listingkit.llm.chat import OP3_SQL, op3_chat_format
+from listingkit.llm.mixing import op2_mix_sources
 from listingkit.llm.packing import op4_best_fit_packing
 from listingkit.llm.quality import OP10_SQL, op10_quality_ledger
 
 QUERIES = {
+    "op2_mix_sources": op2_mix_sources,
     "op3_chat_format": op3_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op10_quality_ledger": op10_quality_ledger,
