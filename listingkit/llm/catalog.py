@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from listingkit.llm.chat import OP3_SQL, op3_chat_format
+from listingkit.llm.jaccard import op8_jaccard_join
 from listingkit.llm.mixing import op2_mix_sources
 from listingkit.llm.packing import op4_best_fit_packing
 from listingkit.llm.quality import OP10_SQL, op10_quality_ledger
@@ -11,6 +12,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_chat_format": op3_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_quality_ledger": op10_quality_ledger,
 }
 

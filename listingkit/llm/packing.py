@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingkit.llm.common import table
+from listingkit.llm.textarrays import slices
 
 MAX_TOKENS, END_ID, OPEN_BINS = 4096, 1, 2048
 #: Words whose ids a Python worker remembers, in each of two generations.
@@ -116,16 +117,6 @@ def encode(texts: pa.Array, path: str) -> list[bytes]:
     return _TABLES[path].encode(texts)
 
 
-def slices(batch: pa.RecordBatch, column: int, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
-    """Cuts a batch so that each part holds about ``size`` bytes of that column."""
-    width = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(width.astype(np.int64)) // size
-    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(edges, edges[1:]):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def _vocabulary(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
