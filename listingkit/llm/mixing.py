@@ -29,7 +29,7 @@ SHARD_SLOTS = 4096
 #: Draws fall into this many equal cells; a cell knows the sources inside it.
 CELLS = 4096
 #: Rows of a running sum are dealt over this many chunks per key.
-CHUNKS = 16384
+CHUNKS = 2048
 ROUNDS = 20
 
 
