@@ -8,8 +8,10 @@ from listingkit.llm.mixing import op2_mix_sources
 from listingkit.llm.packing import op4_best_fit_packing
 from listingkit.llm.quality import OP10_SQL, op10_quality_ledger
 from listingkit.llm.sentences import op9_sentence_dedup
+from listingkit.llm.toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_mix_sources": op2_mix_sources,
     "op3_chat_format": op3_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
