@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from listingkit.llm.chat import OP3_SQL, op3_chat_format
 from listingkit.llm.jaccard import op8_jaccard_join
 from listingkit.llm.mixing import op2_mix_sources
@@ -18,6 +19,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_sentence_dedup": op9_sentence_dedup,
     "op10_quality_ledger": op10_quality_ledger,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {

@@ -9,12 +9,14 @@ similarity of at least 0.75, exactly, and returns connected components.
   hash); two linked classes share one of the first n - ceil(0.75 n) + 1
   shingles of each.  Classes that share such a shingle lie under one node,
   named after the smallest of them.
-* Every class is compared with the head of the node it shares most with.  Nodes
-  whose members these links already connect hold nothing new and are dropped.
+* Every class is compared with the head of the node it shares most with, if the
+  shared shingles allow a link.  Nodes whose members these links already
+  connect hold nothing new and are dropped.
 * In the others a tree of OR-combined bitmaps and size ranges is built over the
   members, and a dual traversal descends only into node pairs whose greatest
-  possible overlap reaches the threshold.  Large nodes are first split into
-  blocks of neighbouring sizes and block pairs are traversed apart.
+  possible overlap reaches the threshold: first over short bitmaps alone, which
+  leaves few members, then over these members' sets.  Large nodes are split
+  into blocks of neighbouring sizes and block pairs are traversed apart.
 
 A link inside a component that is already connected adds nothing, so the
 traversal skips such pairs; no link between components is lost.
@@ -53,7 +55,19 @@ def _ref(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-def prefix_length(n: int) -> int:
+def _width(n: int) -> int:
+    """Bits of the bitmap of n shingles."""
+    return max(256, 1 << (2 * n - 1).bit_length())
+
+
+def bitmap(s: np.ndarray, width: int) -> np.ndarray:
+    bits = np.zeros(width // 8, np.uint8)
+    cell = s % np.uint64(width)
+    np.bitwise_or.at(bits, (cell >> np.uint64(3)).astype(np.int64), np.uint8(1) << (cell & np.uint64(7)).astype(np.uint8))
+    return bits.view(np.uint64)
+
+
+def prefix_length(n):
     return n - (PART * n + WHOLE - 1) // WHOLE + 1
 
 
@@ -84,18 +98,6 @@ def _stripes(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
                                      names=["stripe", "raw"])
 
 
-def shingle_counts(texts: DataFrame) -> np.ndarray:
-    """Documents per cell of the shingle hash space, over all documents."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(COUNT_CELLS, "<f4")
-        for b in batches:
-            for part in slices(b, 0, SLICE):
-                got = np.concatenate([s % np.uint64(COUNT_CELLS) for s in shingle_sets(part.column(0), WIDTH)])
-                cells += np.bincount(got.astype(np.int64), minlength=COUNT_CELLS).astype("<f4")
-        yield from _stripes(cells)
-    return _add_stripes(texts.mapInArrow(count, "stripe int, raw binary"), COUNT_CELLS, "<f4", np.add)
-
-
 def _prefixes(texts: DataFrame, counts) -> DataFrame:
     """(shingle, ref) of the first shingles of every class, rarest first."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,28 +158,31 @@ def _wanted(refs: DataFrame) -> np.ndarray:
     return _add_stripes(refs.mapInArrow(mark, "stripe int, raw binary"), WANTED_CELLS // 8, "|u1", np.bitwise_or)
 
 
-def _sets(texts: DataFrame, refs: DataFrame) -> DataFrame:
-    """(ref, class, raw) of the classes whose ref is wanted."""
-    spark = texts.sparkSession
-    wanted = spark.sparkContext.broadcast(_wanted(refs))
+def _sets(whole: DataFrame, classes: DataFrame) -> DataFrame:
+    """(ref, class, raw): the sets of the given classes, from the texts of the
+    rows that stand for them; other texts are passed over unread."""
+    spark = whole.sparkSession
+    keys = classes.select(F.col("rep.row_key").alias("row_key"))
+    wanted = spark.sparkContext.broadcast(_wanted(keys))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
         for b in batches:
+            cell = b.column(0).to_numpy().view(np.uint64) % np.uint64(WANTED_CELLS)
+            hit = bits[(cell >> np.uint64(3)).astype(np.int64)] >> (cell & np.uint64(7)).astype(np.uint8) & 1
+            b = b.filter(pa.array(hit.astype(bool)))
             seen: set[bytes] = set()
-            for part in slices(b, 0, SLICE):
+            for part in slices(b, 1, SLICE):
                 rows = []
-                for s in shingle_sets(part.column(0), WIDTH):
-                    if not len(s) or (key := _class_of(s)) in seen:
-                        continue
-                    seen.add(key)
-                    cell = (_ref(key) & (2 ** 64 - 1)) % WANTED_CELLS
-                    if bits[cell >> 3] >> (cell & 7) & 1:
+                for s in shingle_sets(part.column(1), WIDTH):
+                    if len(s) and (key := _class_of(s)) not in seen:
+                        seen.add(key)
                         rows.append((_ref(key), key, s.tobytes()))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                         zip(*rows), (pa.int64(), pa.binary(), pa.binary()))], names=["ref", "class", "raw"])
-    return texts.mapInArrow(emit, "ref long, class binary, raw binary").join(refs, "ref", "left_semi")
+    found = whole.select("row_key", "text").mapInArrow(emit, "ref long, class binary, raw binary")
+    return found.join(classes.select("class"), "class", "left_semi")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -216,17 +221,11 @@ def _with_heads(best: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 class SignatureTree:
-    """Bitmaps and size ranges over sets; each level joins ``FAN`` neighbours."""
+    """Bitmaps and size ranges over members; each level joins ``FAN`` neighbours."""
 
     FAN = 8
 
-    def __init__(self, sets: list[np.ndarray]):
-        size = np.array([len(s) for s in sets], np.int64)
-        width = 1 << int(max(256, 16 * np.median(size)) - 1).bit_length()
-        bits = np.zeros((len(sets), width // 64), np.uint64)
-        for i, s in enumerate(sets):
-            cell = s % np.uint64(width)
-            np.bitwise_or.at(bits[i], (cell >> np.uint64(6)).astype(np.int64), np.uint64(1) << (cell & np.uint64(63)))
+    def __init__(self, bits: np.ndarray, size: np.ndarray):
         hidden = size - np.bitwise_count(bits).sum(1, dtype=np.int64)   # shingles that share a bit
         self.levels = [(bits, size, size, hidden)]
         while len(self.levels[-1][0]) > self.FAN:
@@ -236,7 +235,7 @@ class SignatureTree:
                                 np.maximum.reduceat(high, cuts), np.maximum.reduceat(hid, cuts)))
 
     def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (i <= j) of sets that may be linked, by dual traversal; a batch
+        """Pairs (i <= j) of members that may be linked, by dual traversal; a batch
         of node pairs is expanded depth first, so memory stays bounded."""
         top = len(self.levels[-1][0])
         i, j = np.triu_indices(top)
@@ -271,26 +270,51 @@ class SignatureTree:
 def join_members(keys: list[bytes], groups: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
     """Links that connect the groups (components so far) of the members."""
     order = sorted(range(len(sets)), key=lambda i: (groups[i], len(sets[i])))
-    sets = [sets[i] for i in order]
-    parent: dict[bytes, bytes] = {g: g for g in groups}
-
-    def root(g: bytes) -> bytes:
-        while parent[g] != g:
-            parent[g] = g = parent[parent[g]]
-        return g
-
+    sets, keys = [sets[i] for i in order], [keys[i] for i in order]
+    at = np.unique([groups[i] for i in order], return_inverse=True)[1]
+    size = np.array([len(s) for s in sets], np.int64)
+    width = 8 * _width(int(np.median(size)))
     out = []
-    for i, j in SignatureTree(sets).candidates():
-        for a, b in zip(i.tolist(), j.tolist()):
-            ra, rb = root(groups[order[a]]), root(groups[order[b]])
-            if ra != rb and linked(sets[a], sets[b]):
-                parent[ra] = rb
-                out.append((keys[order[a]], keys[order[b]]))
+    for i, j in SignatureTree(np.stack([bitmap(s, width) for s in sets]), size).candidates():
+        while len(i):
+            apart = at[i] != at[j]
+            i, j = i[apart], j[apart]
+            for k, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
+                if linked(sets[a], sets[b]):
+                    out.append((keys[a], keys[b]))
+                    at[at == at[b]] = at[a]
+                    i, j = i[k + 1:], j[k + 1:]
+                    break
+            else:
+                break
     return out
 
 
+def possible_members(groups: list[bytes], sizes: list[int], raw: list[bytes]) -> np.ndarray:
+    """Which members their bitmaps allow a link to a member of another group.
+
+    A bitmap folds to half its width by OR of its halves; sets of comparable
+    size have equal or neighbouring widths, so each width is traversed together
+    with the next, folded."""
+    at = np.unique(groups, return_inverse=True)[1]
+    size, width = np.array(sizes, np.int64), np.array([8 * len(r) for r in raw])
+    hit = np.zeros(len(raw), bool)
+    for w in np.unique(width).tolist():
+        own = np.flatnonzero((width == w) | (width == 2 * w))
+        own = own[np.lexsort((size[own], at[own]))]
+        bits = np.zeros((len(own), w // 64), np.uint64)
+        for k, i in enumerate(own.tolist()):
+            full = np.frombuffer(raw[i], np.uint64)
+            bits[k] = full if len(full) == w // 64 else full[:w // 64] | full[w // 64:]
+        for i, j in SignatureTree(bits, size[own]).candidates():
+            i, j = own[i], own[j]
+            apart = at[i] != at[j]
+            hit[i[apart]] = hit[j[apart]] = True
+    return hit
+
+
 def _blocks(open_nodes: DataFrame) -> DataFrame:
-    """(head, one, two, ref): members dealt to the block pairs of their node.
+    """Members (head, ref, n, ..) dealt to the block pairs (one, two) of their node.
 
     Blocks follow size and hold at most BLOCK_SHINGLES; a node pair whose size
     ranges cannot reach the similarity is not made."""
@@ -301,32 +325,45 @@ def _blocks(open_nodes: DataFrame) -> DataFrame:
     pairs = (span.withColumnRenamed("block", "one").join(two, "head").where("one <= two")
              .where(F.col("high") * WHOLE >= F.col("low2") * PART).select("head", "one", "two"))
     ends = pairs.select("head", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
-    return rows.join(ends, ["head", "block"]).select("head", "one", "two", "ref", "group")
+    return rows.join(ends, ["head", "block"]).drop("block")
 
 
-def _inside(open_nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links found by the trees of the nodes that still hold several components."""
-    def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, keys, groups, members = None, [], [], []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            if len(keys) > 1 and (out := join_members(keys, groups, members)):
-                yield _edges(out)
-
+def _by_node(rows: DataFrame, columns: list[str], per_node, schema: str, order: str) -> DataFrame:
+    """Calls ``per_node`` with head and the lists of the columns of one block pair."""
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
         for b in batches:
-            for head, one, two, group, key, raw in zip(*(c.to_pylist() for c in b.columns)):
-                if (head, one, two) != at:
-                    yield from done()
-                    at, keys, groups, members = (head, one, two), [], [], []
-                if not keys or keys[-1] != key:
-                    keys.append(key)
-                    groups.append(group)
-                    members.append(np.frombuffer(raw, np.uint64))
-        yield from done()
-
-    rows = _blocks(open_nodes).join(sets, "ref").select("head", "one", "two", "group", "class", "raw")
-    return (rows.repartition("head", "one", "two").sortWithinPartitions("head", "one", "two", "class")
-            .mapInArrow(traverse, "a binary, b binary"))
+            for *node, row in zip(*(c.to_pylist() for c in b.columns[:3]), zip(*(c.to_pylist() for c in b.columns[3:]))):
+                if node != at:
+                    if len(held) > 1:
+                        yield from per_node(at[0], [list(c) for c in zip(*held)])
+                    at, held = node, []
+                held.append(row)
+        if len(held) > 1:
+            yield from per_node(at[0], [list(c) for c in zip(*held)])
+    node = ["head", "one", "two"]
+    return (_blocks(rows).select(*node, *columns).repartition(*node).sortWithinPartitions(*node, order)
+            .mapInArrow(stream, schema))
+
+
+def _possible(open_nodes: DataFrame) -> DataFrame:
+    """(head, ref) of the members that may have a link to another component."""
+    def traverse(head, columns) -> Iterator[pa.RecordBatch]:
+        refs, groups, sizes, raw = columns
+        hit = np.flatnonzero(possible_members(groups, sizes, raw)).tolist()
+        if hit:
+            yield pa.RecordBatch.from_arrays([pa.array([head] * len(hit), pa.int64()),
+                                              pa.array([refs[i] for i in hit], pa.int64())], names=["head", "ref"])
+    return _by_node(open_nodes, ["ref", "group", "n", "bits"], traverse, "head long, ref long", "ref").distinct()
+
+
+def _inside(open_nodes: DataFrame) -> DataFrame:
+    """Links found by the trees over the sets of these members."""
+    def traverse(head, columns) -> Iterator[pa.RecordBatch]:
+        keys, groups, raw = columns
+        if out := join_members(keys, groups, [np.frombuffer(r, np.uint64) for r in raw]):
+            yield _edges(out)
+    return _by_node(open_nodes, ["class", "group", "raw"], traverse, "a binary, b binary", "class").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -337,43 +374,71 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     own.  component_id is the smallest non-null doc_id of the component.  Equal
     rows belong together (each of them is ``first`` if one is)."""
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    texts = whole.select("text")
+    whole = whole.withColumn("row_key", F.xxhash64("doc_id", "text"))
     spark = docs.sparkSession
-    kind = whole.schema["doc_id"].dataType.simpleString()
+    id_type = whole.schema["doc_id"].dataType
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per document, and the counts of the shingles of all of them."""
+        cells = np.zeros(COUNT_CELLS, "<f4")
+        names = ["doc_id", "row_key", "n", "class", "ref", "bits", "stripe", "raw"]
+        kind = None
         for b in batches:
+            kind = b.schema.field(0).type
             for part in slices(b, 1, SLICE):
                 sets = shingle_sets(part.column(1), WIDTH)
+                got = np.concatenate([s % np.uint64(COUNT_CELLS) for s in sets]).astype(np.int64)
+                cells += np.bincount(got, minlength=COUNT_CELLS).astype("<f4")
+                keys = [_class_of(s) if len(s) else None for s in sets]
+                none = pa.nulls(len(sets))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([_class_of(s) if len(s) else None for s in sets], pa.binary()),
-                     pa.array([_ref(_class_of(s)) if len(s) else None for s in sets], pa.int64())],
-                    names=["doc_id", "row_key", "n", "class", "ref"])
-
-    rows = cut(whole.withColumn("row_key", F.xxhash64("doc_id", "text")).mapInArrow(
-        describe, f"doc_id {kind}, row_key long, n long, class binary, ref long"))
-    counts = spark.sparkContext.broadcast(shingle_counts(texts))
-    members = cut(_members(_prefixes(texts, counts)))
+                     pa.array(keys, pa.binary()), pa.array([k and _ref(k) for k in keys], pa.int64()),
+                     pa.array([bitmap(s, _width(len(s))).tobytes() if len(s) else None for s in sets], pa.binary()),
+                     none.cast(pa.int32()), none.cast(pa.binary())], names=names)
+        if kind is not None:
+            for stripe in _stripes(cells):
+                none = pa.nulls(stripe.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()),
+                     none.cast(pa.int64()), none.cast(pa.binary()), *stripe.columns], names=names)
+
+    every = cut(whole.mapInArrow(describe, f"doc_id {id_type.simpleString()}, row_key long, n long, class binary, "
+                                           "ref long, bits binary, stripe int, raw binary"))
+    rows = every.where("stripe is null").drop("stripe", "raw")
+    counts = spark.sparkContext.broadcast(_add_stripes(
+        every.where("stripe is not null").select("stripe", "raw"), COUNT_CELLS, "<f4", np.add))
+    members = cut(_members(_prefixes(whole.select("text"), counts)))
     counts.unpersist()
 
     one = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("row_key").alias("row_key"))
-    classes = cut(rows.where("n > 0").groupBy("class").agg(F.min(one).alias("rep"), F.min("n").alias("n"),
-                                                           F.min("ref").alias("ref")))
-    best = (members.groupBy("ref").agg(F.max(F.struct("shared", "head")).alias("b"))
-            .select(F.col("b.head").alias("head"), "ref"))
-    best = cut(best)
+    classes = cut(rows.where("n > 0").groupBy("class").agg(
+        F.min(one).alias("rep"), F.min("n").alias("n"), F.min("ref").alias("ref"), F.min("bits").alias("bits")))
+
+    # links to the head of the best node, where the shared first shingles allow one
+    sizes = classes.select("ref", "n")
+    near = (members.join(sizes, "ref").join(sizes.select(F.col("ref").alias("head"), F.col("n").alias("m")), "head"))
+    rest = lambda n: F.ceil(F.col(n) * PART / WHOLE) - 1  # noqa: E731  what lies behind the first shingles
+    most = F.col("shared") + F.greatest(rest("n"), rest("m"))
+    near = near.where((WHOLE + PART) * most >= PART * (F.col("n") + F.col("m")))
+    best = cut(near.groupBy("ref").agg(F.max(F.struct("shared", "head")).alias("b"))
+               .select(F.col("b.head").alias("head"), "ref"))
     wanted = best.select("ref").union(best.select(F.col("head").alias("ref"))).distinct()
-    edges = cut(_with_heads(best, _sets(texts, wanted)).distinct())
+    edges = cut(_with_heads(best, _sets(whole, cut(classes.join(wanted, "ref", "left_semi")))).distinct())
     groups = components(edges)
 
+    # trees over the nodes that still hold several components
     part = classes.join(groups, classes["class"] == groups["node"], "left").select(
-        "class", "ref", "n", F.coalesce("root", "class").alias("group"))
+        "class", "rep", "ref", "n", "bits", F.coalesce("root", "class").alias("group"))
+    part = cut(part)
     nodes = members.select("head", "ref").unionByName(members.select("head", F.col("head").alias("ref")).distinct())
-    nodes = cut(nodes.join(part, "ref").select("head", "ref", "n", "group"))
+    nodes = cut(nodes.join(part.select("ref", "n", "group"), "ref"))
     mixed = nodes.groupBy("head").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi")
-    still = cut(nodes.join(mixed.select("head"), "head", "left_semi"))
-    more = cut(_inside(still, _sets(texts, still.select("ref").distinct())).distinct())
+    still = nodes.join(mixed.select("head"), "head", "left_semi").select("head", "ref")
+    still = cut(_possible(still.join(part.select("ref", "n", "group", "bits"), "ref")))
+    left = cut(part.join(still.select("ref").distinct(), "ref", "left_semi"))
+    full = still.join(left.select("ref", "class", "n", "group"), "ref").join(_sets(whole, left).drop("ref"), "class")
+    more = cut(_inside(full))
     groups = components(edges.unionByName(more))
 
     part = classes.join(groups, classes["class"] == groups["node"], "left").select(

@@ -93,7 +93,8 @@ def size_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def spread_documents(sizes: DataFrame, shares: DataFrame) -> DataFrame:
     """Adds sid, targets and ``at``: the document's first word in its source's
     stream.  Equal rows take places of their own."""
-    known = sizes.join(shares, sizes["source"].eqNullSafe(shares["source"])).drop(shares["source"])
+    known = sizes.join(shares, sizes["source"].eqNullSafe(shares["source"])).select(
+        sizes["*"], "sid", "source_size", "target")
     known = known.withColumn("chunk", F.pmod(F.col("row_key"), F.lit(CHUNKS)))
     return _running(known, ["sid"], "chunk", ["doc_id", "row_key", "size"], "size", "at").drop("chunk")
 
@@ -173,8 +174,9 @@ def mix(placed: DataFrame, shares: DataFrame, block: int = BLOCK_WORDS, seed: st
             .where("length > 0"))
 
 
-def mix_documents(docs: DataFrame, **columns) -> DataFrame:
-    """Per document: doc_id, size, source_size, target (its source's), taken.
+def taken_words(docs: DataFrame, **columns) -> DataFrame:
+    """Per document: doc_id, row_key, source, size, source_size, target (its
+    source's), taken (words the mix takes, repeats counted).
 
     A null text has no words.  Null sources are one source.  Repeated rows and
     null ids are documents of their own.  An empty table gives no rows; where
@@ -186,7 +188,8 @@ def mix_documents(docs: DataFrame, **columns) -> DataFrame:
     full = placed.where("size > 0").join(taken, ["sid", "at"], "left")
     none = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return full.unionByName(none).select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "row_key", "source", "size", "source_size", "target",
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def mixed_texts(docs: DataFrame, **columns) -> DataFrame:
@@ -206,4 +209,5 @@ def mixed_texts(docs: DataFrame, **columns) -> DataFrame:
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
-    return mix_documents(table(spark, sf_dir, "documents"))
+    taken = taken_words(table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")

@@ -219,7 +219,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> L
 
 def _apply(docs: DataFrame, lexicon: Lexicon, keep: Iterable[str]) -> DataFrame:
     keep = list(keep)
-    rows = docs.select(F.col("text").cast("string").alias("text"), *keep)
+    rows = docs.select(F.col("text").cast("string").alias("_text"), *keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
