@@ -6,6 +6,7 @@ import corpus_pipeline
 from listingkit.llm.chat import OP3_SQL, op3_chat_format
 from listingkit.llm.jaccard import op8_jaccard_join
 from listingkit.llm.mixing import op2_mix_sources
+from listingkit.llm.neighbours import op5_nearest_neighbours
 from listingkit.llm.packing import op4_best_fit_packing
 from listingkit.llm.quality import OP10_SQL, op10_quality_ledger
 from listingkit.llm.sentences import op9_sentence_dedup
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_chat_format": op3_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_sentence_dedup": op9_sentence_dedup,
     "op10_quality_ledger": op10_quality_ledger,
