@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from listingkit.llm.chat import OP3_SQL, op3_chat_format
 from listingkit.llm.jaccard import op8_jaccard_join
+from listingkit.llm.language import op6_language_id
 from listingkit.llm.mixing import op2_mix_sources
 from listingkit.llm.neighbours import op5_nearest_neighbours
 from listingkit.llm.packing import op4_best_fit_packing
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_nearest_neighbours": op5_nearest_neighbours,
+    "op6_language_id": op6_language_id,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_sentence_dedup": op9_sentence_dedup,
     "op10_quality_ledger": op10_quality_ledger,
