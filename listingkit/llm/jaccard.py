@@ -44,6 +44,8 @@ PART, WHOLE = 75, 100
 COUNT_CELLS, WANTED_CELLS, STRIPES = 1 << 20, 1 << 25, 64
 #: Shingles a block may hold in one task.
 BLOCK_SHINGLES = 4_000_000
+#: Members of a node that are compared with its head in one part.
+PART_MEMBERS = 512
 SLICE = 8 << 20
 
 
@@ -158,31 +160,25 @@ def _wanted(refs: DataFrame) -> np.ndarray:
     return _add_stripes(refs.mapInArrow(mark, "stripe int, raw binary"), WANTED_CELLS // 8, "|u1", np.bitwise_or)
 
 
-def _sets(whole: DataFrame, classes: DataFrame) -> DataFrame:
-    """(ref, class, raw): the sets of the given classes, from the texts of the
-    rows that stand for them; other texts are passed over unread."""
-    spark = whole.sparkSession
-    keys = classes.select(F.col("rep.row_key").alias("row_key"))
-    wanted = spark.sparkContext.broadcast(_wanted(keys))
+def _with_texts(rows: DataFrame, whole: DataFrame) -> DataFrame:
+    """Adds ``text`` to rows with the row_key that stands for their class.
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Texts travel, not sets, which are larger; a task that needs a set makes it.
+    Texts that are not wanted are passed over before the join."""
+    wanted = whole.sparkSession.sparkContext.broadcast(_wanted(rows.select("row_key").distinct()))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
         for b in batches:
             cell = b.column(0).to_numpy().view(np.uint64) % np.uint64(WANTED_CELLS)
             hit = bits[(cell >> np.uint64(3)).astype(np.int64)] >> (cell & np.uint64(7)).astype(np.uint8) & 1
-            b = b.filter(pa.array(hit.astype(bool)))
-            seen: set[bytes] = set()
-            for part in slices(b, 1, SLICE):
-                rows = []
-                for s in shingle_sets(part.column(1), WIDTH):
-                    if len(s) and (key := _class_of(s)) not in seen:
-                        seen.add(key)
-                        rows.append((_ref(key), key, s.tobytes()))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                        zip(*rows), (pa.int64(), pa.binary(), pa.binary()))], names=["ref", "class", "raw"])
-    found = whole.select("row_key", "text").mapInArrow(emit, "ref long, class binary, raw binary")
-    return found.join(classes.select("class"), "class", "left_semi")
+            yield b.filter(pa.array(hit.astype(bool)))
+    return rows.join(whole.select("row_key", "text").mapInArrow(keep, "row_key long, text string"), "row_key")
+
+
+def _own_sets(keys: list[bytes], texts: pa.Array) -> list[np.ndarray | None]:
+    """The set of each class from its text; None if the text is another's."""
+    return [s if _class_of(s) == k else None for k, s in zip(keys, shingle_sets(texts, WIDTH))]
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -198,25 +194,32 @@ def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
-def _with_heads(best: DataFrame, sets: DataFrame) -> DataFrame:
+def _with_heads(best: DataFrame, classes: DataFrame, whole: DataFrame) -> DataFrame:
     """Links between each class and the head of its best node, streamed: the
-    head's set comes first and is the only one kept."""
+    head comes first and its set is the only one kept.  Members of a large node
+    are dealt over several parts, each with the head."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, heads = None, {}
         for b in batches:
-            out = []
-            for head, own, key, raw in zip(*(c.to_pylist() for c in b.columns)):
-                if head != at:
-                    at, heads = head, {}
-                s = np.frombuffer(raw, np.uint64)
-                if own:
-                    heads.setdefault(key, s)
-                out.extend((k, key) for k, h in heads.items() if k != key and linked(h, s))
-            if out:
-                yield _edges(out)
-    rows = best.unionByName(best.select("head", F.col("head").alias("ref")).distinct())
-    rows = rows.join(sets, "ref").select("head", (F.col("head") == F.col("ref")).alias("own"), "class", "raw")
-    return (rows.repartition("head").sortWithinPartitions("head", F.col("own").desc(), "class")
+            for part in slices(b, 4, SLICE):
+                out = []
+                head, salt, own, key = (c.to_pylist() for c in part.columns[:4])
+                for i, s in enumerate(_own_sets(key, part.column(4))):
+                    if (head[i], salt[i]) != at:
+                        at, heads = (head[i], salt[i]), {}
+                    if s is None:
+                        continue
+                    if own[i]:
+                        heads.setdefault(key[i], s)
+                    out.extend((k, key[i]) for k, h in heads.items() if k != key[i] and linked(h, s))
+                if out:
+                    yield _edges(out)
+    parts = best.groupBy("head").agg(F.ceil(F.count("*") / PART_MEMBERS).alias("parts"))
+    rows = best.join(parts, "head").withColumn("salt", F.pmod(F.xxhash64("ref"), F.col("parts"))).drop("parts")
+    rows = rows.unionByName(rows.select("head", F.col("head").alias("ref"), "salt").distinct())
+    rows = rows.join(classes.select("ref", "class", F.col("rep.row_key").alias("row_key")), "ref")
+    rows = _with_texts(rows, whole).select("head", "salt", (F.col("head") == F.col("ref")).alias("own"), "class", "text")
+    return (rows.repartition("head", "salt").sortWithinPartitions("head", "salt", F.col("own").desc(), "class")
             .mapInArrow(compare, "a binary, b binary"))
 
 
@@ -360,10 +363,11 @@ def _possible(open_nodes: DataFrame) -> DataFrame:
 def _inside(open_nodes: DataFrame) -> DataFrame:
     """Links found by the trees over the sets of these members."""
     def traverse(head, columns) -> Iterator[pa.RecordBatch]:
-        keys, groups, raw = columns
-        if out := join_members(keys, groups, [np.frombuffer(r, np.uint64) for r in raw]):
+        rows = [(k, g, s) for k, g, s in zip(columns[0], columns[1], _own_sets(columns[0], pa.array(columns[2])))
+                if s is not None]
+        if out := join_members(*(list(c) for c in zip(*rows))) if rows else None:
             yield _edges(out)
-    return _by_node(open_nodes, ["class", "group", "raw"], traverse, "a binary, b binary", "class").distinct()
+    return _by_node(open_nodes, ["class", "group", "text"], traverse, "a binary, b binary", "class").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -423,8 +427,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     near = near.where((WHOLE + PART) * most >= PART * (F.col("n") + F.col("m")))
     best = cut(near.groupBy("ref").agg(F.max(F.struct("shared", "head")).alias("b"))
                .select(F.col("b.head").alias("head"), "ref"))
-    wanted = best.select("ref").union(best.select(F.col("head").alias("ref"))).distinct()
-    edges = cut(_with_heads(best, _sets(whole, cut(classes.join(wanted, "ref", "left_semi")))).distinct())
+    edges = cut(_with_heads(best, classes, whole).distinct())
     groups = components(edges)
 
     # trees over the nodes that still hold several components
@@ -436,9 +439,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     mixed = nodes.groupBy("head").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi")
     still = nodes.join(mixed.select("head"), "head", "left_semi").select("head", "ref")
     still = cut(_possible(still.join(part.select("ref", "n", "group", "bits"), "ref")))
-    left = cut(part.join(still.select("ref").distinct(), "ref", "left_semi"))
-    full = still.join(left.select("ref", "class", "n", "group"), "ref").join(_sets(whole, left).drop("ref"), "class")
-    more = cut(_inside(full))
+    still = still.join(part.select("ref", "class", "n", "group", F.col("rep.row_key").alias("row_key")), "ref")
+    more = cut(_inside(_with_texts(cut(still), whole)))
     groups = components(edges.unionByName(more))
 
     part = classes.join(groups, classes["class"] == groups["node"], "left").select(
