@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from listingkit.llm.chat import OP3_SQL, op3_chat_format
+from listingkit.llm.hmm import op7_hmm_score
 from listingkit.llm.jaccard import op8_jaccard_join
 from listingkit.llm.language import op6_language_id
 from listingkit.llm.mixing import op2_mix_sources
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_language_id": op6_language_id,
+    "op7_hmm_score": op7_hmm_score,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_sentence_dedup": op9_sentence_dedup,
     "op10_quality_ledger": op10_quality_ledger,
