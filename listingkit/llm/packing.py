@@ -193,9 +193,10 @@ def pack(pieces: DataFrame, length: str = "length", max_tokens: int = MAX_TOKENS
          open_bins: int = OPEN_BINS) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` (gapless from 0) to rows with a length.
 
-    ``length`` must be 1..max_tokens.  Rows are dealt by a hash of all their
+    Columns of these two names are replaced.  ``length`` must be 1..max_tokens.  Rows are dealt by a hash of all their
     columns and packed by descending length, ties by that hash.  An empty
     table stays empty."""
+    pieces = pieces.drop("sequence_id", "offset")
     names, schema = pieces.columns, pieces.schema
     at = names.index(length)
     order = F.xxhash64(*names)
