@@ -8,7 +8,7 @@ function of the length, and a logistic curve turns them into a score.
 
 The lexicon is learned: terms are counted in labelled documents, weighted by
 their log odds, and kept where the odds are sure.  Labelled rows are a bounded
-sample (``sample`` documents of either label, by hash of the text), the terms
+sample (``sample`` documents of either label, by hash of the id), the terms
 are a bounded list; scoring reads every whole text.
 """
 
@@ -192,14 +192,11 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> L
     both labels the lexicon is empty."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic")).where(~fold_held_out(F.col("doc_id"), 3, 1))
-    rows = docs.select("doc_id", "text").join(known, "doc_id").where("text is not null")
-    key = F.xxhash64("text")
     chosen = None
     for label in (0, 1):        # top-k of hashes: bounded by ``sample``
-        part = rows.where(F.col("toxic") == label).select(key.alias("key"), "toxic").distinct().orderBy("key").limit(sample)
+        part = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.unionAll(part)
-    chosen = F.broadcast(cut(chosen))
-    texts = rows.withColumn("key", key).join(chosen, ["key", "toxic"]).select("text", "toxic")
+    texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(cut(chosen)), "doc_id").select("text", "toxic")
     texts = cut(texts.mapInArrow(_with_least_shingle, "text string, toxic int, least long")
                 .dropDuplicates(["least", "toxic"]).select("text", "toxic"))
     size = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
