@@ -76,38 +76,23 @@ def project_forward(lon: ColumnOrName, lat: ColumnOrName) -> tuple[Column, Colum
     return x, y
 
 
-def project_inverse(x: ColumnOrName, y: ColumnOrName) -> tuple[Column, Column]:
-    """Metres (EPSG:5880) -> degrees (EPSG:4326) as (lon, lat) columns."""
-    xx = _c(x) - F.lit(X0)
-    yy = _c(y) - F.lit(Y0)
-    a_ = yy / F.lit(A)
-    b_ = (xx * xx) / F.lit(A * A) + a_ * a_
-
-    def step(phi: Column, _i: Column) -> Column:
-        sin_phi = F.sin(phi)
-        c = F.sqrt(1 - F.lit(E2) * sin_phi * sin_phi) * F.tan(phi)
-        mn = _meridian(phi)
-        mp = _meridian_prime(phi)
-        num = a_ * (c * mn + 1) - mn - (mn * mn + b_) * c / 2
-        den = (F.lit(E2) * F.sin(2 * phi) * (mn * mn + b_ - 2 * a_ * mn) / (4 * c)
-               + (a_ - mn) * (c * mp - 2 / F.sin(2 * phi)) - mp)
-        return phi - num / den
-
-    phi = F.aggregate(F.sequence(F.lit(1), F.lit(NEWTON_STEPS)), a_, step)
-    on_equator = yy == 0
-    c_fin = F.sqrt(1 - F.lit(E2) * F.sin(phi) * F.sin(phi)) * F.tan(phi)
-    lam = F.when(on_equator, xx / F.lit(A)).otherwise(
-        F.asin(xx * c_fin / F.lit(A)) / F.sin(phi)) + F.lit(LON0)
-    lat = F.when(on_equator, F.lit(0.0)).otherwise(F.degrees(phi))
-    return F.degrees(lam), lat
+def _newton(phi: Column, a_: Column, b_: Column) -> Column:
+    """One Newton step of the latitude."""
+    sin_phi = F.sin(phi)
+    c = F.sqrt(1 - F.lit(E2) * sin_phi * sin_phi) * F.tan(phi)
+    mn = _meridian(phi)
+    mp = _meridian_prime(phi)
+    num = a_ * (c * mn + 1) - mn - (mn * mn + b_) * c / 2
+    den = (F.lit(E2) * F.sin(2 * phi) * (mn * mn + b_ - 2 * a_ * mn) / (4 * c)
+           + (a_ - mn) * (c * mp - 2 / F.sin(2 * phi)) - mp)
+    return phi - num / den
 
 
 def with_inverse(df: DataFrame, x: str, y: str, lon_out: str = "longitude",
                  lat_out: str = "latitude") -> DataFrame:
-    """``project_inverse`` as a chain of projections: the Newton terms and each
-    step become columns, so the whole computation is code-generated (the
-    ``aggregate`` form evaluates its lambda interpreted).  Same arithmetic,
-    same results.  Helper columns are dropped."""
+    """Metres (EPSG:5880) -> degrees (EPSG:4326), as a chain of projections: the
+    Newton terms and each step become columns, so the whole computation is
+    code-generated and no expression tree blows up.  Helper columns are dropped."""
     xx, yy = F.col(x) - F.lit(X0), F.col(y) - F.lit(Y0)
     out = df.withColumns({"_inv_xx": xx, "_inv_yy": yy})
     out = out.withColumns({"_inv_a": F.col("_inv_yy") / F.lit(A)})
@@ -115,17 +100,8 @@ def with_inverse(df: DataFrame, x: str, y: str, lon_out: str = "longitude",
         "_inv_b": (F.col("_inv_xx") * F.col("_inv_xx")) / F.lit(A * A)
         + F.col("_inv_a") * F.col("_inv_a"),
         "_inv_phi": F.col("_inv_a")})
-    a_, b_ = F.col("_inv_a"), F.col("_inv_b")
     for _ in range(NEWTON_STEPS):
-        phi = F.col("_inv_phi")
-        sin_phi = F.sin(phi)
-        c = F.sqrt(1 - F.lit(E2) * sin_phi * sin_phi) * F.tan(phi)
-        mn = _meridian(phi)
-        mp = _meridian_prime(phi)
-        num = a_ * (c * mn + 1) - mn - (mn * mn + b_) * c / 2
-        den = (F.lit(E2) * F.sin(2 * phi) * (mn * mn + b_ - 2 * a_ * mn) / (4 * c)
-               + (a_ - mn) * (c * mp - 2 / F.sin(2 * phi)) - mp)
-        out = out.withColumn("_inv_phi", phi - num / den)
+        out = out.withColumn("_inv_phi", _newton(F.col("_inv_phi"), F.col("_inv_a"), F.col("_inv_b")))
     phi = F.col("_inv_phi")
     on_equator = F.col("_inv_yy") == 0
     c_fin = F.sqrt(1 - F.lit(E2) * F.sin(phi) * F.sin(phi)) * F.tan(phi)

@@ -1,14 +1,13 @@
-"""Unicode text rules that Spark has no built-in for.
+"""Unicode text rules.
 
-Spark 4.1 ships no Unicode normalisation function, so the two rules run as
-Arrow-batched pandas UDFs (one vectorised hop per batch, no per-row JVM
-round trip).  ``normalize_key_distinct`` applies the key rule to the distinct
-values of a low-cardinality column only and joins the result back.
+Spark 4.1 has no Unicode normalisation function, so only the normal form of
+values that are not plain ASCII is taken in Python (Arrow batches; plain values
+pass as nulls and are never looked at there).  All other steps are Catalyst
+expressions.
 """
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 import pandas as pd
@@ -16,47 +15,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_WS = re.compile(r"\s+")
+_NOT_ASCII = "[^\\x00-\\x7F]"
+#: ASCII characters that count as white space.
+_ASCII_SPACE = "[\\t-\\r\\x1c-\\x1f ]+"
+#: Characters without a glyph: category C, and separators other than the space.
+_UNSEEN = "[\\p{C}\\p{Z}&&[^ ]]"
 
 
-def normalize_key_py(text: str | None) -> str | None:
-    """NFKD -> drop non-ASCII -> lower -> strip -> whitespace runs to one space."""
-    if text is None:
-        return None
-    ascii_text = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()
-    return _WS.sub(" ", ascii_text.lower().strip())
+@F.pandas_udf(T.StringType())
+def _nfkd(s: pd.Series) -> pd.Series:
+    return s.str.normalize("NFKD")
 
 
-def clean_text_py(text: str | None) -> str:
-    """NFKC, nbsp -> space, drop non-printables and category C*, strip; null -> ''."""
-    if not text:
-        return ""
-    text = unicodedata.normalize("NFKC", text).replace("\xa0", " ")
-    if text.isascii() and text.isprintable():
-        return text.strip()
-    kept = "".join(ch for ch in text
-                   if ch.isprintable() and not unicodedata.category(ch).startswith("C"))
-    return kept.strip()
+@F.pandas_udf(T.StringType())
+def _nfkc(s: pd.Series) -> pd.Series:
+    return s.str.normalize("NFKC")
 
 
-@F.pandas_udf(T.StringType())
-def _normalize_key_udf(s: pd.Series) -> pd.Series:
-    return s.map(normalize_key_py, na_action="ignore")
+def _normal(c: Column, form) -> Column:
+    return F.coalesce(form(F.when(c.rlike(_NOT_ASCII), c)), c)
 
 
-@F.pandas_udf(T.StringType())
-def _clean_text_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: clean_text_py(t if isinstance(t, str) else None))
+def compatible(text: str) -> str:
+    """NFKC form, for code that already runs in Python."""
+    return text if text.isascii() else unicodedata.normalize("NFKC", text)
+
+
+def seen_text(c: Column) -> Column:
+    """The visible part of NFKC text: unseen characters dropped, ends trimmed."""
+    return F.trim(F.regexp_replace(c, _UNSEEN, ""))
 
 
 def normalize_key(c: Column | str) -> Column:
     """Accent- and case-folded comparison key of a text column."""
-    return _normalize_key_udf((F.col(c) if isinstance(c, str) else c).cast("string"))
+    c = (F.col(c) if isinstance(c, str) else c).cast("string")
+    plain = F.regexp_replace(_normal(c, _nfkd), _NOT_ASCII, "")
+    return F.trim(F.regexp_replace(F.lower(plain), _ASCII_SPACE, " "))
 
 
 def clean_text(c: Column | str) -> Column:
-    """Display-text cleaning used for names, ratings and amenity labels."""
-    return _clean_text_udf(F.col(c) if isinstance(c, str) else c)
+    """Display-text cleaning used for names, ratings and amenity labels; null is
+    empty."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(seen_text(_normal(c, _nfkc)), F.lit(""))
 
 
 def normalize_key_distinct(df: DataFrame, col: str, out: str) -> DataFrame:

@@ -2,58 +2,53 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingkit import constants as K
-from listingkit.functions.text import normalize_key, normalize_key_distinct, normalize_key_py
+from listingkit.functions.text import normalize_key, normalize_key_distinct
 
-MAX_NAME_MAP = 100_000   # name maps are driver-side literals; keep them broadcastable
+
+def pick_column(columns: Sequence[str], pattern: str, default: str) -> str:
+    """First column whose name matches ``pattern`` in any case, else ``default``."""
+    return next(filter(re.compile(pattern, re.IGNORECASE).search, columns), default)
 
 
 def guess_name_column(columns: Sequence[str], explicit: str | None = None) -> str:
-    """Explicit choice, else the first column whose name contains 'name' or 'dep',
-    else the first column."""
-    if explicit:
-        if explicit not in columns:
-            raise ValueError(f"column {explicit!r} not in {list(columns)}")
-        return explicit
-    for c in columns:
-        if "name" in c.lower() or "dep" in c.lower():
-            return c
-    return columns[0]
+    """Explicit choice, else a column named like a name or department, else the
+    first column."""
+    if explicit and explicit not in columns:
+        raise ValueError(f"column {explicit!r} not in {list(columns)}")
+    return explicit or pick_column(columns, "name|dep", columns[0])
 
 
 def label_column(columns: Sequence[str], default: str = K.AREA_LABEL_COLUMN) -> str:
-    """First column starting with 'cleaned' (any case), else the default label."""
-    for c in columns:
-        if c.lower().startswith("cleaned"):
-            return c
-    return default
+    """The cleaned label if there is one, else the default label."""
+    return pick_column(columns, "^cleaned", default)
 
 
-def name_map_frame(spark: SparkSession, clean_names: Mapping[str, str]) -> DataFrame:
+def name_map_frame(spark: SparkSession, clean_names: Mapping[str, str] | DataFrame) -> DataFrame:
     """Name map as a table keyed by the normalised raw name; on a key collision
-    the later entry wins (dict insertion order)."""
-    if len(clean_names) > MAX_NAME_MAP:
-        raise ValueError(f"name map larger than {MAX_NAME_MAP} entries")
-    rows = [(i, raw, clean) for i, (raw, clean) in enumerate(clean_names.items())]
-    df = spark.createDataFrame(rows, "ord int, raw_name string, clean_name string")
-    return (df.withColumn("_key", normalize_key("raw_name"))
-              .groupBy("_key").agg(F.max_by("clean_name", "ord").alias("_mapped")))
+    the later entry wins.  Takes a mapping, or for maps of any size a table
+    (ord, raw_name, clean_name)."""
+    if not isinstance(clean_names, DataFrame):
+        rows = [(i, raw, clean) for i, (raw, clean) in enumerate(clean_names.items())]
+        clean_names = spark.createDataFrame(rows, "ord int, raw_name string, clean_name string")
+    return (clean_names.withColumn("_key", normalize_key("raw_name"))
+            .groupBy("_key").agg(F.max_by("clean_name", "ord").alias("_mapped")))
 
 
-def canonical_names(areas: DataFrame, clean_names: Mapping[str, str],
+def canonical_names(areas: DataFrame, clean_names: Mapping[str, str] | DataFrame,
                     col: str | None = None, out: str = "cleaned_name") -> DataFrame:
     """Add ``cleaned_name``: the mapped spelling when the normalised name is a
     map key, else the original; null stays null."""
     name_col = guess_name_column(areas.columns, col)
     mp = name_map_frame(areas.sparkSession, clean_names)
     keyed = normalize_key_distinct(areas, name_col, "_key")
-    # the map is a bounded driver literal (checked above), broadcast is safe
-    joined = keyed.join(F.broadcast(mp), "_key", "left")
+    joined = keyed.join(mp, "_key", "left")          # AQE broadcasts a map that measures small
     return (joined.withColumn(out, F.when(F.col(name_col).isNull(), F.lit(None))
                               .otherwise(F.coalesce(F.col("_mapped"), F.col(name_col))))
                   .drop("_key", "_mapped"))
@@ -69,21 +64,27 @@ def area_listing(areas: DataFrame, label: str, code: str) -> DataFrame:
     return areas.select(label, code).distinct()
 
 
-def select_areas(areas: DataFrame, value: str, by: str = "name",
-                 label: str | None = None, code: str = "area_code") -> DataFrame:
-    """Rows whose normalised label (``by='name'``) or code matches ``value``.
-
-    Raises ``ValueError`` when nothing matches.
-    """
+def matching_areas(areas: DataFrame, value: str, by: str = "name",
+                   label: str | None = None, code: str = "area_code") -> DataFrame:
+    """Rows whose normalised label (``by='name'``) or code matches ``value``."""
     label = label or label_column(areas.columns, "area_name")
     col = label if by == "name" else code
     keyed = normalize_key_distinct(areas.withColumn("_sel", F.col(col).cast("string")),
                                    "_sel", "_sel_key")
-    picked = keyed.where(F.col("_sel_key") == F.lit(normalize_key_py(value))) \
-                  .drop("_sel", "_sel_key")
-    if picked.isEmpty():
-        raise ValueError(f"no area matching {normalize_key_py(value)!r}")
-    return picked
+    return keyed.where(F.col("_sel_key") == normalize_key(F.lit(value))).drop("_sel", "_sel_key")
+
+
+def some_areas(found: DataFrame, value: str) -> DataFrame:
+    """``found``, or ``ValueError`` when it is empty."""
+    if found.isEmpty():
+        raise ValueError(f"no area matching {value!r}")
+    return found
+
+
+def select_areas(areas: DataFrame, value: str, by: str = "name",
+                 label: str | None = None, code: str = "area_code") -> DataFrame:
+    """``matching_areas``; raises ``ValueError`` when nothing matches."""
+    return some_areas(matching_areas(areas, value, by, label, code), value)
 
 
 def first_label(selected: DataFrame, label: str, order_col: str = "area_ord") -> str:

@@ -50,8 +50,9 @@ def generate_jobs(grid: DataFrame, keywords: Sequence[str],
 
 
 def with_request_url(jobs: DataFrame, radius_m: int) -> DataFrame:
-    return jobs.withColumn("url", fields.request_url("keyword", "latitude", "longitude",
-                                                     radius_m))
+    """Search URL of every job; null without coordinates."""
+    url = fields.request_url("keyword", "latitude", "longitude", radius_m)
+    return jobs.withColumn("url", F.when(valid_coords("latitude", "longitude"), url))
 
 
 def retry_jobs(failed: DataFrame) -> DataFrame:
@@ -91,18 +92,18 @@ def failed_jobs(jobs: DataFrame, anchors: DataFrame, reason: str = "no results")
 
 
 def job_summary(jobs: DataFrame, with_dist: DataFrame, radius_m: float) -> DataFrame:
-    """Per job: anchors found, anchors without coordinates, outside / within radius,
-    and whether the job failed (no anchors at all).  Pre-aggregated per job
-    before the join back, so a hot job never moves as raw rows."""
+    """Per job: anchors found, anchors without coordinates, outside / within the
+    radius, accepted listings, whether it yielded none, cards that broke the
+    layout, and whether the job failed (no anchors at all).  Pre-aggregated per
+    job before the join back, so a hot job never moves as raw rows."""
     r = F.lit(float(radius_m))
-    per_job = with_dist.groupBy("job_idx").agg(
-        F.count(F.lit(1)).alias("anchors"),
-        F.count_if(F.col("dist_m").isNull()).alias("no_coords"),
-        F.count_if(F.col("dist_m") > r).alias("outside_radius"),
-        F.count_if(F.col("dist_m") <= r).alias("within_radius"))
+    near = F.col("dist_m") <= r
+    counts = {"anchors": F.count(F.lit(1)), "no_coords": F.count_if(F.col("dist_m").isNull()),
+              "outside_radius": F.count_if(F.col("dist_m") > r), "within_radius": F.count_if(near),
+              "accepted": F.count_if(near & F.col("complete")), "card_errors": F.count_if("card_error")}
+    per_job = with_dist.groupBy("job_idx").agg(*(c.alias(n) for n, c in counts.items()))
     out = jobs.select("job_idx", "keyword").join(per_job, "job_idx", "left")
     return out.select(
-        "job_idx", "keyword",
-        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-          for c in ("anchors", "no_coords", "outside_radius", "within_radius")],
+        "job_idx", "keyword", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in counts],
+        (F.coalesce("accepted", F.lit(0)) == 0).alias("no_results"),
         F.col("anchors").isNull().alias("failed"))

@@ -32,14 +32,15 @@ from pyspark.sql.window import Window
 
 from listingkit.functions import geo
 
-VERTEX_DECIMALS = 3      # projected vertices rounded to the millimetre
 COORD_DECIMALS = 5       # output degrees
 
 
-def project_rings(areas: DataFrame, group_cols: list[str]) -> DataFrame:
+def project_rings(areas: DataFrame, group_cols: list[str], decimals: int | None = None) -> DataFrame:
     """areas(polygons) -> one row per ring with projected vertices (x, y) in metres.
 
     Output: group cols, area_ord, poly_idx, ring_idx, ring (array<struct<x,y>>).
+    ``decimals`` rounds the vertices, for results that must agree between
+    engines to the last digit.
     """
     polys = areas.select(*group_cols, "area_ord",
                          F.posexplode("polygons").alias("poly_idx", "poly"))
@@ -48,8 +49,9 @@ def project_rings(areas: DataFrame, group_cols: list[str]) -> DataFrame:
 
     def to_xy(v: Column) -> Column:
         x, y = geo.project_forward(v["lon"], v["lat"])
-        return F.struct(F.round(x, VERTEX_DECIMALS).alias("x"),
-                        F.round(y, VERTEX_DECIMALS).alias("y"))
+        if decimals is not None:
+            x, y = F.round(x, decimals), F.round(y, decimals)
+        return F.struct(x.alias("x"), y.alias("y"))
 
     return rings.select(*group_cols, "area_ord", "poly_idx", "ring_idx",
                         F.transform("ring", to_xy).alias("ring"))
@@ -91,56 +93,59 @@ def ring_edges(rings: DataFrame, group_cols: list[str]) -> DataFrame:
         F.col("y1") != F.col("y2"))
 
 
+PARAMS = ["minx", "dx", "nx", "miny", "dy", "ny"]
+
+
 def row_crossings(edges: DataFrame, bounds: DataFrame, group_cols: list[str]) -> DataFrame:
-    """(polygon, lattice row, convention, crossing x) for every edge/row crossing."""
-    e = edges.join(bounds, group_cols)      # one row per group: AQE broadcasts it
+    """(polygon, lattice row, convention, crossing x) for every edge/row crossing.
+
+    The lattice parameters join here, once, and travel along as ``_box``."""
+    e = edges.join(bounds.select(*group_cols, F.struct(*PARAMS).alias("_box")), group_cols)
     ylo, yhi = F.least("y1", "y2"), F.greatest("y1", "y2")
     # one row of slack each side; the exact half-open tests below decide
-    j_lo = F.greatest(F.floor((ylo - F.col("miny")) / F.col("dy")) - 1, F.lit(0))
-    j_hi = F.least(F.ceil((yhi - F.col("miny")) / F.col("dy")) + 1, F.col("ny") - 1)
+    j_lo = F.greatest(F.floor((ylo - F.col("_box.miny")) / F.col("_box.dy")) - 1, F.lit(0))
+    j_hi = F.least(F.ceil((yhi - F.col("_box.miny")) / F.col("_box.dy")) + 1, F.col("_box.ny") - 1)
     e = e.withColumns({"_ylo": ylo, "_yhi": yhi, "_jlo": j_lo.cast("bigint"),
                        "_jhi": j_hi.cast("bigint")}).where(F.col("_jlo") <= F.col("_jhi"))
     rows = e.select("*", F.explode(F.sequence("_jlo", "_jhi")).alias("j"))
-    y = F.col("miny") + F.col("j") * F.col("dy")
-    rows = rows.withColumn("_y", y)
+    rows = rows.withColumn("_y", F.col("_box.miny") + F.col("j") * F.col("_box.dy"))
     in_a = (F.col("_ylo") <= F.col("_y")) & (F.col("_y") < F.col("_yhi"))
     in_b = (F.col("_ylo") < F.col("_y")) & (F.col("_y") <= F.col("_yhi"))
     convs = F.filter(F.array(F.when(in_a, F.lit("A")), F.when(in_b, F.lit("B"))),
                      lambda c: c.isNotNull())
     cx = F.col("x1") + (F.col("_y") - F.col("y1")) * (F.col("x2") - F.col("x1")) \
         / (F.col("y2") - F.col("y1"))
-    return rows.select(*group_cols, "area_ord", "poly_idx", "j", cx.alias("cx"),
+    return rows.select(*group_cols, "area_ord", "poly_idx", "j", "_box", cx.alias("cx"),
                        F.explode(convs).alias("conv"))
 
 
-def inside_points(crossings: DataFrame, bounds: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Lattice cells (group, i, j) strictly inside the union of member polygons."""
+def inside_points(crossings: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Lattice cells (group, _box, i, j) strictly inside the union of member polygons."""
     poly_row = [*group_cols, "area_ord", "poly_idx", "j", "conv"]
     ranked = crossings.withColumn(
         "_rn", F.row_number().over(Window.partitionBy(*poly_row).orderBy("cx")))
-    spans = (ranked.groupBy(*poly_row, F.floor((F.col("_rn") - 1) / 2).alias("_span"))
-             .agg(F.min("cx").alias("c_lo"), F.max("cx").alias("c_hi"),
-                  F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") == 2))
-    sp = spans.join(bounds, group_cols)
-    i_lo = F.greatest(F.floor((F.col("c_lo") - F.col("minx")) / F.col("dx")) - 1, F.lit(0))
-    i_hi = F.least(F.ceil((F.col("c_hi") - F.col("minx")) / F.col("dx")) + 1, F.col("nx") - 1)
+    sp = (ranked.groupBy(*poly_row, F.floor((F.col("_rn") - 1) / 2).alias("_span"))
+          .agg(F.min("cx").alias("c_lo"), F.max("cx").alias("c_hi"),
+               F.count(F.lit(1)).alias("_n"), F.any_value("_box").alias("_box"))
+          .where(F.col("_n") == 2))
+    i_lo = F.greatest(F.floor((F.col("c_lo") - F.col("_box.minx")) / F.col("_box.dx")) - 1, F.lit(0))
+    i_hi = F.least(F.ceil((F.col("c_hi") - F.col("_box.minx")) / F.col("_box.dx")) + 1, F.col("_box.nx") - 1)
     sp = sp.withColumns({"_ilo": i_lo.cast("bigint"), "_ihi": i_hi.cast("bigint")}) \
            .where(F.col("_ilo") <= F.col("_ihi"))
-    cells = sp.select(*group_cols, "j", "conv", "c_lo", "c_hi", "minx", "dx",
+    cells = sp.select(*group_cols, "j", "conv", "c_lo", "c_hi", "_box",
                       F.explode(F.sequence("_ilo", "_ihi")).alias("i"))
-    x = F.col("minx") + F.col("i") * F.col("dx")
+    x = F.col("_box.minx") + F.col("i") * F.col("_box.dx")
     cells = cells.where((F.col("c_lo") < x) & (x < F.col("c_hi")))
     # union over members: inside some member under A and some member under B
     return (cells.groupBy(*group_cols, "i", "j")
             .agg(F.max((F.col("conv") == "A").cast("int")).alias("_a"),
-                 F.max((F.col("conv") == "B").cast("int")).alias("_b"))
+                 F.max((F.col("conv") == "B").cast("int")).alias("_b"), F.any_value("_box").alias("_box"))
             .where((F.col("_a") == 1) & (F.col("_b") == 1))
-            .select(*group_cols, "i", "j"))
+            .select(*group_cols, "_box", "i", "j"))
 
 
 def lattice_in_areas(areas: DataFrame, spacing: float, group_cols: list[str],
-                     with_xy: bool = False) -> DataFrame:
+                     with_xy: bool = False, vertex_decimals: int | None = None) -> DataFrame:
     """Lattice points inside each group's union of polygons, in degrees.
 
     Output: group cols, point_idx, latitude, longitude (rounded to 5 decimals),
@@ -148,14 +153,12 @@ def lattice_in_areas(areas: DataFrame, spacing: float, group_cols: list[str],
     """
     if spacing <= 0:
         raise ValueError("spacing must be positive")
-    rings = project_rings(areas, group_cols)
+    rings = project_rings(areas, group_cols, vertex_decimals)
     bounds = group_bounds(rings, group_cols, spacing)
-    crossings = row_crossings(ring_edges(rings, group_cols), bounds, group_cols)
-    cells = inside_points(crossings, bounds, group_cols).join(bounds, group_cols)
-    x = F.col("minx") + F.col("i") * F.col("dx")
-    y = F.col("miny") + F.col("j") * F.col("dy")
-    pts = cells.select(*group_cols, (F.col("i") * F.col("ny") + F.col("j")).alias("point_idx"),
-                       x.alias("x"), y.alias("y"))
+    cells = inside_points(row_crossings(ring_edges(rings, group_cols), bounds, group_cols), group_cols)
+    pts = cells.select(*group_cols, (F.col("i") * F.col("_box.ny") + F.col("j")).alias("point_idx"),
+                       (F.col("_box.minx") + F.col("i") * F.col("_box.dx")).alias("x"),
+                       (F.col("_box.miny") + F.col("j") * F.col("_box.dy")).alias("y"))
     pts = geo.with_inverse(pts, "x", "y", "_lon", "_lat")
     return pts.select(*group_cols, "point_idx",
                       F.round("_lat", COORD_DECIMALS).alias("latitude"),

@@ -1,12 +1,13 @@
 """Result-page operators: anchors, titles and card extraction.
 
-``page_anchors`` and ``page_titles`` are pure Catalyst (regex over the HTML
-column).  Card extraction needs the element tree (nearest card ancestor,
-direct children, nested same-class blocks), which no Spark function offers,
-so it runs as ``mapInPandas`` over Arrow batches of pages: a small tokenizer
-builds each page's tree once and emits one row of *raw* fields per result
-anchor.  Everything downstream (link coordinates, radius test, price /
-category / address rules) is Catalyst again.
+``page_anchors`` and ``page_titles`` are Catalyst (regex over the HTML column;
+only values that hold a character reference are decoded in Python).  Card
+extraction needs the element tree (nearest card ancestor, direct children,
+nested same-class blocks), which no Spark function offers, so it runs as
+``mapInArrow`` in one pass over the pages: a small tokenizer builds each page's
+tree, decides which anchors exist, and emits one small row of *raw* fields per
+result anchor.  Everything downstream (link coordinates, radius test, text,
+price, category and address rules) is Catalyst again; page HTML never moves.
 """
 
 from __future__ import annotations
@@ -16,13 +17,14 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listingkit import constants as K
 from listingkit.functions.fields import PY_SPACE, py_strip
-from listingkit.functions.text import clean_text_py
+from listingkit.functions.text import compatible
 
 # ---------------------------------------------------------------- Catalyst J3/J7
 
@@ -35,15 +37,15 @@ def _attr(tag_text, name: str):
         quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
 
 
-# --- fixed values: named entities decoded on the Catalyst path (``&amp;`` last)
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", "\u00a0"), ("&middot;", "\u00b7"), ("&copy;", "\u00a9"), ("&amp;", "&")]
+@F.pandas_udf(T.StringType())
+def _decode(s: pd.Series) -> pd.Series:
+    return s.map(htmllib.unescape, na_action="ignore")
 
 
-def _unescape_basic(c):
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+def unescape(c):
+    """Character references (named and numeric) decoded; values without ``&`` are
+    not handed to Python."""
+    return F.coalesce(_decode(F.when(c.contains("&"), c)), c)
 
 
 def _class_test(tag, css_class: str):
@@ -58,12 +60,12 @@ def _attr_test(tag, name: str):
     return tag.rlike(f"(?i)(?<![\\w-]){re.escape(name)}(?:\\s*=|[\\s/>])")
 
 
-# Comments and script/style bodies hold no elements (the tree builder skips
-# them too).  One regex pass matches them *and* the anchor start tags, so an
-# ``<a`` inside a comment or script is consumed by that match; the anchor
-# items are then kept.  One scan of the page instead of strip-then-extract.
-CONTENT_ANCHORS_RE = ("(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>"
-                      "|<style\\b[^>]*>.*?</style\\s*>|<a(?:\\s[^>]*)?>")
+# Comments and the bodies of script, style, textarea and title hold no elements
+# (the tree builder skips them too).  One regex pass matches them *and* the
+# anchor start tags, so an ``<a`` inside them is consumed by that match; the
+# anchor items are then kept.  A ``>`` inside a quoted attribute is no tag end.
+CONTENT_ANCHORS_RE = ("(?is)<!--.*?-->|<(script|style|textarea|title)\\b[^>]*>.*?</\\1\\s*>"
+                      "|<a(?:\\s(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)?>")
 
 
 def anchor_tags(html):
@@ -90,8 +92,8 @@ def page_anchors(pages: DataFrame, css_class: str | None = None,
         df = df.where(_attr_test(F.col("_start"), require_attr))
     return df.select(
         id_col, *extra, F.col("pos").cast("bigint").alias("pos"),
-        _unescape_basic(_attr(F.col("_start"), "href")).alias("href"),
-        _unescape_basic(_attr(F.col("_start"), "aria-label")).alias("label"))
+        unescape(_attr(F.col("_start"), "href")).alias("href"),
+        unescape(_attr(F.col("_start"), "aria-label")).alias("label"))
 
 
 def page_titles(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
@@ -100,7 +102,7 @@ def page_titles(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     def inner(tag):
         raw = F.regexp_extract(F.col("html"), f"(?is)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}\\s*>", 1)
         joined = F.regexp_replace(raw, f"{PY_SPACE}*<[^>]*>{PY_SPACE}*", "")
-        return py_strip(_unescape_basic(joined))
+        return py_strip(unescape(joined))
     return pages.select(id_col, inner("title").alias("title"), inner("h1").alias("h1"))
 
 
@@ -191,7 +193,7 @@ class Node:
 _ALL_TOKENS = re.compile(
     r"([^<]+)|<!--.*?-->|<![^>]*>|<\?[^>]*>"
     r"|</\s*([a-zA-Z][\w:-]*)\s*>"
-    r"|<([a-zA-Z][\w:-]*)((?:\s+[^\s\"'>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?)*)\s*(/?)>"
+    r"|<([a-zA-Z][\w:-]*)((?:[^>\"'/]++|/(?!>)|\"[^\"]*+\"|'[^']*+')*+)(/?)>"
     r"|(<)", re.S)
 _RAW_BODY = re.compile(r"(?is)(<(script|style|textarea|title)\b[^>]*>)(.*?)(</\2\s*>)")
 
@@ -266,6 +268,7 @@ CARD_FIELDS = T.StructType([
     T.StructField("pos", T.LongType()), T.StructField("href", T.StringType()),
     T.StructField("has_card", T.BooleanType()),
     T.StructField("has_rating", T.BooleanType()),
+    T.StructField("card_error", T.BooleanType()),
     T.StructField("name", T.StringType()), T.StructField("rating", T.StringType()),
     T.StructField("price_label", T.StringType()),
     T.StructField("price_spans", T.ArrayType(T.StringType())),
@@ -284,9 +287,9 @@ def _card_of(anchor: Node) -> Node | None:
 
 
 def extract_card(card: Node) -> dict:
-    """Raw fields of one result card, layout ``loc1``."""
+    """Raw fields of one result card, layout ``loc1``; displayed text in NFKC."""
     name_el = card.find("div", K.NAME_CLASS)
-    name = clean_text_py(name_el.text()) if name_el is not None else ""
+    name = compatible(name_el.text()) if name_el is not None else ""
     blocks = card.find_all("div", K.BLOCK_CLASS)
     has_rating, rating, label, spans = False, None, None, []
     if blocks:
@@ -296,7 +299,7 @@ def extract_card(card: Node) -> dict:
             if len(kids) > 1:
                 has_rating = True
                 r = kids[1].find("span", K.RATING_CLASS)
-                rating = clean_text_py(r.text()) if r is not None else ""
+                rating = compatible(r.text()) if r is not None else ""
             if len(kids) > 2:
                 icon = kids[2].find("span", None, role="img", **{"aria-label": True})
                 if icon is not None:
@@ -313,7 +316,7 @@ def extract_card(card: Node) -> dict:
                     break
             addr_spans = [s.text() for s in first.child_tags("span")]
     # div.ktbgEf div[role=img]: each matching element once, in document order
-    amenities = [clean_text_py(el.attrs["aria-label"]) for el in card.iter()
+    amenities = [compatible(el.attrs["aria-label"]) for el in card.iter()
                  if el.tag == "div" and el.attrs.get("role") == "img"
                  and "aria-label" in el.attrs and el.ancestor("div", K.AMENITY_ROW_CLASS)]
     return dict(has_rating=has_rating, name=name, rating=rating, price_label=label,
@@ -333,110 +336,62 @@ def layout_extractor(layout: str):
 
 
 def page_rows(page_id: int, job_idx: int, doc: str | None,
-              keep: set[int] | None = None, anchor_class: str = K.ANCHOR_CLASS,
-              layout: str = "loc1") -> list[dict]:
-    """One dict per result anchor (``a.<anchor_class>[aria-label]``) of a page,
-    restricted to the anchor ordinals in ``keep`` when given.  ``pos`` is the
-    anchor's ordinal among all ``<a>`` elements of the page."""
+              anchor_class: str = K.ANCHOR_CLASS, layout: str = "loc1") -> list[dict]:
+    """One dict per result anchor (``a.<anchor_class>[aria-label]``) of a page.
+
+    ``pos`` is the anchor's ordinal among all ``<a>`` elements of the page.  A
+    card that breaks the layout's rules loses its fields, not its row:
+    ``card_error`` marks it, so that summaries can count it."""
     extract = layout_extractor(layout)
     if not doc:
         return []
-    root = parse_html(doc)
     rows = []
-    pos = -1
-    for a in root.iter():
-        if a.tag != "a":
-            continue
-        pos += 1                     # ordinal among all anchors, as the Catalyst scan
+    anchors = (n for n in parse_html(doc).iter() if n.tag == "a")
+    for pos, a in enumerate(anchors):
         if anchor_class not in a.classes or "aria-label" not in a.attrs:
             continue
-        if keep is not None and pos not in keep:
-            continue
         card = _card_of(a)
-        row = dict(page_id=page_id, job_idx=job_idx, pos=pos,
-                   href=a.attrs.get("href", ""), has_card=card is not None)
+        row = dict(page_id=page_id, job_idx=job_idx, pos=pos, href=a.attrs.get("href", ""),
+                   has_card=card is not None, has_rating=False, card_error=False)
         if card is not None:
             try:
                 row.update(extract(card))
-            except Exception:                      # a bad card drops that row only
-                row["has_card"] = False
+            except (KeyError, IndexError, AttributeError, ValueError, TypeError):
+                row.update(has_card=False, card_error=True)
         rows.append(row)
     return rows
 
 
-def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols = [f.name for f in CARD_FIELDS.fields]
-    for pdf in batches:
-        out = []
-        for pid, jid, doc in zip(pdf["page_id"], pdf["job_idx"], pdf["html"]):
-            out.extend(page_rows(int(pid), int(jid), doc))
-        res = pd.DataFrame(out, columns=cols)
-        res["has_rating"] = res["has_rating"].fillna(False).astype(bool)
-        yield res
-
-
-def parse_result_pages(pages: DataFrame) -> DataFrame:
-    """Pages ``(page_id, job_idx, html)`` -> one raw row per result anchor."""
-    return pages.select("page_id", "job_idx", "html").mapInPandas(_parse_batches, CARD_FIELDS)
-
-
 OUT_BATCH_ROWS = 2048
 
 
-def _kept_batches(carry: list[str], schema: T.StructType, layout: str = "loc1"):
-    """Arrow batches of (page_id, html, keep) -> Arrow batches of card rows."""
-    import pyarrow as pa
+def parse_result_pages(pages: DataFrame, layout: str = "loc1",
+                       anchor_class: str = K.ANCHOR_CLASS) -> DataFrame:
+    """Pages ``(page_id, job_idx, html)`` -> one raw row per result anchor.
+
+    Pages that do not hold the anchor class at all never leave the JVM."""
     from pyspark.sql.pandas.types import to_arrow_schema
-    arrow_schema = to_arrow_schema(schema)
-
-    def run(batches):
-        for rb in batches:
-            out = []
-            pids = rb.column("page_id").to_pylist()
-            docs = rb.column("html").to_pylist()
-            keeps = rb.column("keep").to_pylist()
-            for pid, doc, keep in zip(pids, docs, keeps):
-                wanted = {k["pos"]: k for k in keep}
-                for row in page_rows(pid, -1, doc, set(wanted), layout=layout):
-                    k = wanted[row["pos"]]
-                    if row["href"] != k["href"]:       # scan and tree must name the same anchor
-                        continue
-                    row.update({c: k[c] for c in carry})
-                    row.setdefault("has_rating", False)
-                    out.append(row)
+    layout_extractor(layout)                       # fail fast on the driver
+    schema = to_arrow_schema(CARD_FIELDS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[dict] = []
+            for pid, jid, doc in zip(*(c.to_pylist() for c in b.columns)):
+                out.extend(page_rows(pid, jid, doc, anchor_class, layout))
                 if len(out) >= OUT_BATCH_ROWS:     # bound worker memory on huge pages
-                    yield pa.RecordBatch.from_pylist(out, schema=arrow_schema)
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
                     out = []
             if out:
-                yield pa.RecordBatch.from_pylist(out, schema=arrow_schema)
-    return run
-
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-def parse_kept_cards(pages: DataFrame, kept: DataFrame, carry: list[str],
-                     layout: str = "loc1") -> DataFrame:
-    """Parse only the cards of ``kept`` anchors (``page_id, pos, href`` + ``carry``).
-
-    Kept anchors travel to their page as one bounded list per page (at most
-    the page's anchors), so each page is parsed once, only pages with a kept
-    anchor are parsed, and the anchor-side columns (``carry``, e.g. the job)
-    come back with the card fields - no second pass over the anchors.  The
-    hop is ``mapInArrow``: record batches in and out, no pandas conversion.
-    """
-    keep = kept.groupBy("page_id").agg(
-        F.collect_list(F.struct("pos", "href", *carry)).alias("keep"))
-    todo = pages.select("page_id", "html").join(keep, "page_id")
-    base = {f.name for f in CARD_FIELDS.fields}
-    fields_ = [f if f.name not in carry else T.StructField(f.name, kept.schema[f.name].dataType)
-               for f in CARD_FIELDS.fields]
-    fields_ += [T.StructField(c, kept.schema[c].dataType) for c in carry if c not in base]
-    schema = T.StructType(fields_)
-    layout_extractor(layout)                       # fail fast on the driver
-    return todo.mapInArrow(_kept_batches(carry, schema, layout), schema)
+    held = pages.where(F.col("html").contains(anchor_class)).select("page_id", "job_idx", "html")
+    return held.mapInArrow(run, CARD_FIELDS)
 
 
 def result_anchors(pages: DataFrame, anchor_class: str = K.ANCHOR_CLASS) -> DataFrame:
-    """Result anchors ``a.<class>[aria-label]`` of captured pages, on the Catalyst
-    path: (page_id, job_idx, pos, href)."""
+    """Result anchors ``a.<class>[aria-label]`` of captured pages, by the scan
+    inside the JVM: (page_id, job_idx, pos, href, label)."""
     a = page_anchors(pages.select("page_id", "job_idx", "html"), anchor_class, "aria-label",
                      extra_cols=["job_idx"])
-    return a.select("page_id", "job_idx", "pos", F.coalesce("href", F.lit("")).alias("href"))
+    return a.select("page_id", "job_idx", "pos", F.coalesce("href", F.lit("")).alias("href"), "label")

@@ -22,15 +22,19 @@ from listingkit.operators import lattice as L
 from listingkit.operators import ordering as O
 from listingkit.operators.pages import page_anchors as _page_anchors
 from listingkit.operators.pages import page_titles as _page_titles
+from listingkit.operators.pages import result_anchors as _result_anchors
 from listingkit.plans import grid as G
-from listingkit.session import spread
+from listingkit.plans import workflow as WF
 from listingkit.plans import listings as P
+from listingkit.sources import io
 from listingkit.sources import testdata as td
 
 RADIUS_M = float(K.DEFAULT_RADIUS_M)
 SPACING_M = K.DEFAULT_RADIUS_M * K.LATTICE_SPACING_FACTOR
 SELECTED_AREA = "Asunción"
 N_CHUNKS = K.NUM_CHUNKS
+#: Projected vertices are rounded to the millimetre here, so that engines agree.
+VERTEX_DECIMALS = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,7 +42,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ------------------------------------------------------------------ shared inputs
 
 def _jobs(spark, d):
-    return J.generate_jobs(td.grid_points(spark, d), K.KEYWORDS)
+    """The job table, landed once: joins then plan with its measured size."""
+    path = td.derived_path(spark, d, "jobs", td.GRID_SQL)
+    return td.land(lambda: J.generate_jobs(td.grid_points(spark, d), K.KEYWORDS), spark, path)
 
 
 def _cards(spark, d, which="pass1"):
@@ -71,10 +77,9 @@ def _failed(spark, d):
 
 
 def _retry_listings(spark, d):
+    """The retry pass: its pages meet the failed jobs only."""
     todo = J.retry_jobs(_failed(spark, d)).select("job_idx", "latitude", "longitude", "keyword")
-    pages = td.landed_pages(spark, d, "retry").join(todo.select("job_idx"), "job_idx",
-                                                      "left_semi")
-    return P.extract_listings(pages, todo, RADIUS_M, persist=False).listings
+    return P.extract_listings(td.landed_pages(spark, d, "retry"), todo, RADIUS_M, persist=False).listings
 
 
 # ------------------------------------------------------------------ B: projections
@@ -143,19 +148,29 @@ def q_request_url(spark, d):
 
 
 def q_normalize_key(spark, d):
-    docs = spread(td.table(spark, d, "documents").select("doc_id", "text"))
+    docs = td.table(spark, d, "documents").select("doc_id", "text")
     return docs.select("doc_id", normalize_key("text").alias("key"))
 
 
 def q_clean_text(spark, d):
-    docs = spread(td.table(spark, d, "documents").select("doc_id", "text"))
+    docs = td.table(spark, d, "documents").select("doc_id", "text")
     return docs.select("doc_id", clean_text("text").alias("cleaned"))
 
 
 # ------------------------------------------------------------------ jobs, filters, joins
 
 def q_generate_jobs(spark, d):
-    return _jobs(spark, d)
+    return J.generate_jobs(td.grid_points(spark, d), K.KEYWORDS)
+
+
+def q_grid_jobs(spark, d):
+    """Lattice of the chosen area x keywords."""
+    grid, _city = G.build_grid(_areas(spark, d), SELECTED_AREA, "name", SPACING_M, vertex_decimals=VERTEX_DECIMALS)
+    return G.make_jobs(grid)
+
+
+def q_run_totals(spark, d):
+    return WF.run_totals(_jobs(spark, d), _pass1(spark, d), _failed(spark, d), N_CHUNKS)
 
 
 def q_balanced_chunks(spark, d):
@@ -186,12 +201,17 @@ def q_job_summary(spark, d):
 # ------------------------------------------------------------------ pages
 
 def q_page_anchors(spark, d):
-    pages = spread(td.table(spark, d, "pages").select("page_id", "html"))
+    pages = td.table(spark, d, "pages").select("page_id", "html")
     return _page_anchors(pages).select("page_id", "pos", "href", "label")
 
 
+def q_card_anchors(spark, d):
+    """Result anchors of the derived pages, by the scan inside the JVM."""
+    return _result_anchors(td.landed_pages(spark, d)).select("page_id", "pos", "href", "label")
+
+
 def q_page_titles(spark, d):
-    t = _page_titles(spread(td.table(spark, d, "pages").select("page_id", "html")))
+    t = _page_titles(td.table(spark, d, "pages").select("page_id", "html"))
     return t.select("page_id", clean_text("title").alias("title"), clean_text("h1").alias("h1"))
 
 
@@ -215,7 +235,17 @@ def q_concat_results(spark, d):
 
 
 def q_merge_results(spark, d):
-    return _flat(P.merge_results(_pass1(spark, d)))
+    """The merged table with each row's position in its order."""
+    merged = P.merge_results(_pass1(spark, d))
+    return _flat(O.assign_ids(merged, P.sorted_order(), "position"))
+
+
+def q_csv_roundtrip(spark, d):
+    """Merged results written as the results CSV, read and parsed again."""
+    path = td.derived_path(spark, d, "results-csv")
+    back = io.write_results_csv(P.dedupe_keep_first(_pass1(spark, d)), path)
+    amenities = P.parse_amenities("amenities", "string")
+    return back.withColumn("amenities", F.array_join(amenities, "|"))
 
 
 def q_dedupe_stats(spark, d):
@@ -239,7 +269,7 @@ def q_postprocess_idempotent(spark, d):
 
 
 def q_amenities_explode(spark, d):
-    _, amenities = P.postprocess(P.merge_results(_pass1(spark, d)))
+    _, amenities = P.postprocess(P.merge_results(_pass1(spark, d)), ids=False)
     return amenities
 
 
@@ -296,13 +326,13 @@ def q_project_inverse(spark, d):
 
 
 def q_area_bounds(spark, d):
-    rings = L.project_rings(_areas(spark, d), ["area_code"])
+    rings = L.project_rings(_areas(spark, d), ["area_code"], VERTEX_DECIMALS)
     b = L.group_bounds(rings, ["area_code"], SPACING_M)
     return b.select("area_code", "minx", "maxx", "miny", "maxy", "nx", "ny")
 
 
 def q_lattice(spark, d):
-    rings = L.project_rings(_areas(spark, d), ["area_ord"])
+    rings = L.project_rings(_areas(spark, d), ["area_ord"], VERTEX_DECIMALS)
     b = L.group_bounds(rings, ["area_ord"], SPACING_M)
     cells = L.bare_lattice(b, ["area_ord"])
     return cells.select("area_ord", "point_idx", F.round("x", 3).alias("x"),
@@ -312,24 +342,22 @@ def q_lattice(spark, d):
 def q_point_in_polygon(spark, d):
     """Every bounding-box lattice cell of each boundary row, flagged inside/outside."""
     grp = ["area_ord"]
-    rings = L.project_rings(_areas(spark, d), grp)
+    rings = L.project_rings(_areas(spark, d), grp, VERTEX_DECIMALS)
     b = L.group_bounds(rings, grp, SPACING_M)
-    inside = L.inside_points(L.row_crossings(L.ring_edges(rings, grp), b, grp), b, grp)
-    inside = inside.join(b.select(*grp, "ny"), grp).select(
-        *grp, (F.col("i") * F.col("ny") + F.col("j")).alias("point_idx"),
-        F.lit(True).alias("inside"))
+    inside = L.inside_points(L.row_crossings(L.ring_edges(rings, grp), b, grp), grp).select(
+        *grp, (F.col("i") * F.col("_box.ny") + F.col("j")).alias("point_idx"), F.lit(True).alias("inside"))
     cells = L.bare_lattice(b, grp).select(*grp, "point_idx")
     return cells.join(inside, [*grp, "point_idx"], "left").select(
         *grp, "point_idx", F.coalesce("inside", F.lit(False)).alias("inside"))
 
 
 def q_lattice_in_area(spark, d):
-    return G.grid_by_area(_areas(spark, d), SPACING_M, "area_code")
+    return G.grid_by_area(_areas(spark, d), SPACING_M, "area_code", VERTEX_DECIMALS)
 
 
 def q_build_grid(spark, d):
-    grid, _city = G.build_grid(_areas(spark, d), SELECTED_AREA, "name", SPACING_M)
-    return grid
+    grid, city = G.build_grid(_areas(spark, d), SELECTED_AREA, "name", SPACING_M, vertex_decimals=VERTEX_DECIMALS)
+    return grid.withColumn("city", F.lit(city))
 
 
 QUERIES: dict[str, Query] = {
@@ -374,4 +402,8 @@ QUERIES: dict[str, Query] = {
     "page_titles": q_page_titles,
     "merge_results": q_merge_results,
     "postprocess": q_postprocess,
+    "grid_jobs": q_grid_jobs,
+    "run_totals": q_run_totals,
+    "card_anchors": q_card_anchors,
+    "csv_roundtrip": q_csv_roundtrip,
 }

@@ -19,7 +19,8 @@ from listingkit import schemas
 from listingkit.functions import fields
 from listingkit.operators import jobs as J
 from listingkit.operators import ordering as O
-from listingkit.operators.pages import parse_kept_cards, result_anchors
+from listingkit.functions.text import seen_text
+from listingkit.operators.pages import parse_result_pages
 
 CAPTURE_ORDER = ["job_idx", "page_id", "pos"]
 
@@ -48,36 +49,29 @@ def extract_listings(pages: DataFrame, jobs: DataFrame, radius_m: float = 1000,
                      layout: str = "loc1") -> Extraction:
     """Captured result pages -> listing rows within each job's radius + failed jobs.
 
-    Anchor first: result anchors come from a Catalyst scan of the HTML, get
-    their link coordinates, meet their job (equi-join) and pass the radius
-    test - all JVM-side.  Only pages holding a kept anchor cross into Python,
-    where the cards of kept anchors are parsed; the anchors' job columns ride
-    along with them.  Failures and the per-job summary need no Python at all.
-    ``persist`` caches the anchor table for callers that use listings,
-    failures and the summary together.
+    One pass parses the pages where they lie and emits small rows; only these
+    meet their jobs (equi-join) and the radius test.  Listings, failures and the
+    per-job summary all come from the same rows.  ``persist`` caches them for
+    callers that use more than one.
 
     ``missing_rating='drop'`` keeps the original behaviour of losing a card
     without a rating block; ``'null'`` keeps such rows.
     """
     if missing_rating not in ("drop", "null"):
         raise ValueError("missing_rating must be 'drop' or 'null'")
-    anchors = result_anchors(pages)
-    with_dist = J.anchors_with_distance(anchors, jobs)
+    whole = F.col("has_card") & F.col("has_rating") if missing_rating == "drop" else F.col("has_card")
+    with_dist = J.anchors_with_distance(parse_result_pages(pages, layout), jobs).withColumn("complete", whole)
     if persist:
         with_dist = with_dist.persist(StorageLevel.MEMORY_AND_DISK)
-    kept = J.radius_filter(with_dist, radius_m)
-    cards = parse_kept_cards(pages, kept, ["job_idx", "latitude", "longitude", "keyword"],
-                             layout).where(F.col("has_card"))
-    if missing_rating == "drop":
-        cards = cards.where(F.col("has_rating"))
+    cards = J.radius_filter(with_dist, radius_m).where("complete")
     listings = cards.select(
-        "job_idx", "page_id", "pos", "latitude", "longitude", "keyword", "name",
+        "job_idx", "page_id", "pos", "latitude", "longitude", "keyword", seen_text(F.col("name")).alias("name"),
         F.col("href").alias("link"),
-        F.when(F.col("has_rating"), F.col("rating")).alias("rating"),
+        F.when(F.col("has_rating"), seen_text(F.col("rating"))).alias("rating"),
         fields.price_choice("price_label", "price_spans").alias("price"),
         fields.category_clean("category_raw").alias("category"),
         fields.address_clean("address_spans").alias("address"),
-        "amenities")
+        F.transform("amenities", seen_text).alias("amenities"))
     failed = J.failed_jobs(jobs, with_dist)
     return Extraction(listings, failed, with_dist)
 
@@ -125,6 +119,13 @@ def parse_amenities(c: Column | str, dtype: str) -> Column:
     return F.when(c.isNull() | (F.trim(c) == ""), empty).otherwise(parsed)
 
 
+def amenities_literal(c: Column | str) -> Column:
+    """Amenity array as the list literal of the results CSV, which
+    ``parse_amenities`` reads back: ``["a", "b"]``; null stays null."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(c.isNotNull(), F.to_json(c))
+
+
 def explode_amenities(df: DataFrame, id_col: str = "prop_id") -> DataFrame:
     """One row per non-blank amenity (value kept untrimmed); no dedupe."""
     return (df.select(id_col, F.explode("amenities").alias("amenity"))
@@ -135,28 +136,29 @@ def _ws() -> str:
     return fields.PY_SPACE[1:-1]
 
 
-def postprocess(results: DataFrame, order: list | None = None) -> tuple[DataFrame, DataFrame]:
+def postprocess(results: DataFrame, order: list | None = None,
+                ids: bool = True) -> tuple[DataFrame, DataFrame]:
     """Ids, place id, rating split, amenity table, final column order.
 
     Each derived column is added only when absent, so running it twice gives
     the same listings.  ``order`` is the total order ids follow (default: the
-    merged-result sort).
+    merged-result sort); ``ids=False`` leaves them out.
     """
     df = results
     cols = set(df.columns)
-    if "num_id" not in cols:
-        df = O.assign_ids(df, order or sorted_order(), "num_id")
     if "prop_id" not in cols:
         df = df.withColumn("prop_id", fields.place_id("link"))
     if "num_rating" not in cols:
         value, count = fields.rating_split("rating")
         df = df.withColumns({"rating": value, "num_rating": count})
     amenities = None
-    if "amenities" in cols:
+    if "amenities" in cols:              # needs no ids, so it is taken before they are
         df = df.withColumn("amenities", parse_amenities("amenities",
                                                         dict(results.dtypes)["amenities"]))
         amenities = explode_amenities(df)
         df = df.drop("amenities")
+    if "num_id" not in cols and ids:
+        df = O.assign_ids(df, order or sorted_order(), "num_id")
     if all(c in df.columns for c in schemas.LISTING_COLUMNS):
         df = df.select(*schemas.LISTING_COLUMNS)
     if amenities is None:
@@ -182,18 +184,3 @@ def retry_merge(master: DataFrame, retry: DataFrame) -> DataFrame:
 def retry_order() -> list[Column]:
     return [F.col("_src").asc(), F.col("_o1").asc_nulls_last(), F.col("_o2").asc_nulls_last(),
             *[F.col(c).asc() for c in CAPTURE_ORDER]]
-
-
-def retry_pass(master: DataFrame, failed: DataFrame, retry_pages: DataFrame,
-               radius_m: float = 1000) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Retry the failed jobs (valid coordinates only) on a second page capture,
-    merge with the master results and post-process.
-
-    Returns (listings, amenities, still_failed).
-    """
-    todo = J.retry_jobs(failed).select("job_idx", "latitude", "longitude", "keyword")
-    pages = retry_pages.join(todo.select("job_idx"), "job_idx", "left_semi")
-    ext = extract_listings(pages, todo, radius_m)
-    merged = retry_merge(master, ext.listings)
-    listings, amenities = postprocess(merged, retry_order())
-    return listings, amenities, ext.failed

@@ -82,8 +82,7 @@ def process_pages(jobs: DataFrame, pages: DataFrame, out_dir: str,
         still_failed = failed
     else:
         todo = J.retry_jobs(failed).select("job_idx", "latitude", "longitude", "keyword")
-        rpages = retry_pages.join(todo.select("job_idx"), "job_idx", "left_semi")
-        rext = P.extract_listings(rpages, todo, radius_m)
+        rext = P.extract_listings(retry_pages, todo, radius_m)
         combined = P.retry_merge(merged, rext.listings)
         listings, amenities = P.postprocess(combined, P.retry_order())
         still_failed = rext.failed

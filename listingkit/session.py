@@ -66,23 +66,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir()
 
 
-def spread(df):
-    """Give CPU-heavy per-row work (Python UDFs, page parsing) at least one
-    partition per core.  Decided at plan time from the input's split count: a
-    large input already has more splits than cores and is left alone (no extra
-    shuffle); a small-but-heavy input (one file, one split) is spread.
-
-    Use on plain scans/projections only: on a plan with exchanges, asking for
-    the partition count would make adaptive execution run upstream stages."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par:
-            return df.repartition(par)
-    except Exception:                      # no RDD view (Spark Connect): leave as is
-        pass
-    return df
-
-
 _SHIPPED: set[int] = set()
 
 

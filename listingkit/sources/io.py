@@ -1,7 +1,8 @@
 """Table sources and sinks (CSV interchange, Parquet/JSON boundaries).
 
 CSV files written by pandas double embedded quotes, so reads use
-``escape='"'``; quoted commas and newlines round-trip with ``multiLine``.
+``escape='"'``.  Line feeds inside quoted values need ``multi_line``, which
+makes every file one task; without it large files are split.
 The text ``NA`` stays text (no pandas-style null sentinels).
 """
 
@@ -14,13 +15,13 @@ from listingkit import schemas
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-               fmt: str = "csv") -> DataFrame:
+               fmt: str = "csv", multi_line: bool = False) -> DataFrame:
     """Read a CSV (header, RFC-4180 quoting) or any other Spark format."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        return reader.csv(path, header=True, quote='"', escape='"', multiLine=True,
+        return reader.csv(path, header=True, quote='"', escape='"', multiLine=multi_line,
                           nullValue="", emptyValue="", mode="PERMISSIVE")
     return reader.format(fmt).load(path)
 
@@ -44,7 +45,7 @@ def read_boundaries(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
 
 
 def write_table(df: DataFrame, path: str, if_exists: str = "keep", fmt: str = "csv",
-                ) -> DataFrame:
+                multi_line: bool = False) -> DataFrame:
     """Write ``df``; on an existing path 'keep' leaves the old table and *uses it*.
 
     Returns the table now at ``path`` (re-read), so downstream steps see exactly
@@ -60,19 +61,27 @@ def write_table(df: DataFrame, path: str, if_exists: str = "keep", fmt: str = "c
         writer.csv(path, header=True, quote='"', escape='"')
     else:
         writer.format(fmt).save(path)
-    return read_table(spark, path, df.schema if fmt == "csv" else None, fmt)
+    return read_table(spark, path, df.schema if fmt == "csv" else None, fmt, multi_line)
 
 
 def write_failures(failed: DataFrame, path: str, fmt: str = "csv") -> int:
     """Write the failure table; with no failures the stale file is replaced by an
     empty table (never a delete of a foreign path). Returns the failure count."""
-    n = failed.count()
     writer = failed.write.mode("overwrite")
     if fmt == "csv":
         writer.csv(path, header=True, quote='"', escape='"')
     else:
         writer.format(fmt).save(path)
-    return n
+    return read_table(failed.sparkSession, path, failed.schema if fmt == "csv" else None, fmt).count()
+
+
+def write_results_csv(results: DataFrame, path: str) -> DataFrame:
+    """Merged results with their amenities as a CSV, the amenities as a list
+    literal; returns the table now at ``path`` (RESULTS_CSV columns)."""
+    from listingkit.plans.listings import amenities_literal
+    out = results.withColumn("amenities", amenities_literal("amenities")).select(schemas.RESULTS_CSV.fieldNames())
+    out.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    return read_table(results.sparkSession, path, schemas.RESULTS_CSV)
 
 
 def write_results(listings: DataFrame, amenities: DataFrame, base: str,

@@ -5,7 +5,8 @@ are derived with integer/string arithmetic that grows with the scale factor:
 
   customer            -> grid points (one lattice point per customer)
   orders + lineitem   -> first-pass captured result pages (an order's lines
-                         are the result cards of one page)
+                         are the result cards of one page; 'P' orders have an
+                         empty page besides)
   events              -> retry-pass captured pages (one card per event)
   supplier + nation   -> area boundaries (one polygon per supplier, grouped
                          into areas by nation)
@@ -40,10 +41,17 @@ SPREAD_U = 12_000               # places lie within +-0.012 deg of their point
 PLACES_PER_POINT = 64
 CARDS_PER_PAGE = 8
 
+#: Every POINT_NULL-th point has no latitude, the one after it NaN; every
+#: PLACE_NOWHERE-th place has a link without coordinates, every PLACE_ACCENT-th
+#: an accented letter in its link.
+POINT_NULL, PLACE_NOWHERE, PLACE_ACCENT = 97, 29, 13
+
 GRID_SQL = f"""
 select c_custkey as point_idx,
+  case when c_custkey % {POINT_NULL} = 0 then cast(null as double)
+       when c_custkey % {POINT_NULL} = 1 then cast('NaN' as double) else
   cast(-({LAT0_U} + cast(floor(c_custkey / {GRID_COLS}) as bigint) * {DLAT_U}) as double)
-    / 1000000.0 as latitude,
+    / 1000000.0 end as latitude,
   cast(-({LON0_U} + (c_custkey % {GRID_COLS}) * {DLON_U}) as double) / 1000000.0 as longitude
 from {{customer}}
 """
@@ -61,12 +69,11 @@ from (select *, row_number() over (partition by l_orderkey
                                    order by l_linenumber, l_partkey, l_suppkey) - 1 as r
       from {{lineitem}}) l
 join {{orders}} o on l.l_orderkey = o.o_orderkey
-where o.o_orderstatus <> 'P'
 """
 
-# Pages of 'P' orders show an empty result panel (no anchors).
+# 'P' orders have one page more, which shows an empty result panel (no anchors).
 PASS1_EMPTY_PAGES_SQL = f"""
-select o_orderkey * 16 as page_id,
+select o_orderkey * 16 + 15 as page_id,
   o_custkey * {len(K.KEYWORDS)} + o_orderkey % {len(K.KEYWORDS)} as job_idx
 from {{orders}} where o_orderstatus = 'P'
 """
@@ -87,13 +94,14 @@ from {{events}}
 # correct extraction must produce.  ``{spec}`` is one of the spec queries.
 CARD_FIELDS_SQL = f"""
 select page_id, job_idx, pos, place_key, plat_u, plon_u,
-  cast(-plat_u as double) / 1000000.0 as latitude,
-  cast(-plon_u as double) / 1000000.0 as longitude,
+  case when place_key % {PLACE_NOWHERE} <> 0 then cast(-plat_u as double) / 1000000.0 end as latitude,
+  case when place_key % {PLACE_NOWHERE} <> 0 then cast(-plon_u as double) / 1000000.0 end as longitude,
   concat('https://www.google.com/maps/place/P', cast(place_key as string),
-    '/data=!4m7!3m6!8m2!3d-', cast(cast(floor(plat_u / 1000000) as bigint) as string), '.',
+    case when place_key % {PLACE_ACCENT} = 0 then '-Café' else '' end, '/data=!4m7!3m6',
+    case when place_key % {PLACE_NOWHERE} = 0 then '' else concat('!8m2!3d-', cast(cast(floor(plat_u / 1000000) as bigint) as string), '.',
     lpad(cast(plat_u % 1000000 as string), 6, '0'),
     '!4d-', cast(cast(floor(plon_u / 1000000) as bigint) as string), '.',
-    lpad(cast(plon_u % 1000000 as string), 6, '0'),
+    lpad(cast(plon_u % 1000000 as string), 6, '0')) end,
     '!16s%2Fg%2F', cast(place_key as string),
     case when place_key % 23 = 0 then ''
          else concat('!19sChIJ', lpad(cast(place_key as string), 10, '0')) end,
@@ -102,6 +110,8 @@ select page_id, job_idx, pos, place_key, plat_u, plon_u,
        else concat('ChIJ', lpad(cast(place_key as string), 10, '0')) end as prop_id,
   concat('Lugar{NBSP}', cast(place_key as string), '{ZWSP}') as name_raw,
   concat('Lugar ', cast(place_key as string)) as name,
+  concat('Lugar ', cast(place_key as string), case when place_key % 5 = 0 then ' > "Bar" & Café' else '' end)
+    as label,
   case when va % 11 = 0 then 0 when va % 7 = 0 then 1 else 2 end as rating_kind,
   concat(cast(1 + vb % 5 as string), '.', cast(va % 10 as string), '(',
          cast(qty as string), ')') as rating_text,
@@ -174,7 +184,9 @@ def card_fields(spark: SparkSession, sf_dir: str, which: str = "pass1") -> DataF
 
 def _card_html(c: DataFrame) -> DataFrame:
     """Render one result card per row (layout loc1) with Spark string functions."""
-    esc = lambda col: F.replace(F.col(col), F.lit("&"), F.lit("&amp;"))
+    # references of all kinds, quoted and bare ``>``: what a browser writes or accepts
+    amp = F.element_at(F.array(*map(F.lit, ("&amp;", "&#38;", "&#x26;"))), (F.col("pos") % 3 + 1).cast("int"))
+    esc = lambda col: F.replace(F.replace(F.col(col), F.lit("&"), amp), F.lit("é"), F.lit("&eacute;"))
     rating_row = F.when(F.col("rating_kind") == 0, F.lit("")).otherwise(F.concat(
         F.lit('<div class="W4Efsd"><div class="AJB7ye"><span class="e4rVHe">'
               '<span role="img" class="ZkP5Je-icon"></span></span><span>'),
@@ -203,7 +215,7 @@ def _card_html(c: DataFrame) -> DataFrame:
         F.lit('"></div><div role="img" aria-label=" "></div><div role="img"></div></div>')))
     html = F.concat(
         F.lit('<div class="Nv2PK THOPZb CpccDe "><a class="hfpxzc" aria-label="'),
-        F.col("name"), F.lit('" href="'), esc("link"), F.lit('"></a><div class="bfdHYd">'
+        F.replace(esc("label"), F.lit('"'), F.lit("&quot;")), F.lit('" href="'), esc("link"), F.lit('"></a><div class="bfdHYd">'
                                                              '<div class="qBF1Pd fontHeadlineSmall">'),
         F.col("name_raw"), F.lit("</div>"), rating_row, detail_row, amen_row,
         F.lit("</div></div>"))
@@ -250,13 +262,10 @@ def _code_fingerprint() -> str:
 _FINGERPRINT = _code_fingerprint()
 
 
-def derived_path(spark: SparkSession, sf_dir: str, name: str, text: str = "") -> str | None:
+def derived_path(spark: SparkSession, sf_dir: str, name: str, text: str = "") -> str:
     """Location of a derived table inside the shared checkpoint folder."""
     from listingkit.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark)
-    if not base:
-        return None
-    base = base.rstrip("/")
+    base = ensure_checkpoint_dir(spark).rstrip("/")
     tag = hashlib.sha1(f"{_FINGERPRINT}|{sf_dir.rstrip('/')}|{text}".encode()).hexdigest()[:16]
     return f"{base}/listingkit-derived/{name}-{tag}"
 
@@ -269,27 +278,23 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-def land(df_fn, spark: SparkSession, path: str | None) -> DataFrame:
+#: Rows of a landed file, at most.
+ROWS_PER_FILE = 10_000
+
+
+def land(df_fn, spark: SparkSession, path: str) -> DataFrame:
     """Write ``df_fn()`` to ``path`` once and read it back.
 
     The table is written to a unique sibling folder and renamed into place, so
     a failed or concurrent writer never leaves a partial table at ``path``.
-    Without a shared folder or a driver-side Hadoop client (Spark Connect) the
-    plan is returned unlanded.
+    Files hold a bounded number of rows, so later scans split at any size.
     """
-    if path is None:
-        return df_fn()
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        par = spark.sparkContext.defaultParallelism
-    except Exception:
-        return df_fn()
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     if not _path_exists(spark, path):
         import uuid
         tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
-        # at least one file per core, so later scans split the work evenly
-        df_fn().repartition(par).write.mode("errorifexists").parquet(tmp)
+        df_fn().write.mode("errorifexists").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(tmp)
         src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
         fs = dst.getFileSystem(conf)
         if not fs.rename(src, dst) and not _path_exists(spark, path):

@@ -57,9 +57,17 @@ def start_page_stream(spark: SparkSession, pages_dir: str, jobs: DataFrame, out_
 
 
 def read_outputs(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    """The appended outputs as tables (the epoch folder becomes a column)."""
-    return {name: spark.read.parquet(f"{out_dir}/{name}").drop("epoch")
-            for name in ("listings", "failed", "summary")}
+    """The outputs over all epochs landed so far: listings, one summary row per
+    job, and failed jobs.  A job whose pages came in several epochs is failed
+    only if none of them had an anchor."""
+    listings, failed, parts = (spark.read.parquet(f"{out_dir}/{name}").drop("epoch")
+                               for name in ("listings", "failed", "summary"))
+    counts = ["anchors", "no_coords", "outside_radius", "within_radius", "accepted", "card_errors"]
+    summary = parts.groupBy("job_idx", "keyword").agg(
+        *(F.sum(c).alias(c) for c in counts), F.min("no_results").alias("no_results"), F.min("failed").alias("failed"))
+    hit = summary.where(~F.col("failed")).select("job_idx")
+    return {"listings": listings, "summary": summary,
+            "failed": failed.dropDuplicates(["job_idx"]).join(hit, "job_idx", "left_anti")}
 
 
 def pages_for_stream(pages: DataFrame, n_slices: int) -> list[DataFrame]:

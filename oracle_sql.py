@@ -82,10 +82,14 @@ def nkey(c: str) -> str:
             f" 'g')), '\\s+', ' ', 'g'))")
 
 
+#: Character references that occur in the driver's ``pages`` table.
+PAGE_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", "\u00a0"),
+                 ("&middot;", "\u00b7"), ("&copy;", "\u00a9"), ("&amp;", "&")]
+
+
 def unescape(c: str) -> str:
-    from listingkit.operators.pages import ENTITIES
-    for ent, ch in ENTITIES:
-        c = "replace({}, '{}', '{}')".format(c, ent, ch.replace("'", "''"))
+    for ent, ch in PAGE_ENTITIES:
+        c = f"replace({c}, '{ent}', '{ch}')"
     return c
 
 
@@ -297,7 +301,8 @@ select job_idx,
   '{K.SEARCH_BASE_URL}' || replace(url_encode(keyword), '%20', '+') || '/@' ||
   cast(latitude as varchar) || ',' || cast(longitude as varchar) || ',' ||
   '{K.DEFAULT_RADIUS_M}' || 'm' || '{K.SEARCH_URL_SUFFIX}' as url
-from jobs"""
+from jobs where not isnan(latitude)
+union all select job_idx, null from jobs where latitude is null or isnan(latitude)"""
 
     q["normalize_key"] = f"select doc_id, {nkey('text')} as key from documents"
     q["clean_text"] = ("select doc_id, trim(regexp_replace(text, '[[:cntrl:]]', '', 'g')) "
@@ -323,12 +328,16 @@ where latitude is not null and longitude is not null
   and not isnan(latitude) and not isnan(longitude)"""
 
     q["job_summary"] = f"""with {BASE},
-an as (select c.job_idx, {dist_cj} as dist from cards c join jobs j on c.job_idx = j.job_idx)
+an as (select c.job_idx, c.rating_kind, case when not isnan(j.latitude) then {dist_cj} end as dist
+       from cards c join jobs j on c.job_idx = j.job_idx)
 select j.job_idx, j.keyword,
   count(a.job_idx) as anchors,
   count(a.job_idx) filter (where a.dist is null) as no_coords,
   count(a.job_idx) filter (where a.dist > {d(R)}) as outside_radius,
   count(a.job_idx) filter (where a.dist <= {d(R)}) as within_radius,
+  count(a.job_idx) filter (where a.dist <= {d(R)} and a.rating_kind <> 0) as accepted,
+  cast(0 as bigint) as card_errors,
+  count(a.job_idx) filter (where a.dist <= {d(R)} and a.rating_kind <> 0) = 0 as no_results,
   count(a.job_idx) = 0 as failed
 from jobs j left join an a on a.job_idx = j.job_idx
 group by j.job_idx, j.keyword"""
@@ -353,7 +362,18 @@ from u"""
     q["extract_listings"] = f"with {BASE}, {LST.strip()} select {LISTING_COLS}, amenities from lst"
     q["dedupe_keep_first"] = (f"with {BASE}, {LST.strip()}, {MRG.strip()} "
                               f"select {LISTING_COLS}, amenities from mrg")
-    q["merge_results"] = q["dedupe_keep_first"]
+    q["merge_results"] = (f"with {BASE}, {LST.strip()}, {MRG.strip()} select {LISTING_COLS}, amenities, "
+                          f"row_number() over (order by {SORT_ORDER}) as position from mrg")
+    q["csv_roundtrip"] = f"""with {BASE}, {LST.strip()}, {MRG.strip()}
+select latitude, longitude, keyword, name, link, nullif(rating, '') as rating, nullif(price, '') as price,
+  nullif(category, '') as category, nullif(address, '') as address, amenities from mrg"""
+    q["card_anchors"] = f"with cards as ({CARDS}) select page_id, pos, link as href, label from cards"
+    q["run_totals"] = f"""with {BASE}, {LST.strip()}, {FAILED.strip()},
+ch as (select job_idx, cast(ntile({K.NUM_CHUNKS}) over (order by job_idx) - 1 as integer) as chunk from jobs),
+r as (select job_idx, count(*) as n from lst group by job_idx)
+select ch.chunk, count(*) as jobs, cast(coalesce(sum(r.n), 0) as bigint) as rows,
+  count(failed.job_idx) as failed
+from ch left join r using (job_idx) left join failed using (job_idx) group by ch.chunk"""
 
     q["concat_results"] = f"""with {BASE}, {LST.strip()}, {RETRY.strip()}
 select 0 as src, job_idx, page_id, pos, link, cast(null as varchar) as phone from lst
@@ -446,7 +466,9 @@ from cj left join ins on ins.area_ord = cj.area_ord and ins.i = cj.i and ins.j =
     q["lattice_in_area"] = _grid_points("area_code")
     q["build_grid"] = (_grid_points("area_code", f"where {nkey('area_name')} = '{sel_key}'")
                        .replace("select area_code, point_idx, round(",
-                                "select point_idx, round("))
+                                "select (select arg_min(area_name, area_ord) from sel) as city, point_idx, round("))
+    q["grid_jobs"] = f"""with g as ({q["build_grid"]}), kw as (select * from (values {KW_VALUES}) as t(kw_idx, keyword))
+select point_idx * {len(K.KEYWORDS)} + kw_idx as job_idx, latitude, longitude, keyword from g, kw"""
     return q
 
 

@@ -29,7 +29,7 @@ def _rings(spark, polys):
 def _inside(spark, polys, step=1.0):
     rings = _rings(spark, polys)
     b = L.group_bounds(rings, ["g"], step)
-    cells = L.inside_points(L.row_crossings(L.ring_edges(rings, ["g"]), b, ["g"]), b, ["g"])
+    cells = L.inside_points(L.row_crossings(L.ring_edges(rings, ["g"]), b, ["g"]), ["g"])
     mn = b.first()
     return {(mn.minx + r.i * mn.dx, mn.miny + r.j * mn.dy) for r in cells.collect()}
 
@@ -117,8 +117,7 @@ def test_projection_grid_spacing_and_round_trip(spark):
     df = spark.createDataFrame(GRID_POINTS, "latitude double, longitude double")
     x, y = geo.project_forward("longitude", "latitude")
     df = df.select("latitude", "longitude", x.alias("x"), y.alias("y"))
-    lon, lat = geo.project_inverse("x", "y")
-    rows = df.select("*", lon.alias("lon2"), lat.alias("lat2")).orderBy("latitude").collect()
+    rows = geo.with_inverse(df, "x", "y", "lon2", "lat2").orderBy("latitude").collect()
     xs = [r.x for r in rows]
     assert max(xs) - min(xs) < 1.0                       # one lattice column
     steps = [b.y - a.y for a, b in zip(rows, rows[1:])]

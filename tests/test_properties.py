@@ -7,6 +7,7 @@ batch in one Spark job, so examples are many and jobs are few.
 import re
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -46,11 +47,6 @@ def py_coords(link):
     return (a, b) if a is not None and b is not None else (None, None)
 
 
-def py_place(link):
-    m = re.search(r"(ChIJ[^?]+)", str(link))
-    return m.group(1) if m else None
-
-
 @SETTINGS
 @given(st.lists(st.text(alphabet=RATING_ALPHABET, max_size=14), min_size=1, max_size=200))
 def test_rating_split_property(spark, texts):
@@ -65,8 +61,18 @@ def test_rating_split_property(spark, texts):
 def test_link_fields_property(spark, links):
     lat, lon = fields.link_coords("l")
     got = [tuple(r) for r in spark.createDataFrame([(s,) for s in links], "l string")
-           .select(lat, lon, fields.place_id("l")).collect()]
-    assert got == [(*py_coords(s), py_place(s)) for s in links]
+           .select(lat, lon).collect()]
+    assert got == [py_coords(s) for s in links]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.text(alphabet="abc/!?1", max_size=8), st.text(alphabet="abcXYZ-_019!", min_size=1, max_size=12),
+                          st.sampled_from(["", "?x=1", "?"])), min_size=1, max_size=100))
+def test_place_id_property(spark, parts):
+    """A link built around an id gives that id, one without gives none."""
+    rows = [(head + "ChIJ" + key + tail, "ChIJ" + key) for head, key, tail in parts] + [(head + tail, None) for head, _, tail in parts]
+    got = spark.createDataFrame(rows, "l string, want string").select(fields.place_id("l"), "want").collect()
+    assert all(found == want for found, want in got)
 
 
 @SETTINGS
@@ -97,17 +103,16 @@ def test_keep_first_matches_pandas(spark, rows):
     assert got == sorted(map(tuple, want[["job_idx", "page_id", "pos"]].values.tolist()))
 
 
-def test_chunk_arithmetic_matches_slicing(spark):
-    cases = [(total, n) for total in range(0, 30) for n in range(1, 6)]
+def test_chunks_are_contiguous_and_balanced(spark):
     for n in range(1, 6):
-        totals = [t for t, m in cases if m == n]
-        for total in totals:
-            k, m = divmod(total, n)
-            want = []
-            for i in range(n):
-                want += [i] * len(range(total)[i * k + min(i, m):(i + 1) * k + min(i + 1, m)])
-            if total == 0:
-                continue
+        for total in range(1, 30):
             got = [r.c for r in spark.range(total).select(
                 O.chunk_of(F.col("id"), total, n).alias("c")).orderBy("id").collect()]
-            assert got == want, (total, n)
+            assert got == sorted(got) and set(got) <= set(range(n))
+            sizes = [got.count(c) for c in range(n)]
+            assert max(sizes) - min(sizes) <= 1 and sizes == sorted(sizes, reverse=True)
+
+
+def test_no_chunks_is_an_error(spark):
+    with pytest.raises(ValueError):
+        O.balanced_chunks(spark.range(3), 0, ["id"])

@@ -3,8 +3,7 @@
 import pytest
 
 from listingkit import constants as K
-from listingkit.functions.text import (clean_text, clean_text_py, normalize_key,
-                                       normalize_key_py)
+from listingkit.functions.text import clean_text, normalize_key
 from listingkit.operators import areas as A
 
 KEY_CASES = [("ASUNCIÓN", "asuncion"), ("ALTO PARANÁ", "alto parana"),
@@ -15,16 +14,6 @@ CLEAN_CASES = [("a\tb", "ab"), ("Wi\xa0Fi", "Wi Fi"), ("\u200bx ", "x"), ("\ufb0
                ("\u2028", ""), ("Wi\u2011Fi", "Wi\u2010Fi"), (None, "")]
 
 
-@pytest.mark.parametrize("text,key", KEY_CASES)
-def test_normalize_key_py(text, key):
-    assert normalize_key_py(text) == key
-
-
-@pytest.mark.parametrize("text,out", CLEAN_CASES)
-def test_clean_text_py(text, out):
-    assert clean_text_py(text) == out
-
-
 def test_text_udfs_on_spark(spark):
     df = spark.createDataFrame([(t,) for t, _ in KEY_CASES], "t string")
     assert [r[0] for r in df.select(normalize_key("t")).collect()] == [k for _, k in KEY_CASES]
@@ -48,6 +37,12 @@ def test_name_map_last_entry_wins(spark):
     assert out[0].cleaned_name == "second"
 
 
+def test_name_map_of_any_size(spark):
+    names = spark.range(120_000).selectExpr("cast(id as int) ord", "concat('Raw ', id) raw_name", "concat('Clean ', id) clean_name")
+    df = spark.createDataFrame([(0, "RAW  119999"), (1, "other")], "area_ord int, name string")
+    assert [r.cleaned_name for r in A.canonical_names(df, names).orderBy("area_ord").collect()] == ["Clean 119999", "other"]
+
+
 def test_column_choice():
     assert A.guess_name_column(["id", "geometry", "NAME_1"]) == "NAME_1"
     assert A.guess_name_column(["id", "Dep_Nombre"]) == "Dep_Nombre"
