@@ -46,7 +46,7 @@ HOMOGLYPHS.update({0xFF41 + i: chr(97 + i) for i in range(26)})
 HOMOGLYPHS.update({0xFF10 + i: chr(48 + i) for i in range(10)})
 HOMOGLYPHS.update({c: None for c in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)})
 _FOREIGN = re.compile("[­ıɡͰ-ԯ​-‍⁠﻿０-ｚ]")
-_SIGNS = re.compile(r"(?<![^\W\d_])[013457@$]{1,2}(?=[^\W\d_]{2})|(?<=[^\W\d_])[013457@$!]{1,2}(?=[^\W\d_])")
+_SIGNS = re.compile(r"(?<!\w)[013457@$]{1,2}(?=[^\W\d_])|(?<=[^\W\d_])[013457@$!]{1,2}(?=[^\W\d_])")
 DIGITS = (str.maketrans("013457@$!", "oieastasi"), str.maketrans("013457@$!", "oleastasi"))
 WORD = re.compile(r"[^\W\d_]+")
 
