@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from listingkit.llm.chat import OP3_SQL, op3_chat_format
 from listingkit.llm.hmm import op7_hmm_score
-from listingkit.llm.jaccard import op8_jaccard_join
+from listingkit.llm.jaccard import OP8_SQL, op8_jaccard_join
 from listingkit.llm.language import op6_language_id
 from listingkit.llm.mixing import op2_mix_sources
 from listingkit.llm.neighbours import op5_nearest_neighbours
@@ -30,5 +30,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op3_chat_format": OP3_SQL,
+    "op8_jaccard_join": OP8_SQL,
     "op10_quality_ledger": OP10_SQL,
 }

@@ -458,3 +458,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+#: All pairs that share a shingle, then the closure: for small tables only.
+OP8_SQL = r"""
+with recursive w as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select r, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s,
+    doc_id from w),
+e as (select r, unnest(s) as s from s),
+n as (select r, doc_id, len(s) as n from s),
+p as (select a.r as a, b.r as b, count(*) as c from e a join e b on a.s = b.s and a.r <> b.r group by 1, 2),
+l as (select p.a, p.b from p join n x on x.r = p.a join n y on y.r = p.b where 100 * c >= 75 * (x.n + y.n - c)),
+reach as (select r as a, r as b from n union select reach.a, l.b from reach join l on l.a = reach.b)
+select n.doc_id, cast(n.n as bigint) as n_shingles, min(m.doc_id) as component_id
+from n join reach on reach.a = n.r join n m on m.r = reach.b group by n.r, n.doc_id, n.n"""
