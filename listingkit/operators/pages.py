@@ -205,34 +205,52 @@ def _raw_body(m: re.Match) -> str:
     return m.group(1) + m.group(3).replace("<", "&lt;") + m.group(4)
 
 
+_HAS_RAW = re.compile(r"(?i)<(?:script|style|title|textarea)\b")
+
+
+def _markup(doc: str) -> str:
+    """The page with the bodies that hold no elements taken out or escaped."""
+    return _RAW_BODY.sub(_raw_body, doc) if _HAS_RAW.search(doc) else doc
+
+
+def _attributes(raw: str) -> dict[str, str]:
+    """Attributes of a start tag, decoded; the first of a name counts."""
+    attrs: dict[str, str] = {}
+    for name, *values in (m.groups() for m in _ATTR.finditer(raw)):
+        value = next((v for v in values if v is not None), "")
+        attrs.setdefault(name.lower(), _unescape(value))
+    return attrs
+
+
+def has_result_anchor(doc: str | None, anchor_class: str = K.ANCHOR_CLASS) -> bool:
+    """Whether ``page_rows`` gives the page any row: the same tokens, read up to
+    the first result anchor."""
+    for m in _ALL_TOKENS.finditer(_markup(doc or "")):
+        if m.group(3) in ("a", "A"):
+            attrs = _attributes(m.group(4))
+            if "aria-label" in attrs and anchor_class in attrs.get("class", "").split():
+                return True
+    return False
+
+
 def parse_html(doc: str) -> Node:
     """Tolerant tree builder: unmatched end tags are ignored, open ones closed at EOF.
 
-    One C-level ``findall`` tokenizes the page (script/style bodies removed
-    first); whitespace-only text is dropped, as ``get_text(strip=True)``
-    never uses it.
+    One C-level ``findall`` tokenizes the page; whitespace-only text is dropped,
+    as ``get_text(strip=True)`` never uses it.
     """
-    if "<script" in doc or "<style" in doc or "<title" in doc or "<textarea" in doc \
-            or "<SCRIPT" in doc or "<STYLE" in doc:
-        doc = _RAW_BODY.sub(_raw_body, doc)
+    doc = _markup(doc)
     nodes: list[Node] = []
     root = Node("#root", {}, None, -1, nodes)
     cur = root
     kids = root.children
-    attr_iter = _ATTR.finditer
     for text, end_tag, start_tag, raw_attrs, selfclose, stray in _ALL_TOKENS.findall(doc):
         if text:
             if not text.isspace():
                 kids.append(_unescape(text) if "&" in text else text)
         elif start_tag:
             tag = start_tag.lower()
-            attrs = {}
-            if raw_attrs:
-                for name, g2, g3, g4 in (am.groups() for am in attr_iter(raw_attrs)):
-                    name = name.lower()
-                    if name not in attrs:
-                        val = g2 if g2 is not None else (g3 if g3 is not None else g4)
-                        attrs[name] = (_unescape(val) if "&" in val else val) if val else ""
+            attrs = _attributes(raw_attrs) if raw_attrs else {}
             node = Node(tag, attrs, cur, len(nodes), nodes)
             nodes.append(node)
             kids.append(node)
@@ -389,6 +407,16 @@ def parse_result_pages(pages: DataFrame, layout: str = "loc1",
     return held.mapInArrow(run, CARD_FIELDS)
 
 
+def jobs_with_results(pages: DataFrame, anchor_class: str = K.ANCHOR_CLASS) -> DataFrame:
+    """(job_idx) of every page with a result anchor, without building trees."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hit = [has_result_anchor(doc, anchor_class) for doc in b.column(1).to_pylist()]
+            yield b.select([0]).filter(pa.array(hit, pa.bool_()))
+    held = pages.where(F.col("html").contains(anchor_class)).select("job_idx", "html")
+    return held.mapInArrow(run, "job_idx long")
+
+
 def result_anchors(pages: DataFrame, anchor_class: str = K.ANCHOR_CLASS) -> DataFrame:
     """Result anchors ``a.<class>[aria-label]`` of captured pages, by the scan
     inside the JVM: (page_id, job_idx, pos, href, label)."""

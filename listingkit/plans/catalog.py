@@ -407,3 +407,13 @@ QUERIES: dict[str, Query] = {
     "card_anchors": q_card_anchors,
     "csv_roundtrip": q_csv_roundtrip,
 }
+
+#: Landed inputs that several queries read, in the order they build on each other.
+PREPARE: dict[str, Query] = {
+    "jobs": _jobs,
+    "pages": td.landed_pages,
+    "retry_pages": lambda spark, d: td.landed_pages(spark, d, "retry"),
+    "areas": _areas,
+    "listings": _pass1,
+    "failures": _failed,
+}

@@ -20,7 +20,7 @@ from listingkit.functions import fields
 from listingkit.operators import jobs as J
 from listingkit.operators import ordering as O
 from listingkit.functions.text import seen_text
-from listingkit.operators.pages import parse_result_pages
+from listingkit.operators.pages import jobs_with_results, parse_result_pages
 
 CAPTURE_ORDER = ["job_idx", "page_id", "pos"]
 
@@ -72,7 +72,8 @@ def extract_listings(pages: DataFrame, jobs: DataFrame, radius_m: float = 1000,
         fields.category_clean("category_raw").alias("category"),
         fields.address_clean("address_spans").alias("address"),
         F.transform("amenities", seen_text).alias("amenities"))
-    failed = J.failed_jobs(jobs, with_dist)
+    # without the cached rows, failures need no more than the first anchor of a page
+    failed = J.failed_jobs(jobs, with_dist if persist else jobs_with_results(pages))
     return Extraction(listings, failed, with_dist)
 
 

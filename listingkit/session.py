@@ -37,32 +37,24 @@ def get_spark(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting it only if unset.
 
     Order: an already-set context dir; the session/cluster setting
-    ``spark.checkpoint.dir``; and, for local masters only, a fresh scratch
+    ``spark.checkpoint.dir``; and, on a single machine only, a fresh scratch
     directory.  On a cluster without the setting we refuse rather than write
-    lineage cuts to a machine-local folder.  Without a driver-side context
-    (Spark Connect) the server's ``spark.checkpoint.dir`` is used as is.
+    lineage cuts to a machine-local folder.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:                      # Spark Connect: no driver-side context
-        return spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or \
-        spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set: configure a shared (HDFS/S3/...) "
-            "folder for lineage cuts")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="listingkit-ckpt-"))
+    sc = spark.sparkContext
+    shared = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: configure a shared (HDFS/S3/...) "
+                "folder for lineage cuts")
+        shared = tempfile.mkdtemp(prefix="listingkit-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared)
     return sc.getCheckpointDir()
 
 
@@ -77,11 +69,7 @@ def ship_package(spark: SparkSession) -> None:
     and ``mapInArrow`` functions that live in the package resolve on any
     cluster and from any working directory.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:                      # Spark Connect: ship as an artifact
-        _ship_artifact(spark)
-        return
+    sc = spark.sparkContext
     key = id(sc._jsc)
     if key in _SHIPPED:
         return
@@ -107,10 +95,3 @@ def _package_zip() -> str:
                     z.write(full, os.path.relpath(full, root))
     _ZIP.append(path)
     return path
-
-
-def _ship_artifact(spark: SparkSession) -> None:
-    try:
-        spark.addArtifacts(_package_zip(), pyfile=True)
-    except Exception:
-        pass

@@ -144,6 +144,8 @@ def test_ordinary_html_loses_no_listing(spark):
     scan = {(r.page_id, r.pos, r.href) for r in PG.result_anchors(pages).collect()}
     assert scan == {(r.page_id, r.pos, r.link) for r in rows.values()}
     assert ext.summary(jobs, 1000.0).first().accepted == len(hard)
+    assert all(PG.has_result_anchor(panel(h)) for h in hard.values())
+    assert not any(map(PG.has_result_anchor, [None, "", panel(), panel("<a class=hfpxzc>"), "<!--" + plain + "-->"]))
 
 
 def test_extraction_moves_no_html(spark):
