@@ -51,3 +51,18 @@ def hashed(seed: str, *cols: Column) -> Column:
 def uniform(seed: str, *cols: Column) -> Column:
     """Pseudorandom double in [0, 1) of the columns."""
     return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53)))
+
+
+def most_frequent(counts: DataFrame, n: str, keep: int) -> DataFrame:
+    """The rows with the greatest counts, ``keep`` at most (ties stay or go
+    together).  Only a histogram of the counts' logarithms reaches the driver,
+    so that tasks need not each send ``keep`` rows."""
+    level = F.floor(F.log2(F.col(n).cast("double")) * 32)
+    sizes = counts.groupBy(level.alias("level")).agg(F.count("*").alias("c")).collect()    # under 2000 rows
+    total, least = 0, None
+    for r in sorted(sizes, key=lambda r: -r.level):
+        total += r.c
+        if total > keep:
+            return counts.where(level >= least) if least is not None else counts.limit(0)
+        least = r.level
+    return counts

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingkit.llm.common import cut, fold_held_out, table
+from listingkit.llm.common import cut, fold_held_out, most_frequent, table
 from listingkit.llm.textarrays import coded_words, slices
 
 #: Latent states, Baum-Welch rounds, words with emissions of their own, and the
@@ -278,8 +278,8 @@ def score_texts(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own
                        F.coalesce(F.sum(F.when(F.col("word") == END, F.col("trained"))), F.lit(0)).alias("ends")).first()
     tokens, distinct, ends = int(total.n), int(total.v), int(total.ends)
     # frequent in all rows, held out or not: any other word is rare everywhere
-    top = counts.where((F.col("word") != END) & (F.length("word") <= LONGEST)).orderBy(
-        F.col("n").desc(), "word").limit(counted).collect()
+    top = most_frequent(counts.where((F.col("word") != END) & (F.length("word") <= LONGEST)), "n", counted)
+    top = sorted(top.collect(), key=lambda r: (-r.n, r.word))
     vocab = Vocabulary([r.word for r in top], [r.trained for r in top], own)
     emits = vocab.trained[:vocab.rare]
     rare_tokens = tokens - ends - int(emits.sum())
