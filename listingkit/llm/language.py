@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingkit.llm.common import cut, fold_held_out, table
+from listingkit.llm.common import cut, fold_held_out, most_frequent, table
 from listingkit.llm.textarrays import coded_words, slices
 
 #: Words and n-grams (of each length) that a model keeps.
@@ -29,6 +29,9 @@ WORDS, GRAMS, LENGTHS = 50_000, 20_000, (4, 3, 2, 1)
 ADD, STEP, SURE = 0.5, 0.5, 10
 UNKNOWN = "und"
 
+#: Bytes of text that a task works on at a time.
+SLICE = 8 << 20
+
 _RUN = re.compile(r"[^\W\d_]+")
 _MARK = ("<", ">")
 
@@ -47,7 +50,7 @@ def _counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n) over all documents, summed in the tasks first."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part in slices(b, 1):
+            for part in slices(b, 1, SLICE):
                 lang = part.column(0).dictionary_encode()
                 langs, of = lang.dictionary.to_pylist(), lang.indices.to_numpy()
                 code, first, words = coded_words(part.column(1))
@@ -92,31 +95,43 @@ def _gram_counts(counts: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
+    """Rows of ``word_logs`` and ``gram_logs`` are log frequencies by language."""
     langs: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
-    unseen: np.ndarray
-
-    def word_scores(self, run: str) -> np.ndarray:
-        """Log frequency of a letter run in every language."""
-        known = self.words.get(run)
-        if known is not None:
-            return known
+    words: dict[str, int]
+    word_logs: np.ndarray
+    grams: dict[str, int]
+    gram_logs: np.ndarray
+
+    def scores(self, runs: list[str]) -> np.ndarray:
+        """Log frequencies of letter runs in every language (a row each): of the
+        word, else the mean of the longest n-grams of which any is known."""
+        at = np.array([self.words.get(r, -1) for r in runs], np.int64)
+        out = np.full((len(runs), len(self.langs)), math.log(1e-9))
+        out[at >= 0] = self.word_logs[at[at >= 0]]
+        left, find = np.flatnonzero(at < 0), self.grams.get
         for step, n in enumerate(LENGTHS, 1):
-            found = [v for g in grams(run, n) if (v := self.grams.get(g)) is not None]
-            if found:
-                return np.mean(found, axis=0) - step * STEP
-        return self.unseen
+            found = [[g for i in range(len(m) - n + 1) if (g := find(m[i:i + n])) is not None]
+                     for m in (f"<{runs[k]}>" if n > 1 else runs[k] for k in left.tolist())]
+            size = np.array([len(f) for f in found], np.int64)
+            hit = np.flatnonzero(size)
+            if len(hit):
+                flat = self.gram_logs[[g for f in found for g in f]]
+                first = np.cumsum(size[hit]) - size[hit]
+                out[left[hit]] = np.add.reduceat(flat, first, axis=0) / size[hit][:, None] - step * STEP
+            left = left[size == 0]
+        return out
 
     def predict(self, texts: pa.Array) -> tuple[list[str], list[float]]:
         code, first, words = coded_words(texts)
         runs = [letters(w) for w in words]
         weight = np.array([len(r) for r in runs], np.int64)
-        none = np.zeros(len(self.langs))
-        scores = np.array([sum((self.word_scores(x) for x in r), none) if r else none for r in runs])
-        scores = scores.reshape(len(runs), len(self.langs))
+        flat = [x for r in runs for x in r]
+        scores = np.zeros((len(runs), len(self.langs)))
+        np.add.at(scores, np.repeat(np.arange(len(runs)), weight), self.scores(flat))
         n = np.diff(np.concatenate([[0], np.cumsum(weight[code])])[first])
-        total = np.diff(np.concatenate([np.zeros((1, len(self.langs))), np.cumsum(scores[code], axis=0)])[first], axis=0)
+        total = np.zeros((len(n), len(self.langs)))
+        for k in range(len(self.langs)):
+            total[:, k] = np.diff(np.concatenate([[0], np.cumsum(scores[code, k])])[first])
         z = total / np.maximum(n, 1)[:, None] * np.minimum(n, SURE)[:, None]
         z = np.exp(z - z.max(axis=1, keepdims=True)) if len(self.langs) else z
         best = z.argmax(axis=1) if len(self.langs) else np.zeros(len(n), np.int64)
@@ -125,19 +140,19 @@ class Model:
         return lang, sure
 
 
-def _vectors(counts: DataFrame, langs: list[str], totals: dict[str, int], keep: int, by_length: bool) -> dict:
-    """The most frequent words, each with its log frequencies."""
-    per = counts.groupBy("word").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
-    size = np.array([totals[x] for x in langs], float)
-    out = {}
+def _logs(counts: DataFrame, langs: list[str], totals: dict[str, int], keep: int, by_length: bool):
+    """The most frequent words, numbered, and their log frequencies."""
+    per = cut(counts.groupBy("word").agg(F.sum("n").alias("total")))
+    at: dict[str, int] = {}
+    rows: list[tuple[int, int, int]] = []
     for length in (LENGTHS if by_length else (None,)):
-        rows = per.where(F.length("word") == length) if length else per
-        for r in rows.orderBy(F.col("total").desc(), "word").limit(keep).toLocalIterator():
-            n = np.full(len(langs), ADD)
-            for x in r.by:
-                n[langs.index(x.lang)] += x.n
-            out[r.word] = np.log(n / (size + 1))
-    return out
+        top = most_frequent(per.where(F.length("word") == length) if length else per, "total", keep)
+        found = counts.join(F.broadcast(top.select("word")), "word").collect()    # keep x languages
+        rows += [(at.setdefault(r.word, len(at)), langs.index(r.lang), r.n) for r in sorted(found, key=lambda r: r.word)]
+    n = np.full((len(at), len(langs)), ADD)
+    for word, lang, k in rows:
+        n[word, lang] += k
+    return at, np.log(n / (np.array([totals[x] for x in langs], float) + 1))
 
 
 def learn(docs: DataFrame) -> Model:
@@ -146,11 +161,10 @@ def learn(docs: DataFrame) -> Model:
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
     if not langs:
-        return Model([], {}, {}, np.zeros(0))
+        return Model([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
     grams_of = cut(_gram_counts(counts))
     gram_totals = {r.lang: r.n for r in grams_of.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    return Model(langs, _vectors(counts, langs, totals, WORDS, False),
-                 _vectors(grams_of, langs, gram_totals, GRAMS, True), np.zeros(len(langs)) + math.log(1e-9))
+    return Model(langs, *_logs(counts, langs, totals, WORDS, False), *_logs(grams_of, langs, gram_totals, GRAMS, True))
 
 
 def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -164,7 +178,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part in slices(b, 1):
+            for part in slices(b, 1, SLICE):
                 lang, score = shared.value.predict(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                                  names=["doc_id", "lang_pred", "score"])

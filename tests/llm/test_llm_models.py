@@ -198,7 +198,7 @@ def test_language(spark):
                  for x in t.split() for w in language.letters(x) if w == word)
     size = Counter(lang for i, t, lang in rows if t and lang and i is not None and not held(i, 5, 0)
                    for x in t.split() for _ in language.letters(x))
-    assert np.allclose(model.words[word], [math.log((by[x] + 0.5) / (size[x] + 1)) for x in model.langs])
+    assert np.allclose(model.scores([word])[0], [math.log((by[x] + 0.5) / (size[x] + 1)) for x in model.langs])
     nothing = language.learn(train.limit(0))
     assert {r.lang_pred for r in language.identify(df, nothing).collect()} == {"und"}
     assert language.identify(df.limit(0), model).count() == 0
