@@ -163,11 +163,24 @@ def test_passages_are_cut_but_for_the_first(spark):
     assert sentences.dedup_sentences(df.limit(0)).count() == 0
 
 
+def test_passages_without_stops_are_cut(spark):
+    rng = random.Random(11)
+    passage = " ".join(words(rng, 60, 10 ** 6))
+    rows = [(i, " ".join(words(rng, rng.randrange(30, 200), 10 ** 6) + [passage] + words(rng, 50, 10 ** 6))) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in sentences.dedup_sentences(df).collect()}
+    assert got[0].text == rows[0][1]
+    kept = set(passage.split())
+    for i in range(1, 30):
+        assert len(kept & set(got[i].text.split())) <= 30
+        assert len(set(rows[i][1].split()) - kept - set(got[i].text.split())) <= 0
+
+
 def test_sentence_spans_cover_all_words():
     text = "One two. Three\n\nfour five, Six seven!  " + "x " * 50 + "end"
     spans = sentences.sentence_spans(text)
     assert " ".join(text[a:b] for a, b, _ in spans).split() == text.split()
-    assert max(n for _, _, n in spans) <= sentences.MAX_WORDS
+    assert max(n for _, _, n in spans) <= sentences.LONGEST
     assert sentences.sentence_spans("") == [] and sentences.sentence_spans(" \n ") == []
 
 
