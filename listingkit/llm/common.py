@@ -11,7 +11,6 @@ from listingkit.session import ensure_checkpoint_dir, ship_package
 #: without argument cuts UTF-8 text at exactly the same places.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,21 +32,11 @@ def fold_held_out(doc_id: Column, folds: int, held: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == held, F.lit(False))
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z to a-z; other letters stay."""
-    return F.translate(text, UPPER, UPPER.lower())
-
-
 def word_count(text: Column) -> Column:
     """Number of words; 0 for null.  Native: one regex pass."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def hashed(seed: str, *cols: Column) -> Column:
-    """Non-negative pseudorandom 62-bit integer of the columns."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 2)
-
-
 def uniform(seed: str, *cols: Column) -> Column:
     """Pseudorandom double in [0, 1) of the columns."""
     return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53)))

@@ -198,7 +198,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> L
         chosen = part if chosen is None else chosen.unionAll(part)
     texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(cut(chosen)), "doc_id").select("text", "toxic")
     texts = cut(texts.mapInArrow(_with_least_shingle, "text string, toxic int, least long")
-                .dropDuplicates(["least", "toxic"]).select("text", "toxic"))
+                .groupBy("least", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"))
     size = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     size1, size0 = size.get(1, 0), size.get(0, 0)
     if not size1 or not size0:

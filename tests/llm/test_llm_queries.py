@@ -1,0 +1,156 @@
+"""Registered queries over the given tables: against their SQL, or a plain version."""
+
+import math
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+
+import __spark_entry__ as E
+from listingkit.llm import catalog
+from tools.run_queries import TABLES, digest
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    for t in TABLES:
+        c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    yield c
+    c.close()
+
+
+@pytest.fixture(scope="module")
+def documents(con):
+    return dict(con.execute("select doc_id, text from documents").fetchall())
+
+
+def rows(spark, key):
+    return E.queries()[key](spark, SF).collect()
+
+
+def words(text):
+    return [w.decode() for w in (text or "").encode().split()]
+
+
+def lower(text):
+    return (text or "").encode().lower().decode()
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(k[2:].split("_")[0]) for k in catalog.QUERIES if k != "pipeline") == list(range(1, 11))
+    assert set(catalog.ORACLE_SQL) <= set(catalog.QUERIES) <= set(E.queries())
+
+
+@pytest.mark.parametrize("key", sorted(catalog.ORACLE_SQL))
+def test_query_equals_its_sql(spark, con, key):
+    df = E.queries()[key](spark, SF)
+    got = [tuple(r) for r in df.collect()]
+    want = con.execute(E.oracle_sql()[key])
+    names = [d[0] for d in want.description]
+    want = want.fetchall()
+    assert sorted(df.columns) == sorted(names) and len(got) == len(want)
+    assert digest(df.columns, got) == digest(names, want)
+
+
+def test_op1(spark, documents):
+    got = rows(spark, "op1_toxicity")
+    assert {r.doc_id for r in got} == set(documents) and len(got) == len(documents)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
+
+
+def test_op2(spark, con):
+    size = {i: len(words(t)) for i, t in con.execute("select doc_id, text from documents").fetchall()}
+    source = dict(con.execute("select doc_id, source from documents").fetchall())
+    total = Counter()
+    for i, n in size.items():
+        total[source[i]] += n
+    taken, target = Counter(), {}
+    for r in rows(spark, "op2_mix_sources"):
+        assert r.size == size[r.doc_id] and r.source_size == total[source[r.doc_id]] and r.taken <= 3 * r.size
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+    assert sum(target.values()) == pytest.approx(sum(size.values()))
+    assert all(abs(taken[s] - target[s]) <= 1 for s in target)
+    share = {s: target[s] / (5, 2, 1)[k % 3] for k, s in enumerate(sorted(target)) if target[s] < 3 * total[s] - 1e-6}
+    assert max(share.values()) == pytest.approx(min(share.values()))
+
+
+def test_op4(spark, documents):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    got = rows(spark, "op4_best_fit_packing")
+    want = set()
+    for i, t in documents.items():
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
+        want |= {(i, k // 4096, k, len(ids[k:k + 4096]), zlib.crc32(np.array(ids[k:k + 4096], "<u4").tobytes())) for k in range(0, len(ids), 4096)}
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got} == want and len(got) == len(want)
+    fill = Counter()
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == fill[r.sequence_id]
+        fill[r.sequence_id] += r.length
+    assert max(fill.values()) <= 4096 and len(fill) <= sum(fill.values()) / 4096 * 1.05 + 2
+
+
+def test_op5(spark, con):
+    vectors = {i: np.array(v, np.float32).astype(float) for i, v in con.execute("select vec_id, embedding from embeddings").fetchall()}
+    hits = total = 0
+    found = {}
+    for r in rows(spark, "op5_nearest_neighbours"):
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+        assert r.score == pytest.approx(math.dist(vectors[r.query_id], vectors[r.vec_id]), abs=1e-12)
+    assert set(found) == {i for i in vectors if i % 100 == 0}
+    for q, mine in found.items():
+        best = sorted((math.dist(vectors[q], v), i) for i, v in vectors.items() if i != q)[:10]
+        hits += len({i for _, i in best} & {i for _, i in mine})
+        total += len(best)
+    assert hits >= 0.9 * total
+
+
+def test_op6(spark, con):
+    lang = dict(con.execute("select doc_id, lang from documents").fetchall())
+    got = rows(spark, "op6_language_id")
+    assert len(got) == len(lang) and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    held = [r for r in got if r.held_out]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_op7(spark, documents):
+    text = {i: lower(t).encode().split() + [b"\n"] for i, t in documents.items()}
+    count = Counter(w for i, t in text.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in t)
+    n, v = sum(count.values()), len(count)
+    got = rows(spark, "op7_hmm_score")
+    assert len(got) == len(text)
+    for r in got:
+        t = text[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(w in count for w in t), n)
+        assert r.base_score == pytest.approx(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in t))
+        assert r.score < 0
+
+
+def test_op9(spark, documents):
+    """Runs of 40 words that an earlier document holds too are gone, nothing else is new."""
+    got = {r.doc_id: r for r in rows(spark, "op9_sentence_dedup")}
+    assert set(got) == set(documents)
+
+    def repeated(texts):
+        seen, out = {}, set()
+        for i in sorted(texts):
+            w = words(texts[i])
+            for k in range(len(w) - 59):
+                if seen.setdefault(tuple(w[k:k + 60]), i) != i:
+                    out.add(i)
+        return out
+    before, after = repeated(documents), repeated({i: r.text for i, r in got.items()})
+    assert before and len(after) <= 0.1 * len(before)
+    for i, r in got.items():
+        assert not Counter(words(r.text)) - Counter(words(documents[i])) or r.n_removed
+        if not r.n_removed:
+            assert r.text == documents[i]
