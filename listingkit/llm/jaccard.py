@@ -44,6 +44,8 @@ PART, WHOLE = 75, 100
 COUNT_CELLS, WANTED_CELLS, STRIPES = 1 << 20, 1 << 25, 64
 #: Shingles a block may hold in one task.
 BLOCK_SHINGLES = 4_000_000
+#: What a member counts besides its shingles, so that blocks of short texts stay small too.
+ROW_COST = 256
 #: Members of a node that are compared with its head in one part.
 PART_MEMBERS = 512
 SLICE = 8 << 20
@@ -322,7 +324,7 @@ def _blocks(open_nodes: DataFrame) -> DataFrame:
     Blocks follow size and hold at most BLOCK_SHINGLES; a node pair whose size
     ranges cannot reach the similarity is not made."""
     by_size = W.partitionBy("head").orderBy("n", "ref")
-    rows = open_nodes.withColumn("block", F.floor(F.sum("n").over(by_size) / BLOCK_SHINGLES))
+    rows = open_nodes.withColumn("block", F.floor(F.sum(F.col("n") + ROW_COST).over(by_size) / BLOCK_SHINGLES))
     span = rows.groupBy("head", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     two = span.select("head", F.col("block").alias("two"), F.col("low").alias("low2"))
     pairs = (span.withColumnRenamed("block", "one").join(two, "head").where("one <= two")
