@@ -15,6 +15,7 @@ keeps a bounded table word -> ids, filled by the tokenizer itself.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -31,7 +32,9 @@ from listingkit.llm.textarrays import slices
 
 MAX_TOKENS, END_ID, OPEN_BINS = 4096, 1, 2048
 #: Words whose ids a Python worker remembers, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+#: Words that it keeps from one task to the next.
+KEPT = 100_000
 
 #: Words of these characters (no apostrophe) are cut by the tokenizer into runs
 #: of letters, single digits and runs of the rest.
@@ -89,6 +92,14 @@ class WordIds(dict):
                 self[t] = raw[at:stop]
                 at = stop
 
+    def rest(self) -> None:
+        """Between tasks a worker keeps few words: those that came again."""
+        known = itertools.islice(((w, i) for w, i in self.items() if w in self.old or len(w) < 6), KEPT)
+        known = dict(known)
+        self.old = {}
+        self.clear()
+        self.update(known)
+
     def encode(self, texts: pa.Array) -> list[bytes]:
         """All ids of each text, four little-endian bytes each."""
         split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
@@ -135,10 +146,9 @@ def tokenize_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", doc_
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = vocabulary if os.sep in vocabulary else _vocabulary(vocabulary)
-        id_type = None
         for b in batches:
             id_type = b.schema.field(0).type
-            for part in slices(b, 1):
+            for part in slices(b, 1, 8 << 20):
                 of, piece, start, ids = [], [], [], []
                 for i, whole in enumerate(encode(part.column(1), path)):
                     whole += end
@@ -151,6 +161,8 @@ def tokenize_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", doc_
                     [part.column(0).take(pa.array(of, pa.int32())).cast(id_type), pa.array(piece, pa.int32()),
                      pa.array(start, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()),
                      pa.array(ids, pa.binary())], names=["doc_id", "piece", "start", "length", "ids"])
+        if path in _TABLES:
+            _TABLES[path].rest()
 
     return rows.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids binary")
 

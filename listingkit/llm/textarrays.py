@@ -18,6 +18,7 @@ def slices(batch: pa.RecordBatch, column: int, size: int = 16 << 20) -> Iterator
     for a, b in zip(edges, edges[1:]):
         if b > a:
             yield batch.slice(a, b - a)
+            pa.default_memory_pool().release_unused()      # workers live on; others need the room
 
 
 def coded_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, list[str]]:
