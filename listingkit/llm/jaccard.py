@@ -35,13 +35,14 @@ from pyspark.sql import functions as F
 
 from listingkit.llm.common import cut, table
 from listingkit.llm.components import components
+from listingkit.llm.tables import add_stripes, keep_wanted, stripes, wanted_bits
 from listingkit.llm.textarrays import shingle_sets, slices
 
 WIDTH = 5
 #: Similarity as a fraction of integers: 75 / 100.
 PART, WHOLE = 75, 100
-#: Cells of the count table and of the table of wanted classes (fixed size).
-COUNT_CELLS, WANTED_CELLS, STRIPES = 1 << 20, 1 << 25, 64
+#: Cells of the count table (fixed size).
+COUNT_CELLS = 1 << 20
 #: Shingles a block may hold in one task.
 BLOCK_SHINGLES = 4_000_000
 #: What a member counts besides its shingles, so that blocks of short texts stay small too.
@@ -75,33 +76,6 @@ def prefix_length(n):
     return n - (PART * n + WHOLE - 1) // WHOLE + 1
 
 
-def _add_stripes(rows: DataFrame, cells: int, kind: str, combine) -> np.ndarray:
-    """Combines (stripe, bytes) rows of all tasks; the table's size is fixed."""
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for b in batches:
-            for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                part = np.frombuffer(raw, kind)
-                sums[i] = combine(sums[i], part) if i in sums else part.copy()
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()),
-                                              pa.array([x.tobytes() for x in sums.values()], pa.binary())],
-                                             names=["stripe", "raw"])
-    out = np.zeros(cells, kind)
-    width = cells // STRIPES
-    for r in rows.repartition("stripe").mapInArrow(fold, "stripe int, raw binary").collect():
-        out[r.stripe * width:(r.stripe + 1) * width] = np.frombuffer(r.raw, kind)
-    return out
-
-
-def _stripes(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
-    parts = np.split(cells, STRIPES)
-    used = [i for i, p in enumerate(parts) if p.any()]
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()),
-                                      pa.array([parts[i].tobytes() for i in used], pa.binary())],
-                                     names=["stripe", "raw"])
-
-
 def _prefixes(texts: DataFrame, counts) -> DataFrame:
     """(shingle, ref) of the first shingles of every class, rarest first."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,32 +124,13 @@ def _members(prefixes: DataFrame) -> DataFrame:
             .groupBy("head", "ref").agg(F.sum("shared").alias("shared")))
 
 
-def _wanted(refs: DataFrame) -> np.ndarray:
-    """Bits of the wanted refs in a table of fixed size (no ref is missed)."""
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(WANTED_CELLS // 8, np.uint8)
-        for b in batches:
-            cell = b.column(0).to_numpy().view(np.uint64) % np.uint64(WANTED_CELLS)
-            np.bitwise_or.at(bits, (cell >> np.uint64(3)).astype(np.int64),
-                             (np.uint8(1) << (cell & np.uint64(7)).astype(np.uint8)))
-        yield from _stripes(bits)
-    return _add_stripes(refs.mapInArrow(mark, "stripe int, raw binary"), WANTED_CELLS // 8, "|u1", np.bitwise_or)
-
-
 def _with_texts(rows: DataFrame, whole: DataFrame) -> DataFrame:
     """Adds ``text`` to rows with the row_key that stands for their class.
 
     Texts travel, not sets, which are larger; a task that needs a set makes it.
     Texts that are not wanted are passed over before the join."""
-    wanted = whole.sparkSession.sparkContext.broadcast(_wanted(rows.select("row_key").distinct()))
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = wanted.value
-        for b in batches:
-            cell = b.column(0).to_numpy().view(np.uint64) % np.uint64(WANTED_CELLS)
-            hit = bits[(cell >> np.uint64(3)).astype(np.int64)] >> (cell & np.uint64(7)).astype(np.uint8) & 1
-            yield b.filter(pa.array(hit.astype(bool)))
-    return rows.join(whole.select("row_key", "text").mapInArrow(keep, "row_key long, text string"), "row_key")
+    some = keep_wanted(whole.select("row_key", "text"), wanted_bits(rows.select("row_key").distinct()))
+    return rows.join(some, "row_key")
 
 
 def _own_sets(keys: list[bytes], texts: pa.Array) -> list[np.ndarray | None]:
@@ -403,7 +358,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                      pa.array([bitmap(s, _width(len(s))).tobytes() if len(s) else None for s in sets], pa.binary()),
                      none.cast(pa.int32()), none.cast(pa.binary())], names=names)
         if kind is not None:
-            for stripe in _stripes(cells):
+            for stripe in stripes(cells):
                 none = pa.nulls(stripe.num_rows)
                 yield pa.RecordBatch.from_arrays(
                     [none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()),
@@ -412,7 +367,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     every = cut(whole.mapInArrow(describe, f"doc_id {id_type.simpleString()}, row_key long, n long, class binary, "
                                            "ref long, bits binary, stripe int, raw binary"))
     rows = every.where("stripe is null").drop("stripe", "raw")
-    counts = spark.sparkContext.broadcast(_add_stripes(
+    counts = spark.sparkContext.broadcast(add_stripes(
         every.where("stripe is not null").select("stripe", "raw"), COUNT_CELLS, "<f4", np.add))
     members = cut(_members(_prefixes(whole.select("text"), counts)))
     counts.unpersist()
