@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from listingkit.llm.common import table
 from listingkit.llm.jaccard import near_duplicates
-from listingkit.llm.mixing import taken_words
+from listingkit.llm.mixing import taken_words, whole_copies
 from listingkit.llm.packing import pack_documents
 from listingkit.llm.sentences import dedup_sentences
 from listingkit.llm.toxicity import learn_lexicon, score_toxicity
@@ -63,24 +63,16 @@ def sentence_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix, as documents: each as often as the mix takes it whole.
-
-    A document of n words of which the mix takes t comes floor(t / n) times,
-    and once more with the share that is left, decided by a hash of its id and
-    text.  Documents without words stay once."""
+    """The mix, as documents: each as often as the mix has it whole (see
+    ``whole_copies``).  Documents without words stay once."""
     ship_package(spark)
     docs = docs.select(COLUMNS)
     rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    taken = taken_words(docs).select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"),
-                                     F.col("source").alias("_source"), "size", "taken")
-    taken = taken.groupBy("_id", "_key", "_source").agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"))
-    share = F.col("taken") / F.col("size")
-    more = (F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col("_key")), 11) / F.lit(float(1 << 53))) < share - F.floor(share)
-    times = F.when(F.col("size") == 0, F.lit(1)).otherwise((F.floor(share) + more.cast("long")).cast("int"))
+    copies = whole_copies(taken_words(docs)).where("times > 0").select(
+        F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), F.col("source").alias("_source"), "times")
     same = (F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key"))
             & F.col("source").eqNullSafe(F.col("_source")))
-    return (rows.join(taken.withColumn("_times", times).where("_times > 0"), same)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(COLUMNS))
+    return rows.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,6 +31,8 @@ CELLS = 4096
 #: Rows of a running sum are dealt over this many chunks per key.
 CHUNKS = 2048
 ROUNDS = 20
+#: Shares of a document are counted in these parts.
+PARTS = 1_000_000
 
 
 def _running(df: DataFrame, keys: list[str], chunk: str, order: list[str], value: str, out: str) -> DataFrame:
@@ -188,10 +190,28 @@ def taken_words(docs: DataFrame, **columns) -> DataFrame:
     full = placed.where("size > 0").join(taken, ["sid", "at"], "left")
     none = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return full.unionByName(none).select(
-        "doc_id", "row_key", "source", "size", "source_size", "target",
+        "sid", "doc_id", "row_key", "source", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
+def whole_copies(taken: DataFrame) -> DataFrame:
+    """doc_id, row_key, source, times: how often the mix has each document whole.
+
+    A document of n words of which t are taken comes t div n times; the shares
+    that are left are added up over the documents of a source, by size, and each
+    whole number that the sum passes is one document more.  So every source
+    keeps its words to about one document.  Documents without words come once."""
+    one = taken.groupBy("sid", "doc_id", "row_key", "source").agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"))
+    some = one.where("size > 0").withColumn("part", F.round((F.col("taken") % F.col("size")) / F.col("size") * PARTS).cast("long"))
+    level = F.floor(F.log2(F.col("size").cast("double")) * 8).cast("long")
+    some = some.withColumn("chunk", level * 256 + F.pmod("row_key", F.lit(256)))
+    some = _running(some, ["sid"], "chunk", ["size", "row_key", "doc_id"], "part", "sum")
+    times = F.expr(f"taken div size + (sum + part) div {PARTS} - sum div {PARTS}").cast("int")
+    none = one.where("size = 0").withColumn("times", F.lit(1))
+    columns = ["doc_id", "row_key", "source", "times"]
+    return some.withColumn("times", times).select(columns).unionByName(none.select(columns))
+
+
 def mixed_texts(docs: DataFrame, **columns) -> DataFrame:
     """The mix itself: shard, sid, k, text (a block's words, joined by spaces)."""
     text, doc_id = columns.get("text", "text"), columns.get("doc_id", "doc_id")

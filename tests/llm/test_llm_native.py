@@ -116,6 +116,20 @@ def test_mix_reaches_targets(spark, block, monkeypatch):
     assert sorted(map(key, got)) == sorted(map(key, again))
 
 
+def test_whole_copies_keep_the_words_of_a_source(spark):
+    rng = random.Random(5)
+    rows = [(i, "w " * rng.choice([1, 9, 80, 400]), rng.choice(["a", "a", "b", "c", None])) for i in range(400)] + [(900, "", "a"), (900, "", "a")]
+    taken = mixing.taken_words(spark.createDataFrame(rows, "doc_id long, text string, source string")).cache()
+    times = {(r.doc_id, r.source): r.times for r in mixing.whole_copies(taken).collect()}
+    words, want = {}, {}
+    for r in taken.collect():
+        n = times[r.doc_id, r.source]
+        assert (r.size == 0 and n == 1) or r.taken // r.size <= n <= r.taken // r.size + 1
+        words[r.source] = words.get(r.source, 0) + n * r.size
+        want[r.source] = want.get(r.source, 0) + r.taken
+    assert all(abs(words[s] - want[s]) <= 800 for s in want)
+
+
 def test_mixed_texts_hold_the_words_taken(spark):
     rows = [(i, " ".join(f"d{i}w{k}" for k in range(30 + i)), "ab"[i % 2]) for i in range(30)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
