@@ -5,6 +5,10 @@ falls back to character n-grams of its marked form ("<word>"), the longest
 length of which one is known, and each step down costs a little.  All counts
 come from all training documents; the model keeps the most frequent words and
 n-grams (a bounded number), whatever is rarer falls back.
+
+Verdicts compare distributions that share one floor: a small part of each is the
+frequency in all languages together, so that a language learned from few words
+is no likelier for the words it never had.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ WORDS, GRAMS, LENGTHS = 50_000, 20_000, (4, 3, 2, 1)
 #: Smoothing count, log penalty of each step down, words that make a verdict sure.
 ADD, STEP, SURE = 0.5, 0.5, 10
 UNKNOWN = "und"
+#: Part of every language's frequencies that is the frequency in all languages.
+SHARED = 0.01
 
 #: Bytes of text that a task works on at a time.
 SLICE = 8 << 20
@@ -93,41 +99,66 @@ def _gram_counts(counts: DataFrame) -> DataFrame:
     return counts.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+@dataclass
+class Counts:
+    """Kept words (or n-grams), numbered, their counts by language (a row each),
+    and the counts of all words by language."""
+    at: dict[str, int]
+    n: np.ndarray
+    totals: np.ndarray
+
+    def logs(self, shared: float) -> np.ndarray:
+        """Log frequencies: of each language by itself with a smoothing count, or
+        with a part ``shared`` from all languages together."""
+        if not shared:
+            return np.log((self.n + ADD) / (self.totals + 1))
+        every = self.n.sum(1, keepdims=True) / max(1.0, self.totals.sum())
+        return np.log((1 - shared) * self.n / np.maximum(self.totals, 1) + shared * every)
+
+
 @dataclass
 class Model:
-    """Rows of ``word_logs`` and ``gram_logs`` are log frequencies by language."""
     langs: list[str]
-    words: dict[str, int]
-    word_logs: np.ndarray
-    grams: dict[str, int]
-    gram_logs: np.ndarray
+    words: Counts
+    grams: Counts
 
-    def scores(self, runs: list[str]) -> np.ndarray:
+    def scores(self, runs: list[str], shared: float = 0.0) -> np.ndarray:
         """Log frequencies of letter runs in every language (a row each): of the
         word, else the mean of the longest n-grams of which any is known."""
-        at = np.array([self.words.get(r, -1) for r in runs], np.int64)
+        at = np.array([self.words.at.get(r, -1) for r in runs], np.int64)
         out = np.full((len(runs), len(self.langs)), math.log(1e-9))
-        out[at >= 0] = self.word_logs[at[at >= 0]]
-        left, find = np.flatnonzero(at < 0), self.grams.get
+        out[at >= 0] = self._logs(self.words, shared)[at[at >= 0]]
+        left, find = np.flatnonzero(at < 0), self.grams.at.get
         for step, n in enumerate(LENGTHS, 1):
             found = [[g for i in range(len(m) - n + 1) if (g := find(m[i:i + n])) is not None]
                      for m in (f"<{runs[k]}>" if n > 1 else runs[k] for k in left.tolist())]
             size = np.array([len(f) for f in found], np.int64)
             hit = np.flatnonzero(size)
             if len(hit):
-                flat = self.gram_logs[[g for f in found for g in f]]
+                flat = self._logs(self.grams, shared)[[g for f in found for g in f]]
                 first = np.cumsum(size[hit]) - size[hit]
                 out[left[hit]] = np.add.reduceat(flat, first, axis=0) / size[hit][:, None] - step * STEP
             left = left[size == 0]
         return out
 
+    def _logs(self, counts: Counts, shared: float) -> np.ndarray:
+        """``counts.logs``, kept for the next slice."""
+        made = self.__dict__.setdefault("_made", {})
+        key = id(counts), shared
+        if key not in made:
+            made[key] = counts.logs(shared)
+        return made[key]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_made"}
+
     def predict(self, texts: pa.Array) -> tuple[list[str], list[float]]:
         code, first, words = coded_words(texts)
         runs = [letters(w) for w in words]
         weight = np.array([len(r) for r in runs], np.int64)
         flat = [x for r in runs for x in r]
         scores = np.zeros((len(runs), len(self.langs)))
-        np.add.at(scores, np.repeat(np.arange(len(runs)), weight), self.scores(flat))
+        np.add.at(scores, np.repeat(np.arange(len(runs)), weight), self.scores(flat, SHARED))
         n = np.diff(np.concatenate([[0], np.cumsum(weight[code])])[first])
         total = np.zeros((len(n), len(self.langs)))
         for k in range(len(self.langs)):
@@ -140,8 +171,8 @@ class Model:
         return lang, sure
 
 
-def _logs(counts: DataFrame, langs: list[str], totals: dict[str, int], keep: int, by_length: bool):
-    """The most frequent words, numbered, and their log frequencies."""
+def _kept(counts: DataFrame, langs: list[str], totals: dict[str, int], keep: int, by_length: bool) -> Counts:
+    """The most frequent words and their counts."""
     per = cut(counts.groupBy("word").agg(F.sum("n").alias("total")))
     at: dict[str, int] = {}
     rows: list[tuple[int, int, int]] = []
@@ -149,10 +180,10 @@ def _logs(counts: DataFrame, langs: list[str], totals: dict[str, int], keep: int
         top = most_frequent(per.where(F.length("word") == length) if length else per, "total", keep)
         found = counts.join(F.broadcast(top.select("word")), "word").collect()    # keep x languages
         rows += [(at.setdefault(r.word, len(at)), langs.index(r.lang), r.n) for r in sorted(found, key=lambda r: r.word)]
-    n = np.full((len(at), len(langs)), ADD)
+    n = np.zeros((len(at), len(langs)))
     for word, lang, k in rows:
         n[word, lang] += k
-    return at, np.log(n / (np.array([totals[x] for x in langs], float) + 1))
+    return Counts(at, n, np.array([totals.get(x, 0) for x in langs], float))
 
 
 def learn(docs: DataFrame) -> Model:
@@ -161,10 +192,11 @@ def learn(docs: DataFrame) -> Model:
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
     if not langs:
-        return Model([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
+        nothing = Counts({}, np.zeros((0, 0)), np.zeros(0))
+        return Model([], nothing, nothing)
     grams_of = cut(_gram_counts(counts))
     gram_totals = {r.lang: r.n for r in grams_of.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    return Model(langs, *_logs(counts, langs, totals, WORDS, False), *_logs(grams_of, langs, gram_totals, GRAMS, True))
+    return Model(langs, _kept(counts, langs, totals, WORDS, False), _kept(grams_of, langs, gram_totals, GRAMS, True))
 
 
 def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

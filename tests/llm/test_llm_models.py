@@ -204,6 +204,21 @@ def test_language(spark):
     assert language.identify(df.limit(0), model).count() == 0
 
 
+def test_a_language_of_one_short_document_takes_no_others(spark):
+    rng = random.Random(14)
+    parts = {"aa": ["bla", "ki", "ru", "mo"], "bb": ["zen", "tor", "wix", "ug"]}
+    text = lambda p, n: " ".join("".join(rng.choices(p, k=rng.randrange(1, 6))) for _ in range(n))
+    train = [(i, text(parts[x], 40), x) for i in range(300) for x in [rng.choice(list(parts))]]
+    test = [(i, text(parts[x], 40), x) for i in range(1000, 1100) for x in [rng.choice(list(parts))]]
+    for words in (60, 2000):
+        odd = [(5000, text(["jol", "quy", "hef"], words), "xx")]
+        schema = "doc_id long, text string, lang string"
+        model = language.learn(spark.createDataFrame(train + odd, schema))
+        assert model.langs == ["aa", "bb", "xx"]
+        got = {r.doc_id: r.lang_pred for r in language.identify(spark.createDataFrame(test + odd, schema), model).collect()}
+        assert all(got[i] == x for i, _, x in test + odd)
+
+
 # ------------------------------------------------------------------ hidden Markov model
 
 def test_recursions_equal_the_sum_over_all_paths():
