@@ -60,12 +60,17 @@ def wanted_bits(values: DataFrame) -> np.ndarray:
     return add_stripes(values.mapInArrow(mark, "stripe int, raw binary"), WANTED_CELLS // 8, "|u1", np.bitwise_or)
 
 
+def maybe_wanted(values: pa.Array, bits: np.ndarray) -> np.ndarray:
+    """Whether each value may be wanted."""
+    byte, bit = _places(values)
+    return (bits[byte] >> bit & 1).astype(bool)
+
+
 def keep_wanted(rows: DataFrame, bits: np.ndarray) -> DataFrame:
     """The rows whose first (long) column may be wanted."""
     shared = rows.sparkSession.sparkContext.broadcast(bits)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            byte, bit = _places(b.column(0))
-            yield b.filter(pa.array((shared.value[byte] >> bit & 1).astype(bool)))
+            yield b.filter(pa.array(maybe_wanted(b.column(0), shared.value)))
     return rows.mapInArrow(keep, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema))

@@ -1,5 +1,6 @@
 """Near duplicates, repeated passages, components and the pipeline."""
 
+import itertools
 import random
 
 import numpy as np
@@ -176,6 +177,39 @@ def test_passages_without_stops_are_cut(spark):
         assert len(set(rows[i][1].split()) - kept - set(got[i].text.split())) <= 0
 
 
+def test_every_passage_of_min_passage_words_is_cut_to_the_word(spark):
+    """Many passages of 28 to 70 words, with and without stops, against all runs by brute force."""
+    rng = random.Random(21)
+    rows = []
+    for k in range(400):
+        n = rng.choice([28, 35, 51, 51, 51, 70])
+        passage = words(rng, n, 10 ** 6)
+        if k % 3 == 0:
+            passage = [w + "." * (rng.random() < 0.08) for w in passage]
+        if k % 5 == 0:
+            passage = [rng.choice(["la", "di", "dum", "tralala"]) for _ in range(n)]      # few words
+        for i in (2 * k, 2 * k + 1):
+            rows.append((i, "  ".join(words(rng, rng.randrange(0, 60), 10 ** 6) + passage + words(rng, rng.randrange(1, 60), 10 ** 6))))
+    seen, want = {}, {}
+    for i, t in rows:
+        w = t.split()
+        covered = [False] * len(w)
+        for j in range(len(w) - sentences.GRAM + 1):
+            if seen.setdefault(tuple(w[j:j + sentences.GRAM]), (i, j)) != (i, j):
+                covered[j:j + sentences.GRAM] = [True] * sentences.GRAM
+        left, at = [], 0
+        for flag, group in itertools.groupby(covered):
+            size = len(list(group))
+            left += [] if flag and size >= sentences.MIN_PASSAGE else w[at:at + size]
+            at += size
+        want[i] = left
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in sentences.dedup_sentences(df).collect()}
+    for i, t in rows:
+        assert got[i].text.split() == want[i], i
+        assert got[i].removed_words == len(t.split()) - len(want[i]) and (got[i].removed_words > 0) == (i % 2 == 1)
+
+
 def test_sentence_spans_cover_all_words():
     text = "One two. Three\n\nfour five, Six seven!  " + "x " * 50 + "end"
     spans = sentences.sentence_spans(text)
