@@ -33,6 +33,8 @@ SAMPLE = 8_000
 #: Candidate terms that are counted, terms and exceptions of a lexicon, at most.
 CANDIDATES, TERMS, EXCEPTIONS = 20_000, 2_000, 5_000
 PREFIXES = (4, 5, 6, 7)
+#: Toxic documents that a term is in, at least, whatever the size of the sample.
+LEAST = 4
 THRESHOLD = 0.7
 #: Standard errors by which a term's log odds are lowered before they count.
 SURE = 1.5
@@ -131,12 +133,11 @@ def _odds(n1: float, n0: float, size1: int, size0: int) -> float:
 
 def _choose(toxic: dict[str, int], clean: dict[str, int], size1: int, size0: int) -> Lexicon:
     """Terms with sure odds, shortest that explain the counts, and exceptions."""
-    least = max(4, math.ceil(0.01 * size1))
     sure = {}
     for t, n1 in toxic.items():
         n0 = clean.get(t, 0)
         odds = _odds(n1, n0, size1, size0)
-        if n1 >= least and (low := odds - SURE * math.sqrt(1 / (n1 + 0.5) + 1 / (n0 + 0.5))) >= 1.5:
+        if n1 >= LEAST and (low := odds - SURE * math.sqrt(1 / (n1 + 0.5) + 1 / (n0 + 0.5))) >= 1.5:
             sure[t] = (n1 * low, odds)
     chosen: dict[str, float] = {}
     for t in sorted(sure, key=lambda x: (-round(sure[x][0], 6), len(x), x)):
@@ -146,7 +147,7 @@ def _choose(toxic: dict[str, int], clean: dict[str, int], size1: int, size0: int
         if t[-1] == "*":
             known = [c for c in chosen if c.rstrip("*").startswith(stem)]
             left1 = toxic[t] - sum(toxic[c] for c in known)
-            if known and left1 < least:
+            if known and left1 < LEAST:
                 continue
         chosen[t] = min(sure[t][1], 8.0)
         if len(chosen) >= TERMS:

@@ -73,6 +73,12 @@ def test_toxicity_without_labels_or_rows(spark):
     assert toxicity.score_toxicity(docs.limit(0), empty).count() == 0
 
 
+def test_rare_sure_terms_are_learned_from_large_samples():
+    toxic = {"grump": 4000, "slorp": 79, "odd": 3}
+    lexicon = toxicity._choose(toxic, {"grump": 2}, 8000, 8000)
+    assert set(lexicon.weights) == {"grump", "slorp"}
+
+
 # ------------------------------------------------------------------ packing
 
 def test_packing_round_trip(spark):
