@@ -277,9 +277,10 @@ def score_texts(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own
                        F.count(F.when(F.col("trained") > 0, 1)).alias("v"),
                        F.coalesce(F.sum(F.when(F.col("word") == END, F.col("trained"))), F.lit(0)).alias("ends")).first()
     tokens, distinct, ends = int(total.n), int(total.v), int(total.ends)
-    # frequent in all rows, held out or not: any other word is rare everywhere
+    # counts of words frequent in all rows are broadcast; which emit, the training rows alone say
     top = most_frequent(counts.where((F.col("word") != END) & (F.length("word") <= LONGEST)), "n", counted)
-    top = sorted(top.collect(), key=lambda r: (-r.n, r.word))
+    top = sorted(top.collect(), key=lambda r: (-r.trained, r.word))
+    own = min(own, sum(r.trained > 0 for r in top))
     vocab = Vocabulary([r.word for r in top], [r.trained for r in top], own)
     emits = vocab.trained[:vocab.rare]
     rare_tokens = tokens - ends - int(emits.sum())

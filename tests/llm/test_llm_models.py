@@ -287,3 +287,12 @@ def test_hmm_scores(spark):
     first = {(r.doc_id, r.n_tokens): r.score for r in got}
     for r in hmm.score_texts(df, states=4, own=40, counted=100).collect():
         assert r.score == pytest.approx(first[r.doc_id, r.n_tokens], rel=1e-3)
+
+
+def test_hmm_scores_do_not_depend_on_held_out_texts(spark):
+    rows = [(i, " ".join(["a", "b", "a", f"r{i}"][:2 + i % 3]), False) for i in range(30)] + [(50, "a b a", True)]
+    seen = []
+    for other in ("a", "zz " * 500 + "yy " * 400):
+        df = spark.createDataFrame(rows + [(51, other, True)], "doc_id long, text string, held_out boolean")
+        seen.append({r.doc_id: r.score for r in hmm.score_texts(df, states=2, rounds=1, own=2, counted=50).collect() if r.doc_id != 51})
+    assert seen[0] == pytest.approx(seen[1], rel=1e-4)
