@@ -91,17 +91,29 @@ def failed_jobs(jobs: DataFrame, anchors: DataFrame, reason: str = "no results")
                         F.lit(reason).alias("reason")))
 
 
-def job_summary(jobs: DataFrame, with_dist: DataFrame, radius_m: float) -> DataFrame:
+#: What can become of a result anchor.
+KINDS = ("listing", "broken", "bare", "far", "nowhere")
+
+
+def anchor_kind(complete: Column, has_card: Column, radius_m: float) -> Column:
+    """``nowhere``: no distance to the job; ``far``: beyond the radius; within it
+    ``listing``: a complete card, ``broken``: a card that is not, ``bare``: none."""
+    dist = F.col("dist_m")
+    return (F.when(dist.isNull(), F.lit("nowhere")).when(dist > F.lit(float(radius_m)), F.lit("far"))
+            .when(complete, F.lit("listing")).when(has_card, F.lit("broken")).otherwise(F.lit("bare")))
+
+
+def job_summary(jobs: DataFrame, anchors: DataFrame) -> DataFrame:
     """Per job: anchors found, anchors without coordinates, outside / within the
-    radius, accepted listings, whether it yielded none, cards that broke the
-    layout, and whether the job failed (no anchors at all).  Pre-aggregated per
-    job before the join back, so a hot job never moves as raw rows."""
-    r = F.lit(float(radius_m))
-    near = F.col("dist_m") <= r
-    counts = {"anchors": F.count(F.lit(1)), "no_coords": F.count_if(F.col("dist_m").isNull()),
-              "outside_radius": F.count_if(F.col("dist_m") > r), "within_radius": F.count_if(near),
-              "accepted": F.count_if(near & F.col("complete")), "card_errors": F.count_if("card_error")}
-    per_job = with_dist.groupBy("job_idx").agg(*(c.alias(n) for n, c in counts.items()))
+    radius, accepted listings, cards within the radius that lack what the layout
+    requires, whether the job yielded none, and whether it failed (no anchors at
+    all).  ``anchors`` has ``job_idx`` and ``kind``; it is pre-aggregated per job
+    before the join back, so a hot job never moves as raw rows."""
+    kind = F.col("kind")
+    counts = {"anchors": F.count(F.lit(1)), "no_coords": F.count_if(kind == "nowhere"),
+              "outside_radius": F.count_if(kind == "far"), "within_radius": F.count_if(kind.isin("listing", "broken", "bare")),
+              "accepted": F.count_if(kind == "listing"), "card_errors": F.count_if(kind == "broken")}
+    per_job = anchors.groupBy("job_idx").agg(*(c.alias(n) for n, c in counts.items()))
     out = jobs.select("job_idx", "keyword").join(per_job, "job_idx", "left")
     return out.select(
         "job_idx", "keyword", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in counts],

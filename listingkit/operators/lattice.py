@@ -2,21 +2,20 @@
 
 No point x edge nested loop: each polygon edge emits the lattice rows it
 crosses (``explode(sequence)``) with its crossing abscissa; per (polygon,
-row) the crossings are ranked and paired into open spans; each span emits
-the lattice columns strictly inside it.  Cost ~ edges crossed + points kept,
-and every group is one polygon row, never a whole area.
-
-Boundary rule (strict interior of the union of member polygons):
-  * a row crossing counts under two half-open conventions,
-    A: ylo <= y < yhi and B: ylo < y <= yhi;
-  * x must lie strictly between the paired crossings;
-  * a point is kept when some member polygon contains it under A *and* some
-    member polygon contains it under B.
-This drops points on every edge of a single polygon (vertical, horizontal or
-slanted) and on hole borders, keeps points on a horizontal edge shared by two
-members (as their union would), and counts overlaps once.  Only a point
-exactly on a *vertical* edge shared by two members is dropped where the union
-would keep it (measure zero).
+row) the crossings are ranked and paired into open spans; the spans of all
+members on a row are united before any cell is made, so overlaps cost nothing.
+
+A row is looked at just above (A: ylo <= y < yhi) and just below (B: ylo < y
+<= yhi).  An end of a span carries, beside its abscissa, how it moves when the
+row is left in that direction (the edge's slope, or minus it): ends are
+ordered by both, so two members that share an edge - vertical or slanted -
+join into one span, and two that only touch at a corner do not.  A point is
+inside the union when it lies strictly inside a united span both above and
+below: points on the union's border are out, points on edges that members
+share are in, overlaps count once, hole borders are out.
+
+Everything on a lattice row of a group - pairing, union, the meeting of above
+and below - happens in one partition of it: one exchange, by (group, row).
 
 Lattice per group: ``x_i = minx + i*dx`` for ``i < ceil((maxx + s - minx)/s)``
 with ``dx = (minx + s) - minx`` (the arange rule), likewise for y; the group
@@ -97,51 +96,72 @@ PARAMS = ["minx", "dx", "nx", "miny", "dy", "ny"]
 
 
 def row_crossings(edges: DataFrame, bounds: DataFrame, group_cols: list[str]) -> DataFrame:
-    """(polygon, lattice row, convention, crossing x) for every edge/row crossing.
-
-    The lattice parameters join here, once, and travel along as ``_box``."""
-    e = edges.join(bounds.select(*group_cols, F.struct(*PARAMS).alias("_box")), group_cols)
-    ylo, yhi = F.least("y1", "y2"), F.greatest("y1", "y2")
+    """(polygon, lattice row, side, crossing x, drift) for every edge/row crossing.
+
+    An edge is taken from its lower end, whichever way its ring runs, so that
+    an edge two members share gives both the same crossings.  ``drift`` is how
+    the crossing moves as the row is left towards the ``side``.  The lattice
+    parameters join here, once, and travel along as ``_box``."""
+    up = F.col("y1") < F.col("y2")
+    low, high = (F.when(up, F.struct(F.col(a[0]).alias("x"), F.col(a[1]).alias("y")))
+                 .otherwise(F.struct(F.col(b[0]).alias("x"), F.col(b[1]).alias("y")))
+                 for a, b in ((("x1", "y1"), ("x2", "y2")), (("x2", "y2"), ("x1", "y1"))))
+    e = edges.select(*group_cols, "area_ord", "poly_idx", low.alias("_a"), high.alias("_b"))
+    e = e.join(bounds.select(*group_cols, F.struct(*PARAMS).alias("_box")), group_cols)
     # one row of slack each side; the exact half-open tests below decide
-    j_lo = F.greatest(F.floor((ylo - F.col("_box.miny")) / F.col("_box.dy")) - 1, F.lit(0))
-    j_hi = F.least(F.ceil((yhi - F.col("_box.miny")) / F.col("_box.dy")) + 1, F.col("_box.ny") - 1)
-    e = e.withColumns({"_ylo": ylo, "_yhi": yhi, "_jlo": j_lo.cast("bigint"),
-                       "_jhi": j_hi.cast("bigint")}).where(F.col("_jlo") <= F.col("_jhi"))
+    j_lo = F.greatest(F.floor((F.col("_a.y") - F.col("_box.miny")) / F.col("_box.dy")) - 1, F.lit(0))
+    j_hi = F.least(F.ceil((F.col("_b.y") - F.col("_box.miny")) / F.col("_box.dy")) + 1, F.col("_box.ny") - 1)
+    e = e.withColumns({"_jlo": j_lo.cast("bigint"), "_jhi": j_hi.cast("bigint")}).where(F.col("_jlo") <= F.col("_jhi"))
     rows = e.select("*", F.explode(F.sequence("_jlo", "_jhi")).alias("j"))
     rows = rows.withColumn("_y", F.col("_box.miny") + F.col("j") * F.col("_box.dy"))
-    in_a = (F.col("_ylo") <= F.col("_y")) & (F.col("_y") < F.col("_yhi"))
-    in_b = (F.col("_ylo") < F.col("_y")) & (F.col("_y") <= F.col("_yhi"))
-    convs = F.filter(F.array(F.when(in_a, F.lit("A")), F.when(in_b, F.lit("B"))),
-                     lambda c: c.isNotNull())
-    cx = F.col("x1") + (F.col("_y") - F.col("y1")) * (F.col("x2") - F.col("x1")) \
-        / (F.col("y2") - F.col("y1"))
+    slope = (F.col("_b.x") - F.col("_a.x")) / (F.col("_b.y") - F.col("_a.y"))
+    sides = F.filter(F.array(
+        F.when((F.col("_a.y") <= F.col("_y")) & (F.col("_y") < F.col("_b.y")), F.struct(F.lit("A").alias("side"), slope.alias("drift"))),
+        F.when((F.col("_a.y") < F.col("_y")) & (F.col("_y") <= F.col("_b.y")), F.struct(F.lit("B").alias("side"), (-slope).alias("drift")))),
+        lambda c: c.isNotNull())
+    cx = F.col("_a.x") + (F.col("_y") - F.col("_a.y")) * slope
     return rows.select(*group_cols, "area_ord", "poly_idx", "j", "_box", cx.alias("cx"),
-                       F.explode(convs).alias("conv"))
+                       F.explode(sides).alias("_s")).select("*", "_s.side", "_s.drift").drop("_s")
+
+
+def inside_spans(crossings: DataFrame, group_cols: list[str]) -> DataFrame:
+    """(group, _box, j, x_lo, x_hi): the open spans of every lattice row that lie
+    strictly inside the union of the group's polygons; spans of a row are disjoint."""
+    row = [*group_cols, "j"]
+    end = F.struct("cx", "drift")
+    # pairing: of a polygon's crossings on a row every odd one begins a span
+    of_polygon = Window.partitionBy(*row, "side", "area_ord", "poly_idx").orderBy("cx", "drift")
+    spans = (crossings.repartition(*row)
+             .select(*row, "side", "_box", end.alias("lo"), F.lead(end).over(of_polygon).alias("hi"),
+                     F.row_number().over(of_polygon).alias("_rank"))
+             .where((F.col("_rank") % 2 == 1) & F.col("hi").isNotNull()))
+    # union of members: a span begins an island if it starts beyond all before it
+    of_side = Window.partitionBy(*row, "side").orderBy("lo", "hi")
+    reach = F.max("hi").over(of_side.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.select("*", F.when(reach.isNull() | (F.col("lo") > reach), 1).otherwise(0).alias("_new"))
+    spans = spans.select("*", F.sum("_new").over(of_side.rowsBetween(Window.unboundedPreceding, 0)).alias("_island"))
+    islands = spans.groupBy(*row, "side", "_island").agg(
+        F.min("lo.cx").alias("x_lo"), F.max("hi.cx").alias("x_hi"), F.any_value("_box").alias("_box"))
+    # above and below: where both cover, the running number of open islands is 2
+    ends = islands.select(*row, "_box", F.explode(F.array(
+        F.struct(F.col("x_lo").alias("x"), F.lit(1).alias("step")),
+        F.struct(F.col("x_hi").alias("x"), F.lit(-1).alias("step")))).alias("_e")).select(*row, "_box", "_e.x", "_e.step")
+    along = Window.partitionBy(*row).orderBy("x", "step")
+    ends = ends.select(*row, "_box", F.col("x").alias("x_lo"), F.lead("x").over(along).alias("x_hi"),
+                       F.sum("step").over(along.rowsBetween(Window.unboundedPreceding, 0)).alias("_open"))
+    return ends.where((F.col("_open") == 2) & (F.col("x_lo") < F.col("x_hi"))).select(*row, "_box", "x_lo", "x_hi")
 
 
 def inside_points(crossings: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Lattice cells (group, _box, i, j) strictly inside the union of member polygons."""
-    poly_row = [*group_cols, "area_ord", "poly_idx", "j", "conv"]
-    ranked = crossings.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(*poly_row).orderBy("cx")))
-    sp = (ranked.groupBy(*poly_row, F.floor((F.col("_rn") - 1) / 2).alias("_span"))
-          .agg(F.min("cx").alias("c_lo"), F.max("cx").alias("c_hi"),
-               F.count(F.lit(1)).alias("_n"), F.any_value("_box").alias("_box"))
-          .where(F.col("_n") == 2))
-    i_lo = F.greatest(F.floor((F.col("c_lo") - F.col("_box.minx")) / F.col("_box.dx")) - 1, F.lit(0))
-    i_hi = F.least(F.ceil((F.col("c_hi") - F.col("_box.minx")) / F.col("_box.dx")) + 1, F.col("_box.nx") - 1)
-    sp = sp.withColumns({"_ilo": i_lo.cast("bigint"), "_ihi": i_hi.cast("bigint")}) \
-           .where(F.col("_ilo") <= F.col("_ihi"))
-    cells = sp.select(*group_cols, "j", "conv", "c_lo", "c_hi", "_box",
-                      F.explode(F.sequence("_ilo", "_ihi")).alias("i"))
+    """Lattice cells (group, _box, i, j) strictly inside the union of member
+    polygons, each once: spans of a row are disjoint, so cells need no dedupe."""
+    sp = inside_spans(crossings, group_cols)
+    i_lo = F.greatest(F.floor((F.col("x_lo") - F.col("_box.minx")) / F.col("_box.dx")) - 1, F.lit(0))
+    i_hi = F.least(F.ceil((F.col("x_hi") - F.col("_box.minx")) / F.col("_box.dx")) + 1, F.col("_box.nx") - 1)
+    sp = sp.withColumns({"_ilo": i_lo.cast("bigint"), "_ihi": i_hi.cast("bigint")}).where(F.col("_ilo") <= F.col("_ihi"))
+    cells = sp.select(*group_cols, "_box", "j", "x_lo", "x_hi", F.explode(F.sequence("_ilo", "_ihi")).alias("i"))
     x = F.col("_box.minx") + F.col("i") * F.col("_box.dx")
-    cells = cells.where((F.col("c_lo") < x) & (x < F.col("c_hi")))
-    # union over members: inside some member under A and some member under B
-    return (cells.groupBy(*group_cols, "i", "j")
-            .agg(F.max((F.col("conv") == "A").cast("int")).alias("_a"),
-                 F.max((F.col("conv") == "B").cast("int")).alias("_b"), F.any_value("_box").alias("_box"))
-            .where((F.col("_a") == 1) & (F.col("_b") == 1))
-            .select(*group_cols, "_box", "i", "j"))
+    return cells.where((F.col("x_lo") < x) & (x < F.col("x_hi"))).select(*group_cols, "_box", "i", "j")
 
 
 def lattice_in_areas(areas: DataFrame, spacing: float, group_cols: list[str],

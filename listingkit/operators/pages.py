@@ -15,6 +15,7 @@ from __future__ import annotations
 import html as htmllib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 from listingkit import constants as K
 from listingkit.functions.fields import PY_SPACE, py_strip
 from listingkit.functions.text import compatible
+from listingkit.operators.layouts import LayoutSpec, layout_spec
 
 # ---------------------------------------------------------------- Catalyst J3/J7
 
@@ -122,11 +124,10 @@ class Node:
 
     __slots__ = ("tag", "attrs", "classes", "children", "parent", "idx", "end", "doc")
 
-    def __init__(self, tag: str, attrs: dict, parent: Node | None, idx: int, doc: list):
+    def __init__(self, tag: str, attrs: dict, classes: frozenset, parent: Node | None, idx: int, doc: list):
         self.tag = tag
         self.attrs = attrs
-        cls = attrs.get("class")
-        self.classes = frozenset(cls.split()) if cls else frozenset()
+        self.classes = classes
         self.children: list = []          # Node or str
         self.parent = parent
         self.idx = idx
@@ -138,42 +139,17 @@ class Node:
         """Descendants in document order (excluding self)."""
         return self.doc[self.idx + 1:self.end]
 
-    def find_all(self, tag: str, cls: str | None = None, **attrs) -> list[Node]:
-        out = [n for n in self.doc[self.idx + 1:self.end]
-               if n.tag == tag and (cls is None or cls in n.classes)]
-        if attrs:
-            out = [n for n in out if all(
-                (k in n.attrs) if v is True else n.attrs.get(k) == v for k, v in attrs.items())]
-        return out
-
-    def find(self, tag: str, cls: str | None = None, **attrs) -> Node | None:
-        """First match in document order (stops at the first hit)."""
-        for n in self.doc[self.idx + 1:self.end]:
-            if n.tag == tag and (cls is None or cls in n.classes) and all(
-                    (k in n.attrs) if v is True else n.attrs.get(k) == v
-                    for k, v in attrs.items()):
-                return n
-        return None
-
-    def child_tags(self, tag: str) -> list[Node]:
-        return [n for n in self.children if isinstance(n, Node) and n.tag == tag]
+    def child_elements(self) -> list[Node]:
+        return [n for n in self.children if isinstance(n, Node)]
 
-    def ancestor(self, tag: str, cls: str) -> Node | None:
+    def ancestor(self, tag: str, cls: str | None = None) -> Node | None:
         p = self.parent
         while p is not None:
-            if p.tag == tag and cls in p.classes:
+            if p.tag == tag and (cls is None or cls in p.classes):
                 return p
             p = p.parent
         return None
 
-    def has_ancestor(self, tag: str) -> bool:
-        p = self.parent
-        while p is not None:
-            if p.tag == tag:
-                return True
-            p = p.parent
-        return False
-
     def text(self) -> str:
         """Text pieces stripped and joined with no separator (get_text(strip=True))."""
         out = []
@@ -213,24 +189,17 @@ def _markup(doc: str) -> str:
     return _RAW_BODY.sub(_raw_body, doc) if _HAS_RAW.search(doc) else doc
 
 
-def _attributes(raw: str) -> dict[str, str]:
-    """Attributes of a start tag, decoded; the first of a name counts."""
+@lru_cache(maxsize=8192)
+def _attributes(raw: str) -> tuple[dict[str, str], frozenset]:
+    """(attributes, classes) of a start tag, decoded; the first of a name counts.
+
+    Cards of a page repeat the same few tags, so most are looked up; nobody
+    changes what is returned."""
     attrs: dict[str, str] = {}
     for name, *values in (m.groups() for m in _ATTR.finditer(raw)):
         value = next((v for v in values if v is not None), "")
         attrs.setdefault(name.lower(), _unescape(value))
-    return attrs
-
-
-def has_result_anchor(doc: str | None, anchor_class: str = K.ANCHOR_CLASS) -> bool:
-    """Whether ``page_rows`` gives the page any row: the same tokens, read up to
-    the first result anchor."""
-    for m in _ALL_TOKENS.finditer(_markup(doc or "")):
-        if m.group(3) in ("a", "A"):
-            attrs = _attributes(m.group(4))
-            if "aria-label" in attrs and anchor_class in attrs.get("class", "").split():
-                return True
-    return False
+    return attrs, frozenset(attrs.get("class", "").split())
 
 
 def parse_html(doc: str) -> Node:
@@ -241,7 +210,7 @@ def parse_html(doc: str) -> Node:
     """
     doc = _markup(doc)
     nodes: list[Node] = []
-    root = Node("#root", {}, None, -1, nodes)
+    root = Node("#root", {}, frozenset(), None, -1, nodes)
     cur = root
     kids = root.children
     for text, end_tag, start_tag, raw_attrs, selfclose, stray in _ALL_TOKENS.findall(doc):
@@ -250,8 +219,8 @@ def parse_html(doc: str) -> Node:
                 kids.append(_unescape(text) if "&" in text else text)
         elif start_tag:
             tag = start_tag.lower()
-            attrs = _attributes(raw_attrs) if raw_attrs else {}
-            node = Node(tag, attrs, cur, len(nodes), nodes)
+            attrs, classes = _attributes(raw_attrs)
+            node = Node(tag, attrs, classes, cur, len(nodes), nodes)
             nodes.append(node)
             kids.append(node)
             if tag not in _VOID and not selfclose:
@@ -296,84 +265,26 @@ CARD_FIELDS = T.StructType([
 ])
 
 
-def _card_of(anchor: Node) -> Node | None:
-    for cls in K.CARD_CLASSES:
-        c = anchor.ancestor("div", cls)
-        if c is not None:
-            return c
-    return None
-
-
-def extract_card(card: Node) -> dict:
-    """Raw fields of one result card, layout ``loc1``; displayed text in NFKC."""
-    name_el = card.find("div", K.NAME_CLASS)
-    name = compatible(name_el.text()) if name_el is not None else ""
-    blocks = card.find_all("div", K.BLOCK_CLASS)
-    has_rating, rating, label, spans = False, None, None, []
-    if blocks:
-        row = blocks[0].find("div", K.RATING_ROW_CLASS)
-        if row is not None:
-            kids = row.child_tags("span")
-            if len(kids) > 1:
-                has_rating = True
-                r = kids[1].find("span", K.RATING_CLASS)
-                rating = compatible(r.text()) if r is not None else ""
-            if len(kids) > 2:
-                icon = kids[2].find("span", None, role="img", **{"aria-label": True})
-                if icon is not None:
-                    label = icon.attrs["aria-label"]
-                spans = [s.text() for s in kids[2].find_all("span")]
-    category, addr_spans = "", []
-    if len(blocks) > 1:
-        nested = blocks[1].find_all("div", K.BLOCK_CLASS)
-        if nested:
-            first = nested[0]
-            for s in first.iter():
-                if s.tag == "span" and s.has_ancestor("span"):
-                    category = s.text()
-                    break
-            addr_spans = [s.text() for s in first.child_tags("span")]
-    # div.ktbgEf div[role=img]: each matching element once, in document order
-    amenities = [compatible(el.attrs["aria-label"]) for el in card.iter()
-                 if el.tag == "div" and el.attrs.get("role") == "img"
-                 and "aria-label" in el.attrs and el.ancestor("div", K.AMENITY_ROW_CLASS)]
-    return dict(has_rating=has_rating, name=name, rating=rating, price_label=label,
-                price_spans=spans, category_raw=category, address_spans=addr_spans,
-                amenities=amenities)
-
-
-# layout name -> card field extractor (field rules of one result-panel layout)
-LAYOUTS = {"loc1": extract_card}
-
-
-def layout_extractor(layout: str):
-    try:
-        return LAYOUTS[layout]
-    except KeyError:
-        raise ValueError(f"unknown page layout {layout!r}; known: {sorted(LAYOUTS)}") from None
-
-
-def page_rows(page_id: int, job_idx: int, doc: str | None,
-              anchor_class: str = K.ANCHOR_CLASS, layout: str = "loc1") -> list[dict]:
-    """One dict per result anchor (``a.<anchor_class>[aria-label]``) of a page.
+def page_rows(page_id: int, job_idx: int, doc: str | None, layout: str | LayoutSpec = "loc1") -> list[dict]:
+    """One dict per result anchor (``a.<anchor class>[aria-label]``) of a page.
 
     ``pos`` is the anchor's ordinal among all ``<a>`` elements of the page.  A
-    card that breaks the layout's rules loses its fields, not its row:
-    ``card_error`` marks it, so that summaries can count it."""
-    extract = layout_extractor(layout)
+    card whose fields cannot be read loses them, not its row: ``card_error``
+    marks it, so that summaries can count it."""
+    spec = layout_spec(layout)
     if not doc:
         return []
     rows = []
     anchors = (n for n in parse_html(doc).iter() if n.tag == "a")
     for pos, a in enumerate(anchors):
-        if anchor_class not in a.classes or "aria-label" not in a.attrs:
+        if spec.anchor_class not in a.classes or "aria-label" not in a.attrs:
             continue
-        card = _card_of(a)
+        card = spec.card_of(a)
         row = dict(page_id=page_id, job_idx=job_idx, pos=pos, href=a.attrs.get("href", ""),
                    has_card=card is not None, has_rating=False, card_error=False)
         if card is not None:
             try:
-                row.update(extract(card))
+                row.update(spec.extract(card, compatible))
             except (KeyError, IndexError, AttributeError, ValueError, TypeError):
                 row.update(has_card=False, card_error=True)
         rows.append(row)
@@ -383,40 +294,30 @@ def page_rows(page_id: int, job_idx: int, doc: str | None,
 OUT_BATCH_ROWS = 2048
 
 
-def parse_result_pages(pages: DataFrame, layout: str = "loc1",
-                       anchor_class: str = K.ANCHOR_CLASS) -> DataFrame:
+def parse_result_pages(pages: DataFrame, layout: str | LayoutSpec = "loc1") -> DataFrame:
     """Pages ``(page_id, job_idx, html)`` -> one raw row per result anchor.
 
-    Pages that do not hold the anchor class at all never leave the JVM."""
+    The layout's rules travel inside the tasks.  Pages that do not hold its
+    anchor class at all never leave the JVM."""
     from pyspark.sql.pandas.types import to_arrow_schema
-    layout_extractor(layout)                       # fail fast on the driver
+    spec = layout_spec(layout)                     # an unknown name fails here, on the driver
     schema = to_arrow_schema(CARD_FIELDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[dict] = []
             for pid, jid, doc in zip(*(c.to_pylist() for c in b.columns)):
-                out.extend(page_rows(pid, jid, doc, anchor_class, layout))
+                out.extend(page_rows(pid, jid, doc, spec))
                 if len(out) >= OUT_BATCH_ROWS:     # bound worker memory on huge pages
                     yield pa.RecordBatch.from_pylist(out, schema=schema)
                     out = []
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    held = pages.where(F.col("html").contains(anchor_class)).select("page_id", "job_idx", "html")
+    held = pages.where(F.col("html").contains(spec.anchor_class)).select("page_id", "job_idx", "html")
     return held.mapInArrow(run, CARD_FIELDS)
 
 
-def jobs_with_results(pages: DataFrame, anchor_class: str = K.ANCHOR_CLASS) -> DataFrame:
-    """(job_idx) of every page with a result anchor, without building trees."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            hit = [has_result_anchor(doc, anchor_class) for doc in b.column(1).to_pylist()]
-            yield b.select([0]).filter(pa.array(hit, pa.bool_()))
-    held = pages.where(F.col("html").contains(anchor_class)).select("job_idx", "html")
-    return held.mapInArrow(run, "job_idx long")
-
-
 def result_anchors(pages: DataFrame, anchor_class: str = K.ANCHOR_CLASS) -> DataFrame:
     """Result anchors ``a.<class>[aria-label]`` of captured pages, by the scan
     inside the JVM: (page_id, job_idx, pos, href, label)."""

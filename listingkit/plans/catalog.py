@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingkit import constants as K
+from listingkit import schemas
 from listingkit.functions import fields, geo
 from listingkit.functions.text import clean_text, normalize_key
 from listingkit.operators import areas as A
@@ -26,7 +27,7 @@ from listingkit.operators.pages import result_anchors as _result_anchors
 from listingkit.plans import grid as G
 from listingkit.plans import workflow as WF
 from listingkit.plans import listings as P
-from listingkit.sources import io
+from listingkit.sources import io, steps
 from listingkit.sources import testdata as td
 
 RADIUS_M = float(K.DEFAULT_RADIUS_M)
@@ -51,10 +52,24 @@ def _cards(spark, d, which="pass1"):
     return td.card_fields(spark, d, which)
 
 
+def _extracted(spark, d, name, pages, jobs, **options):
+    """The extraction table of a pass, written once: pages are parsed once, and
+    listings, failures and summaries read what they need of it."""
+    path = td.derived_path(spark, d, f"extraction-{name}")
+    step = steps.read_step(spark, path)
+    if step is not None:
+        return P.Extraction(step["anchors"], jobs, path)
+    return P.extract_listings(pages, jobs, RADIUS_M, path=path, **options)
+
+
 def _extraction(spark, d):
-    # each registered query consumes one output: no cache to leak across queries
-    return P.extract_listings(td.landed_pages(spark, d), _jobs(spark, d), RADIUS_M,
-                              persist=False)
+    return _extracted(spark, d, "pass1", td.landed_pages(spark, d), _jobs(spark, d))
+
+
+def _retry_extraction(spark, d):
+    """The retry pass: its pages meet the failed jobs only."""
+    todo = J.retry_jobs(_extraction(spark, d).failed).select("job_idx", "latitude", "longitude", "keyword")
+    return _extracted(spark, d, "retry", td.landed_pages(spark, d, "retry"), todo)
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -63,23 +78,23 @@ def _flat(df: DataFrame) -> DataFrame:
 
 
 def _pass1(spark, d):
-    """Pass-1 listings as a landed table: extraction runs once per scale factor
-    and later stages read its output, as a staged pipeline does."""
-    path = td.derived_path(spark, d, "listings-pass1")
-    return td.land(lambda: _extraction(spark, d).listings, spark, path)
+    """Pass-1 listings, from the extraction table."""
+    return _extraction(spark, d).listings
 
 
-def _failed(spark, d):
-    """Pass-1 failure table, landed once (the retry pass reads it, as it would
-    read the failure file)."""
-    path = td.derived_path(spark, d, "failed-pass1")
-    return td.land(lambda: _extraction(spark, d).failed, spark, path)
+def _retry_listings(spark, d):
+    return _retry_extraction(spark, d).listings
 
 
-def _retry_listings(spark, d):
-    """The retry pass: its pages meet the failed jobs only."""
-    todo = J.retry_jobs(_failed(spark, d)).select("job_idx", "latitude", "longitude", "keyword")
-    return P.extract_listings(td.landed_pages(spark, d, "retry"), todo, RADIUS_M, persist=False).listings
+def _master(spark, d):
+    """The merged results with their ids, committed once by link (the hand-off
+    between merge and post-processing)."""
+    path = td.derived_path(spark, d, "master")
+    return steps.read_step(spark, path) or P.write_master(P.merge_results(_pass1(spark, d)), path)
+
+
+def _merged(spark, d):
+    return _master(spark, d)["master"].drop(P.LINK_KEY)
 
 
 # ------------------------------------------------------------------ B: projections
@@ -148,13 +163,11 @@ def q_request_url(spark, d):
 
 
 def q_normalize_key(spark, d):
-    docs = td.table(spark, d, "documents").select("doc_id", "text")
-    return docs.select("doc_id", normalize_key("text").alias("key"))
+    return td.text_rows(spark, d).select("doc_id", normalize_key("text").alias("key"))
 
 
 def q_clean_text(spark, d):
-    docs = td.table(spark, d, "documents").select("doc_id", "text")
-    return docs.select("doc_id", clean_text("text").alias("cleaned"))
+    return td.text_rows(spark, d).select("doc_id", clean_text("text").alias("cleaned"))
 
 
 # ------------------------------------------------------------------ jobs, filters, joins
@@ -170,7 +183,7 @@ def q_grid_jobs(spark, d):
 
 
 def q_run_totals(spark, d):
-    return WF.run_totals(_jobs(spark, d), _pass1(spark, d), _failed(spark, d), N_CHUNKS)
+    return WF.run_totals(_jobs(spark, d), _pass1(spark, d), _extraction(spark, d).failed, N_CHUNKS)
 
 
 def q_balanced_chunks(spark, d):
@@ -193,9 +206,7 @@ def q_retry_jobs(spark, d):
 
 
 def q_job_summary(spark, d):
-    jobs = _jobs(spark, d)
-    ext = _extraction(spark, d)
-    return ext.summary(jobs, RADIUS_M)
+    return _extraction(spark, d).summary()
 
 
 # ------------------------------------------------------------------ pages
@@ -219,6 +230,13 @@ def q_extract_listings(spark, d):
     return _flat(_extraction(spark, d).listings)
 
 
+def q_custom_layout(spark, d):
+    """Pages of a second layout, whose rules are handed in as data."""
+    ext = _extracted(spark, d, "list", td.list_pages(spark, d), _jobs(spark, d), layout=td.LIST_LAYOUT,
+                     clean={"category": F.upper})
+    return _flat(ext.listings)
+
+
 # ------------------------------------------------------------------ merge, ids, post-process
 
 def q_dedupe_keep_first(spark, d):
@@ -258,18 +276,18 @@ def q_assign_ids(spark, d):
 
 
 def q_postprocess(spark, d):
-    listings, _ = P.postprocess(P.merge_results(_pass1(spark, d)))
+    listings, _ = P.postprocess(_merged(spark, d))
     return listings
 
 
 def q_postprocess_idempotent(spark, d):
-    once, _ = P.postprocess(P.merge_results(_pass1(spark, d)))
+    once, _ = P.postprocess(_merged(spark, d))
     twice, _ = P.postprocess(once)
     return twice
 
 
 def q_amenities_explode(spark, d):
-    _, amenities = P.postprocess(P.merge_results(_pass1(spark, d)), ids=False)
+    _, amenities = P.postprocess(_merged(spark, d))
     return amenities
 
 
@@ -281,12 +299,55 @@ def q_amenities_parse(spark, d):
 
 
 def q_retry_merge(spark, d):
-    master = P.merge_results(_pass1(spark, d))
-    merged = P.retry_merge(master, _retry_listings(spark, d))
-    listings, _ = P.postprocess(merged, P.retry_order())
+    merged = P.retry_merge(_master(spark, d), _retry_listings(spark, d))
+    listings, _ = P.postprocess(merged)
     return listings
 
 
+# ------------------------------------------------------------------ sources and sinks
+
+def q_sink_roundtrip(spark, d):
+    """Listings and amenities committed together, then read as a pair.
+
+    Before they are read, a second run writes another table beside them and
+    stops, and a third one is told to keep what is there: neither shows."""
+    path = td.derived_path(spark, d, "sink")
+    listings, amenities = P.postprocess(_merged(spark, d))
+    io.write_results(listings, amenities, path, fmt="parquet")
+    listings.limit(1).write.mode("overwrite").parquet(f"{path}/{steps.RUNS}/stopped/listings")
+    steps.write_step({"listings": listings.limit(0)}, path, if_exists="keep")
+    done = steps.read_step(spark, path)
+    per_place = done["listings_amenities"].groupBy("prop_id").agg(F.count("*").alias("n"))
+    return (done["listings"].join(per_place, "prop_id", "left")
+            .select("num_id", "prop_id", "link", F.coalesce("n", F.lit(0)).alias("n_amenities"),
+                    F.lit(done.rows("listings")).cast("bigint").alias("rows_written")))
+
+
+def q_failure_sink(spark, d):
+    """The failure table as its sink leaves it, with the count the write took."""
+    path = td.derived_path(spark, d, "failures")
+    n = io.write_failures(_extraction(spark, d).failed, path, fmt="parquet")
+    return io.read_table(spark, path, fmt="parquet").select("job_idx", "keyword", F.lit(n).cast("bigint").alias("n_failed"))
+
+
+def q_csv_quarantine(spark, d):
+    """A CSV with rows that do not fit: the good rows, typed, and the rejects."""
+    read = io.read_csv_checked(spark, td.csv_folder(spark, d), schemas.JOBS, required=("keyword",))
+    good = read.good.select("*", F.lit(None).cast("string").alias("record"), F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(read.rejects, allowMissingColumns=True)
+
+
+def q_cleaned_boundaries(spark, d):
+    """Boundaries read, checked and cleaned, persisted, and labelled by the
+    column that the label rule picks."""
+    path = td.derived_path(spark, d, "areas-cleaned")
+    cleaned = G.clean_areas(_areas(spark, d), col=A.guess_name_column(["area_ord", "area_name", "area_code"]), out_path=path)
+    label = A.label_column(cleaned.columns)
+    corners = F.aggregate(F.flatten("polygons"), F.lit(0), lambda n, ring: n + F.size(ring))
+    return cleaned.select("area_ord", F.lit(label).alias("label_column"), F.col(label).alias("label"),
+                          F.size("polygons").cast("bigint").alias("n_polygons"), corners.cast("bigint").alias("n_corners"))
+
+
 # ------------------------------------------------------------------ areas and grid
 
 def _areas(spark, d):
@@ -406,6 +467,11 @@ QUERIES: dict[str, Query] = {
     "run_totals": q_run_totals,
     "card_anchors": q_card_anchors,
     "csv_roundtrip": q_csv_roundtrip,
+    "custom_layout": q_custom_layout,
+    "sink_roundtrip": q_sink_roundtrip,
+    "failure_sink": q_failure_sink,
+    "csv_quarantine": q_csv_quarantine,
+    "cleaned_boundaries": q_cleaned_boundaries,
 }
 
 #: Landed inputs that several queries read, in the order they build on each other.
@@ -414,6 +480,8 @@ PREPARE: dict[str, Query] = {
     "pages": td.landed_pages,
     "retry_pages": lambda spark, d: td.landed_pages(spark, d, "retry"),
     "areas": _areas,
-    "listings": _pass1,
-    "failures": _failed,
+    "extraction": lambda spark, d: _extraction(spark, d).table,
+    "retry_extraction": lambda spark, d: _retry_extraction(spark, d).table,
+    "list_extraction": q_custom_layout,
+    "master": _merged,
 }

@@ -19,12 +19,11 @@ from listingkit.sources import io
 def clean_areas(areas: DataFrame, clean_names: Mapping[str, str] = K.CLEAN_NAMES,
                 col: str | None = None, out_path: str | None = None) -> DataFrame:
     """Add ``cleaned_name`` to a boundary table; optionally persist it."""
+    if out_path:                          # the write itself finds out whether there are rows
+        cleaned = A.canonical_names(areas, clean_names, col)
+        return io.write_table(cleaned, out_path, "overwrite", "parquet", non_empty=True)
     io.require(areas, what="boundary table")
-    cleaned = A.canonical_names(areas, clean_names, col)
-    if out_path:
-        cleaned.write.mode("overwrite").parquet(out_path)
-        return areas.sparkSession.read.parquet(out_path)
-    return cleaned
+    return A.canonical_names(areas, clean_names, col)
 
 
 def build_grid(areas: DataFrame, key: str, by: str = "name",
@@ -55,11 +54,12 @@ def grid_by_area(areas: DataFrame, spacing: float, group_col: str = "area_code",
 def make_jobs(grid: DataFrame, keywords: Sequence[str] = K.KEYWORDS,
               out_path: str | None = None, if_exists: str = "keep") -> DataFrame:
     """Validated grid x keywords; with ``out_path`` the job table is persisted
-    (an existing table is kept and used unless ``if_exists='overwrite'``)."""
-    io.require(grid, ["latitude", "longitude"], what="grid")
+    (an existing table is kept and used unless ``if_exists='overwrite'``), and
+    a grid without points is found out by that write, not by a look before it."""
+    io.require(grid, ["latitude", "longitude"], non_empty=not out_path, what="grid")
     if "point_idx" not in grid.columns:
         grid = O.assign_ids(grid, ["longitude", "latitude"], "point_idx", start=0)
     jobs = J.generate_jobs(grid, keywords)
     if out_path:
-        return io.write_table(jobs, out_path, if_exists=if_exists, fmt="parquet")
+        return io.write_table(jobs, out_path, if_exists=if_exists, fmt="parquet", non_empty=True)
     return jobs

@@ -8,19 +8,23 @@ depend on file or partition order.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listingkit import schemas
 from listingkit.functions import fields
+from listingkit.functions.text import seen_text
 from listingkit.operators import jobs as J
 from listingkit.operators import ordering as O
-from listingkit.functions.text import seen_text
-from listingkit.operators.pages import jobs_with_results, parse_result_pages
+from listingkit.operators.layouts import LayoutSpec
+from listingkit.operators.pages import parse_result_pages
+from listingkit.session import ensure_checkpoint_dir
+from listingkit.sources import steps
 
 CAPTURE_ORDER = ["job_idx", "page_id", "pos"]
 
@@ -33,48 +37,69 @@ def sorted_order() -> list[Column]:
 
 @dataclass
 class Extraction:
-    listings: DataFrame      # RAW_LISTINGS columns
-    failed: DataFrame        # FAILED_JOBS columns
-    anchors: DataFrame       # every result anchor with its distance to the job
+    """What one parse of the pages gave: a written table with a row for every
+    result anchor, split by ``kind`` (see ``jobs.anchor_kind``).  Listings read
+    one kind's folder; failures and summaries read two columns."""
+    table: DataFrame         # RAW_LISTINGS columns and kind
+    jobs: DataFrame
+    path: str
+
+    @property
+    def listings(self) -> DataFrame:
+        return self.table.where(F.col("kind") == "listing").select(schemas.RAW_LISTINGS.fieldNames())
+
+    @property
+    def failed(self) -> DataFrame:
+        return J.failed_jobs(self.jobs, self.table)
 
-    def summary(self, jobs: DataFrame, radius_m: float) -> DataFrame:
-        return J.job_summary(jobs, self.anchors, radius_m)
+    def summary(self) -> DataFrame:
+        return J.job_summary(self.jobs, self.table)
 
-    def unpersist(self) -> None:
-        self.anchors.unpersist()
+    def discard(self) -> None:
+        """Removes the table, where nothing will read it again."""
+        steps.remove(self.table.sparkSession, self.path)
 
 
 def extract_listings(pages: DataFrame, jobs: DataFrame, radius_m: float = 1000,
-                     missing_rating: str = "drop", persist: bool = True,
-                     layout: str = "loc1") -> Extraction:
-    """Captured result pages -> listing rows within each job's radius + failed jobs.
+                     missing_rating: str = "drop", layout: str | LayoutSpec = "loc1",
+                     clean: Mapping[str, Callable[[Column], Column]] | None = None,
+                     path: str | None = None) -> Extraction:
+    """Captured result pages -> listing rows within each job's radius, failed jobs,
+    per-job counts: all from one parse.
 
-    One pass parses the pages where they lie and emits small rows; only these
-    meet their jobs (equi-join) and the radius test.  Listings, failures and the
-    per-job summary all come from the same rows.  ``persist`` caches them for
-    callers that use more than one.
+    The parse runs where the pages lie and emits small rows; only these meet
+    their jobs (equi-join) and the radius test.  They are written once, at
+    ``path`` (default: a folder of their own in the shared folder), split by
+    kind; HTML is read once and a lost executor does not mean parsing again.
 
     ``missing_rating='drop'`` keeps the original behaviour of losing a card
-    without a rating block; ``'null'`` keeps such rows.
+    without a rating block; ``'null'`` keeps such rows.  ``layout`` is a
+    registered name or a ``LayoutSpec``; ``clean`` holds further functions for
+    listing columns, applied after the standard rules.
     """
     if missing_rating not in ("drop", "null"):
         raise ValueError("missing_rating must be 'drop' or 'null'")
     whole = F.col("has_card") & F.col("has_rating") if missing_rating == "drop" else F.col("has_card")
-    with_dist = J.anchors_with_distance(parse_result_pages(pages, layout), jobs).withColumn("complete", whole)
-    if persist:
-        with_dist = with_dist.persist(StorageLevel.MEMORY_AND_DISK)
-    cards = J.radius_filter(with_dist, radius_m).where("complete")
-    listings = cards.select(
-        "job_idx", "page_id", "pos", "latitude", "longitude", "keyword", seen_text(F.col("name")).alias("name"),
-        F.col("href").alias("link"),
-        F.when(F.col("has_rating"), seen_text(F.col("rating"))).alias("rating"),
-        fields.price_choice("price_label", "price_spans").alias("price"),
-        fields.category_clean("category_raw").alias("category"),
-        fields.address_clean("address_spans").alias("address"),
-        F.transform("amenities", seen_text).alias("amenities"))
-    # without the cached rows, failures need no more than the first anchor of a page
-    failed = J.failed_jobs(jobs, with_dist if persist else jobs_with_results(pages))
-    return Extraction(listings, failed, with_dist)
+    anchors = J.anchors_with_distance(parse_result_pages(pages, layout), jobs)
+    kind = J.anchor_kind(whole, F.col("has_card") | F.col("card_error"), radius_m)
+    standard = {
+        "name": seen_text(F.col("name")),
+        "rating": F.when(F.col("has_rating"), seen_text(F.col("rating"))),
+        "price": fields.price_choice("price_label", "price_spans"),
+        "category": fields.category_clean("category_raw"),
+        "address": fields.address_clean("address_spans"),
+        "amenities": F.transform("amenities", seen_text)}
+    values = {c: F.col(c) for c in ("job_idx", "page_id", "pos", "latitude", "longitude", "keyword")}
+    values |= {"link": F.col("href"), **standard}
+    for column, function in (clean or {}).items():
+        if column not in values:
+            raise ValueError(f"no listing column {column!r}; columns: {sorted(values)}")
+        values[column] = function(values[column])
+    rows = anchors.withColumn("kind", kind).select(
+        *[values[f].alias(f) for f in schemas.RAW_LISTINGS.fieldNames()], "kind")
+    path = path or f"{ensure_checkpoint_dir(pages.sparkSession)}/extraction-{uuid.uuid4().hex}"
+    step = steps.write_step({"anchors": rows}, path, partition_by={"anchors": "kind"})
+    return Extraction(step["anchors"], jobs, path)
 
 
 def concat_results(*parts: DataFrame) -> DataFrame:
@@ -167,21 +192,40 @@ def postprocess(results: DataFrame, order: list | None = None,
     return df, amenities
 
 
-def retry_merge(master: DataFrame, retry: DataFrame) -> DataFrame:
-    """Master rows first (in their sorted order), then retry rows in capture
-    order; keep-first on link so a master row wins; not re-sorted.
+#: The name a master's link is hashed and sorted under; null links are one key.
+LINK_KEY = "_link_key"
 
-    Returns the merged table with a total-order column set
-    ``(_src, _o1, _o2, job_idx, page_id, pos)`` for id assignment.
-    """
-    m = master.withColumns({"_src": F.lit(0), "_o1": F.col("longitude"),
-                            "_o2": F.col("latitude")})
-    r = retry.withColumns({"_src": F.lit(1), "_o1": F.lit(None).cast("double"),
-                           "_o2": F.lit(None).cast("double")})
-    order = retry_order()
-    return O.keep_first(concat_results(m, r), "link", order)
 
+def link_key(link: Column | str = "link") -> Column:
+    """A link as a join key: null is a key of its own, unlike any link."""
+    link = F.col(link) if isinstance(link, str) else link
+    return F.coalesce(F.concat(F.lit("="), link), F.lit(""))
 
-def retry_order() -> list[Column]:
-    return [F.col("_src").asc(), F.col("_o1").asc_nulls_last(), F.col("_o2").asc_nulls_last(),
-            *[F.col(c).asc() for c in CAPTURE_ORDER]]
+
+def write_master(merged: DataFrame, path: str, buckets: int = 32, id_col: str = "num_id") -> steps.Step:
+    """Commits a merged table (one row per link) with its dense ids, hashed and
+    sorted by link, so that later passes meet it where it lies."""
+    numbered = O.assign_ids(merged, sorted_order(), id_col).withColumn(LINK_KEY, link_key())
+    return steps.write_step({"master": numbered}, path, buckets={"master": (LINK_KEY, buckets)})
+
+
+def new_links(master: DataFrame, retry: DataFrame) -> DataFrame:
+    """The first retry row, in capture order, of every link the master lacks.
+
+    The master is read by its link alone and, if it was written by
+    ``write_master``, not exchanged: retry rows move to its buckets."""
+    first = dedupe_keep_first(retry).withColumn(LINK_KEY, link_key())
+    known = master if LINK_KEY in master.columns else master.withColumn(LINK_KEY, link_key())
+    return first.hint("merge").join(known.select(LINK_KEY).hint("merge"), LINK_KEY, "left_anti").drop(LINK_KEY)
+
+
+def retry_merge(master: steps.Step, retry: DataFrame, id_col: str = "num_id") -> DataFrame:
+    """Master rows first, in their order, then retry rows in capture order;
+    keep-first on link, so a master row wins; not re-sorted.
+
+    Master rows keep their ids; new rows are numbered after them.  Nothing of
+    the master moves; the retry pass, which only holds failed jobs, is what is
+    shuffled and sorted."""
+    table = master["master"]
+    fresh = O.assign_ids(new_links(table, retry), CAPTURE_ORDER, id_col, start=master.rows("master") + 1)
+    return table.drop(LINK_KEY).unionByName(fresh, allowMissingColumns=True)

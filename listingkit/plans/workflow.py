@@ -6,7 +6,8 @@ happens outside Spark; ``process_pages`` then takes the captured pages and
 runs extraction, merge, the failure table, the optional retry pass and the
 post-processing (P4-P7) with the original flow gate: post-process right
 after the first pass only when nothing failed, otherwise after the retry
-merge.  Every output is a table under ``out_dir``.
+merge.  Every output is a committed table under ``out_dir`` (``sources.steps``),
+and every count is taken by the write of its table.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from listingkit.operators import jobs as J
 from listingkit.operators.ordering import balanced_chunks
 from listingkit.plans import grid as G
 from listingkit.plans import listings as P
-from listingkit.sources import io
+from listingkit.sources import io, steps
 
 
 @dataclass
@@ -45,7 +46,7 @@ def prepare_jobs(areas: DataFrame, area_key: str, out_dir: str, by: str = "name"
     spacing = radius_m * K.LATTICE_SPACING_FACTOR
     grid, city = G.build_grid(cleaned, area_key, by, spacing, label="cleaned_name")
     paths["grid"] = f"{out_dir}/grid"
-    grid = io.write_table(grid, paths["grid"], if_exists=if_exists, fmt="parquet")
+    grid = io.write_table(grid, paths["grid"], if_exists=if_exists, fmt="parquet", non_empty=True)
     paths["jobs"] = f"{out_dir}/jobs"
     jobs = G.make_jobs(grid, keywords, out_path=paths["jobs"], if_exists=if_exists)
     return JobsResult(city, grid, jobs, paths)
@@ -62,48 +63,39 @@ class PagesResult:
 
 def process_pages(jobs: DataFrame, pages: DataFrame, out_dir: str,
                   retry_pages: DataFrame | None = None,
-                  radius_m: float = K.DEFAULT_RADIUS_M) -> PagesResult:
-    """P4-P7 with sinks: extraction, keep-first merge, failures, retry, post-process."""
-    paths = {"results": f"{out_dir}/results", "failed": f"{out_dir}/jobs_failed"}
-    ext = P.extract_listings(pages, jobs, radius_m)
-    merged = P.merge_results(ext.listings)
-    # the merged results table is the hand-off between stages (written, then read)
-    merged.write.mode("overwrite").parquet(paths["results"])
-    merged = pages.sparkSession.read.parquet(paths["results"])
-    n_failed = io.write_failures(ext.failed, paths["failed"], fmt="parquet")
-    failed = pages.sparkSession.read.parquet(paths["failed"])
-    counts = {"results": merged.count(), "failed": n_failed}
-    ext.unpersist()
-
-    if n_failed == 0 or retry_pages is None:
+                  radius_m: float = K.DEFAULT_RADIUS_M, layout="loc1") -> PagesResult:
+    """P4-P7 with sinks: extraction, keep-first merge, failures, retry, post-process.
+
+    Pages are parsed once a pass, into a written extraction table.  The merged
+    pass and its failures are committed together, as are listings and amenities;
+    a run that stops in between leaves the pair that was there."""
+    ext = P.extract_listings(pages, jobs, radius_m, layout=layout, path=f"{out_dir}/extraction")
+    master = P.write_master(P.merge_results(ext.listings), f"{out_dir}/results")
+    first = steps.write_step({"failed": ext.failed, "summary": ext.summary()}, f"{out_dir}/pass1")
+    failed = first["failed"]
+    counts = {"results": master.rows("master"), "failed": first.rows("failed")}
+    paths = {"results": master.path("master"), "failed": first.path("failed"), "summary": first.path("summary")}
+    if counts["failed"] == 0 or retry_pages is None:
         # post-process after the first pass when nothing failed (or when no
         # second capture is given to retry with)
-        listings, amenities = P.postprocess(merged, P.sorted_order())
-        still_failed = failed
+        combined, still_failed = master["master"].drop(P.LINK_KEY), failed
     else:
         todo = J.retry_jobs(failed).select("job_idx", "latitude", "longitude", "keyword")
-        rext = P.extract_listings(retry_pages, todo, radius_m)
-        combined = P.retry_merge(merged, rext.listings)
-        listings, amenities = P.postprocess(combined, P.retry_order())
-        still_failed = rext.failed
-        paths["still_failed"] = f"{out_dir}/jobs_still_failed"
-        counts["still_failed"] = io.write_failures(still_failed, paths["still_failed"],
-                                                   fmt="parquet")
-        still_failed = pages.sparkSession.read.parquet(paths["still_failed"])
-        rext.unpersist()
-    base, amen = io.write_results(listings, amenities, f"{out_dir}/listings", fmt="parquet")
-    paths.update(listings=base, amenities=amen)
-    spark = pages.sparkSession
-    listings = spark.read.parquet(base)
-    amenities = spark.read.parquet(amen)
-    counts["listings"] = listings.count()
-    counts["amenities"] = amenities.count()
-    return PagesResult(listings, amenities, still_failed, counts, paths)
+        rext = P.extract_listings(retry_pages, todo, radius_m, layout=layout, path=f"{out_dir}/extraction_retry")
+        combined = P.retry_merge(master, rext.listings)
+        retried = steps.write_step({"still_failed": rext.failed}, f"{out_dir}/pass2")
+        still_failed = retried["still_failed"]
+        counts["still_failed"], paths["still_failed"] = retried.rows("still_failed"), retried.path("still_failed")
+    listings, amenities = P.postprocess(combined)
+    done = io.write_results(listings, amenities, f"{out_dir}/listings", fmt="parquet")
+    paths |= {"listings": done.path("listings"), "amenities": done.path("listings_amenities")}
+    counts |= {"listings": done.rows("listings"), "amenities": done.rows("listings_amenities")}
+    return PagesResult(done["listings"], done["listings_amenities"], still_failed, counts, paths)
 
 
 def job_chunks(jobs: DataFrame, n: int = K.NUM_CHUNKS) -> DataFrame:
     """Jobs tagged with their contiguous chunk (for handing work to n collectors)."""
-    return balanced_chunks(jobs, n, [F.col("job_idx")], dense_rank_col=None)
+    return balanced_chunks(jobs, n, ["job_idx"])
 
 
 def run_totals(jobs: DataFrame, listings: DataFrame, failed: DataFrame,

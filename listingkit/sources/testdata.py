@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingkit import constants as K
+from listingkit.sources.io import read_boundaries
+from listingkit.operators.layouts import LayoutSpec, Part, Pick, Rule
 
 NBSP, ZWSP = " ", "​"
 
@@ -222,6 +224,48 @@ def _card_html(c: DataFrame) -> DataFrame:
     return c.select("page_id", "job_idx", "pos", html.alias("card_html"))
 
 
+#: Markup of a second result layout: one list item a place, prices as icons'
+#: titles, tags in a list of their own.  Its rules are data (``LayoutSpec``).
+LIST_LAYOUT = LayoutSpec(
+    name="list", anchor_class="res-link", card_classes=("res-item",), card_tag="li",
+    parts=(Part("meta", (Pick("p", "res-meta", 0),)),),
+    rules=(
+        ("name", Rule("text", (Pick("h3", "res-name", 0),), compatible=True)),
+        ("rating", Rule("text", (Pick("b", "res-score", 0),), part="meta", absent=None)),
+        ("price_label", Rule("attr", (Pick("i", "res-price", 0, attrs=(("title", None),)),), part="meta", attr="title",
+                             default=None, absent=None)),
+        ("price_spans", Rule("texts", (Pick("i", "res-price"),), part="meta")),
+        ("category_raw", Rule("text", (Pick("p", "res-about", 0), Pick("span", index=0, children=True)))),
+        ("address_spans", Rule("texts", (Pick("p", "res-about", 0), Pick("span", children=True)))),
+        ("amenities", Rule("attrs", (Pick("li", attrs=(("title", None),), within=("ul", "res-tags")),), attr="title", compatible=True)),
+    ))
+
+
+def _list_item_html(c: DataFrame) -> DataFrame:
+    """Render one result per row in the list layout."""
+    amp = lambda col: F.replace(F.replace(F.col(col), F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;"))
+    meta = F.when(F.col("rating_kind") == 0, F.lit("")).otherwise(F.concat(
+        F.lit("<p class='res-meta x'>"),
+        F.when(F.col("rating_kind") == 2, F.concat(F.lit("<b class=res-score>"), F.col("rating_text"), F.lit("</b>"))).otherwise(F.lit("")),
+        F.when(F.col("price_kind") == 0, F.lit('<i class="res-price" title="Moderado"></i>'))
+         .when(F.col("price_kind") == 1, F.concat(F.lit('<i class="res-price">'), F.col("price_text"), F.lit("</i>"))).otherwise(F.lit("")),
+        F.lit("</p>")))
+    address = F.when(F.col("addr_kind") == 1, F.concat(F.lit("<span>· "), F.col("address_text"), F.lit("</span>"))).otherwise(F.lit(""))
+    tags = F.when(F.col("amen_kind") == 0, F.lit("")).otherwise(F.concat(
+        F.lit('<ul class="res-tags"><li title="'), F.col("amen1"), F.lit('"><li title="'), F.col("amen2_raw"),
+        F.lit('"></li><li>more</li><li title=" "></li></ul>')))
+    html = F.concat(
+        F.lit('<li class="res-item"><a class="res-link" aria-label="'), amp("label"), F.lit('" href="'), amp("link"),
+        F.lit('"></a><h3 class="res-name">'), F.col("name_raw"), F.lit("</h3>"), meta, F.lit('<p class="res-about"><span>'),
+        F.col("category_raw"), F.lit("</span>"), address, F.lit("</p>"), tags, F.lit("</li>"))
+    return c.select("page_id", "job_idx", F.concat(F.lit('<ol><li><a class="res-more" href="#">x</a></li>'), html, F.lit("</ol>")).alias("html"))
+
+
+def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retry pass' cards as pages in the list layout."""
+    return _list_item_html(card_fields(spark, sf_dir, "retry"))
+
+
 def _panel(cards_html: Column) -> Column:
     return F.concat(F.lit('<div role="feed" aria-label="Resultados">'), cards_html,
                     F.lit("</div>"))
@@ -326,6 +370,55 @@ from {part}
 """
 
 
+# --- CSV with rows that do not fit ------------------------------------------------
+#: One line an order: job_idx, latitude, longitude, keyword.  Some have a field
+#: too few or too many, a text where a number belongs, no keyword, or quoted
+#: separators and quotes.
+CSV_ROWS_SQL = """
+select o_orderkey as job_idx, cast(-(25000000 + o_orderkey % 100000) as double) / 1000000.0 as latitude,
+  cast(-(57000000 + o_custkey % 100000) as double) / 1000000.0 as longitude,
+  case when o_orderkey % 31 = 0 then null when o_orderkey % 3 = 0 then 'Café, "Bar" y' else concat('Tienda ', cast(o_orderkey % 7 as string)) end as keyword,
+  concat('-25.', lpad(cast(o_orderkey % 100000 as string), 6, '0')) as lat_text,
+  concat('-57.', lpad(cast(o_custkey % 100000 as string), 6, '0')) as lon_text,
+  case when o_orderkey % 17 = 0 then 'too few fields' when o_orderkey % 19 = 0 then 'too many fields'
+       when o_orderkey % 23 = 0 then 'not a double: latitude' when o_orderkey % 29 = 0 then 'not a bigint: job_idx'
+       when o_orderkey % 31 = 0 then 'no keyword' end as reason
+from {orders}
+"""
+CSV_LINES_SQL = f"""
+select *, case reason
+    when 'too few fields' then concat(cast(job_idx as string), ',', lat_text)
+    when 'too many fields' then concat(cast(job_idx as string), ',', lat_text, ',', lon_text, ',a,b')
+    when 'not a double: latitude' then concat(cast(job_idx as string), ',"south, far",', lon_text, ',k')
+    when 'not a bigint: job_idx' then concat('x', cast(job_idx as string), ',', lat_text, ',', lon_text, ',k')
+    else concat(cast(job_idx as string), ',', lat_text, ',', lon_text, ',',
+      case when keyword is null then '' when job_idx % 3 = 0 then '"Café, ""Bar"" y"' else keyword end) end as line
+from ({CSV_ROWS_SQL}) r
+"""
+
+
+def csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of CSV files with these lines, landed once."""
+    path = derived_path(spark, sf_dir, "messy-csv", CSV_LINES_SQL)
+    if not _path_exists(spark, path):
+        # lines are written as they are: one column, no quoting
+        lines = portable_sql(spark, sf_dir, CSV_LINES_SQL).select(F.col("line").alias("job_idx,latitude,longitude,keyword"))
+        lines.write.mode("overwrite").csv(path, header=True, sep="\x01", quote="\x00", escape="\x02", escapeQuotes=False)
+    return path
+
+
+# --- text of all kinds -------------------------------------------------------------
+#: What is appended to every k-th document, and what the text rules make of it.
+TEXT_TAILS = [(" \uff21\ufb01n", " Afin", " afin"), (" a\u00a0b", " a b", " a b"), (" x\u200by", " xy", " xy"),
+              (" \u00bd", " 1\u20442", " 12"), (" \u0041\u0301\u00ad", " \u00c1", " a"), (" \u00ba\u2028z", " oz", " oz")]
+
+
+def text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text) of all documents, with a tail that the text rules change."""
+    tail = F.element_at(F.array(*[F.lit(t[0]) for t in TEXT_TAILS]), (F.col("doc_id") % len(TEXT_TAILS) + 1).cast("int"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat("text", tail).alias("text"))
+
+
 # --- boundaries --------------------------------------------------------------
 # Shape templates in half-units: (shape, poly_idx, ring_idx, v_idx, dx, dy).
 # 0 hexagon, 1 concave L, 2 square with a square hole, 3 hexagon plus an
@@ -383,6 +476,9 @@ def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select("area_ord", "area_code", "area_name", "poly_idx", "ring_idx",
                      F.transform("vs", lambda x: F.struct(x["lon"].alias("lon"),
                                                           x["lat"].alias("lat"))).alias("ring")))
+    # every other boundary has closed rings, as boundary files write them
+    closed = F.concat("ring", F.slice("ring", 1, 1))
+    rings = rings.withColumn("ring", F.when(F.col("area_ord") % 2 == 0, closed).otherwise(F.col("ring")))
     polys = (rings.groupBy("area_ord", "area_code", "area_name", "poly_idx")
              .agg(F.array_sort(F.collect_list(F.struct("ring_idx", "ring"))).alias("rs"))
              .select("area_ord", "area_code", "area_name", "poly_idx",
@@ -395,6 +491,7 @@ def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived boundary table landed once as Parquet (boundaries are an
-    input file of the pipeline) and read back."""
+    input file of the pipeline) and read as boundaries are."""
     path = derived_path(spark, sf_dir, "areas", AREA_VERTICES_SQL)
-    return land(lambda: areas(spark, sf_dir), spark, path)
+    land(lambda: areas(spark, sf_dir), spark, path)
+    return read_boundaries(spark, path)

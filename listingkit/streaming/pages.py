@@ -28,13 +28,13 @@ def extract_batch(pages: DataFrame, jobs: DataFrame, out_dir: str, epoch: int,
                   radius_m: float = 1000) -> None:
     """Extract one batch of pages and write its three outputs for ``epoch``."""
     batch_jobs = jobs.join(pages.select("job_idx").distinct(), "job_idx", "left_semi")
-    ext = extract_listings(pages, batch_jobs, radius_m, persist=True)
+    ext = extract_listings(pages, batch_jobs, radius_m)
     try:
         _write_epoch(ext.listings, f"{out_dir}/listings", epoch)
         _write_epoch(ext.failed, f"{out_dir}/failed", epoch)
-        _write_epoch(ext.summary(batch_jobs, radius_m), f"{out_dir}/summary", epoch)
+        _write_epoch(ext.summary(), f"{out_dir}/summary", epoch)
     finally:
-        ext.unpersist()
+        ext.discard()
 
 
 def start_page_stream(spark: SparkSession, pages_dir: str, jobs: DataFrame, out_dir: str,

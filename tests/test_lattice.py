@@ -75,9 +75,69 @@ def test_shared_horizontal_edge_in(spark):
     assert got == {(x, y) for x in (1, 2, 3) for y in (1, 2, 3)}
 
 
-def test_shared_vertical_edge_documented(spark):
+def test_shared_vertical_edge_in(spark):
     got = _inside(spark, [(0, 0, [rect(0, 0, 2, 4)]), (1, 0, [rect(2, 0, 4, 4)])])
-    assert got == {(x, y) for x in (1, 3) for y in (1, 2, 3)}   # x=2 dropped (measure zero)
+    assert got == {(x, y) for x in (1, 2, 3) for y in (1, 2, 3)}
+
+
+def test_shared_edge_of_part_of_the_height(spark):
+    # x=2 is shared from y=1 to y=3 only: above and below it is border
+    got = _inside(spark, [(0, 0, [rect(0, 0, 2, 4)]), (1, 0, [rect(2, 1, 4, 3)])])
+    assert got == {(1, 1), (1, 2), (1, 3), (2, 2), (3, 2)}
+
+
+def test_shared_slanted_edge_in(spark):
+    low, high = [(0, 0), (4, 0), (4, 4)], [(4, 4), (0, 4), (0, 0)]          # the square cut along x = y
+    assert _inside(spark, [(0, 0, [low]), (1, 0, [high])]) == {(x, y) for x in (1, 2, 3) for y in (1, 2, 3)}
+
+
+def test_corners_that_touch_stay_out(spark):
+    diamond = lambda x: [(x, 2), (x + 2, 0), (x + 4, 2), (x + 2, 4)]        # noqa: E731
+    got = _inside(spark, [(0, 0, [diamond(0)]), (1, 0, [diamond(4)])])
+    assert (4, 2) not in got and {(2, 1), (1, 2), (3, 2), (5, 2), (6, 3)} <= got
+    squares = _inside(spark, [(0, 0, [rect(0, 0, 2, 2)]), (1, 0, [rect(2, 2, 4, 4)])])
+    assert squares == {(1, 1), (3, 3)}
+
+
+def test_union_needs_no_exchange_of_cells(spark):
+    rings = _rings(spark, [(0, 0, [rect(0, 0, 4, 4)]), (1, 0, [rect(2, 0, 6, 4)])])
+    b = L.group_bounds(rings, ["g"], 1.0)
+    cells = L.inside_points(L.row_crossings(L.ring_edges(rings, ["g"]), b, ["g"]), ["g"])
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    rows = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln and ", j#" in ln]
+    assert len(rows) == 1 and "i#" not in rows[0]
+
+
+def _probed(polys, p, step=1e-5):
+    """Inside a union: the four points beside it, diagonally, are each in some
+    member by plain even-odd parity (no rule for borders is needed)."""
+    def parity(rings, x, y):
+        n = 0
+        for ring in rings:
+            for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+                n += (y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1)
+        return n % 2 == 1
+    return all(any(parity(rings, p[0] + dx, p[1] + dy) for _, _, rings in polys) for dx in (-step, step) for dy in (-step, step))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_union_equals_probes(spark, seed):
+    """Members on a coarse grid, so that they share edges, corners and parts of them."""
+    random.seed(seed)
+    polys = []
+    for k in range(7):
+        x, y, w, h = random.randint(0, 6), random.randint(0, 6), random.randint(1, 4), random.randint(1, 4)
+        ring = rect(x, y, x + w, y + h)
+        if k % 3 == 1:
+            ring = ring[:3]                                                # a triangle along the diagonal
+        if k % 3 == 2 and k % 2:
+            ring = ring[::-1]
+        polys.append((k, 0, [ring] + ([rect(x + 1, y + 1, x + 2, y + 2)] if k % 3 == 0 and w > 2 and h > 2 else [])))
+    got = _inside(spark, polys, 1.0)
+    xs = [v[0] for _, _, rings in polys for r in rings for v in r]
+    ys = [v[1] for _, _, rings in polys for r in rings for v in r]
+    pts = {(float(x), float(y)) for x in range(min(xs), max(xs) + 2) for y in range(min(ys), max(ys) + 2)}
+    assert got == {p for p in pts if _probed(polys, p)}
 
 
 def _brute(poly_rings, pts):

@@ -73,14 +73,84 @@ def test_dedupe_stats(spark):
     assert (s.rows_before, s.rows_after, s.removed) == (4, 2, 2)
 
 
-def test_retry_merge_master_wins_and_order(spark):
-    master = spark.createDataFrame([(1, 0, 0, -25.0, -57.5, "k", "A"),
+def test_retry_merge_master_wins_and_order(spark, tmp_path):
+    master = spark.createDataFrame([(1, 0, 0, -25.0, -57.5, "k", "A"), (3, 0, 0, -25.0, -57.3, "k", None),
                                     (2, 0, 0, -25.0, -57.4, "k", "B")], SCHEMA)
-    retry = spark.createDataFrame([(9, 0, 0, -25.0, -58.0, "r", "A"),
-                                   (8, 0, 0, -25.0, -59.0, "r", "C")], SCHEMA)
-    merged = P.retry_merge(P.merge_results(master), retry)
-    listings, _ = P.postprocess(merged.withColumn("rating", F.lit("4.0(1)")),
-                                P.retry_order())
+    retry = spark.createDataFrame([(9, 0, 0, -25.0, -58.0, "r", "A"), (9, 0, 1, -25.0, -58.0, "r", None), (9, 0, 2, -25.0, -58.0, "r", ""),
+                                   (8, 0, 0, -25.0, -59.0, "r", "C"), (8, 0, 1, -25.0, -59.0, "r", "C")], SCHEMA)
+    step = P.write_master(P.merge_results(master), str(tmp_path / "master"), buckets=4)
+    merged = P.retry_merge(step, retry)
+    listings, _ = P.postprocess(merged.withColumn("rating", F.lit("4.0(1)")))
     got = [(r.num_id, r.link, r.keyword) for r in listings.orderBy("num_id").collect()]
-    # master rows first in their sorted order, retry-only row after them; A kept from master
-    assert got == [(1, "A", "k"), (2, "B", "k"), (3, "C", "r")]
+    # master rows first in their sorted order, retry-only rows after them; A and the null link kept from master
+    assert got == [(1, "A", "k"), (2, "B", "k"), (3, None, "k"), (4, "C", "r"), (5, "", "r")]
+
+
+def _exchanges_above_scan(plan: str, table: str) -> int:
+    """Exchanges on the way from the scan of ``table`` to the top of the plan."""
+    lines = plan.splitlines()
+    n = 0
+    for at, line in enumerate(lines):
+        if "FileScan" in line and table in line:
+            depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+            for above in reversed(lines[:at]):
+                d = len(above) - len(above.lstrip(" :+-*()0123456789"))
+                if d < depth:
+                    depth = d
+                    n += "Exchange" in above
+    return n
+
+
+def test_retry_merge_does_not_move_the_master(spark, tmp_path):
+    rows = [(i, 0, 0, -25.0, -57.0 + i / 1e4, "k", f"L{i}") for i in range(500)]
+    step = P.write_master(P.merge_results(spark.createDataFrame(rows, SCHEMA)), str(tmp_path / "m"), buckets=8)
+    retry = spark.createDataFrame([(i, 1, 0, -25.0, -57.0, "r", f"L{i * 3}") for i in range(400)], SCHEMA)
+    fresh = P.new_links(step["master"], retry)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange hashpartitioning(_link_key" in plan      # the retry side
+    name = step["master"]._jdf.queryExecution().analyzed().toString()
+    assert "listingkit_" in name and _exchanges_above_scan(plan, "listingkit_") == 0
+    assert {r.link for r in fresh.collect()} == {f"L{i * 3}" for i in range(400) if i * 3 >= 500}
+    merged = P.retry_merge(step, retry)
+    assert _exchanges_above_scan(merged._jdf.queryExecution().executedPlan().toString(), "listingkit_") == 0
+    ids = sorted(r.num_id for r in merged.collect())
+    assert ids == list(range(1, len(ids) + 1))
+
+
+def test_ids_come_from_files_and_stay(spark, tmp_path):
+    """No checkpoint; ids equal the window's, also where a file is read in several parts and read again."""
+    rows = [(random.Random(i).randint(0, 9), i, "x" * 50) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k int, t int, pad string").repartition(5)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        table = O.write_sorted(df, ["k", "t"], str(tmp_path / "s"), num_partitions=13)
+        ids = O.file_ids(table)
+        got = [(r.num_id, r.k, r.t) for r in ids.select("num_id", "k", "t").collect()]
+        again = [(r.num_id, r.k, r.t) for r in ids.where("t % 7 = 0").select("num_id", "k", "t").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [(i + 1, k, t) for i, (k, t, _) in enumerate(sorted(rows))]
+    assert sorted(got) == want and sorted(again) == [w for w in want if w[2] % 7 == 0]
+    assert "Checkpoint" not in ids._jdf.queryExecution().analyzed().toString()
+    assert O.assign_ids(df.limit(0), ["k"]).collect() == []
+
+
+@pytest.mark.parametrize("n", [1, 3, 7, 50])
+def test_chunks_equal_ntile_without_a_sort(spark, n):
+    rng = random.Random(n)
+    keys = rng.sample(range(-10**15, 10**18), 400) + list(range(5000, 5100)) + [-2**63, 2**63 - 1]
+    width = 2**64 // O.PARTS                                              # keys on both sides of a part's edge
+    keys += [-2**63 + width * k + d for k in (1, 2, 700) for d in (-1, 0, 1)]
+    df = spark.createDataFrame([(k,) for k in keys], "job_idx long").repartition(6)
+    out = O.balanced_chunks(df, n, ["job_idx"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Window" not in plan and "rangepartitioning" not in plan
+    df.createOrReplaceTempView("keys_to_cut")
+    want = spark.sql(f"select job_idx, ntile({n}) over (order by job_idx) - 1 as chunk from keys_to_cut").collect()
+    assert {(r.job_idx, r.chunk) for r in out.collect()} == {(r.job_idx, r.chunk) for r in want}
+
+
+def test_keys_at_ranks(spark):
+    df = spark.createDataFrame([(k,) for k in [7, 7, 7, 3, None, 9]], "k long")
+    assert O.keys_at_ranks(df, "k", [0, 1, 3, 4]) == [3, 7, 7, 9]
+    assert O.keys_at_ranks(df.limit(0), "k", [0]) == [] and O.keys_at_ranks(df, "k", []) == []

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from listingkit.operators import jobs as J
 from listingkit.operators import pages as PG
+from listingkit.operators.layouts import LayoutSpec, Part, Pick, Rule, register_layout
 from listingkit.plans import listings as P
 
 
@@ -109,13 +111,13 @@ def test_extract_listings_end_to_end(spark):
                            "Av. Mcal. López 123")
     # job 1: anchors all outside -> not failed; job 2: no anchors -> failed
     assert [f.job_idx for f in ext.failed.collect()] == [2]
-    summ = {s.job_idx: s for s in ext.summary(jobs, 1000.0).collect()}
+    summ = {s.job_idx: s for s in ext.summary().collect()}
     assert (summ[1].anchors, summ[1].outside_radius, summ[1].failed) == (1, 1, False)
-    assert summ[2].failed
+    assert summ[2].failed and (summ[0].accepted, summ[0].card_errors) == (1, 1)
     kept = P.extract_listings(pages, jobs, 1000.0, missing_rating="null").listings
     assert sorted(r.name for r in kept.collect()) == ["E", "Near"]
     assert kept.where(F.col("name") == "E").first().rating is None
-    ext.unpersist()
+    ext.discard()
 
 
 def test_ordinary_html_loses_no_listing(spark):
@@ -135,7 +137,7 @@ def test_ordinary_html_loses_no_listing(spark):
     }
     jobs = spark.createDataFrame([(0, -25.3, -57.6, "k")], "job_idx long, latitude double, longitude double, keyword string")
     pages = spark.createDataFrame([(i, 0, panel(h)) for i, h in enumerate(hard.values())], "page_id long, job_idx long, html string")
-    ext = P.extract_listings(pages, jobs, 1000.0, persist=False)
+    ext = P.extract_listings(pages, jobs, 1000.0)
     rows = {r.page_id: r for r in ext.listings.collect()}
     assert sorted(rows) == list(range(len(hard)))
     links = {n: rows[i].link for i, n in enumerate(hard)}
@@ -143,24 +145,70 @@ def test_ordinary_html_loses_no_listing(spark):
     assert "\u00a9=1" in links["no semicolon"]
     scan = {(r.page_id, r.pos, r.href) for r in PG.result_anchors(pages).collect()}
     assert scan == {(r.page_id, r.pos, r.link) for r in rows.values()}
-    assert ext.summary(jobs, 1000.0).first().accepted == len(hard)
-    assert all(PG.has_result_anchor(panel(h)) for h in hard.values())
-    assert not any(map(PG.has_result_anchor, [None, "", panel(), panel("<a class=hfpxzc>"), "<!--" + plain + "-->"]))
+    assert ext.summary().first().accepted == len(hard)
+    assert all(PG.page_rows(1, 1, panel(h)) for h in hard.values())
+    assert not any(PG.page_rows(1, 1, doc) for doc in (None, "", panel(), panel("<a class=hfpxzc>"), "<!--" + plain + "-->"))
+
+
+def test_pages_are_parsed_once(spark):
+    """Listings, failures and summaries read the written table: no plan of theirs
+    parses, and failures and summaries read two columns."""
+    jobs = spark.range(3).selectExpr("id job_idx", "-25.3d latitude", "-57.6d longitude", "'k' keyword")
+    pages = spark.createDataFrame([(1, 0, panel(card()))], "page_id long, job_idx long, html string")
+    ext = P.extract_listings(pages, jobs)
+    for df in (ext.listings, ext.failed, ext.summary()):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" not in plan and "html" not in plan
+    assert "PartitionFilters: [isnotnull(kind" in ext.listings._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<job_idx:bigint>" in ext.summary()._jdf.queryExecution().executedPlan().toString()
+    assert ext.listings.count() == 1 and {r.job_idx for r in ext.failed.collect()} == {1, 2}
+    ext.discard()
+
+
+LIST = LayoutSpec(
+    "mine", "go", ("hit",), card_tag="li", parts=(Part("meta", (Pick("p", "m", 0),)),),
+    rules=(("name", Rule("text", (Pick("h3", index=0),))), ("rating", Rule("text", (Pick("b", index=0),), part="meta", absent=None)),
+           ("amenities", Rule("attrs", (Pick("i", attrs=(("title", None),)),), attr="title"))))
+LIST_PAGE = ("<ul><li class='hit'><a class=go aria-label=x href='u!3d-25.3!4d-57.6'></a><h3>Uno</h3><p class=m><b>4.0(2)</b></p>"
+             "<i title='w'></i><i></i></li><li class=hit><a class=go aria-label=y href='v!3d-25.3!4d-57.6'></a><h3>Dos</h3></li></ul>")
+
+
+def test_layout_made_at_run_time_works_in_workers(spark):
+    jobs = spark.createDataFrame([(0, -25.3, -57.6, "k")], "job_idx long, latitude double, longitude double, keyword string")
+    pages = spark.createDataFrame([(1, 0, LIST_PAGE)], "page_id long, job_idx long, html string")
+    for layout in (LIST, register_layout(LIST).name):
+        ext = P.extract_listings(pages, jobs, layout=layout, clean={"name": F.upper})
+        row = ext.listings.first()
+        assert (row.name, row.rating, row.amenities, row.price, row.address) == ("UNO", "4.0(2)", ["w"], "", "")
+        assert ext.summary().first().card_errors == 1
+    import pytest
+    with pytest.raises(ValueError):
+        P.extract_listings(pages, jobs, clean={"nothing": F.upper})
+
+
+def test_layouts_that_make_no_sense_are_refused():
+    import pytest
+    ok = dict(name="l", anchor_class="a", card_classes=("c",))
+    for bad in (dict(rules=(("colour", Rule("text")),)), dict(rules=(("name", Rule("texts")),)), dict(rules=(("name", Rule("attr")),)),
+                dict(rules=(("name", Rule("text", part="p")),)), dict(rules=(), parts=(Part("a", (), base="b"), Part("b", ())))):
+        with pytest.raises(ValueError):
+            LayoutSpec(**ok, **bad)
 
 
 def test_extraction_moves_no_html(spark):
     """One scan of the pages; no exchange or broadcast below which HTML is output."""
     jobs = spark.range(3).selectExpr("id job_idx", "0d latitude", "0d longitude", "'k' keyword")
     pages = spark.createDataFrame([(1, 0, panel(card()))], "page_id long, job_idx long, html string")
-    plan = P.extract_listings(pages, jobs, persist=False).listings._jdf.queryExecution().optimizedPlan().toString()
+    rows = J.anchors_with_distance(PG.parse_result_pages(pages), jobs)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1
     above = plan[:plan.index("MapInArrow")]
     assert "html" not in above
 
 
-def test_broken_card_is_counted(spark, monkeypatch):
-    monkeypatch.setitem(PG.LAYOUTS, "bad", lambda c: {}["no"])
-    rows = PG.page_rows(1, 1, panel(card()), layout="bad")
+def test_broken_card_is_counted(monkeypatch):
+    monkeypatch.setattr(LayoutSpec, "extract", lambda self, card, compatible: {}["no"])
+    rows = PG.page_rows(1, 1, panel(card()))
     assert rows[0]["card_error"] and not rows[0]["has_card"]
 
 

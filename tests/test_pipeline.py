@@ -5,13 +5,14 @@ import tempfile
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listingkit import constants as K
 from listingkit import schemas
 from listingkit.operators import jobs as J
 from listingkit.plans import grid as G
 from listingkit.plans import listings as P
-from listingkit.sources import io
+from listingkit.sources import io, steps
 
 # Three invented result rows in the interchange CSV form (quoted comma in an address,
 # empty rating and price, amenity list literals).
@@ -101,12 +102,114 @@ def test_write_table_keep_uses_existing(spark, tmp_path):
 
 
 def test_failure_and_result_sinks(spark, tmp_path):
-    failed = spark.createDataFrame([], schemas.FAILED_JOBS)
-    assert io.write_failures(failed, str(tmp_path / "failed")) == 0
+    failed = spark.createDataFrame([(1, 2.0, 3.0, "k", "no results")], schemas.FAILED_JOBS)
+    path = str(tmp_path / "failed")
+    assert io.write_failures(failed, path) == 1 and io.read_table(spark, path).count() == 1
+    assert io.write_failures(failed.limit(0), path) == 0 and io.read_table(spark, path).count() == 0     # no stale file
     lst = spark.createDataFrame([], schemas.LISTINGS)
     amen = spark.createDataFrame([], schemas.AMENITIES)
-    base, apath = io.write_results(lst, amen, str(tmp_path / "results"))
-    assert apath.endswith("_amenities") and os.path.isdir(apath)
+    done = io.write_results(lst, amen, str(tmp_path / "results"))
+    assert done["listings"].columns == schemas.LISTING_COLUMNS and done.rows("listings_amenities") == 0
+    assert os.path.isdir(done.path("listings_amenities"))
+
+
+def test_a_stop_between_two_tables_leaves_the_old_pair(spark, tmp_path):
+    path = str(tmp_path / "pair")
+    one, two = spark.range(3).toDF("a"), spark.range(5).toDF("b")
+    steps.write_step({"x": one, "y": two}, path)
+    broken = two.select(F.raise_error(F.lit("stop")).alias("b"))
+    with pytest.raises(Exception, match="stop"):
+        steps.write_step({"x": one.where("a > 0"), "y": broken}, path)
+    old = steps.read_step(spark, path)
+    assert (old["x"].count(), old["y"].count(), old.rows("x"), old.rows("y")) == (3, 5, 3, 5)
+    with pytest.raises(ValueError, match="y is empty"):
+        steps.write_step({"x": one.where("a > 0"), "y": two.limit(0)}, path, non_empty=("y",))
+    assert steps.read_step(spark, path).rows("x") == 3
+    new = steps.write_step({"x": one.where("a > 0"), "y": two}, path)
+    assert new.rows("x") == 2 and old["x"].count() == 3                    # readers of the old pair go on
+    assert steps.write_step({"x": two.toDF("a"), "y": two}, path, "keep").rows("x") == 2
+    with pytest.raises(FileExistsError):
+        steps.write_step({"x": one, "y": two}, path, "error")
+    assert steps.read_step(spark, str(tmp_path / "none")) is None
+
+
+def test_half_written_folder_is_not_kept(spark, tmp_path):
+    whole, half = str(tmp_path / "whole"), str(tmp_path / "half")
+    df = spark.range(1000).toDF("id")
+    for p in (whole, half):
+        df.repartition(4).write.parquet(p)
+    os.remove(f"{half}/_SUCCESS")
+    for name in [f for f in os.listdir(half) if f.endswith(".parquet")][1:]:
+        os.remove(f"{half}/{name}")                                       # what a writer that stopped leaves
+    other = spark.range(7).toDF("id")
+    assert io.write_table(other, whole, "keep", "parquet").count() == 1000
+    assert io.write_table(other, half, "keep", "parquet").count() == 7
+    assert io.write_table(df, half, "keep", "parquet").count() == 7       # now committed
+    one_file = tmp_path / "t.csv"
+    one_file.write_text("id\n5\n")
+    assert [r.id for r in io.write_table(other, str(one_file), "keep").collect()] == [5]
+
+
+def test_counts_ride_on_the_write(spark, tmp_path):
+    """Every row is computed once, although the table is counted and checked."""
+    seen = spark.sparkContext.accumulator(0)
+    def mark(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(100, numPartitions=4).mapInArrow(mark, "id long")
+    assert steps.write_step({"t": df}, str(tmp_path / "t"), non_empty=("t",)).rows("t") == 100 and seen.value == 100
+    grid = df.selectExpr("id point_idx", "0d + id latitude", "0d longitude")
+    jobs = G.make_jobs(grid, ["k"], out_path=str(tmp_path / "jobs"))
+    assert seen.value == 200 and jobs.count() == 100
+    with pytest.raises(ValueError, match="empty"):
+        G.make_jobs(grid.where("point_idx < 0"), ["k"], out_path=str(tmp_path / "none"))
+
+
+CSV = """id,lat,name
+1,2.5,ok
+2,3.5
+3,4.5,a,b
+4,x,"bad, lat"
+y,1.0,bad id
+5,,"quoted, ""text"" 2"
+6,1.0,
+"""
+
+
+def test_malformed_csv_rows_are_told_apart(spark, tmp_path):
+    file = tmp_path / "m.csv"
+    file.write_text(CSV, encoding="utf-8")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("lat", T.DoubleType()), T.StructField("name", T.StringType())])
+    read = io.read_csv_checked(spark, str(file), schema, required=("name",))
+    assert sorted(map(tuple, read.good.collect())) == [(1, 2.5, "ok"), (5, None, 'quoted, "text" 2')]
+    assert sorted(map(tuple, read.rejects.collect())) == sorted([
+        ("2,3.5", "too few fields"), ("3,4.5,a,b", "too many fields"), ('4,x,"bad, lat"', "not a double: lat"),
+        ("y,1.0,bad id", "not a bigint: id"), ("6,1.0,", "no name")])
+    assert read.good.select("lat").count() == 2                            # a pruned read rejects the same rows
+    kept = io.read_csv_checked(spark, str(file), schema, quarantine=str(tmp_path / "q"))
+    assert kept.good.count() == 3 and steps.read_step(spark, str(tmp_path / "q")).rows("rows") == 7
+    empty = tmp_path / "e.csv"
+    empty.write_text("id,lat,name\n")
+    none = io.read_csv_checked(spark, str(empty), schema)
+    assert none.good.collect() == [] and none.rejects.collect() == []
+
+
+@pytest.mark.parametrize("polygons,what", [
+    ([], "no polygons"), (None, "no polygons"), ([[]], "no rings"), ([[[(1.0, 2.0), (3.0, 4.0), (1.0, 2.0)]]], "three corners"),
+    ([[[(1.0, 2.0), (3.0, float("nan")), (1.0, 5.0)]]], "finite"), ([[[(1.0, 2.0), (None, 4.0), (1.0, 5.0)]]], "finite"),
+    ([[[(1.0, 2.0), (200.0, 4.0), (1.0, 5.0)]]], "finite")])
+def test_broken_boundaries_fail_the_job_that_reads_them(spark, tmp_path, polygons, what):
+    ok = [[[(1.0, 2.0), (3.0, 4.0), (1.0, 5.0)]]]
+    spark.createDataFrame([(0, "A", "x", ok), (1, "B", "y", polygons)], schemas.AREAS).write.parquet(str(tmp_path / "a"))
+    with pytest.raises(Exception, match=what):
+        io.read_boundaries(spark, str(tmp_path / "a")).collect()
+
+
+def test_boundary_schema_is_checked(spark, tmp_path):
+    spark.createDataFrame([(0, "A", "x")], "area_ord int, area_code string, area_name string").write.parquet(str(tmp_path / "a"))
+    with pytest.raises(ValueError, match="polygons"):
+        io.read_boundaries(spark, str(tmp_path / "a"))
 
 
 def test_entry_smoke(spark):
@@ -128,10 +231,11 @@ def test_results_csv_round_trip(spark, tmp_path):
 
 
 def test_boundaries_and_csv_options(spark, tmp_path):
-    ring = [(1.0, 2.0), (3.0, 4.0)]
-    areas = spark.createDataFrame([(0, "A", "x", [[ring]])], schemas.AREAS)
+    ring = [(1.0, 2.0), (3.0, 4.0), (5.0, 2.0)]
+    areas = spark.createDataFrame([(0, "A", "x", [[ring]]), (1, "B", "y", [[ring + ring[:1]]])], schemas.AREAS)
     for fmt in ("json", "parquet"):
         areas.write.format(fmt).save(str(tmp_path / fmt))
-        assert io.read_boundaries(spark, str(tmp_path / fmt), fmt).first() == areas.first()
+        back = io.read_boundaries(spark, str(tmp_path / fmt), fmt).orderBy("area_ord").collect()
+        assert back[0] == areas.first() and back[1].polygons == back[0].polygons       # closed rings are opened
     text = spark.createDataFrame([("a\nb",)], "t string")
     assert io.write_table(text, str(tmp_path / "t.csv"), multi_line=True).first().t == "a\nb"

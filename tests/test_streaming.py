@@ -21,7 +21,7 @@ def test_stream_matches_batch(spark, tmp_path):
     q.awaitTermination(300)
     out = read_outputs(spark, str(tmp_path / "out"))
 
-    batch = P.extract_listings(pages, jobs, 1000.0, persist=False)
+    batch = P.extract_listings(pages, jobs, 1000.0)
     key = ["job_idx", "page_id", "pos", "link", "name", "rating", "price", "category", "address"]
     got = sorted(tuple(r) for r in out["listings"].select(*key).collect())
     want = sorted(tuple(r) for r in batch.listings.select(*key).collect())

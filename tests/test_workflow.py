@@ -50,4 +50,30 @@ def test_run_totals(spark):
     assert sum(t.rows for t in tot) == ext.listings.count()
     assert sum(t.failed for t in tot) == ext.failed.count()
     assert max(t.jobs for t in tot) - min(t.jobs for t in tot) <= 1
-    ext.unpersist()
+    ext.discard()
+
+
+def test_process_pages_counts_by_its_writes(spark, tmp_path, monkeypatch):
+    """No table is counted by reading it, cached, or checkpointed; totals equal the tables'."""
+    from pyspark.sql import DataFrame
+    jobs, pages, retry = C._jobs(spark, SMOKE), td.landed_pages(spark, SMOKE), td.landed_pages(spark, SMOKE, "retry")
+    def forbidden(*_a, **_k):
+        raise AssertionError("not in process_pages")
+    with monkeypatch.context() as m:
+        for name in ("count", "cache", "persist", "checkpoint", "localCheckpoint"):
+            m.setattr(type(jobs), name, forbidden)
+            m.setattr(DataFrame, name, forbidden)
+        res = process_pages(jobs, pages, str(tmp_path), retry)
+    assert res.counts["listings"] == res.listings.count() and res.counts["amenities"] == res.amenities.count()
+    assert res.counts["still_failed"] == res.failed.count()
+    totals = C.q_run_totals(spark, SMOKE).collect()
+    assert res.counts["failed"] == sum(t.failed for t in totals)
+    assert res.counts["results"] == C.q_merge_results(spark, SMOKE).count()
+
+
+def test_prepare_jobs_refuses_an_empty_grid(spark, tmp_path):
+    import pytest
+    areas = td.areas(spark, SMOKE)
+    with pytest.raises(ValueError):
+        prepare_jobs(areas, "Asunción", str(tmp_path), radius_m=10**8)
+    assert prepare_jobs(areas, "Asunción", str(tmp_path)).jobs.count() > 0       # nothing half done was kept
