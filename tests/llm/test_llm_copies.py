@@ -2,8 +2,10 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,58 +166,150 @@ def test_passages_are_cut_but_for_the_first(spark):
     assert sentences.dedup_sentences(df.limit(0)).count() == 0
 
 
-def test_passages_without_stops_are_cut(spark):
-    rng = random.Random(11)
-    passage = " ".join(words(rng, 60, 10 ** 6))
-    rows = [(i, " ".join(words(rng, rng.randrange(30, 200), 10 ** 6) + [passage] + words(rng, 50, 10 ** 6))) for i in range(30)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r for r in sentences.dedup_sentences(df).collect()}
-    assert got[0].text == rows[0][1]
-    kept = set(passage.split())
-    for i in range(1, 30):
-        assert len(kept & set(got[i].text.split())) <= 30
-        assert len(set(rows[i][1].split()) - kept - set(got[i].text.split())) <= 0
+def plain_sentences(text):
+    """Tokens of a text and the first tokens of its sentences, by plain loops."""
+    unspaced = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\U00020000-\U0003ffff]"
+    tokens, ends = [], []
+    for line in (text or "").split("\n"):
+        line = re.sub(f"({unspaced})", r" \1 ", line)
+        for w in line.split():
+            tokens.append(w)
+            ends.append(bool(re.search("[.!?\u2026\u3002\uff0e\uff01\uff1f\u061f\u06d4\u0964\u0965]+[\"'\u00bb\u201d\u2019)\\]\u300d\u300f\uff09]*$", w)))
+        if tokens:
+            ends[-1] = True
+    return tokens, ends
+
+
+def units_of(text):
+    t = sentences.Tokens(pa.array([text]))
+    return [(int(a), int(b)) for a, b in zip(t.units, t.units[1:])]
+
+
+def plain_dedup(rows, min_passage):
+    """Texts' kept tokens: every run of sentences against every other document."""
+    runs, where = {}, {}
+    for i, text in rows:
+        tokens = plain_sentences(text)[0]
+        units = units_of(text)
+        found = set()
+        for k in range(len(units)):
+            m = k + sentences.SENTENCES                   # from this sentence on, and up to it
+            while m <= len(units) and units[m - 1][1] - units[k][0] < sentences.TOKENS:
+                m += 1
+            b = k + 1 - sentences.SENTENCES
+            while b >= 0 and units[k][1] - units[b][0] < sentences.TOKENS:
+                b -= 1
+            found |= ({(k, m)} if m <= len(units) else set()) | ({(b, k + 1)} if b >= 0 else set())
+        for k, m in sorted(found):
+            run = tuple(tuple(tokens[a:b]) for a, b in units[k:m])
+            runs.setdefault(run, set()).add(i)
+            where.setdefault((i, run), []).append((units[k][0], units[m - 1][1]))
+    out = {}
+    for i, text in rows:
+        tokens = plain_sentences(text)[0]
+        covered = [False] * len(tokens)
+        for (j, run), places in where.items():
+            if j == i and min(runs[run]) != i:
+                for a, b in places:
+                    covered[a:b] = [True] * (b - a)
+        left, at = [], 0
+        for flag, group in itertools.groupby(covered):
+            n = len(list(group))
+            left += [] if flag and n >= min_passage else tokens[at:at + n]
+            at += n
+        out[i] = left
+    return out
 
 
-def test_every_passage_of_min_passage_words_is_cut_to_the_word(spark):
-    """Many passages of 28 to 70 words, with and without stops, against all runs by brute force."""
+def test_sentences_end_where_they_should():
+    text = "One two. Three!\n\nfour five, \u4e00\u4e8c\u3002\u4e09 \u0939\u0964 six?\u201d seven\n"
+    tokens, ends = plain_sentences(text)
+    t = sentences.Tokens(pa.array([text, None, "", " \n ", "a"]))
+    assert [w for w in t.split[0].as_py() if w and w != sentences._LINE] == tokens and len(t.hashes) == len(tokens) + 1
+    cuts = set((t.units[1:] - 1).tolist())
+    assert {i for i, e in enumerate(ends) if e} <= cuts
+    assert np.diff(t.first).tolist() == [len(tokens), 0, 0, 0, 1] and np.diff(t.first_unit)[1:].tolist() == [0, 0, 0, 1]
+
+
+def test_cuts_depend_on_few_tokens_around():
+    rng = random.Random(4)
+    middle = words(rng, 200, 10 ** 6)
+    a, b = (units_of(" ".join(words(rng, n, 10 ** 6) + middle + words(rng, 9, 10 ** 6))) for n in (17, 50))
+    a, b = ({x - shift for x, _ in u if 8 <= x - shift < 192} for u, shift in ((a, 17), (b, 50)))
+    assert a == b and 25 < len(a) < 80
+
+
+def test_runs_equal_the_plain_version(spark):
+    """Sentence spans against brute force: stops, none, few words, lines, Han text, one very long text."""
     rng = random.Random(21)
+    han = lambda n: "".join(chr(rng.randrange(0x4e00, 0x9000)) for _ in range(n))        # noqa: E731
     rows = []
-    for k in range(400):
-        n = rng.choice([28, 35, 51, 51, 51, 70])
+    for k in range(60):
+        n = rng.choice([20, 35, 51, 60, 90])
         passage = words(rng, n, 10 ** 6)
         if k % 3 == 0:
-            passage = [w + "." * (rng.random() < 0.08) for w in passage]
+            passage = [w + "." * (rng.random() < 0.1) for w in passage]
         if k % 5 == 0:
             passage = [rng.choice(["la", "di", "dum", "tralala"]) for _ in range(n)]      # few words
-        for i in (2 * k, 2 * k + 1):
-            rows.append((i, "  ".join(words(rng, rng.randrange(0, 60), 10 ** 6) + passage + words(rng, rng.randrange(1, 60), 10 ** 6))))
-    seen, want = {}, {}
-    for i, t in rows:
-        w = t.split()
-        covered = [False] * len(w)
-        for j in range(len(w) - sentences.GRAM + 1):
-            if seen.setdefault(tuple(w[j:j + sentences.GRAM]), (i, j)) != (i, j):
-                covered[j:j + sentences.GRAM] = [True] * sentences.GRAM
-        left, at = [], 0
-        for flag, group in itertools.groupby(covered):
-            size = len(list(group))
-            left += [] if flag and size >= sentences.MIN_PASSAGE else w[at:at + size]
-            at += size
-        want[i] = left
+        if k % 7 == 0:
+            passage = [han(9) + "\u3002" + han(14) + "\u3002" for _ in range(4)]
+        if k % 11 == 0:
+            passage = ["And"] * n
+        for i in (3 * k, 3 * k + 1, 3 * k + 2):
+            sep = rng.choice([" ", "  ", "\n"]) if k % 4 == 0 else " "
+            rows.append((i, sep.join(words(rng, rng.randrange(0, 60), 10 ** 6) + passage + words(rng, rng.randrange(1, 60), 10 ** 6))))
+    rows.append((500, " ".join(words(rng, 30_000, 10 ** 6) + rows[4][1].split() + words(rng, 30_000, 10 ** 6))))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r.doc_id: r for r in sentences.dedup_sentences(df).collect()}
+    want = plain_dedup(rows, sentences.MIN_PASSAGE)
+    for i, t in rows:
+        assert plain_sentences(got[i].text)[0] == want[i], i
+        assert got[i].removed_words == len(plain_sentences(t)[0]) - len(want[i])
+    assert got[500].removed_words > 0 and sum(r.removed_words > 0 for r in got.values()) > 60
+
+
+def test_passages_of_51_words_are_caught_over_many_seeds(spark):
+    """With and without stops, in varied surroundings: what stays is under half of it, and nothing else goes."""
+    rng = random.Random(11)
+    rows, passages = [], []
+    for k in range(600):
+        passage = words(rng, 51, 10 ** 6)
+        if k % 2:
+            passage = [w + "." * (rng.random() < 0.1) for w in passage]
+        passages.append(passage)
+        for i in (2 * k, 2 * k + 1):
+            rows.append((i, " ".join(words(rng, rng.randrange(0, 40), 10 ** 6) + passage + words(rng, rng.randrange(0, 40), 10 ** 6))))
+    got = {r.doc_id: r for r in sentences.dedup_sentences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    stay = []
+    for k, passage in enumerate(passages):
+        assert got[2 * k].text == rows[2 * k][1]
+        left = got[2 * k + 1].text.split()
+        stay.append(len(set(passage) & set(left)))
+        assert len(set(rows[2 * k + 1][1].split()) - set(passage) - set(left)) == 0
+    assert np.mean([s < 51 for s in stay]) >= 0.99 and np.mean(stay) < 15
+
+
+def test_scripts_without_spaces_are_deduplicated(spark):
+    rng = random.Random(6)
+    sentence_ = lambda: "".join(chr(rng.randrange(0x4e00, 0x9000)) for _ in range(rng.randrange(6, 20))) + "\u3002"
+    shared, lines = "".join(sentence_() for _ in range(40)), "\n".join(sentence_()[:-1] for _ in range(20))
+    rows = [(i, sentence_() + shared + sentence_()) for i in range(6)] + [(i, sentence_() + "\n" + lines + "\n" + sentence_()) for i in range(6, 10)]
+    got = {r.doc_id: r for r in sentences.dedup_sentences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].text == rows[0][1] and got[6].text == rows[6][1]
     for i, t in rows:
-        assert got[i].text.split() == want[i], i
-        assert got[i].removed_words == len(t.split()) - len(want[i]) and (got[i].removed_words > 0) == (i % 2 == 1)
+        if i not in (0, 6):
+            assert len(got[i].text) < 60 and got[i].n_removed > 15
 
 
-def test_sentence_spans_cover_all_words():
-    text = "One two. Three\n\nfour five, Six seven!  " + "x " * 50 + "end"
-    spans = sentences.sentence_spans(text)
-    assert " ".join(text[a:b] for a, b, _ in spans).split() == text.split()
-    assert max(n for _, _, n in spans) <= sentences.LONGEST
-    assert sentences.sentence_spans("") == [] and sentences.sentence_spans(" \n ") == []
+def test_repeats_within_a_document(spark):
+    rng = random.Random(9)
+    passage = " ".join(" ".join(words(rng, 8, 10 ** 6)) + "." for _ in range(6))
+    text = f"start of it. {passage} between them. {passage} the end."
+    df = spark.createDataFrame([(1, text), (2, "alone here.")], "doc_id long, text string")
+    got = {r.doc_id: r for r in sentences.dedup_sentences(df).collect()}
+    assert got[1].text == text                            # no other document holds it
+    got = {r.doc_id: r for r in sentences.dedup_sentences(df, within=True).collect()}
+    assert got[1].text.startswith(f"start of it. {passage}") and len(got[1].text) < len(text) - len(passage) / 2
 
 
 @pytest.fixture(scope="module")
