@@ -479,6 +479,7 @@ PREPARE: dict[str, Query] = {
     "jobs": _jobs,
     "pages": td.landed_pages,
     "retry_pages": lambda spark, d: td.landed_pages(spark, d, "retry"),
+    "list_pages": td.list_pages,
     "areas": _areas,
     "extraction": lambda spark, d: _extraction(spark, d).table,
     "retry_extraction": lambda spark, d: _retry_extraction(spark, d).table,

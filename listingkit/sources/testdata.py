@@ -262,8 +262,9 @@ def _list_item_html(c: DataFrame) -> DataFrame:
 
 
 def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The retry pass' cards as pages in the list layout."""
-    return _list_item_html(card_fields(spark, sf_dir, "retry"))
+    """The retry pass' cards as pages in the list layout, landed once."""
+    path = derived_path(spark, sf_dir, "pages-list", CARD_FIELDS_SQL + RETRY_SPEC_SQL)
+    return land(lambda: _list_item_html(card_fields(spark, sf_dir, "retry")), spark, path)
 
 
 def _panel(cards_html: Column) -> Column:
