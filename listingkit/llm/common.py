@@ -51,16 +51,35 @@ def uniform(seed: str, *cols: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53)))
 
 
-def most_frequent(counts: DataFrame, n: str, keep: int) -> DataFrame:
-    """The rows with the greatest counts, ``keep`` at most (ties stay or go
-    together).  Only a histogram of the counts' logarithms reaches the driver,
-    so that tasks need not each send ``keep`` rows."""
+#: Parts of the last level that ``most_frequent`` fills by hash.
+HASH_PARTS = 4096
+
+
+def most_frequent(counts: DataFrame, n: str, keep: int, word: str = "word") -> DataFrame:
+    """The ``keep`` rows with the greatest counts (all, if there are fewer).
+
+    Counts compare by level, 32 to a doubling; the last level, which does not fit
+    whole, is filled up in order of a hash of the word.  Only histograms - of
+    levels, and of hashes in the last level - reach the driver."""
     level = F.floor(F.log2(F.col(n).cast("double")) * 32)
     sizes = counts.groupBy(level.alias("level")).agg(F.count("*").alias("c")).collect()    # under 2000 rows
-    total, least = 0, None
+    room, last = keep, None
     for r in sorted(sizes, key=lambda r: -r.level):
-        total += r.c
-        if total > keep:
-            return counts.where(level >= least) if least is not None else counts.limit(0)
-        least = r.level
-    return counts
+        if r.c > room:
+            last = r.level
+            break
+        room -= r.c
+    if last is None:
+        return counts
+    above = counts.where(level > last)
+    if not room:
+        return above
+    part = F.pmod(F.xxhash64(word), F.lit(HASH_PARTS))
+    edge = counts.where(level == last)
+    shares = {r.part: r.c for r in edge.groupBy(part.alias("part")).agg(F.count("*").alias("c")).collect()}
+    full = 0
+    while shares.get(full, 0) <= room:
+        room -= shares.get(full, 0)
+        full += 1
+    rest = edge.where(part == full).orderBy(F.xxhash64(word), word).limit(room)            # of one part
+    return above.unionByName(edge.where(part < full)).unionByName(rest)

@@ -277,11 +277,13 @@ def score_texts(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own
                        F.count(F.when(F.col("trained") > 0, 1)).alias("v"),
                        F.coalesce(F.sum(F.when(F.col("word") == END, F.col("trained"))), F.lit(0)).alias("ends")).first()
     tokens, distinct, ends = int(total.n), int(total.v), int(total.ends)
-    # counts of words frequent in all rows are broadcast; which emit, the training rows alone say
-    top = most_frequent(counts.where((F.col("word") != END) & (F.length("word") <= LONGEST)), "n", counted)
-    top = sorted(top.collect(), key=lambda r: (-r.trained, r.word))
-    own = min(own, sum(r.trained > 0 for r in top))
-    vocab = Vocabulary([r.word for r in top], [r.trained for r in top], own)
+    # the training rows alone say which words emit; words frequent in all rows have their
+    # counts broadcast besides, which saves a join and changes no score
+    short = counts.where((F.col("word") != END) & (F.length("word") <= LONGEST))
+    emitting = sorted(most_frequent(short.where("trained > 0"), "trained", own).collect(), key=lambda r: (-r.trained, r.word))
+    known = {r.word for r in emitting}
+    more = sorted((r for r in most_frequent(short, "n", counted).collect() if r.word not in known), key=lambda r: (-r.trained, r.word))
+    vocab = Vocabulary([r.word for r in emitting + more], [r.trained for r in emitting + more], len(emitting))
     emits = vocab.trained[:vocab.rare]
     rare_tokens = tokens - ends - int(emits.sum())
     rare_distinct = distinct - int((emits > 0).sum()) - (1 if ends else 0)
