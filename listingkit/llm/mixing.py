@@ -112,6 +112,15 @@ def _plan(shares: DataFrame, block: int) -> DataFrame:
             .withColumn("slots", F.expr(f"(words div source_size) * a_pass + (rest + {block - 1}) div {block}")))
 
 
+def drawn_shards(plan: DataFrame, shard_slots: int) -> DataFrame:
+    """n (slots of the mix), shard: a row a shard, dealt to as many partitions as
+    shuffles have.  The number is given, since partitions of so few rows would
+    be merged, and every row becomes thousands."""
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return plan.agg(F.sum("slots").alias("n")).where("n > 0").select("n", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.expr(f"(n - 1) div {shard_slots}"))).alias("shard")).repartition(tasks, "shard")
+
+
 def draw_slots(plan: DataFrame, seed: str, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """sid, shard, k: every slot of the mix, with its number k in its source."""
     before = W.partitionBy(F.lit(0)).orderBy("sid").rowsBetween(W.unboundedPreceding, -1)
@@ -121,9 +130,7 @@ def draw_slots(plan: DataFrame, seed: str, shard_slots: int = SHARD_SLOTS) -> Da
     # at most CELLS rows more than there are sources
     cells = line.select("sid", "lo", "hi", F.explode(F.sequence(
         F.floor(F.col("lo") * CELLS), F.least(F.floor(F.col("hi") * CELLS), F.lit(CELLS - 1).cast("long")))).alias("cell"))
-    shards = plan.agg(F.sum("slots").alias("n")).where("n > 0").select(
-        "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {shard_slots}"))).alias("shard"))
-    drawn = (shards.repartition("shard")
+    drawn = (drawn_shards(plan, shard_slots)
              .select("shard", F.explode(F.sequence(F.lit(0), F.least(
                  F.lit(shard_slots), F.col("n") - F.col("shard") * shard_slots).cast("int") - 1)).alias("slot"))
              .withColumn("u", uniform(seed, F.col("shard"), F.col("slot")))
