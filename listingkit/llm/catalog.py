@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from listingkit.llm.chat import OP3_SQL, op3_chat_format
 from listingkit.llm.hmm import op7_hmm_score
 from listingkit.llm.jaccard import OP8_SQL, op8_jaccard_join
@@ -31,7 +30,6 @@ QUERIES = {
     "op11_whitening": op11_whitening,
     "op12_quality_classifier": op12_quality_classifier,
     "op13_centroid_clusters": op13_centroid_clusters,
-    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from listingkit.llm import hmm, language, neighbours, packing, toxicity
+from listingkit.llm import common, hmm, language, neighbours, packing, toxicity
 from listingkit.llm.toxicity import Lexicon
 
 
@@ -296,3 +296,32 @@ def test_hmm_scores_do_not_depend_on_held_out_texts(spark):
         df = spark.createDataFrame(rows + [(51, other, True)], "doc_id long, text string, held_out boolean")
         seen.append({r.doc_id: r.score for r in hmm.score_texts(df, states=2, rounds=1, own=2, counted=50).collect() if r.doc_id != 51})
     assert seen[0] == pytest.approx(seen[1], rel=1e-4)
+
+
+@pytest.mark.parametrize("rows,keep,want", [
+    ([(f"w{i}", 7) for i in range(1000)], 500, 500),                     # all counts equal
+    ([(f"w{i}", 7) for i in range(1000)], 1000, 1000), ([(f"w{i}", 7) for i in range(1000)], 0, 0),
+    ([(f"w{i}", 1 + i % 3 * 100) for i in range(900)], 450, 450), ([("a", 1)], 5, 1), ([], 5, 0)])
+def test_most_frequent_fills_up(spark, rows, keep, want):
+    df = spark.createDataFrame(rows, "word string, n long")
+    got = [tuple(r) for r in common.most_frequent(df, "n", keep).collect()]
+    assert len(got) == len(set(got)) == want and set(got) <= set(rows)
+    if got:
+        dropped = [n for _, n in set(rows) - set(got)]
+        assert min(n for _, n in got) >= max(dropped, default=0)
+    assert sorted(got) == sorted(tuple(r) for r in common.most_frequent(df.repartition(7), "n", keep).collect())
+
+
+def test_op7_scores_do_not_see_other_held_out_texts(spark):
+    """Few words are counted in the broadcast; held-out texts full of other words change no score."""
+    rng = random.Random(31)
+    train = [(i, " ".join(f"t{rng.randrange(30)}" for _ in range(40)), False) for i in range(30)]
+    held = [(50, "t1 t2 t3 nowhere t29 t28", True)]
+    def scores(other):
+        df = spark.createDataFrame([*train, *held, (51, other, True)], "doc_id long, text string, held_out boolean").coalesce(1)
+        return {r.doc_id: (r.score, r.base_score) for r in
+                hmm.score_texts(df, states=3, rounds=2, own=6, counted=4).collect() if r.doc_id != 51}
+    first = scores("x " * 500 + "y " * 400 + "nowhere")
+    for other in ("t28 " * 900 + "t29 " * 800, "", "z1 z2 z3 z4 z5 " * 300):
+        again = scores(other)
+        assert all(a == pytest.approx(b, abs=1e-9) for i in first for a, b in zip(first[i], again[i]))

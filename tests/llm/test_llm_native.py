@@ -154,3 +154,20 @@ def test_permutation_is_one(spark):
         got = [r.x for r in df.collect()]
         assert sorted(got) == list(range(n))
     assert got != sorted(got)
+
+
+def test_op2_draws_in_many_tasks(spark):
+    """Shards are dealt to a fixed number of partitions, which are not merged again."""
+    sizes = spark.createDataFrame([("a", 40_000_000), ("b", 30_000_000), ("c", 9_000_000)], "source string, source_size long")
+    shares = sizes.selectExpr("row_number() over (order by source) - 1 as sid", "source", "source_size", "cast(source_size as double) as target")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        plan = mixing._plan(shares, 256)
+        slots = mixing.draw_slots(plan, "mix")
+        drawn = slots.groupBy("sid").count().collect()
+        assert {r["sid"]: r["count"] for r in drawn} == {r.sid: r.slots for r in plan.collect()}
+        text = mixing.drawn_shards(plan, mixing.SHARD_SLOTS)
+        held = text.selectExpr("spark_partition_id() as p").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert held >= 16
