@@ -45,6 +45,8 @@ PART, WHOLE = 75, 100
 COUNT_CELLS = 1 << 20
 #: Shingles a block may hold in one task.
 BLOCK_SHINGLES = 4_000_000
+#: Parts that members of a node with sets of one size are dealt to.
+SIZE_PARTS = 64
 #: What a member counts besides its shingles, so that blocks of short texts stay small too.
 ROW_COST = 256
 #: Members of a node that are compared with its head in one part.
@@ -273,22 +275,33 @@ def possible_members(groups: list[bytes], sizes: list[int], raw: list[bytes]) ->
     return hit
 
 
-def _blocks(open_nodes: DataFrame) -> DataFrame:
-    """Members (head, ref, n, ..) dealt to the block pairs (one, two) of their node.
-
-    Blocks follow size and hold at most BLOCK_SHINGLES; a node pair whose size
-    ranges cannot reach the similarity is not made."""
-    by_size = W.partitionBy("head").orderBy("n", "ref")
-    rows = open_nodes.withColumn("block", F.floor(F.sum(F.col("n") + ROW_COST).over(by_size) / BLOCK_SHINGLES))
+def _blocks(open_nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """Members (head, ref, ..) dealt to the block pairs (one, two) of their node;
+    ``members`` has head, ref and n of the same rows.
+
+    Blocks follow size and hold about BLOCK_SHINGLES; a node pair whose size
+    ranges cannot reach the similarity is not made.  The running sum that cuts
+    them has two levels, parts of the members of one size and the totals of the
+    parts, so that no task sorts a whole node; sets and bitmaps stay out of it."""
+    part = (F.col("n") * SIZE_PARTS + F.pmod(F.xxhash64("ref"), F.lit(SIZE_PARTS))).alias("part")
+    small = members.select("head", "ref", "n", part).distinct()
+    cost = F.sum(F.col("n") + ROW_COST)
+    before = W.partitionBy("head").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    totals = small.groupBy("head", "part").agg(cost.alias("cost"))
+    totals = totals.select("head", "part", F.coalesce(F.sum("cost").over(before), F.lit(0)).alias("before"))
+    within = W.partitionBy("head", "part").orderBy("ref").rowsBetween(W.unboundedPreceding, 0)
+    rows = small.withColumn("upto", cost.over(within)).join(totals, ["head", "part"]).select(
+        "head", "ref", "n", F.floor((F.col("before") + F.col("upto")) / BLOCK_SHINGLES).alias("block"))
     span = rows.groupBy("head", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     two = span.select("head", F.col("block").alias("two"), F.col("low").alias("low2"))
     pairs = (span.withColumnRenamed("block", "one").join(two, "head").where("one <= two")
              .where(F.col("high") * WHOLE >= F.col("low2") * PART).select("head", "one", "two"))
     ends = pairs.select("head", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
-    return rows.join(ends, ["head", "block"]).drop("block")
+    dealt = rows.join(ends, ["head", "block"]).select("head", "ref", "one", "two")
+    return open_nodes.join(dealt, ["head", "ref"])
 
 
-def _by_node(rows: DataFrame, columns: list[str], per_node, schema: str, order: str) -> DataFrame:
+def _by_node(rows: DataFrame, members: DataFrame, columns: list[str], per_node, schema: str, order: str) -> DataFrame:
     """Calls ``per_node`` with head and the lists of the columns of one block pair."""
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
@@ -302,7 +315,7 @@ def _by_node(rows: DataFrame, columns: list[str], per_node, schema: str, order:
         if len(held) > 1:
             yield from per_node(at[0], [list(c) for c in zip(*held)])
     node = ["head", "one", "two"]
-    return (_blocks(rows).select(*node, *columns).repartition(*node).sortWithinPartitions(*node, order)
+    return (_blocks(rows, members).select(*node, *columns).repartition(*node).sortWithinPartitions(*node, order)
             .mapInArrow(stream, schema))
 
 
@@ -314,17 +327,17 @@ def _possible(open_nodes: DataFrame) -> DataFrame:
         if hit:
             yield pa.RecordBatch.from_arrays([pa.array([head] * len(hit), pa.int64()),
                                               pa.array([refs[i] for i in hit], pa.int64())], names=["head", "ref"])
-    return _by_node(open_nodes, ["ref", "group", "n", "bits"], traverse, "head long, ref long", "ref").distinct()
+    return _by_node(open_nodes, open_nodes, ["ref", "group", "n", "bits"], traverse, "head long, ref long", "ref").distinct()
 
 
-def _inside(open_nodes: DataFrame) -> DataFrame:
+def _inside(open_nodes: DataFrame, members: DataFrame) -> DataFrame:
     """Links found by the trees over the sets of these members."""
     def traverse(head, columns) -> Iterator[pa.RecordBatch]:
         rows = [(k, g, s) for k, g, s in zip(columns[0], columns[1], _own_sets(columns[0], pa.array(columns[2])))
                 if s is not None]
         if out := join_members(*(list(c) for c in zip(*rows))) if rows else None:
             yield _edges(out)
-    return _by_node(open_nodes, ["class", "group", "text"], traverse, "a binary, b binary", "class").distinct()
+    return _by_node(open_nodes, members, ["class", "group", "text"], traverse, "a binary, b binary", "class").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -397,7 +410,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     still = nodes.join(mixed.select("head"), "head", "left_semi").select("head", "ref")
     still = cut(_possible(still.join(part.select("ref", "n", "group", "bits"), "ref")))
     still = still.join(part.select("ref", "class", "n", "group", F.col("rep.row_key").alias("row_key")), "ref")
-    more = cut(_inside(_with_texts(cut(still), whole)))
+    still = cut(still)
+    more = cut(_inside(_with_texts(still, whole), still))
     groups = components(edges.unionByName(more))
 
     part = classes.join(groups, classes["class"] == groups["node"], "left").select(
