@@ -179,7 +179,8 @@ def q_generate_jobs(spark, d):
 def q_grid_jobs(spark, d):
     """Lattice of the chosen area x keywords."""
     grid, _city = G.build_grid(_areas(spark, d), SELECTED_AREA, "name", SPACING_M, vertex_decimals=VERTEX_DECIMALS)
-    return G.make_jobs(grid)
+    # the write finds out whether there are points: the lattice runs once
+    return G.make_jobs(grid, out_path=td.derived_path(spark, d, "grid-jobs"), if_exists="overwrite")
 
 
 def q_run_totals(spark, d):
