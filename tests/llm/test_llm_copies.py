@@ -181,7 +181,7 @@ def plain_sentences(text):
 
 
 def units_of(text):
-    t = sentences.Tokens(pa.array([text]))
+    t = sentences.Tokens(pa.array([text], pa.string()))
     return [(int(a), int(b)) for a, b in zip(t.units, t.units[1:])]
 
 
@@ -354,10 +354,30 @@ def test_pipeline_stages(stages):
     rows = [(int(i) if i == i else -1, t) for i, t in zip(clean.doc_id, clean.text)]
     want, _ = brute_components(rows)
     assert sorted(single.doc_id.fillna(-1)) == sorted(set(want.values()))
-    assert len(cut) == len(single) and cut.text.fillna("").str.len().sum() < single.text.fillna("").str.len().sum()
-    n = cut.assign(n=cut.text.fillna("").str.split().str.len()).groupby("source", dropna=False).n.sum()
+    # sentences: every run against every other document
+    rows = [(int(i) if i == i else -1, t) for i, t in zip(single.doc_id, single.text)]
+    want = plain_dedup(rows, sentences.MIN_PASSAGE)
+    left = {int(i) if i == i else -1: t for i, t in zip(cut.doc_id, cut.text)}
+    assert {i: plain_sentences(t)[0] for i, t in left.items()} == {i: want[i] for i, t in rows if want[i] or not (t or "").split()}
+    assert sum(len(v) for v in want.values()) < sum(len((t or "").split()) for _, t in rows)
+    # the mix: sources' words near their targets (to about a document), no document over 3 times, texts unchanged
+    sizes = cut.assign(n=cut.text.fillna("").str.split().str.len())
+    total = sizes.groupby("source", dropna=False).n.sum()
+    weights = dict(zip(sorted(x for x in total.index if x == x and x is not None), (5, 2, 1)))
+    goal, open_, rest = {}, set(weights), total.sum()
+    while open_:                                            # shares stop at three times their source
+        full = {s for s in open_ if rest * weights[s] / sum(weights[x] for x in open_) > 3 * total[s]}
+        if not full:
+            goal |= {s: rest * weights[s] / sum(weights[x] for x in open_) for s in open_}
+            break
+        goal |= {s: 3 * total[s] for s in full}
+        rest -= sum(3 * total[s] for s in full)
+        open_ -= full
     m = mixed.assign(n=mixed.text.fillna("").str.split().str.len()).groupby("source", dropna=False).n.sum()
-    assert abs(m["a"] / m["b"] - 5 / 2) < 0.5 and set(mixed.doc_id.dropna()) <= set(cut.doc_id.dropna()) and n.sum() > 0
+    assert all(abs(m[s] - goal[s]) <= sizes.n.max() * 1.5 for s in goal)
+    assert mixed.groupby("doc_id").size().max() <= 3
+    texts = dict(zip(cut.doc_id.fillna(-1), cut.text.fillna("")))
+    assert all(texts[i] == t for i, t in zip(mixed.doc_id.fillna(-1), mixed.text.fillna("")))
     assert (packed.groupby("sequence_id").length.sum() <= 4096).all()
     assert sorted(packed[packed.piece == 0].doc_id.fillna(-1)) == sorted(mixed.doc_id.fillna(-1))
 
