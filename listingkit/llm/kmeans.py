@@ -1,12 +1,15 @@
 """Centroid clustering with Ptolemaic pivots (operator 13).
 
 Lloyd's rounds on integer vectors, exact to the last digit.  Every vector
-keeps its distances to a few pivots; for a pair of pivots p, s Ptolemy's
-inequality bounds its distance to a centroid c from below,
+keeps its distances to fixed pivots, the centroids of a few early rounds; for a
+pair of pivots p, s Ptolemy's inequality bounds its distance to a centroid c
+from below,
 
     d(v, c) >= |d(v, p) d(c, s) - d(v, s) d(c, p)| / d(p, s),
 
-from cached distances and those of the centroids alone.  Bounds are lowered by
+from cached distances and those of the centroids alone.  A centroid uses the
+pivot next to it with the pivots farthest from that one: the nearer it is, the
+closer the bound.  Bounds are lowered by
 more than rounding can have raised them; centroids whose bound passes the best
 exact distance found are left out, all others are compared exactly.
 
@@ -17,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,10 @@ from pyspark.sql import functions as F
 from listingkit.llm.common import table, written
 
 SCALE, DIMS, CLUSTERS, ROUNDS = 1024, 64, 8, 10
-#: Vectors that serve as pivots, at most; vectors a task compares at a time.
-PIVOTS, BLOCK = 6, 8192
+#: Rounds whose centroids become the pivots; pairs a centroid's bound takes.
+PIVOT_ROUNDS, PAIRS = (0, 2, 5), 2
+#: Vectors a task compares at a time.
+BLOCK = 8192
 #: Entries stay under this magnitude, so that squared distances are longs.
 LARGEST = 1 << 27
 #: Relative error that a bound is lowered by; rounding stays far below.
@@ -82,17 +86,20 @@ class Assigner:
         self.c = np.array(centroids, np.int64)
         cp = np.sqrt(np.stack([_squares(self.c, p) for p in pivots], 1).astype(float))
         between = np.sqrt(np.stack([_squares(pivots, p) for p in pivots], 1).astype(float))
-        self.pairs = [(a, b, cp[:, a], cp[:, b], between[a, b]) for a, b in combinations(range(len(pivots)), 2)
-                      if between[a, b] > 0]
-        self.cp = cp
+        self.pairs = []                      # centroid, pivots a and b, its distances to them, theirs
+        for c in range(len(self.c)):
+            a = int(cp[c].argmin())
+            for b in np.argsort(-between[a], kind="stable")[:PAIRS].tolist():
+                if between[a, b] > 0:
+                    self.pairs.append((c, a, b, cp[c, a], cp[c, b], between[a, b]))
 
     def bounds(self, p: np.ndarray) -> np.ndarray:
         """Squared lower bounds (rows, centroids), never above the true value."""
-        low = np.zeros((len(p), len(self.c)))
-        for a, b, ca, cb, d in self.pairs:
-            left, right = p[:, a, None] * cb, p[:, b, None] * ca
-            np.maximum(low, (np.abs(left - right) - MARGIN * (left + right)) / d, out=low)
-        return low * low * (1 - MARGIN)
+        low = np.zeros((len(self.c), len(p)))
+        for c, a, b, ca, cb, d in self.pairs:
+            left, right = p[:, a] * cb, p[:, b] * ca
+            np.maximum(low[c], (np.abs(left - right) - MARGIN * (left + right)) / d, out=low[c])
+        return (low * low * (1 - MARGIN)).T
 
     def assign(self, x: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """(cluster, squared distance, exact comparisons)."""
@@ -164,10 +171,13 @@ def cluster(vectors: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS,
     centroids = starting_vectors(rows, clusters, seed)
     if not centroids:
         return spark.createDataFrame([], SCHEMA)
-    pivots = np.unique(np.array(centroids[:PIVOTS], np.int64), axis=0)
-    rows = written(with_pivots(rows, pivots), "pivots")
-    for _ in range(rounds):
-        centroids = _round(rows, centroids, pivots)
+    plain, pivots = rows, np.zeros((0, dims), np.int64)
+    for k in range(rounds + 1):
+        if k in PIVOT_ROUNDS:
+            pivots = np.unique(np.array(centroids, np.int64), axis=0)
+            rows = written(with_pivots(plain, pivots), "pivots")
+        if k < rounds:
+            centroids = _round(rows, centroids, pivots)
     assigner = Assigner(centroids, pivots)
 
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
