@@ -213,8 +213,7 @@ def q_job_summary(spark, d):
 # ------------------------------------------------------------------ pages
 
 def q_page_anchors(spark, d):
-    pages = td.table(spark, d, "pages").select("page_id", "html")
-    return _page_anchors(pages).select("page_id", "pos", "href", "label")
+    return _page_anchors(td.headed_pages(spark, d)).select("page_id", "pos", "href", "label")
 
 
 def q_card_anchors(spark, d):

@@ -420,6 +420,21 @@ def text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.concat("text", tail).alias("text"))
 
 
+#: Markup put before every k-th page: a quoted ``>``, anchors that are none.
+PAGE_HEADS_SQL = """
+select page_id, concat(case page_id % 3
+    when 0 then '<a title="a > b" href=''q?x>y'' aria-label="1 > 0">z</a><A HREF=bare>w</A>'
+    when 1 then '<!-- <a href="no"> --><textarea><a href="no"></textarea><script>"<a href=no>"</script>'
+    else '' end, html) as html
+from {pages}
+"""
+
+
+def headed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, html) of all pages, with such markup before them."""
+    return portable_sql(spark, sf_dir, PAGE_HEADS_SQL)
+
+
 # --- boundaries --------------------------------------------------------------
 # Shape templates in half-units: (shape, poly_idx, ring_idx, v_idx, dx, dy).
 # 0 hexagon, 1 concave L, 2 square with a square hole, 3 hexagon plus an

@@ -339,11 +339,13 @@ select j.job_idx, j.keyword,
 from jobs j left join an a on a.job_idx = j.job_idx
 group by j.job_idx, j.keyword"""
 
-    anchors_re = ("(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>"
-                  "|<style\\b[^>]*>.*?</style\\s*>|<a(?:\\s[^>]*)?>")
-    q["page_anchors"] = f"""with t as (
+    # what holds no elements, then start tags whose quoted values may hold ``>``
+    anchors_re = ("(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>"
+                  "|<textarea\\b[^>]*>.*?</textarea\\s*>|<title\\b[^>]*>.*?</title\\s*>"
+                  "|<a(?:\\s(?:[^>\"'']|\"[^\"]*\"|''[^'']*'')*)?>")
+    q["page_anchors"] = f"""with p as ({td.duckdb_sql(td.PAGE_HEADS_SQL)}), t as (
   select page_id, list_filter(regexp_extract_all(html, '{anchors_re}', 0),
-                              lambda x: lower(substr(x, 1, 2)) = '<a') as tags from pages),
+                              lambda x: lower(substr(x, 1, 2)) = '<a') as tags from p),
 u as (select page_id, unnest(tags) as tag, generate_subscripts(tags, 1) - 1 as pos from t)
 select page_id, cast(pos as bigint) as pos, {unescape(attr('tag', 'href'))} as href,
   {unescape(attr('tag', 'aria-label'))} as label
