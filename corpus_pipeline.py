@@ -90,7 +90,8 @@ STAGES = [
 ]
 
 #: Learned lexicons, connected components, hashed draws and byte pair encoding
-#: have no SQL; tests hold every stage against a brute-force version.
+#: have no SQL; tests hold the first three stages' documents against plain versions,
+#: the mix against its targets and the packing against its limits.
 ORACLE_SQL = None
 
 
