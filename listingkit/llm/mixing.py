@@ -112,13 +112,16 @@ def _plan(shares: DataFrame, block: int) -> DataFrame:
             .withColumn("slots", F.expr(f"(words div source_size) * a_pass + (rest + {block - 1}) div {block}")))
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows in as many partitions as shuffles have.  The number is given, since
+    partitions of few rows would be merged, and each row here becomes thousands."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def drawn_shards(plan: DataFrame, shard_slots: int) -> DataFrame:
-    """n (slots of the mix), shard: a row a shard, dealt to as many partitions as
-    shuffles have.  The number is given, since partitions of so few rows would
-    be merged, and every row becomes thousands."""
-    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return plan.agg(F.sum("slots").alias("n")).where("n > 0").select("n", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.expr(f"(n - 1) div {shard_slots}"))).alias("shard")).repartition(tasks, "shard")
+    """n (slots of the mix), shard: a row a shard."""
+    return dealt(plan.agg(F.sum("slots").alias("n")).where("n > 0").select("n", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.expr(f"(n - 1) div {shard_slots}"))).alias("shard")), "shard")
 
 
 def draw_slots(plan: DataFrame, seed: str, shard_slots: int = SHARD_SLOTS) -> DataFrame:
@@ -143,7 +146,7 @@ def draw_slots(plan: DataFrame, seed: str, shard_slots: int = SHARD_SLOTS) -> Da
     counts = _running(chunked, ["sid"], "chunk", ["shard"], "c", "p").join(plan.select("sid", "slots"), "sid")
     kept = F.greatest(F.lit(0), F.least(F.col("c"), F.col("slots") - F.col("p")))
     counts = counts.withColumn("kept", kept)
-    first = counts.where("kept > 0").select("sid", "shard", F.explode(F.sequence(
+    first = dealt(counts.where("kept > 0"), "sid", "shard").select("sid", "shard", F.explode(F.sequence(
         F.col("p"), F.col("p") + F.col("kept") - 1)).alias("k"))
     # surplus draws, one after another, fill the quotas that are not reached
     over = counts.groupBy("shard", "chunk").agg(F.sum(F.col("c") - F.col("kept")).alias("over")).where("over > 0")
