@@ -196,3 +196,21 @@ def test_lattice_in_areas_degrees(spark):
     assert 60 < len(pts) < 130                           # ~8.9 km x 8.1 km at 800 m
     assert all(-25.36 < p.latitude < -25.28 and -57.70 < p.longitude < -57.62 for p in pts)
     assert len({p.point_idx for p in pts}) == len(pts)
+
+
+def test_derived_areas_beyond_the_pole(spark, tmp_path):
+    """Many suppliers lay areas out past -90 degrees: they are read whole, while
+    boundary files with such corners still fail."""
+    from listingkit.operators import areas as A
+    from listingkit.sources import io
+    from listingkit.sources import testdata as td
+    keys = [1, 14_000, 15_000, 60_000]
+    spark.createDataFrame([(k, k % 2) for k in keys], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(0, "A"), (1, "B")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    areas = td.landed_areas(spark, str(tmp_path))
+    assert sorted(r.area_ord for r in areas.collect()) == keys
+    assert A.area_listing(areas, "area_name", "area_code").count() == 2
+    assert {r.area_code for r in L.lattice_in_areas(areas, 800.0, ["area_code"]).collect()} == {"PY00", "PY01"}
+    areas.write.parquet(f"{tmp_path}/file")
+    with pytest.raises(Exception, match="finite"):
+        io.read_boundaries(spark, f"{tmp_path}/file").collect()
