@@ -255,3 +255,12 @@ def test_repeated_markup_gives_the_rows_of_the_plain_way():
             i, j = rng.randrange(len(bits)), rng.randrange(len(bits))
             bits[i] = rng.choice(["", "<!-- " + bits[j], bits[i] + "-->", bits[j], bits[i] + bits[j], bits[i][:rng.randint(0, len(bits[i]))], bits[i].replace('"', "'", 1), bits[i].replace(">", "", 1)])
         check("".join(bits))
+
+
+def test_page_markup_is_made_after_the_shuffle(spark):
+    """The cards of a page meet as numbers: no exchange moves markup."""
+    from listingkit.sources import testdata as td
+    plan = td.result_pages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("REPARTITION_BY_NUM")]
+    assert "collect_list" in above and "hashpartitioning" not in above[above.index("collect_list"):].split("Exchange")[0]
+    assert above.count("Exchange") == 1 and td.result_pages(spark, "/root/testdata/sf0.001").count() > 0
