@@ -63,3 +63,22 @@ def test_select_areas_and_errors(spark):
     assert sorted(r.area_ord for r in A.select_areas(df, "py02", "code").collect()) == [1]
     with pytest.raises(ValueError):
         A.select_areas(df, "nowhere", "name", "area_name")
+
+
+def test_long_texts_are_normalised_by_slices():
+    """A batch of long texts: beside it and its result, the task holds a slice."""
+    import tracemalloc
+    import unicodedata
+
+    import pyarrow as pa
+
+    from listingkit.functions.text import SLICE_ROWS, _normal_form
+    texts = [f"Ａﬁ {i} " + "é" * 5_000 for i in range(8 * SLICE_ROWS)] + [None, ""]
+    batch = pa.array(texts)
+    want = [None if t is None else unicodedata.normalize("NFKC", t) for t in texts]
+    tracemalloc.start()
+    got = _normal_form(batch, "NFKC")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist() == want and peak < sum(len(t or "") for t in texts)
+    assert len(_normal_form(batch.slice(0, 0), "NFKD")) == 0
