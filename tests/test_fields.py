@@ -82,3 +82,23 @@ def test_py_strip_matches_python(spark):
     texts = ["  a b  ", "\x1c x \x1f", "plain", "　"]
     got = _one(spark, [(t,) for t in texts], "t string", [fields.py_strip("t")])
     assert [g[0] for g in got] == [t.strip() for t in texts]
+
+
+def test_jobs_are_landed_by_several_tasks(spark, tmp_path):
+    """A file of points that one task reads becomes jobs in several."""
+    from listingkit import constants as K
+    from listingkit.plans import catalog as C
+    n = 2 * C.POINTS_PER_PART + 1
+    spark.range(n).selectExpr("id c_custkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    jobs = C._jobs(spark, str(tmp_path))
+    tasks = jobs.select(F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1)).distinct().count()
+    assert tasks == 3 and jobs.select("job_idx").distinct().count() == jobs.count() == n * len(K.KEYWORDS)
+
+
+def test_link_coordinates_take_one_search(spark):
+    links = ["x!3d-25.1!4d-57.2!16s", "!3d1.2.3!4d5", "!3d1!4d-", "a!4d7!3d1!4d2", "!3d!3d4!4d5", "!3d-!3d1!4d2!4d3", "", None, "!3d1!4d2!3d3!4d4"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(links)], "i int, link string")
+    lat, lon = fields.link_coords("link")
+    got = {r.i: (r.lat, r.lon) for r in df.select("i", lat.alias("lat"), lon.alias("lon")).collect()}
+    none = (None, None)
+    assert [got[i] for i in range(len(links))] == [(-25.1, -57.2), none, none, (1.0, 2.0), (4.0, 5.0), (1.0, 2.0), none, none, (1.0, 2.0)]
