@@ -301,6 +301,22 @@ def test_scripts_without_spaces_are_deduplicated(spark):
             assert len(got[i].text) < 60 and got[i].n_removed > 15
 
 
+def test_short_covered_sentences_go(spark):
+    """Three shared sentences of 15 words: all of them go, whatever stands around; with ``min_passage`` they stay."""
+    rng = random.Random(15)
+    shared = " ".join(" ".join(words(rng, 5, 10 ** 6)) + "." for _ in range(3))
+    own = [" ".join(" ".join(words(rng, 9, 10 ** 6)) + "." for _ in range(4)) for _ in range(6)]
+    rows = [(i, f"{own[2 * i]} {shared} {own[2 * i + 1]}") for i in range(3)] + [(3, shared), (4, "\n".join(shared.split(". ")))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in sentences.dedup_sentences(df).collect()}
+    assert got[0].text == rows[0][1] and got[0].n_removed == 0
+    for i in (1, 2):
+        assert got[i].text == f"{own[2 * i]} {own[2 * i + 1]}" and got[i].removed_words == 15 and got[i].n_removed >= 3
+    assert got[3].text == "" and got[3].removed_words == 15
+    assert got[4].text == rows[4][1]                      # other words: the stops of two are missing
+    assert {r.doc_id: r.text for r in sentences.dedup_sentences(df, min_passage=16).collect()} == dict(rows)
+
+
 def test_repeats_within_a_document(spark):
     rng = random.Random(9)
     passage = " ".join(" ".join(words(rng, 8, 10 ** 6)) + "." for _ in range(6))
