@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listingkit.llm.common import cut
+from listingkit.llm.common import written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,7 +15,9 @@ def components(edges: DataFrame) -> DataFrame:
     itself (first the larger neighbours, then the smaller ones), which shortens
     all paths and keeps connectivity; the tables keep the size of the edge
     table, and rounds grow with the logarithm of the longest path.  No node's
-    neighbours are gathered: only minima are aggregated and joined back."""
+    neighbours are gathered: only minima are aggregated and joined back.  Each
+    half of a round is written, so that plans stay small: a star reads its
+    pairs twice, and what is not written would be planned twice as well."""
     def star(pairs: DataFrame, larger: bool) -> DataFrame:
         low = pairs.groupBy("u").agg(F.min("v").alias("m"))
         low = low.withColumn("m", F.least("u", "m"))
@@ -27,13 +29,16 @@ def components(edges: DataFrame) -> DataFrame:
                                   F.col("m").alias("v"))
         return moved.where("u <> v").distinct()
 
-    now = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-              .where("u <> v").distinct())
-    seen = None
+    def mark(pairs: DataFrame):
+        return pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+    now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                  .where("u <> v").distinct(), "links")
+    seen = mark(now)                                  # links that are stars already need no second round
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        now = cut(star(star(both, True), False))
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
+        now = written(star(written(star(both, True), "larger"), False), "smaller")
+        found = mark(now)
+        if found == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = mark
+        seen = found

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from listingkit.llm.common import cut, table
+from listingkit.llm.common import cut, table, written
 from listingkit.llm.components import components
 from listingkit.llm.tables import add_stripes, keep_wanted, stripes, wanted_bits
 from listingkit.llm.textarrays import shingle_sets, slices
@@ -292,6 +292,7 @@ def _blocks(open_nodes: DataFrame, members: DataFrame) -> DataFrame:
     within = W.partitionBy("head", "part").orderBy("ref").rowsBetween(W.unboundedPreceding, 0)
     rows = small.withColumn("upto", cost.over(within)).join(totals, ["head", "part"]).select(
         "head", "ref", "n", F.floor((F.col("before") + F.col("upto")) / BLOCK_SHINGLES).alias("block"))
+    rows = written(rows, "blocks")                 # read three times below
     span = rows.groupBy("head", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     two = span.select("head", F.col("block").alias("two"), F.col("low").alias("low2"))
     pairs = (span.withColumnRenamed("block", "one").join(two, "head").where("one <= two")
@@ -412,7 +413,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     still = still.join(part.select("ref", "class", "n", "group", F.col("rep.row_key").alias("row_key")), "ref")
     still = cut(still)
     more = cut(_inside(_with_texts(still, whole), still))
-    groups = components(edges.unionByName(more))
+    # the groups found so far connect what their links connect, in fewer rounds
+    groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
     part = classes.join(groups, classes["class"] == groups["node"], "left").select(
         "class", "rep", F.coalesce("root", "class").alias("root"))

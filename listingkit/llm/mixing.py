@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from listingkit.llm.common import SPACE, cut, table, uniform, word_count
+from listingkit.llm.common import SPACE, cut, table, uniform, word_count, written
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
@@ -145,7 +145,7 @@ def draw_slots(plan: DataFrame, seed: str, shard_slots: int = SHARD_SLOTS) -> Da
     chunked = counts.withColumn("chunk", F.expr("shard div 1024"))
     counts = _running(chunked, ["sid"], "chunk", ["shard"], "c", "p").join(plan.select("sid", "slots"), "sid")
     kept = F.greatest(F.lit(0), F.least(F.col("c"), F.col("slots") - F.col("p")))
-    counts = counts.withColumn("kept", kept)
+    counts = written(counts.withColumn("kept", kept), "draws")     # read five times below
     first = dealt(counts.where("kept > 0"), "sid", "shard").select("sid", "shard", F.explode(F.sequence(
         F.col("p"), F.col("p") + F.col("kept") - 1)).alias("k"))
     # surplus draws, one after another, fill the quotas that are not reached
@@ -196,7 +196,7 @@ def taken_words(docs: DataFrame, **columns) -> DataFrame:
     sizes = size_documents(docs, **columns)
     shares = cut(targets(sizes))
     placed = cut(spread_documents(sizes, shares))
-    taken = mix(placed, shares).groupBy("sid", "at").agg(F.sum("length").alias("taken"))
+    taken = written(mix(placed, shares).groupBy("sid", "at").agg(F.sum("length").alias("taken")), "taken-at")
     full = placed.where("size > 0").join(taken, ["sid", "at"], "left")
     none = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return full.unionByName(none).select(
@@ -212,6 +212,7 @@ def whole_copies(taken: DataFrame) -> DataFrame:
     whole number that the sum passes is one document more.  So every source
     keeps its words to about one document.  Documents without words come once."""
     one = taken.groupBy("sid", "doc_id", "row_key", "source").agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"))
+    one = written(one, "taken")                    # read three times below, each with the plan of the whole mix else
     some = one.where("size > 0").withColumn("part", F.round((F.col("taken") % F.col("size")) / F.col("size") * PARTS).cast("long"))
     level = F.floor(F.log2(F.col("size").cast("double")) * 8).cast("long")
     some = some.withColumn("chunk", level * 256 + F.pmod("row_key", F.lit(256)))

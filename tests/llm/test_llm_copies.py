@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from listingkit.llm import jaccard, sentences
+from listingkit.llm import jaccard, mixing, sentences
 from listingkit.llm.components import components
 
 
@@ -328,6 +328,21 @@ def test_repeats_within_a_document(spark):
     assert got[1].text.startswith(f"start of it. {passage}") and len(got[1].text) < len(text) - len(passage) / 2
 
 
+def test_plans_stay_small(spark, capsys):
+    """What is read several times is written before, so that the driver plans it once."""
+    def shuffles(df):
+        capsys.readouterr()
+        df.explain()
+        return capsys.readouterr().out.count("Exchange ")
+    rng = random.Random(2)
+    docs = spark.createDataFrame([(i, " ".join(words(rng, 40)), "ab"[i % 2]) for i in range(20)], "doc_id long, text string, source string")
+    copies = mixing.whole_copies(mixing.taken_words(docs))
+    assert shuffles(copies) < 20 and copies.count() > 0
+    members = spark.createDataFrame([(1, i, 10 + i % 3) for i in range(30)], "head long, ref long, n long")
+    dealt = jaccard._blocks(members.select("head", "ref"), members)
+    assert shuffles(dealt) < 12 and sorted(r.ref for r in dealt.collect()) == list(range(30))
+
+
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
     """Every stage's input and output, as pandas, and the tables' folder."""
