@@ -28,13 +28,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingkit.llm.common import table
-from listingkit.llm.textarrays import slices
+from listingkit.llm.textarrays import release, slices
 
 MAX_TOKENS, END_ID, OPEN_BINS = 4096, 1, 2048
 #: Words whose ids a Python worker remembers, in each of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Words that it keeps from one task to the next.
-KEPT = 100_000
+KEPT = 50_000
+#: Bytes of text that a worker takes at once.
+SLICE = 4 << 20
 
 #: Words of these characters (no apostrophe) are cut by the tokenizer into runs
 #: of letters, single digits and runs of the rest.
@@ -108,11 +110,12 @@ class WordIds(dict):
         self.learn(words)
         known = [self[w] if w else b"" for w in words]
         pool = np.frombuffer(b"".join(known), "<u4")
-        length = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        start = np.cumsum(length) - length
+        length = np.fromiter(map(len, known), np.int32, len(known)) // 4
+        start = np.cumsum(length, dtype=np.int32) - length
         code = coded.indices.to_numpy()
         stop = np.concatenate([[0], np.cumsum(length[code])])    # of each word, in ids
-        place = np.repeat(start[code] - stop[:-1], length[code]) + np.arange(stop[-1])
+        place = np.repeat(start[code] - stop[:-1].astype(np.int32), length[code])
+        place += np.arange(stop[-1], dtype=np.int32)
         ids = pool[place].tobytes()
         edge = (4 * stop[split.offsets.to_numpy() - split.offsets[0].as_py()]).tolist()
         return [ids[a:b] for a, b in zip(edge, edge[1:])]
@@ -148,7 +151,7 @@ def tokenize_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", doc_
         path = vocabulary if os.sep in vocabulary else _vocabulary(vocabulary)
         for b in batches:
             id_type = b.schema.field(0).type
-            for part in slices(b, 1, 8 << 20):
+            for part in slices(b, 1, SLICE):
                 of, piece, start, ids = [], [], [], []
                 for i, whole in enumerate(encode(part.column(1), path)):
                     whole += end
@@ -163,6 +166,7 @@ def tokenize_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", doc_
                      pa.array(ids, pa.binary())], names=["doc_id", "piece", "start", "length", "ids"])
         if path in _TABLES:
             _TABLES[path].rest()
+            release()
 
     return rows.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids binary")
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from listingkit.llm import common, hmm, language, neighbours, packing, toxicity
+from listingkit.llm import common, hmm, language, neighbours, packing, textarrays, toxicity
 from listingkit.llm.toxicity import Lexicon
 
 
@@ -113,6 +113,21 @@ def test_packing_round_trip(spark):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_tokenizing_workers_stay_small(monkeypatch):
+    """Tables of ids are bounded, and what a batch took goes back to the system."""
+    import public_tokenizers
+    table = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    for k in range(12):
+        table.encode(pa.array([" ".join(f"{chr(97 + k)}{i:x}" for i in range(40_000))]))
+        assert len(table) + len(table.old) <= 300_000
+    table.rest()
+    assert len(table) <= 50_000 and not table.old
+    trims = []
+    monkeypatch.setattr(textarrays, "_TRIM", trims.append)
+    batch = pa.RecordBatch.from_arrays([pa.array(["abc"] * 10)], names=["text"])
+    assert sum(p.num_rows for p in textarrays.slices(batch, 0, 6)) == 10 and trims == [0]
+
+
 def test_open_bins_choose_the_least_room():
     bins = packing.OpenBins(10, 2)
     assert [bins.put(n) for n in (6, 7, 3, 4)] == [(0, 0), (1, 0), (1, 7), (0, 6)]
