@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -161,19 +162,32 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 class Vocabulary:
     """The most frequent words with their counts in training; the first ``own``
-    have codes of their own, RARE and END follow."""
+    have codes of their own, RARE and END follow.
 
-    def __init__(self, words: list[str], trained: list[int], own: int):
-        self.at = {w: i for i, w in enumerate(words)}
-        self.trained = np.array(trained, np.int64)
+    The driver holds and sends the words as an Arrow array; ``at`` is made in the
+    tasks alone."""
+
+    def __init__(self, words: pa.Array, trained: np.ndarray, own: int):
+        self.words = words
+        self.trained = trained
         self.rare = min(own, len(words))
         self.end = self.rare + 1
 
+    @cached_property
+    def at(self) -> dict[str, int]:
+        return {w: i for i, w in enumerate(self.words.to_pylist())}
+
     def place(self, words: list[str]) -> np.ndarray:
         """Rank of each word; the number of counted words where unknown."""
         return np.array([self.at.get(w, len(self.at)) for w in words], np.int64)
 
 
+def _by_count(rows: DataFrame) -> pa.Table:
+    """(word, trained) of bounded rows, most trained first, then by word; collected
+    as an Arrow table, as a row object for each would take the driver's memory."""
+    return rows.select("word", "trained").toArrow().sort_by([("trained", "descending"), ("word", "ascending")])
+
+
 def _with_ends(values: np.ndarray, first: np.ndarray, end) -> tuple[np.ndarray, np.ndarray]:
     """A value after each text's values, and where each text now begins."""
     n = len(first) - 1
@@ -213,16 +227,14 @@ def train(encoded: DataFrame, weights: np.ndarray, states: int = STATES, rounds:
                 .groupBy("row").agg(*(F.sum(n).alias(n) for n in names)))
         start, move = np.zeros(states) + ADD_MOVE, np.zeros((states, states)) + ADD_MOVE
         emit = np.zeros((len(weights), states)) + ADD_WORD
-        for r in sums.collect():                        # at most WORDS + states + 3 rows
-            value = np.array(r[1:], float)
-            if r.row >= 0:
-                emit[r.row] += value
-            elif r.row == -1:
-                start += value
-            else:
-                move[-2 - r.row] += value
+        got = sums.toArrow()                            # at most WORDS + states + 3 rows
+        row, value = got["row"].to_numpy(), np.stack([got[n].to_numpy() for n in names], 1)
+        emit[row[row >= 0]] += value[row >= 0]
+        start += value[row == -1].sum(0)
+        move[-2 - row[row < -1]] += value[row < -1]
         model = Hmm(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
-        shared.unpersist()
+        shared.destroy()
+        del got, row, value, sums
     return model
 
 
@@ -280,10 +292,12 @@ def score_texts(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own
     # the training rows alone say which words emit; words frequent in all rows have their
     # counts broadcast besides, which saves a join and changes no score
     short = counts.where((F.col("word") != END) & (F.length("word") <= LONGEST))
-    emitting = sorted(most_frequent(short.where("trained > 0"), "trained", own).collect(), key=lambda r: (-r.trained, r.word))
-    known = {r.word for r in emitting}
-    more = sorted((r for r in most_frequent(short, "n", counted).collect() if r.word not in known), key=lambda r: (-r.trained, r.word))
-    vocab = Vocabulary([r.word for r in emitting + more], [r.trained for r in emitting + more], len(emitting))
+    emitting = _by_count(most_frequent(short.where("trained > 0"), "trained", own))
+    more = _by_count(most_frequent(short, "n", counted))
+    more = more.filter(pc.invert(pc.is_in(more["word"], emitting["word"].combine_chunks())))
+    listed = pa.concat_tables([emitting, more]).combine_chunks()
+    vocab = Vocabulary(listed["word"].combine_chunks(), listed["trained"].to_numpy().astype(np.int64), emitting.num_rows)
+    del emitting, more, listed
     emits = vocab.trained[:vocab.rare]
     rare_tokens = tokens - ends - int(emits.sum())
     rare_distinct = distinct - int((emits > 0).sum()) - (1 if ends else 0)

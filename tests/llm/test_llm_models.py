@@ -304,6 +304,18 @@ def test_hmm_scores(spark):
         assert r.score == pytest.approx(first[r.doc_id, r.n_tokens], rel=1e-3)
 
 
+def test_hmm_driver_gets_no_row_for_each_word(spark, monkeypatch):
+    """Words and their emissions come as Arrow tables: a row object for each took the driver's memory."""
+    df = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(i, i + 40)), i % 7 == 0) for i in range(900)],
+                               "doc_id long, text string, held_out boolean")
+    seen, kind = [], type(df)
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: seen.append(collect(self)) or seen[-1])
+    got = hmm.score_texts(df, states=2, rounds=1, own=2000, counted=2000)
+    assert max(map(len, seen)) < 300
+    assert {r.n_tokens for r in got.collect()} == {41}
+
+
 def test_hmm_scores_do_not_depend_on_held_out_texts(spark):
     rows = [(i, " ".join(["a", "b", "a", f"r{i}"][:2 + i % 3]), False) for i in range(30)] + [(50, "a b a", True)]
     seen = []
