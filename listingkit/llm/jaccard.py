@@ -10,7 +10,7 @@ similarity of at least 0.75, exactly, and returns connected components.
   shingles of each.  Classes that share such a shingle lie under one node,
   named after the smallest of them.
 * Every class is compared with the head of the node it shares most with, if the
-  shared shingles allow a link.  Nodes whose members these links already
+  shared shingles and then short bitmaps allow a link.  Nodes whose members these links already
   connect hold nothing new and are dropped.
 * In the others a tree of OR-combined bitmaps and size ranges is built over the
   members, and a dual traversal descends only into node pairs whose greatest
@@ -126,13 +126,14 @@ def _members(prefixes: DataFrame) -> DataFrame:
             .groupBy("head", "ref").agg(F.sum("shared").alias("shared")))
 
 
-def _with_texts(rows: DataFrame, whole: DataFrame) -> DataFrame:
+def _with_texts(rows: DataFrame, whole: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Adds ``text`` to rows with the row_key that stands for their class.
 
     Texts travel, not sets, which are larger; a task that needs a set makes it.
-    Texts that are not wanted are passed over before the join."""
-    some = keep_wanted(whole.select("row_key", "text"), wanted_bits(rows.select("row_key").distinct()))
-    return rows.join(some, "row_key")
+    Texts that are not wanted are passed over before the join; ``keys`` may give
+    the row_keys of the rows where these are long to make."""
+    wanted = (rows if keys is None else keys).select("row_key").distinct()
+    return rows.join(keep_wanted(whole.select("row_key", "text"), wanted_bits(wanted)), "row_key")
 
 
 def _own_sets(keys: list[bytes], texts: pa.Array) -> list[np.ndarray | None]:
@@ -148,6 +149,34 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return WHOLE * common >= PART * (len(a) + len(b) - common)
 
 
+def most_common(n: int, a: bytes, m: int, b: bytes) -> int:
+    """Greatest possible overlap of two sets by their sizes and bitmaps: the bits
+    of both, and shingles that share a bit.  The wider bitmap is folded."""
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    w, v = 8 * len(a), 8 * len(b)
+    while w > v:
+        w //= 2
+        x = x >> w | x & ((1 << w) - 1)
+    while v > w:
+        v //= 2
+        y = y >> v | y & ((1 << v) - 1)
+    return (x & y).bit_count() + min(n - x.bit_count(), m - y.bit_count())
+
+
+def _may_link(best: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows (head, ref) whose bitmaps allow a link: few do, and only these
+    need their texts."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, bits, m, head_bits = (c.to_pylist() for c in b.columns[2:])
+            ok = [(WHOLE + PART) * most_common(*x) >= PART * (x[0] + x[2]) for x in zip(n, bits, m, head_bits)]
+            yield b.select(["head", "ref"]).filter(pa.array(ok, pa.bool_()))
+    own = classes.select("ref", "n", "bits")
+    heads = classes.select(F.col("ref").alias("head"), F.col("n").alias("m"), F.col("bits").alias("head_bits"))
+    both = best.join(own, "ref").join(heads, "head").select("head", "ref", "n", "bits", "m", "head_bits")
+    return both.mapInArrow(keep, "head long, ref long")
+
+
 def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     a, b = zip(*pairs)
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
@@ -275,9 +304,9 @@ def possible_members(groups: list[bytes], sizes: list[int], raw: list[bytes]) ->
     return hit
 
 
-def _blocks(open_nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """Members (head, ref, ..) dealt to the block pairs (one, two) of their node;
-    ``members`` has head, ref and n of the same rows.
+def _dealt(members: DataFrame) -> DataFrame:
+    """(head, ref, one, two): members (head, ref, n) dealt to the block pairs
+    (one, two) of their node.
 
     Blocks follow size and hold about BLOCK_SHINGLES; a node pair whose size
     ranges cannot reach the similarity is not made.  The running sum that cuts
@@ -298,12 +327,18 @@ def _blocks(open_nodes: DataFrame, members: DataFrame) -> DataFrame:
     pairs = (span.withColumnRenamed("block", "one").join(two, "head").where("one <= two")
              .where(F.col("high") * WHOLE >= F.col("low2") * PART).select("head", "one", "two"))
     ends = pairs.select("head", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
-    dealt = rows.join(ends, ["head", "block"]).select("head", "ref", "one", "two")
-    return open_nodes.join(dealt, ["head", "ref"])
+    return rows.join(ends, ["head", "block"]).select("head", "ref", "one", "two")
+
+
+def _blocks(open_nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """Members (head, ref, ..) dealt to the block pairs (one, two) of their node;
+    ``members`` has head, ref and n of the same rows."""
+    return open_nodes.join(_dealt(members), ["head", "ref"])
 
 
-def _by_node(rows: DataFrame, members: DataFrame, columns: list[str], per_node, schema: str, order: str) -> DataFrame:
-    """Calls ``per_node`` with head and the lists of the columns of one block pair."""
+def _by_node(dealt: DataFrame, columns: list[str], per_node, schema: str, order: str) -> DataFrame:
+    """Calls ``per_node`` with head and the lists of the columns of one block pair
+    (head, one, two)."""
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
         for b in batches:
@@ -316,29 +351,35 @@ def _by_node(rows: DataFrame, members: DataFrame, columns: list[str], per_node,
         if len(held) > 1:
             yield from per_node(at[0], [list(c) for c in zip(*held)])
     node = ["head", "one", "two"]
-    return (_blocks(rows, members).select(*node, *columns).repartition(*node).sortWithinPartitions(*node, order)
+    return (dealt.select(*node, *columns).repartition(*node).sortWithinPartitions(*node, order)
             .mapInArrow(stream, schema))
 
 
-def _possible(open_nodes: DataFrame) -> DataFrame:
-    """(head, ref) of the members that may have a link to another component."""
+def _possible(open_nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """(head, ref) of the members (head, ref, n) that may have a link to another
+    component; ``classes`` has ref, n, group and bits.  Bitmaps join rows that
+    are dealt already, so they travel once more only."""
     def traverse(head, columns) -> Iterator[pa.RecordBatch]:
         refs, groups, sizes, raw = columns
         hit = np.flatnonzero(possible_members(groups, sizes, raw)).tolist()
         if hit:
             yield pa.RecordBatch.from_arrays([pa.array([head] * len(hit), pa.int64()),
                                               pa.array([refs[i] for i in hit], pa.int64())], names=["head", "ref"])
-    return _by_node(open_nodes, open_nodes, ["ref", "group", "n", "bits"], traverse, "head long, ref long", "ref").distinct()
+    dealt = _dealt(open_nodes).join(classes.select("ref", "group", "n", "bits"), "ref")
+    return _by_node(dealt, ["ref", "group", "n", "bits"], traverse, "head long, ref long", "ref").distinct()
 
 
-def _inside(open_nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """Links found by the trees over the sets of these members."""
+def _inside(members: DataFrame, whole: DataFrame) -> DataFrame:
+    """Links found by the trees over the sets of these members.  Texts join rows
+    that are dealt already."""
     def traverse(head, columns) -> Iterator[pa.RecordBatch]:
         rows = [(k, g, s) for k, g, s in zip(columns[0], columns[1], _own_sets(columns[0], pa.array(columns[2])))
                 if s is not None]
         if out := join_members(*(list(c) for c in zip(*rows))) if rows else None:
             yield _edges(out)
-    return _by_node(open_nodes, members, ["class", "group", "text"], traverse, "a binary, b binary", "class").distinct()
+    dealt = _blocks(members.drop("n"), members)
+    return _by_node(_with_texts(dealt, whole, members), ["class", "group", "text"], traverse,
+                    "a binary, b binary", "class").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -398,6 +439,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     near = near.where((WHOLE + PART) * most >= PART * (F.col("n") + F.col("m")))
     best = cut(near.groupBy("ref").agg(F.max(F.struct("shared", "head")).alias("b"))
                .select(F.col("b.head").alias("head"), "ref"))
+    best = cut(_may_link(best, classes))
     edges = cut(_with_heads(best, classes, whole).distinct())
     groups = components(edges)
 
@@ -409,10 +451,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     nodes = cut(nodes.join(part.select("ref", "n", "group"), "ref"))
     mixed = nodes.groupBy("head").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi")
     still = nodes.join(mixed.select("head"), "head", "left_semi").select("head", "ref")
-    still = cut(_possible(still.join(part.select("ref", "n", "group", "bits"), "ref")))
+    still = cut(_possible(still.join(part.select("ref", "n"), "ref"), part))
     still = still.join(part.select("ref", "class", "n", "group", F.col("rep.row_key").alias("row_key")), "ref")
     still = cut(still)
-    more = cut(_inside(_with_texts(still, whole), still))
+    more = cut(_inside(still, whole))
     # the groups found so far connect what their links connect, in fewer rounds
     groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 

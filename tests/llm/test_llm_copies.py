@@ -112,6 +112,30 @@ def test_tree_finds_every_linked_pair():
     assert all(hit[i] and hit[j] for i, j in links)
 
 
+def test_bitmaps_pass_every_link_and_few_others(spark):
+    """Only pairs (head, ref) whose bitmaps allow a link have their texts sent."""
+    rng = np.random.default_rng(8)
+    sets, best, links = [], [], []
+    for i in range(60):
+        head = np.unique(rng.integers(0, 2 ** 63, rng.integers(60, 140)).astype(np.uint64))
+        near = np.concatenate([head[rng.random(len(head)) < 0.9], rng.integers(0, 2 ** 63, rng.integers(0, 30)).astype(np.uint64)])
+        apart = np.concatenate([head[:len(head) // 3], rng.integers(0, 2 ** 63, len(head)).astype(np.uint64)])
+        for other in (np.unique(near), np.unique(apart)):
+            common = len(np.intersect1d(head, other))
+            bits = [jaccard.bitmap(s, jaccard._width(len(s))).tobytes() for s in (head, other)]
+            assert common <= jaccard.most_common(len(head), bits[0], len(other), bits[1]) == jaccard.most_common(
+                len(other), bits[1], len(head), bits[0])
+            best.append((len(sets), len(sets) + 1))
+            sets += [head, other]
+            if jaccard.linked(head, other):
+                links.append(best[-1])
+    assert len({jaccard._width(len(s)) for s in sets}) > 1 and links
+    classes = spark.createDataFrame([(i, len(s), jaccard.bitmap(s, jaccard._width(len(s))).tobytes()) for i, s in enumerate(sets)],
+                                    "ref long, n long, bits binary")
+    got = {tuple(r) for r in jaccard._may_link(spark.createDataFrame(best, "head long, ref long"), classes).collect()}
+    assert set(links) <= got and len(got) <= len(links) + 20
+
+
 def test_components_of_paths_and_stars(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1001 + i) for i in range(50)] + [(7, 7)]
