@@ -352,6 +352,54 @@ def test_repeats_within_a_document(spark):
     assert got[1].text.startswith(f"start of it. {passage}") and len(got[1].text) < len(text) - len(passage) / 2
 
 
+def plain_once(rows):
+    """Texts' kept tokens: every run of three sentences against all places before, in its own text as well."""
+    first, spans = {}, {i: [] for i, _ in rows}
+    for i, text in sorted(rows):
+        tokens, units = plain_sentences(text)[0], units_of(text)
+        for k in range(len(units) - sentences.SENTENCES + 1):
+            a, b = units[k][0], units[k + sentences.SENTENCES - 1][1]
+            run = tuple(tuple(tokens[x:y]) for x, y in units[k:k + sentences.SENTENCES])
+            if first.setdefault(run, (i, a)) != (i, a):
+                spans[i].append((a, b))
+    return {i: [w for k, w in enumerate(plain_sentences(t)[0]) if not any(a <= k < b for a, b in spans[i])] for i, t in rows}
+
+
+def test_every_run_of_three_sentences_is_left_once(spark):
+    """Short runs and those a document repeats itself go from text_once; ``text`` stays as it was."""
+    rng = random.Random(31)
+    short = ["Yes it is. No. So be it.", "Why? Why not? Who asks?", "Ja. Nein. Doch."]
+    own = lambda: " ".join(sentence(rng, rng.randrange(1, 9)) for _ in range(rng.randrange(1, 7)))        # noqa: E731
+    rows = []
+    for i in range(60):
+        parts = [own() for _ in range(3)]
+        parts += [rng.choice(short)] * (i % 3 == 0) + [parts[0]] * (i % 4 == 1) + ["La la. " * 5] * (i % 10 == 2)
+        rng.shuffle(parts)
+        rows.append((i, rng.choice([" ", "\n"]).join(parts)))
+    rows += [(70, None), (71, ""), (72, "Ja. Nein."), (73, " ".join(words(rng, 40, 20) * 3))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in sentences.dedup_sentences(df.repartition(4), once=True).collect()}
+    want, before = plain_once(rows), plain_dedup(rows, sentences.MIN_PASSAGE)
+    for i, t in rows:
+        assert plain_sentences(got[i].text_once)[0] == want[i], i
+        assert plain_sentences(got[i].text)[0] == before[i], i
+        assert (got[i].n_repeated == 0) == (len(want[i]) == len(plain_sentences(t)[0]))
+    assert got[70].text_once is None and got[71].text_once == ""
+    assert sum(r.n_repeated > r.n_removed for r in got.values()) > 20
+    twice = spark.createDataFrame([(1, "Ja. Nein. Doch."), (1, "Ja. Nein. Doch."), (None, "Doch. Ja. Nein. Doch.")], "doc_id long, text string")
+    got = {r.doc_id: r.text_once for r in sentences.dedup_sentences(twice, once=True).collect()}
+    assert got == {None: "Doch. Ja. Nein. Doch.", 1: ""}
+
+
+def test_op9_query_leaves_no_run_twice(spark, tmp_path):
+    text = "One here. Two there. Three now. "
+    rows = [(1, text + "Other words follow. " + text), (2, "Before it. " + text), (3, "Nothing. Else.")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in sentences.op9_sentence_dedup(spark, str(tmp_path)).collect()}
+    assert got[1].text_once == text + "Other words follow. " and got[2].text_once == "Before it. "
+    assert (got[1].n_repeated, got[2].n_repeated, got[3].n_repeated) == (3, 3, 0) and got[3].text_once == rows[2][1]
+
+
 def test_plans_stay_small(spark, capsys):
     """What is read several times is written before, so that the driver plans it once."""
     def shuffles(df):
