@@ -239,3 +239,27 @@ def test_boundaries_and_csv_options(spark, tmp_path):
         assert back[0] == areas.first() and back[1].polygons == back[0].polygons       # closed rings are opened
     text = spark.createDataFrame([("a\nb",)], "t string")
     assert io.write_table(text, str(tmp_path / "t.csv"), multi_line=True).first().t == "a\nb"
+
+
+def _own_tables(spark, folder):
+    """Two customers, an order of each and three lines, one of an order that is not there."""
+    spark.createDataFrame([(1, "a"), (2, "b")], "c_custkey long, c_name string").write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([(10, 1, "O"), (11, 2, "P")], "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(10, 5, 6, 1, 7.0, "N", "O"), (11, 5, 6, 1, 7.0, "R", "F"), (12, 5, 6, 1, 7.0, "A", "F")],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, "
+                          "l_linestatus string").write.parquet(f"{folder}/lineitem.parquet")
+
+
+def _joins(df):
+    """Names of the joins in a plan, before it runs."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return {name for name in ("BroadcastHashJoin [job_idx", "SortMergeJoin [job_idx") if name in plan}
+
+
+def test_haversine_does_not_broadcast_the_jobs(spark, tmp_path):
+    """However small the files of the job table are."""
+    from listingkit.plans import catalog as C
+    _own_tables(spark, tmp_path)
+    df = C.q_haversine(spark, str(tmp_path))
+    assert _joins(df) == {"SortMergeJoin [job_idx"}
+    assert sorted(r.page_id for r in df.collect()) == [160, 176]
