@@ -263,3 +263,11 @@ def test_haversine_does_not_broadcast_the_jobs(spark, tmp_path):
     df = C.q_haversine(spark, str(tmp_path))
     assert _joins(df) == {"SortMergeJoin [job_idx"}
     assert sorted(r.page_id for r in df.collect()) == [160, 176]
+
+
+def test_radius_filter_does_not_broadcast_the_jobs(spark, tmp_path):
+    from listingkit.plans import catalog as C
+    _own_tables(spark, tmp_path)
+    df = C.q_radius_filter(spark, str(tmp_path))
+    assert _joins(df) == {"SortMergeJoin [job_idx"}
+    assert df.count() <= 2
