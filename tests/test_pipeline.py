@@ -271,3 +271,48 @@ def test_radius_filter_does_not_broadcast_the_jobs(spark, tmp_path):
     df = C.q_radius_filter(spark, str(tmp_path))
     assert _joins(df) == {"SortMergeJoin [job_idx"}
     assert df.count() <= 2
+
+
+def _shuffle_files(spark):
+    """Names of the shuffle files that lie in this machine's scratch folders."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("kind", ["step", "bucketed", "landed", "sorted"])
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path, kind):
+    import time
+    import pyarrow.parquet as pq
+    from listingkit.operators import ordering as O
+    from listingkit.sources import testdata as td
+    df, path = spark.range(5000).repartition(5, "id"), f"{tmp_path}/t"
+    before = _shuffle_files(spark)
+    if kind == "landed":
+        td.land(lambda: df, spark, path)
+    elif kind == "sorted":
+        O.write_sorted(df, ["id"], path)
+    else:
+        steps.write_step({"t": df}, path, buckets={"t": ("id", 3)} if kind == "bucketed" else None)
+    for _ in range(50):                                    # files go a moment after the write
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
+    parts = list(tmp_path.rglob("part-*.parquet"))
+    assert sum(pq.read_metadata(p).num_rows for p in parts) == 5000
+    assert {pq.read_metadata(p).row_group(0).column(0).compression for p in parts if pq.read_metadata(p).num_rows} == {"ZSTD"}
+
+
+def test_coordinates_are_read_after_the_join_where_asked(spark):
+    links = [(1, 0, 0, "x!3d-25.0!4d-57.0"), (1, 0, 1, "x!3d-25.1!4d-57.0"), (2, 1, 0, "none"), (9, 1, 0, "x!3d-25.0!4d-57.0")]
+    anchors = spark.createDataFrame(links, "job_idx long, page_id long, pos long, href string")
+    jobs = spark.createDataFrame([(1, -25.0, -57.0, "a"), (2, -25.0, -57.0, "b")], "job_idx long, latitude double, longitude double, keyword string")
+    early, late = (J.anchors_with_distance(anchors, jobs, late=x) for x in (False, True))
+    key = ["job_idx", "page_id", "pos", "href", "latitude", "longitude", "keyword", "dist_m"]
+    assert sorted(early.select(key).collect(), key=str) == sorted(late.select(key).collect(), key=str) and late.count() == 3
+    moved = late._jdf.queryExecution().sparkPlan().toString().split("Join")[1]
+    assert "regexp" not in moved.split("job_lat")[0]       # nothing but the rows themselves
