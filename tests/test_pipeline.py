@@ -316,3 +316,14 @@ def test_coordinates_are_read_after_the_join_where_asked(spark):
     assert sorted(early.select(key).collect(), key=str) == sorted(late.select(key).collect(), key=str) and late.count() == 3
     moved = late._jdf.queryExecution().sparkPlan().toString().split("Join")[1]
     assert "regexp" not in moved.split("job_lat")[0]       # nothing but the rows themselves
+
+
+def test_ids_are_sorted_without_other_columns(spark, tmp_path):
+    import glob
+    from listingkit.plans import catalog as C
+    _own_tables(spark, tmp_path)
+    kept = f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/sorted-*"
+    before = set(glob.glob(kept))
+    assert C.q_assign_ids(spark, str(tmp_path)).columns == ["num_id", "link"]
+    [new] = set(glob.glob(kept)) - before
+    assert set(spark.read.parquet(new).columns) == {"link", "longitude", "latitude", *P.CAPTURE_ORDER}
