@@ -327,3 +327,15 @@ def test_ids_are_sorted_without_other_columns(spark, tmp_path):
     assert C.q_assign_ids(spark, str(tmp_path)).columns == ["num_id", "link"]
     [new] = set(glob.glob(kept)) - before
     assert set(spark.read.parquet(new).columns) == {"link", "longitude", "latitude", *P.CAPTURE_ORDER}
+
+
+def test_master_leaves_no_sorted_table_beside_it(spark, tmp_path):
+    import glob
+    rows = [(k, 0, 0, -25.0 - k, -57.0, f"L{k}") for k in range(50)] + [(99, 0, 0, None, None, None)]
+    df = spark.createDataFrame(rows, "job_idx long, page_id long, pos long, latitude double, longitude double, link string")
+    kept = f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/sorted-*"
+    before = set(glob.glob(kept))
+    step = P.write_master(df, f"{tmp_path}/master", buckets=3)
+    assert set(glob.glob(kept)) == before and step.rows("master") == 51
+    got = {r.num_id: r.link for r in step["master"].collect()}
+    assert got == {**{50 - k: f"L{k}" for k in range(50)}, 51: None}
